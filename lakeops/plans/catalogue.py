@@ -232,3 +232,140 @@ def audit_rows(spark, sf_dir):
     append_audit(batch_result(spark, sf_dir).audit, target)
     back = read_audit(spark, target)
     return back.select(*BATCH_COLS, F.col("INSERT_TIMESTAMP").isNotNull().alias("HAS_INSERT_TIMESTAMP"))
+
+
+# --------------------------------------------------------------------------- ingestion
+from lakeops.operators.ingest import (LakeLocation, load_full, load_incremental,  # noqa: E402
+                                      load_merge, overwrite_partitions, run_ingestion)
+
+_MARK_2001 = dt.datetime(2001, 6, 1)
+S_LINEITEM_INC = (f"SELECT * FROM {S_LINEITEM_LAKE} a WHERE l_shipdate <= TIMESTAMP '2001-06-01' "
+                  f"UNION ALL SELECT * FROM lineitem WHERE l_shipdate > TIMESTAMP '2001-06-01'")
+S_EVENTS_INC = f"SELECT * FROM {S_EVENTS_LAKE} a UNION ALL SELECT * FROM events WHERE event_id > {S_OFF}"
+S_ORDERS_UPD = ("(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice, "
+                "o_orderdate, o_orderpriority FROM orders WHERE o_orderdate > TIMESTAMP '2001-06-01')")
+S_ORDERS_MERGED = (f"SELECT * FROM {S_ORDERS_UPD} u UNION ALL SELECT * FROM {S_ORDERS_LAKE} t "
+                   f"WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {S_ORDERS_UPD} k)")
+ORDERS_UPD_SQL = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice, "
+                  "o_orderdate, o_orderpriority FROM orders")
+
+
+def _lake(spark) -> LakeLocation:
+    return LakeLocation(spark, root=scratch_path(spark, "lake"))
+
+
+def _with_year(df: DataFrame) -> DataFrame:
+    return df.withColumn("o_year", F.year("o_orderdate"))
+
+
+@query("load_full", "SELECT * FROM orders")
+def q_load_full(spark, sf_dir):
+    """ING-1: the lake table replaced by the whole extract."""
+    lake = _lake(spark)
+    orders = fx.read_table(spark, sf_dir, "orders")
+    load_full(orders.where(F.col("o_orderkey") < 0), lake, "orders")  # an earlier, different state
+    load_full(orders, lake, "orders")
+    return lake.read("orders")
+
+
+@query("load_incremental_ts", S_LINEITEM_INC)
+def q_load_incremental_ts(spark, sf_dir):
+    """ING-2 by time mark: rows after the mark appended to the lake copy."""
+    lake = _lake(spark)
+    li = fx.read_table(spark, sf_dir, "lineitem")
+    load_full(fx.lineitem_lake(li).where(F.col("l_shipdate") <= ts_literal(_MARK_2001)), lake, "lineitem")
+    load_incremental(li, lake, "lineitem", "l_shipdate", _MARK_2001)
+    return lake.read("lineitem")
+
+
+@query("load_incremental_offset", S_EVENTS_INC)
+def q_load_incremental_offset(spark, sf_dir):
+    """ING-2 by numeric mark."""
+    lake = _lake(spark)
+    ev = fx.read_table(spark, sf_dir, "events")
+    load_full(fx.events_lake(ev), lake, "events")
+    load_incremental(ev, lake, "events", "event_id", fx.events_offset_value(spark, sf_dir))
+    return lake.read("events")
+
+
+@query("load_merge", f"SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM ({S_ORDERS_MERGED}) m")
+def q_load_merge(spark, sf_dir):
+    """ING-3: upsert by key into a year-partitioned lake table.
+
+    Only the years holding an updated order are rewritten.
+    """
+    fx.register(spark, sf_dir)
+    lake = _lake(spark)
+    load_full(_with_year(spark.table("orders_lake")), lake, "orders", ["o_year"])
+    load_merge(_with_year(spark.sql(ORDERS_UPD_SQL)), lake, "orders", ["o_orderkey"],
+               "o_orderdate", _MARK_2001, partition_by=["o_year"])
+    return lake.read("orders")
+
+
+@query("overwrite_partitions", """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN year(o_orderdate) = 1995 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS o_year
+FROM orders""")
+def q_overwrite_partitions(spark, sf_dir):
+    """SNK-3: replace one year's partition; the other years stay as written."""
+    lake = _lake(spark)
+    orders = _with_year(fx.read_table(spark, sf_dir, "orders"))
+    load_full(orders, lake, "orders", ["o_year"])
+    repriced = orders.where(F.col("o_year") == 1995).withColumn(
+        "o_totalprice", F.col("o_totalprice") * 2)
+    overwrite_partitions(repriced, lake, "orders", ["o_year"])
+    return lake.read("orders")
+
+
+def ingestion_control(spark: SparkSession, sf_dir: str) -> list[ControlEntry]:
+    off = fx.events_offset_value(spark, sf_dir)
+    return [
+        ControlEntry(1, 1, "SELECT * FROM orders", "mssql", "orders", "Full Load", priority=1),
+        ControlEntry(2, 1, "SELECT * FROM lineitem", "mssql", "lineitem", "incremental",
+                     _MARK_2001, "l_shipdate", priority=2),
+        ControlEntry(3, 1, "SELECT * FROM events", "mssql", "events", "Incremental",
+                     dt.datetime(2024, 2, 9), "event_id", off, priority=3),
+        ControlEntry(4, 1, ORDERS_UPD_SQL, "mssql", "orders_merged", "merge", _MARK_2001,
+                     "o_orderdate", priority=4, merge_key="o_orderkey"),
+        ControlEntry(5, 1, "SELECT * FROM orders", "mssql", "orders_snapshot", "Snapshot", priority=5),
+    ]
+
+
+def _run_row(i, table, load, status, loaded, after) -> str:
+    return (f"SELECT CAST({i} AS BIGINT) AS ID, '{table}' AS TABLE_NAME, '{load}' AS LOAD_TYPE, "
+            f"'{status}' AS STATUS, CAST(({loaded}) AS BIGINT) AS ROWS_LOADED, "
+            f"CAST(({after}) AS BIGINT) AS ROWS_IN_TABLE")
+
+
+_C = "SELECT count(*) FROM ({}) x".format
+
+
+@query("ingestion_run", "\nUNION ALL\n".join([
+    _run_row(1, "orders", "Full Load", "SUCCESS", _C("SELECT * FROM orders"), _C("SELECT * FROM orders")),
+    _run_row(2, "lineitem", "incremental", "SUCCESS",
+             _C("SELECT * FROM lineitem WHERE l_shipdate > TIMESTAMP '2001-06-01'"), _C(S_LINEITEM_INC)),
+    _run_row(3, "events", "Incremental", "SUCCESS",
+             _C(f"SELECT * FROM events WHERE event_id > {S_OFF}"), _C(S_EVENTS_INC)),
+    _run_row(4, "orders_merged", "merge", "SUCCESS", _C(f"SELECT * FROM {S_ORDERS_UPD} u"),
+             _C(S_ORDERS_MERGED)),
+    _run_row(5, "orders_snapshot", "Snapshot", "FAILED", "NULL", "NULL"),
+]))
+def q_ingestion_run(spark, sf_dir):
+    """ING-4 + SNK-4: a control group loaded in priority order, one run-audit row each,
+    joined with the row count of every lake table after the run."""
+    fx.register(spark, sf_dir)
+    lake = _lake(spark)
+    li = fx.read_table(spark, sf_dir, "lineitem")
+    load_full(fx.lineitem_lake(li).where(F.col("l_shipdate") <= ts_literal(_MARK_2001)), lake, "lineitem")
+    load_full(fx.events_lake(fx.read_table(spark, sf_dir, "events")), lake, "events")
+    load_full(spark.table("orders_lake"), lake, "orders_merged")
+    run = run_ingestion(spark, ingestion_control(spark, sf_dir), SparkSources(spark), lake,
+                        job_name="LAKE_INGESTION", batch=BATCH)
+    sizes = None
+    for t in ("orders", "lineitem", "events", "orders_merged"):
+        part = lake.read(t).agg(F.count(F.lit(1)).alias("ROWS_IN_TABLE")).select(
+            F.lit(t).alias("TABLE_NAME"), "ROWS_IN_TABLE")
+        sizes = part if sizes is None else sizes.unionByName(part)
+    return (run.audit.join(sizes, "TABLE_NAME", "left")
+            .select("ID", "TABLE_NAME", "LOAD_TYPE", "STATUS", "ROWS_LOADED", "ROWS_IN_TABLE"))

@@ -369,3 +369,119 @@ def q_ingestion_run(spark, sf_dir):
         sizes = part if sizes is None else sizes.unionByName(part)
     return (run.audit.join(sizes, "TABLE_NAME", "left")
             .select("ID", "TABLE_NAME", "LOAD_TYPE", "STATUS", "ROWS_LOADED", "ROWS_IN_TABLE"))
+
+
+# --------------------------------------------------------------------------- maintenance
+from lakeops.operators.maintenance import (ParquetMaintenance, compaction_plan,  # noqa: E402
+                                           expired_snapshots, file_inventory, orphan_files,
+                                           rewrite_bins, sweep)
+
+G9_TARGET = 50000
+
+
+@query("compaction_plan", f"""
+SELECT doc_id, source, n_chars,
+       CAST(FLOOR(COALESCE(SUM(n_chars) OVER (PARTITION BY source ORDER BY doc_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / {G9_TARGET}) AS BIGINT) AS bin
+FROM documents WHERE n_chars < {G9_TARGET * 0.75} OR n_chars > {G9_TARGET * 1.8}""")
+def q_compaction_plan(spark, sf_dir):
+    """MNT-1 plan: documents stand in for a file inventory (file = doc_id,
+    partition = source, bytes = n_chars); candidates packed into 50 000-byte bins."""
+    inv = fx.read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    plan = compaction_plan(inv, partition_cols=["source"], order_col="doc_id",
+                           size_col="n_chars", target_bytes=G9_TARGET)
+    return plan.select("doc_id", "source", "n_chars", F.col("bin").cast("long").alias("bin"))
+
+
+def small_file_table(spark: SparkSession, df: DataFrame, name: str, files: int,
+                     partition_by: list[str] | None = None) -> str:
+    path = scratch_path(spark, name)
+    w = df.repartition(files).write
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return path
+
+
+@query("compaction_rewrite", "SELECT * FROM lineitem")
+def q_compaction_rewrite(spark, sf_dir):
+    """MNT-1 carried out: a lineitem copy written as many small files, per
+    l_returnflag partition, is rewritten into bins of a sixth of its size; the
+    row multiset is unchanged."""
+    li = fx.read_table(spark, sf_dir, "lineitem")
+    path = small_file_table(spark, li, "small-lineitem", 16, ["l_returnflag"])
+    inv = file_inventory(spark, path)
+    target = int(inv.agg(F.sum("size")).first()[0] // 6)
+    plan = compaction_plan(inv, partition_cols=["l_returnflag"], order_col="modified",
+                           tie_cols=["path"], target_bytes=target)
+    rewrite_bins(spark, path, plan, ["l_returnflag"], dry_run=False)
+    return spark.read.parquet(path).select(*li.columns)
+
+
+@query("snapshot_expiry", """
+SELECT event_id, user_id, ts FROM (
+  SELECT event_id, user_id, ts,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk
+  FROM events) r
+WHERE rk > 1 AND ts < TIMESTAMP '2024-01-26'""")
+def q_snapshot_expiry(spark, sf_dir):
+    """MNT-2: events stand in for snapshots (table = user_id, commit time = ts);
+    expire those before 2024-01-26 except each table's newest."""
+    ev = fx.read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return expired_snapshots(ev, table_cols=["user_id"], time_col="ts", id_col="event_id",
+                             older_than=dt.datetime(2024, 1, 26), retain_last=1) \
+        .select("event_id", "user_id", "ts")
+
+
+@query("orphan_files", """
+SELECT doc_id, source, n_chars FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def q_orphan_files(spark, sf_dir):
+    """MNT-3: documents stand in for the file listing, labels for the files
+    metadata refers to; unreferenced files are orphans."""
+    listing = fx.read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    referenced = fx.read_table(spark, sf_dir, "labels")
+    return orphan_files(listing, referenced, on="doc_id")
+
+
+_SWEEP_DB = "lakeops_maintenance"
+
+
+def _sweep_rows(table: str, count_sql: str) -> str:
+    statuses = [("rewrite_data_files", "SUCCESS"), ("rewrite_manifests", "SKIPPED"),
+                ("expire_snapshots", "SKIPPED"), ("remove_orphan_files", "SKIPPED")]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{_SWEEP_DB}' AS DATABASE, '{table}' AS TABLE_NAME, '{step}' AS STEP, "
+        f"'{st}' AS STATUS, CAST(({count_sql}) AS BIGINT) AS ROWS_AFTER" for step, st in statuses)
+
+
+@query("maintenance_sweep", "\nUNION ALL\n".join([
+    _sweep_rows("lineitem", "SELECT count(*) FROM lineitem"),
+    _sweep_rows("orders", "SELECT count(*) FROM orders"),
+    f"SELECT '{_SWEEP_DB}' AS DATABASE, 'd1_orders' AS TABLE_NAME, CAST(NULL AS VARCHAR) AS STEP, "
+    f"'EXCLUDED' AS STATUS, CAST((SELECT count(*) FROM orders) AS BIGINT) AS ROWS_AFTER"]))
+def q_maintenance_sweep(spark, sf_dir):
+    """MNT-4: a database of small-file Parquet tables swept; names holding the
+    exclusion token are skipped; row counts after compaction are unchanged."""
+    spark.sql(f"DROP DATABASE IF EXISTS {_SWEEP_DB} CASCADE")
+    spark.sql(f"CREATE DATABASE {_SWEEP_DB} LOCATION '{scratch_path(spark, 'warehouse')}'")
+    li = fx.read_table(spark, sf_dir, "lineitem")
+    orders = fx.read_table(spark, sf_dir, "orders")
+    li.repartition(16).write.partitionBy("l_returnflag").saveAsTable(f"{_SWEEP_DB}.lineitem")
+    orders.repartition(16).write.saveAsTable(f"{_SWEEP_DB}.orders")
+    orders.repartition(4).write.saveAsTable(f"{_SWEEP_DB}.d1_orders")
+    target = 4 * int(file_inventory(spark, f"{scratch_root_of(spark, _SWEEP_DB)}/orders")
+                     .agg(F.sum("size")).first()[0] // 16)
+    report = sweep(spark, [_SWEEP_DB], ParquetMaintenance(spark, target_bytes=target, dry_run=False))
+    counts = None
+    for t in ("lineitem", "orders", "d1_orders"):
+        c = spark.table(f"{_SWEEP_DB}.{t}").agg(F.count(F.lit(1)).alias("ROWS_AFTER")) \
+            .select(F.lit(t).alias("TABLE_NAME"), "ROWS_AFTER")
+        counts = c if counts is None else counts.unionByName(c)
+    return report.join(counts, "TABLE_NAME").select("DATABASE", "TABLE_NAME", "STEP", "STATUS",
+                                                    "ROWS_AFTER")
+
+
+def scratch_root_of(spark: SparkSession, database: str) -> str:
+    return spark.sql(f"DESCRIBE DATABASE {database}").where(
+        F.col("info_name") == "Location").first()["info_value"]

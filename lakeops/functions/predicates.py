@@ -19,7 +19,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEFAULT_WINDOW_DAYS = 30
-_EPOCH = "1970-01-01 00:00:00"
 
 
 def ts_literal(value: dt.datetime | dt.date | str) -> Column:
@@ -63,12 +62,14 @@ def round_to_millis(ts: Column) -> Column:
     """Round a ``TIMESTAMP_NTZ`` to whole milliseconds, half up (SCL-3).
 
     This is the precision of a ``datetime2(3)`` conversion on the source.
-    Computed on microseconds since the epoch with integer arithmetic.
+    The sub-millisecond part is read from the seconds field and removed with
+    NTZ interval arithmetic, which never consults the session time zone
+    (epoch-based helpers do, and shift wall-clock times inside a DST gap).
     """
-    epoch = F.lit(_EPOCH).cast("timestamp_ntz")
-    shifted = F.timestamp_diff("MICROSECOND", epoch, ts) + F.lit(500)
-    micros = shifted - F.pmod(shifted, F.lit(1000))
-    return F.timestamp_add("MICROSECOND", micros, epoch)
+    sub = (F.date_part(F.lit("SECOND"), ts) * 1000000).cast("long") % 1000
+    down = ts - F.make_dt_interval(secs=sub.cast("decimal(18,6)") / 1000000)
+    return F.when(sub >= 500, down + F.make_dt_interval(secs=F.lit(0.001).cast("decimal(18,6)"))) \
+        .otherwise(down)
 
 
 def try_timestamp_millis(c: Column) -> Column:

@@ -485,3 +485,43 @@ def q_maintenance_sweep(spark, sf_dir):
 def scratch_root_of(spark: SparkSession, database: str) -> str:
     return spark.sql(f"DESCRIBE DATABASE {database}").where(
         F.col("info_name") == "Location").first()["info_value"]
+
+
+# --------------------------------------------------------------------------- file drops
+from lakeops.sources.files import read_dropped, write_drop  # noqa: E402
+from lakeops.streaming.file_drop import ingest_drops  # noqa: E402
+
+CUSTOMER_DDL = ("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING")
+
+
+@query("file_drop_ingest", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
+def q_file_drop_ingest(spark, sf_dir):
+    """SRC-9: customer dropped once as CSV and once as JSON, read back with the
+    declared schema and loaded into one lake table."""
+    customer = fx.read_table(spark, sf_dir, "customer")
+    drops = scratch_path(spark, "drops")
+    write_drop(customer, f"{drops}/csv", "csv")
+    write_drop(customer, f"{drops}/json", "json")
+    lake = _lake(spark)
+    both = read_dropped(spark, f"{drops}/csv", "csv", CUSTOMER_DDL).unionByName(
+        read_dropped(spark, f"{drops}/json", "json", CUSTOMER_DDL))
+    load_full(both, lake, "customer")
+    return lake.read("customer")
+
+
+@query("file_drop_stream", "SELECT * FROM customer")
+def q_file_drop_stream(spark, sf_dir):
+    """SRC-9 incrementally: customer arrives as two CSV drops (nations below 13,
+    then the rest); a run after each drop, and a third with nothing new, load
+    every row exactly once."""
+    customer = fx.read_table(spark, sf_dir, "customer")
+    drops, target = scratch_path(spark, "drops"), scratch_path(spark, "lake-customer")
+    ckpt = scratch_path(spark, "ckpt-customer")
+    early = F.coalesce(F.col("c_nationkey") < 13, F.lit(False))
+    write_drop(customer.where(early), drops, "csv")
+    ingest_drops(spark, drops, "csv", CUSTOMER_DDL, target, ckpt)
+    write_drop(customer.where(~early), drops, "csv")
+    ingest_drops(spark, drops, "csv", CUSTOMER_DDL, target, ckpt)
+    ingest_drops(spark, drops, "csv", CUSTOMER_DDL, target, ckpt)
+    return spark.read.parquet(target)

@@ -1,0 +1,24 @@
+"""File drops are loaded exactly once across scheduled runs."""
+
+from pyspark.sql import functions as F
+
+from lakeops.plans import fixtures as fx
+from lakeops.session import scratch_path
+from lakeops.sources.files import write_drop
+from lakeops.streaming.file_drop import ingest_drops
+
+from conftest import SF_MID
+
+DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+
+
+def test_each_file_loaded_once(spark):
+    c = fx.read_table(spark, SF_MID, "customer")
+    drops, out, ck = (scratch_path(spark, n) for n in ("d", "o", "ck"))
+    write_drop(c.where(F.col("c_nationkey") < 10), drops, "json")
+    first = ingest_drops(spark, drops, "json", DDL, out, ck)
+    write_drop(c.where(F.col("c_nationkey") >= 10), drops, "json")
+    second = ingest_drops(spark, drops, "json", DDL, out, ck)
+    third = ingest_drops(spark, drops, "json", DDL, out, ck)
+    assert first + second == c.count() and third == 0
+    assert spark.read.parquet(out).exceptAll(c).count() == 0

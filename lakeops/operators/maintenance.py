@@ -24,6 +24,7 @@ it is off unless ``dry_run=False``.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -72,11 +73,12 @@ def compaction_plan(inventory: DataFrame, *, partition_cols: Sequence[str], orde
     With ``min_input_files > 1``, bins with fewer files are dropped unless
     they hold a file that must be split.
     """
-    lo, hi = target_bytes * min_ratio, target_bytes * max_ratio
-    cand = inventory.where((F.col(size_col) < lo) | (F.col(size_col) > hi))
+    # Integer bounds (sizes are whole bytes) keep the predicate pushable to the scan.
+    lo, hi = math.ceil(target_bytes * min_ratio), math.floor(target_bytes * max_ratio)
+    cand = inventory.where((F.col(size_col) < F.lit(lo)) | (F.col(size_col) > F.lit(hi)))
     ranked = grouped_running_sum(cand, partition_cols, order_col, size_col, "bytes_before",
                                  tie_cols=tie_cols, chunks=chunks)
-    planned = ranked.withColumn("bin", F.floor(F.col("bytes_before") / F.lit(target_bytes)))
+    planned = ranked.withColumn("bin", (F.col("bytes_before") / F.lit(target_bytes)).cast("long"))
     if min_input_files > 1:
         keys = [*partition_cols, "bin"]
         big = planned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),

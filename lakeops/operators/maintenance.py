@@ -27,6 +27,7 @@ import datetime as dt
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -127,45 +128,47 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
                  max_files_per_job: int = 100_000) -> CompactionResult:
     """Carry out a compaction plan on a Parquet table (MNT-1).
 
-    The rows of the candidate files are read (only those files), range
-    partitioned by ``(partition, bin)`` so each task receives about one bin,
-    and appended to the table as new files; then the candidate files are
-    deleted.  Work is cut into jobs of at most ``max_files_per_job`` input
-    files, which bounds the file list the driver holds at once.
+    Each bin is read as one scan of exactly its files, coalesced to one
+    partition (no shuffle), and the bins of a job are unioned and appended
+    to the table, one new file per bin; then the bin's input files are
+    deleted.  Like a table format's bin-pack rewrite, rows move once, from
+    the small files into the new file.  Work is cut into jobs of at most
+    ``max_files_per_job`` input files (whole bins, assigned by a hash of the
+    bin on executors), which bounds the file list the driver holds at once.
+    The swap is not atomic on plain Parquet: readers may briefly see both.
     """
     # Freeze the plan first: the listing it came from changes once new files land.
     frozen = scratch_path(spark, "compaction-plan")
     plan.select("path", *partition_cols, "bin").write.parquet(frozen)
     plan = spark.read.parquet(frozen)
-    stats = plan.agg(F.count(F.lit(1)).alias("files"),
-                     F.count_distinct(*partition_cols, "bin").alias("bins")).first()
-    if dry_run or not stats["files"]:
-        return CompactionResult(stats["files"], stats["bins"], 0, True)
-    # Whole bins go to one job; jobs are a hash of the bin, computed on executors.
-    n_jobs = -(-stats["files"] // max_files_per_job)
+    files_in = plan.count()
+    if dry_run or not files_in:
+        bins = plan.select(*partition_cols, "bin").distinct().count() if files_in else 0
+        return CompactionResult(files_in, bins, 0, True)
+    schema = spark.read.parquet(table_path).schema
+    n_jobs = -(-files_in // max_files_per_job)
     keyed = plan.withColumn("_job", F.pmod(F.hash(*partition_cols, "bin"), F.lit(n_jobs)))
-    removed = 0
+    removed, bins_total = 0, 0
     for job in range(n_jobs):
-        part = keyed.where(F.col("_job") == job).drop("_job")
-        files = [r["path"] for r in part.select("path").collect()]
-        if not files:
+        groups: dict[tuple, list[str]] = {}
+        for r in keyed.where(F.col("_job") == job).select("path", *partition_cols, "bin").collect():
+            groups.setdefault(tuple(r[c] for c in [*partition_cols, "bin"]), []).append(r["path"])
+        if not groups:
             continue
-        bins = part.select(*partition_cols, "bin").distinct().count()
-        rows = (spark.read.option("basePath", table_path).parquet(*files)
-                .withColumn("_path", F.col("_metadata.file_path")))
-        binned = rows.join(part.select(F.col("path").alias("_path"), "bin"), "_path")
-        out = (binned.repartitionByRange(max(1, bins), *partition_cols, "bin")
-               .drop("_path", "bin"))
-        cols = [c for c in out.columns if c not in partition_cols]
-        writer = out.select(*cols, *partition_cols).write.mode("append")
+        scans = [spark.read.schema(schema).option("basePath", table_path).parquet(*paths).coalesce(1)
+                 for paths in groups.values()]
+        out = reduce(lambda a, b: a.unionByName(b), scans)
+        writer = out.write.mode("append")
         if partition_cols:
             writer = writer.partitionBy(*partition_cols)
         writer.parquet(table_path)
-        for f in files:
-            fs, p = _fs(spark, f)
-            fs.delete(p, False)
-        removed += len(files)
-    return CompactionResult(stats["files"], stats["bins"], removed, False)
+        for paths in groups.values():
+            for f in paths:
+                fs, p = _fs(spark, f)
+                fs.delete(p, False)
+            removed += len(paths)
+        bins_total += len(groups)
+    return CompactionResult(files_in, bins_total, removed, False)
 
 
 # --------------------------------------------------------------------------- MNT-2

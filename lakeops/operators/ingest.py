@@ -91,9 +91,10 @@ def _observed(df: DataFrame, mark_col: str | None = None) -> tuple[DataFrame, Ob
 
 
 def load_full(df: DataFrame, lake: LakeLocation, table: str,
-              partition_by: list[str] | None = None) -> LoadResult:
-    """Replace the target with the extract (ING-1)."""
-    df, obs = _observed(df)
+              partition_by: list[str] | None = None, mark_col: str | None = None) -> LoadResult:
+    """Replace the target with the extract (ING-1); with ``mark_col``, also
+    report the largest value loaded."""
+    df, obs = _observed(df, mark_col)
     # Static mode: a full load replaces every partition, not only those in the extract.
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
@@ -102,7 +103,8 @@ def load_full(df: DataFrame, lake: LakeLocation, table: str,
         w.parquet(lake.path(table))
     else:
         w.format("parquet").saveAsTable(lake.name(table))
-    return LoadResult(obs.get["rows"])
+    m = obs.get
+    return LoadResult(m["rows"], m.get("mark"))
 
 
 def load_incremental(source: DataFrame, lake: LakeLocation, table: str, mark_col: str,
@@ -158,7 +160,8 @@ def load_merge(source: DataFrame, lake: LakeLocation, table: str, keys: list[str
     updates = source.where(pending(mark_col, mark)) if mark_col and mark is not None else source
     updates = latest_per_key(updates, keys, order_by)
     if not lake.exists(table):
-        return load_full(updates, lake, table, partition_by)
+        res = load_full(updates, lake, table, partition_by, mark_col)
+        return LoadResult(res.rows, res.new_mark if res.rows else mark)
     emitted, obs = _observed(updates, mark_col)
     merged = merged_rows(lake.read(table), updates, keys, partition_by, emitted)
     stage = scratch_path(spark, f"merge-{table}")

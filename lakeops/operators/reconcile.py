@@ -88,14 +88,15 @@ class ReconcilePlan:
     skipped: list[ControlEntry] = field(default_factory=list)   # unknown load type
 
 
-def _source_spec(spark, entry: ControlEntry, sources, days: int) -> CountSpec:
+def _source_spec(spark, entry: ControlEntry, sources, days: int, resolve) -> CountSpec:
     mode = entry.mode
     if isinstance(sources, JdbcSource):
         frame = sources.count_frame(spark, entry.sql_query) if mode is LoadMode.FULL else \
             sources.read(spark, sources.source_count_sql(entry, days)).select(
                 F.col("CNT").cast("long").alias("CNT"))
         return CountSpec(entry.id, SOURCE, f"jdbc:{entry.id}", frame, precounted=True)
-    key, frame = sources.relation(entry)
+    key, frame = resolve(("source", entry.sql_query, entry.tablename),
+                         lambda: sources.relation(entry))
     pred = None
     if mode is LoadMode.OFFSET:
         (col,) = split_columns(entry.data_validation_column)
@@ -105,37 +106,64 @@ def _source_spec(spark, entry: ControlEntry, sources, days: int) -> CountSpec:
             raise ValueError("time-window reconciliation needs startdatetime")
         pred = source_window(split_columns(entry.data_validation_column),
                              ts_literal(entry.startdatetime), entry.dialect, days)
-    if pred is not None:
-        frame.select(pred)  # resolve now: a bad column fails this table only
     return CountSpec(entry.id, SOURCE, key, frame, pred)
 
 
-def _lake_spec(entry: ControlEntry, lake, days: int, upper_bound: bool) -> CountSpec:
-    key, frame = lake.relation(entry.tablename)
+def _lake_spec(entry: ControlEntry, lake, days: int, upper_bound: bool, resolve) -> CountSpec:
+    key, frame = resolve(("lake", entry.tablename), lambda: lake.relation(entry.tablename))
     pred = None
     if entry.mode is LoadMode.WINDOW:
+        if entry.startdatetime is None:
+            raise ValueError("time-window reconciliation needs startdatetime")
         pred = lake_window(split_columns(entry.data_validation_column),
                            ts_literal(entry.startdatetime), days, upper_bound)
-        frame.select(pred)
     return CountSpec(entry.id, LAKE, key, frame, pred)
 
 
+def _check_predicates(specs: list[CountSpec], failed: dict[int, str]) -> None:
+    """Resolve every predicate now, one ``select`` per relation, so a bad
+    column fails its own table at planning time; only when a relation's
+    combined check fails are its predicates checked one by one."""
+    for group in _groups([s for s in specs if s.predicate is not None]).values():
+        try:
+            group[0].frame.select(*[s.predicate for s in group])
+            continue
+        except Exception:  # noqa: BLE001 - narrowed below
+            pass
+        for s in group:
+            try:
+                s.frame.select(s.predicate)
+            except Exception as exc:  # noqa: BLE001 - recorded in the audit row
+                failed.setdefault(s.entry_id, truncate_error(exc))
+
+
 def plan_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lake,
                    days: int = DEFAULT_WINDOW_DAYS, lake_upper_bound: bool = False) -> ReconcilePlan:
-    """Resolve both counts of every entry; no job runs here."""
+    """Resolve both counts of every entry; no job runs here.
+
+    Entries naming the same relation share one resolved DataFrame, which is
+    what lets :func:`counts_frame` scan it once.
+    """
     specs, failed, skipped, kept = [], {}, [], []
+    cache: dict = {}
+
+    def resolve(key, make):
+        if key not in cache:
+            cache[key] = make()
+        return cache[key]
+
     for e in entries:
         if e.mode is None:
             skipped.append(e)
             continue
         kept.append(e)
         try:
-            s = _source_spec(spark, e, sources, days)
-            t = _lake_spec(e, lake, days, lake_upper_bound)
-            specs += [s, t]
+            specs += [_source_spec(spark, e, sources, days, resolve),
+                      _lake_spec(e, lake, days, lake_upper_bound, resolve)]
         except Exception as exc:  # noqa: BLE001 - recorded in the audit row
             failed[e.id] = truncate_error(exc)
-    return ReconcilePlan(kept, specs, failed, skipped)
+    _check_predicates(specs, failed)
+    return ReconcilePlan(kept, [s for s in specs if s.entry_id not in failed], failed, skipped)
 
 
 def _relation_counts(specs: list[CountSpec]) -> DataFrame:
@@ -215,13 +243,15 @@ def reconcile_frame(spark: SparkSession, plan: ReconcilePlan, job_name: str,
         meta = spark.createDataFrame(
             [tuple(_meta_row(e, job_name, batch)[f.name] for f in meta_schema) for e in ok_entries],
             meta_schema)
-        ok = (F.broadcast(meta).join(counts, "ID")
-              .withColumn("COUNT_DIFF", F.col("SOURCE_COUNT") - F.col("DATALAKE_COUNT"))
-              .withColumn("STATUS", F.lit("SUCCESS"))
-              .withColumn("ERROR_MESSAGE", F.lit(None).cast("string"))
-              .withColumn("SRC_QUERY_EXEC_TIME", F.lit(None).cast("string"))
-              .withColumn("TARGET_QUERY_EXEC_TIME", F.lit(None).cast("string"))
-              .select(*AUDIT_COLUMNS))
+        computed = {
+            "COUNT_DIFF": F.col("SOURCE_COUNT") - F.col("DATALAKE_COUNT"),
+            "STATUS": F.lit("SUCCESS"),
+            "ERROR_MESSAGE": F.lit(None).cast("string"),
+            "SRC_QUERY_EXEC_TIME": F.lit(None).cast("string"),
+            "TARGET_QUERY_EXEC_TIME": F.lit(None).cast("string"),
+        }
+        ok = F.broadcast(meta).join(counts, "ID").select(
+            *[computed[c].alias(c) if c in computed else F.col(c) for c in AUDIT_COLUMNS])
         frames.append(ok)
     if failed_rows or not frames:
         frames.append(spark.createDataFrame(failed_rows, AUDIT_SCHEMA))

@@ -525,3 +525,35 @@ def q_file_drop_stream(spark, sf_dir):
     ingest_drops(spark, drops, "csv", CUSTOMER_DDL, target, ckpt)
     ingest_drops(spark, drops, "csv", CUSTOMER_DDL, target, ckpt)
     return spark.read.parquet(target)
+
+
+# --------------------------------------------------------------------------- many marks
+MANY_MARKS = [dt.datetime(1992 + i // 2, 1 + 6 * (i % 2), 1) for i in range(12)]
+
+
+def many_marks_entries() -> list[ControlEntry]:
+    return [ControlEntry(100 + i, 1, "SELECT * FROM lineitem", "oracle", "lineitem_lake",
+                         "incremental", m, "l_shipdate", priority=i)
+            for i, m in enumerate(MANY_MARKS)]
+
+
+def _many_marks_sql() -> str:
+    parts = []
+    for i, m in enumerate(MANY_MARKS):
+        d = m.strftime("%Y-%m-%d")
+        src = f"SELECT count(*) FROM lineitem WHERE {s_win('l_shipdate', d)}"
+        lake = f"SELECT count(*) FROM {S_LINEITEM_LAKE} t WHERE {s_win('l_shipdate', d, False)}"
+        parts.append(f"SELECT CAST({100 + i} AS BIGINT) AS ID, TIMESTAMP '{d}' AS STARTDATETIME, "
+                     f"({src}) AS SOURCE_COUNT, ({lake}) AS DATALAKE_COUNT, "
+                     f"({src}) - ({lake}) AS COUNT_DIFF")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("reconcile_many_marks", _many_marks_sql())
+def reconcile_many_marks(spark, sf_dir):
+    """REC-7 with twelve control rows on one source/lake pair (a trailing
+    window every half year): the 24 counts take one scan of each relation."""
+    fx.register(spark, sf_dir)
+    plan = plan_reconcile(spark, many_marks_entries(), SparkSources(spark), LakeTables(spark))
+    return reconcile_frame(spark, plan, JOB_NAME, BATCH).select(
+        "ID", "STARTDATETIME", "SOURCE_COUNT", "DATALAKE_COUNT", "COUNT_DIFF")

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -268,26 +269,33 @@ SWEEP_SCHEMA = T.StructType([
 
 
 def sweep(spark: SparkSession, databases: Sequence[str], backend, *,
-          exclude_token: str = EXCLUDE_TOKEN, steps: Sequence[str] = STEPS) -> DataFrame:
+          exclude_token: str = EXCLUDE_TOKEN, steps: Sequence[str] = STEPS,
+          max_parallel: int = 1) -> DataFrame:
     """All steps on every table of each database, in order (MNT-4).
 
     Excluded tables get one EXCLUDED row.  When a step fails, the table's
-    remaining steps are reported NOT_RUN and the sweep moves on.
+    remaining steps are reported NOT_RUN and the sweep moves on.  Tables are
+    independent, so ``max_parallel > 1`` maintains that many at once.
     """
-    rows = []
-    for db in databases:
-        for name in list_tables(spark, db):
-            if exclude_token and exclude_token in name:
-                rows.append((db, name, None, "EXCLUDED", None))
+    def one(db: str, name: str) -> list[tuple]:
+        if exclude_token and exclude_token in name:
+            return [(db, name, None, "EXCLUDED", None)]
+        out, failed = [], False
+        for step in steps:
+            if failed:
+                out.append((db, name, step, "NOT_RUN", None))
                 continue
-            failed = None
-            for step in steps:
-                if failed is not None:
-                    rows.append((db, name, step, "NOT_RUN", None))
-                    continue
-                try:
-                    rows.append((db, name, step, backend.run(step, db, name), None))
-                except Exception as exc:  # noqa: BLE001 - recorded per step
-                    failed = exc
-                    rows.append((db, name, step, "FAILED", truncate_error(exc)))
-    return spark.createDataFrame(rows, SWEEP_SCHEMA)
+            try:
+                out.append((db, name, step, backend.run(step, db, name), None))
+            except Exception as exc:  # noqa: BLE001 - recorded per step
+                failed = True
+                out.append((db, name, step, "FAILED", truncate_error(exc)))
+        return out
+
+    tables = [(db, name) for db in databases for name in list_tables(spark, db)]
+    if max_parallel > 1:
+        with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+            results = list(pool.map(lambda t: one(*t), tables))
+    else:
+        results = [one(db, name) for db, name in tables]
+    return spark.createDataFrame([r for rows in results for r in rows], SWEEP_SCHEMA)

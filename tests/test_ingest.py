@@ -90,3 +90,14 @@ def test_run_and_advance_marks(spark):
     moved = {r.id: r for r in advance_marks(ctl, run).collect()}
     assert moved[2].startdatetime == li.agg(F.max("l_shipdate")).first()[0]
     assert moved[3].offset_value == fx.read_table(spark, SF_MID, "events").count() - 1
+
+
+def test_parallel_run_equals_sequential(spark):
+    fx.register(spark, SF_MID)
+    out = {}
+    for par in (1, 4):
+        lake = LakeLocation(spark, root=scratch_path(spark, "t-lake"))
+        run = run_ingestion(spark, cat.ingestion_control(spark, SF_MID), SparkSources(spark), lake,
+                            job_name="J", batch="B", max_parallel=par)
+        out[par] = [(r.ID, r.STATUS, r.ROWS_LOADED) for r in run.audit.collect()]
+    assert out[1] == out[4] and [i for i, *_ in out[1]] == [1, 2, 3, 4, 5]

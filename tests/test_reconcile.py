@@ -99,3 +99,16 @@ def test_window_counts_are_pushed_to_the_scan(spark):
     plan = plan_reconcile(spark, [e], SparkSources(spark), LakeTables(spark))
     text = counts_frame(plan.specs)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThan(l_shipdate" in text
+
+
+def test_full_load_ignores_a_missing_mark_and_null_offset_means_window(spark):
+    fx.register(spark, SF_MID)
+    entries = [
+        ControlEntry(1, 1, "SELECT * FROM orders", "oracle", "orders_lake", "Full Load", None),
+        ControlEntry(2, 1, "SELECT * FROM lineitem", "oracle", "lineitem_lake", "Merge",
+                     dt.datetime(1998, 12, 1), "l_shipdate", None),
+    ]
+    rows = _by_id(run_reconcile(spark, entries, SparkSources(spark), LakeTables(spark),
+                                job_name="J", batch="B").audit)
+    assert (rows[1].STATUS, rows[1].COUNT_DIFF) == ("SUCCESS", 300)
+    assert (rows[2].SOURCE_COUNT, rows[2].DATALAKE_COUNT) == (705, 25819)

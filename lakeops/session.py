@@ -42,7 +42,13 @@ def scratch_root(spark: SparkSession) -> str:
     temporary folder is only created when the session names none (local
     runs and tests).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return configured.rstrip("/")
     root = sc.getCheckpointDir()
     if root is None:
         configured = sc.getConf().get("spark.checkpoint.dir", None) \

@@ -281,7 +281,11 @@ def run_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lak
     ``mode="per_table"``: one job per relation, up to ``max_parallel`` at a
     time, with elapsed times filled in.  A failed joint job falls back to
     per-table so a single bad table cannot hide the others' results.
+    JDBC sources always run per table: their counts execute in the source
+    database, and ``max_parallel`` bounds how many it receives at once.
     """
+    if isinstance(sources, JdbcSource):
+        mode = "per_table"
     plan = plan_reconcile(spark, entries, sources, lake, days, lake_upper_bound)
     live = [s for s in plan.specs if s.entry_id not in plan.failed]
     counts: dict = {}

@@ -18,10 +18,17 @@ from lakeops.functions.predicates import (lake_window, source_window, split_colu
 from lakeops.operators.audit import append_audit, read_audit
 from lakeops.operators.control import (CONTROL_SCHEMA, ControlEntry, control_scan,
                                        to_entries)
+from lakeops.operators.ingest import (LakeLocation, load_full, load_incremental, load_merge,
+                                      overwrite_partitions, run_ingestion)
+from lakeops.operators.maintenance import (ParquetMaintenance, compaction_plan,
+                                           expired_snapshots, file_inventory, orphan_files,
+                                           rewrite_bins, sweep)
 from lakeops.operators.reconcile import plan_reconcile, reconcile_frame, run_reconcile
 from lakeops.plans import fixtures as fx
 from lakeops.session import scratch_path
+from lakeops.sources.files import read_dropped, write_drop
 from lakeops.sources.lake import LakeTables, SparkSources
+from lakeops.streaming.file_drop import ingest_drops
 
 JOB_NAME = "LAKE_DATA_VALIDATION"
 BATCH = "1733011200_1"
@@ -235,8 +242,6 @@ def audit_rows(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- ingestion
-from lakeops.operators.ingest import (LakeLocation, load_full, load_incremental,  # noqa: E402
-                                      load_merge, overwrite_partitions, run_ingestion)
 
 _MARK_2001 = dt.datetime(2001, 6, 1)
 S_LINEITEM_INC = (f"SELECT * FROM {S_LINEITEM_LAKE} a WHERE l_shipdate <= TIMESTAMP '2001-06-01' "
@@ -372,9 +377,6 @@ def q_ingestion_run(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- maintenance
-from lakeops.operators.maintenance import (ParquetMaintenance, compaction_plan,  # noqa: E402
-                                           expired_snapshots, file_inventory, orphan_files,
-                                           rewrite_bins, sweep)
 
 G9_TARGET = 50000
 
@@ -488,8 +490,6 @@ def scratch_root_of(spark: SparkSession, database: str) -> str:
 
 
 # --------------------------------------------------------------------------- file drops
-from lakeops.sources.files import read_dropped, write_drop  # noqa: E402
-from lakeops.streaming.file_drop import ingest_drops  # noqa: E402
 
 CUSTOMER_DDL = ("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
                 "c_mktsegment STRING")

@@ -72,7 +72,7 @@ SOURCE, LAKE = "source", "lake"
 class CountSpec:
     """One count to take: ``count(*) where predicate`` on a relation."""
 
-    entry_id: int
+    slot: int            # position of the entry in the plan (control ids need not be unique)
     side: str
     relation_key: str
     frame: DataFrame
@@ -82,19 +82,19 @@ class CountSpec:
 
 @dataclass
 class ReconcilePlan:
-    entries: list[ControlEntry]
+    entries: list[ControlEntry]                 # kept entries; a spec's slot indexes this list
     specs: list[CountSpec]
-    failed: dict[int, str]                      # planning failures by entry id
+    failed: dict[int, str]                      # planning failures by slot
     skipped: list[ControlEntry] = field(default_factory=list)   # unknown load type
 
 
-def _source_spec(spark, entry: ControlEntry, sources, days: int, resolve) -> CountSpec:
+def _source_spec(spark, slot: int, entry: ControlEntry, sources, days: int, resolve) -> CountSpec:
     mode = entry.mode
     if isinstance(sources, JdbcSource):
         frame = sources.count_frame(spark, entry.sql_query) if mode is LoadMode.FULL else \
             sources.read(spark, sources.source_count_sql(entry, days)).select(
                 F.col("CNT").cast("long").alias("CNT"))
-        return CountSpec(entry.id, SOURCE, f"jdbc:{entry.id}", frame, precounted=True)
+        return CountSpec(slot, SOURCE, f"jdbc:{slot}", frame, precounted=True)
     key, frame = resolve(("source", entry.sql_query, entry.tablename),
                          lambda: sources.relation(entry))
     pred = None
@@ -106,10 +106,11 @@ def _source_spec(spark, entry: ControlEntry, sources, days: int, resolve) -> Cou
             raise ValueError("time-window reconciliation needs startdatetime")
         pred = source_window(split_columns(entry.data_validation_column),
                              ts_literal(entry.startdatetime), entry.dialect, days)
-    return CountSpec(entry.id, SOURCE, key, frame, pred)
+    return CountSpec(slot, SOURCE, key, frame, pred)
 
 
-def _lake_spec(entry: ControlEntry, lake, days: int, upper_bound: bool, resolve) -> CountSpec:
+def _lake_spec(slot: int, entry: ControlEntry, lake, days: int, upper_bound: bool,
+               resolve) -> CountSpec:
     key, frame = resolve(("lake", entry.tablename), lambda: lake.relation(entry.tablename))
     pred = None
     if entry.mode is LoadMode.WINDOW:
@@ -117,7 +118,7 @@ def _lake_spec(entry: ControlEntry, lake, days: int, upper_bound: bool, resolve)
             raise ValueError("time-window reconciliation needs startdatetime")
         pred = lake_window(split_columns(entry.data_validation_column),
                            ts_literal(entry.startdatetime), days, upper_bound)
-    return CountSpec(entry.id, LAKE, key, frame, pred)
+    return CountSpec(slot, LAKE, key, frame, pred)
 
 
 def _check_predicates(specs: list[CountSpec], failed: dict[int, str]) -> None:
@@ -134,7 +135,7 @@ def _check_predicates(specs: list[CountSpec], failed: dict[int, str]) -> None:
             try:
                 s.frame.select(s.predicate)
             except Exception as exc:  # noqa: BLE001 - recorded in the audit row
-                failed.setdefault(s.entry_id, truncate_error(exc))
+                failed.setdefault(s.slot, truncate_error(exc))
 
 
 def plan_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lake,
@@ -156,24 +157,25 @@ def plan_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, la
         if e.mode is None:
             skipped.append(e)
             continue
+        slot = len(kept)
         kept.append(e)
         try:
-            specs += [_source_spec(spark, e, sources, days, resolve),
-                      _lake_spec(e, lake, days, lake_upper_bound, resolve)]
+            specs += [_source_spec(spark, slot, e, sources, days, resolve),
+                      _lake_spec(slot, e, lake, days, lake_upper_bound, resolve)]
         except Exception as exc:  # noqa: BLE001 - recorded in the audit row
-            failed[e.id] = truncate_error(exc)
+            failed[slot] = truncate_error(exc)
     _check_predicates(specs, failed)
-    return ReconcilePlan(kept, [s for s in specs if s.entry_id not in failed], failed, skipped)
+    return ReconcilePlan(kept, [s for s in specs if s.slot not in failed], failed, skipped)
 
 
 def _relation_counts(specs: list[CountSpec]) -> DataFrame:
     """One scan and one aggregate for all specs that share a relation.
 
-    Output rows: ``(ID, SIDE, CNT)``, one per spec.
+    Output rows: ``(SLOT, SIDE, CNT)``, one per spec.
     """
     first = specs[0]
     if first.precounted:
-        return first.frame.select(F.lit(first.entry_id).cast("long").alias("ID"),
+        return first.frame.select(F.lit(first.slot).alias("SLOT"),
                                   F.lit(first.side).alias("SIDE"), F.col("CNT"))
     frame = first.frame
     preds = [s.predicate for s in specs]
@@ -182,7 +184,7 @@ def _relation_counts(specs: list[CountSpec]) -> DataFrame:
     aggs = [(F.count_if(p) if p is not None and len(specs) > 1 else F.count(F.lit(1)))
             .alias(f"c{i}") for i, p in enumerate(preds)]
     wide = frame.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(s.entry_id).cast("long").alias("ID"),
+    rows = F.array(*[F.struct(F.lit(s.slot).alias("SLOT"),
                               F.lit(s.side).alias("SIDE"),
                               F.col(f"c{i}").cast("long").alias("CNT"))
                      for i, s in enumerate(specs)])
@@ -229,20 +231,21 @@ def reconcile_frame(spark: SparkSession, plan: ReconcilePlan, job_name: str,
     The metadata frame holds one row per control entry (built from the
     collected control rows), so its size is bounded by the control group.
     """
-    ok_entries = [e for e in plan.entries if e.id not in plan.failed]
-    failed_rows = [_audit_row(e, job_name, batch, error=plan.failed[e.id])
-                   for e in plan.entries if e.id in plan.failed]
+    ok_slots = [i for i in range(len(plan.entries)) if i not in plan.failed]
+    failed_rows = [_audit_row(plan.entries[i], job_name, batch, error=msg)
+                   for i, msg in sorted(plan.failed.items())]
     frames = []
-    if ok_entries:
-        counts = counts_frame(plan.specs).groupBy("ID").agg(
+    if ok_slots:
+        counts = counts_frame(plan.specs).groupBy("SLOT").agg(
             F.max(F.when(F.col("SIDE") == SOURCE, F.col("CNT"))).alias("SOURCE_COUNT"),
             F.max(F.when(F.col("SIDE") == LAKE, F.col("CNT"))).alias("DATALAKE_COUNT"))
         meta_schema = T.StructType([f for f in AUDIT_FIELDS if f.name in (
             "ID", "JOB_NAME", "GROUPID", "TABLE_NAME", "LOAD_TYPE", "INCREMENTAL_COLUMN",
             "STARTDATETIME", "START_OFFSET", "BATCH_NUMBER")])
         meta = spark.createDataFrame(
-            [tuple(_meta_row(e, job_name, batch)[f.name] for f in meta_schema) for e in ok_entries],
-            meta_schema)
+            [(i, *(_meta_row(plan.entries[i], job_name, batch)[f.name] for f in meta_schema))
+             for i in ok_slots],
+            T.StructType([T.StructField("SLOT", T.IntegerType()), *meta_schema.fields]))
         computed = {
             "COUNT_DIFF": F.col("SOURCE_COUNT") - F.col("DATALAKE_COUNT"),
             "STATUS": F.lit("SUCCESS"),
@@ -250,7 +253,7 @@ def reconcile_frame(spark: SparkSession, plan: ReconcilePlan, job_name: str,
             "SRC_QUERY_EXEC_TIME": F.lit(None).cast("string"),
             "TARGET_QUERY_EXEC_TIME": F.lit(None).cast("string"),
         }
-        ok = F.broadcast(meta).join(counts, "ID").select(
+        ok = F.broadcast(meta).join(counts, "SLOT").select(
             *[computed[c].alias(c) if c in computed else F.col(c) for c in AUDIT_COLUMNS])
         frames.append(ok)
     if failed_rows or not frames:
@@ -268,7 +271,7 @@ class ReconcileResult:
 def _run_group(specs: list[CountSpec]) -> tuple[dict, float]:
     t0 = time.monotonic()
     rows = _relation_counts(specs).collect()
-    return {(r["ID"], r["SIDE"]): r["CNT"] for r in rows}, time.monotonic() - t0
+    return {(r["SLOT"], r["SIDE"]): r["CNT"] for r in rows}, time.monotonic() - t0
 
 
 def run_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lake, *,
@@ -287,14 +290,14 @@ def run_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lak
     if isinstance(sources, JdbcSource):
         mode = "per_table"
     plan = plan_reconcile(spark, entries, sources, lake, days, lake_upper_bound)
-    live = [s for s in plan.specs if s.entry_id not in plan.failed]
+    live = [s for s in plan.specs if s.slot not in plan.failed]
     counts: dict = {}
     times: dict = {}
     errors: dict[int, str] = dict(plan.failed)
     ran = mode
     if live and mode == "joint":
         try:
-            counts = {(r["ID"], r["SIDE"]): r["CNT"] for r in counts_frame(live).collect()}
+            counts = {(r["SLOT"], r["SIDE"]): r["CNT"] for r in counts_frame(live).collect()}
         except Exception:  # noqa: BLE001 - isolate the failing relation below
             ran = "per_table"
     if live and ran == "per_table":
@@ -310,20 +313,19 @@ def run_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lak
             for g, res, exc in pool.map(one, groups):
                 if exc is not None:
                     for s in g:
-                        errors.setdefault(s.entry_id, truncate_error(exc))
+                        errors.setdefault(s.slot, truncate_error(exc))
                     continue
                 got, secs = res
                 counts.update(got)
                 for s in g:
-                    times[(s.entry_id, s.side)] = hms(secs)
+                    times[(s.slot, s.side)] = hms(secs)
     rows = []
-    for e in plan.entries:
-        if e.id in errors:
-            rows.append(_audit_row(e, job_name, batch, error=errors[e.id]))
+    for i, e in enumerate(plan.entries):
+        if i in errors:
+            rows.append(_audit_row(e, job_name, batch, error=errors[i]))
         else:
-            rows.append(_audit_row(e, job_name, batch, counts[(e.id, SOURCE)],
-                                   counts[(e.id, LAKE)], None,
-                                   times.get((e.id, SOURCE)), times.get((e.id, LAKE))))
+            rows.append(_audit_row(e, job_name, batch, counts[(i, SOURCE)], counts[(i, LAKE)],
+                                   None, times.get((i, SOURCE)), times.get((i, LAKE))))
     # SET-1: successes first, then failures.
     rows.sort(key=lambda r: r[AUDIT_COLUMNS.index("STATUS")] != "SUCCESS")
     return ReconcileResult(spark.createDataFrame(rows, AUDIT_SCHEMA), plan.skipped, ran)

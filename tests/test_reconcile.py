@@ -5,7 +5,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lakeops.operators.control import ControlEntry
-from lakeops.operators.reconcile import (counts_frame, plan_reconcile, run_reconcile)
+from lakeops.operators.reconcile import (counts_frame, plan_reconcile, reconcile_frame,
+                                         run_reconcile)
 from lakeops.plans import catalogue as cat
 from lakeops.plans import fixtures as fx
 from lakeops.sources.lake import LakeTables, SparkSources
@@ -87,9 +88,9 @@ def test_specs_on_one_relation_share_one_scan(spark):
     frame = counts_frame(plan.specs)
     text = frame._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Relation ") == 2        # lineitem once for 2 sources, once for 2 lakes
-    got = {(r.ID, r.SIDE): r.CNT for r in frame.collect()}
-    assert got[(1, "source")] == got[(2, "source")] == 705
-    assert got[(1, "lake")] == got[(2, "lake")] == 25819
+    got = {(r.SLOT, r.SIDE): r.CNT for r in frame.collect()}
+    assert got[(0, "source")] == got[(1, "source")] == 705
+    assert got[(0, "lake")] == got[(1, "lake")] == 25819
 
 
 def test_window_counts_are_pushed_to_the_scan(spark):
@@ -112,3 +113,20 @@ def test_full_load_ignores_a_missing_mark_and_null_offset_means_window(spark):
                                 job_name="J", batch="B").audit)
     assert (rows[1].STATUS, rows[1].COUNT_DIFF) == ("SUCCESS", 300)
     assert (rows[2].SOURCE_COUNT, rows[2].DATALAKE_COUNT) == (705, 25819)
+
+
+def test_duplicate_control_ids_keep_their_own_counts(spark):
+    fx.register(spark, SF_MID)
+    entries = [
+        ControlEntry(7, 1, "SELECT * FROM orders", "oracle", "orders_lake", "Full Load"),
+        ControlEntry(7, 1, "SELECT * FROM lineitem", "oracle", "lineitem_lake", "incremental",
+                     dt.datetime(1998, 12, 1), "l_shipdate"),
+    ]
+    for mode in ("joint", "per_table"):
+        rows = run_reconcile(spark, entries, SparkSources(spark), LakeTables(spark),
+                             job_name="J", batch="B", mode=mode).audit.collect()
+        assert sorted((r.TABLE_NAME, r.COUNT_DIFF) for r in rows) == [
+            ("lineitem_lake", 705 - 25819), ("orders_lake", 300)]
+    plan = plan_reconcile(spark, entries, SparkSources(spark), LakeTables(spark))
+    lazy = sorted((r.TABLE_NAME, r.COUNT_DIFF) for r in reconcile_frame(spark, plan, "J", "B").collect())
+    assert lazy == [("lineitem_lake", 705 - 25819), ("orders_lake", 300)]

@@ -49,9 +49,7 @@ class LakeLocation:
 
     def exists(self, table: str) -> bool:
         if self.root:
-            jvm = self.spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(self.path(table))
-            fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            fs, p = _fs(self.spark, self.path(table))
             return fs.exists(p)
         return self.spark.catalog.tableExists(self.name(table))
 
@@ -78,6 +76,12 @@ class LakeLocation:
             w.format("parquet").saveAsTable(self.name(table))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 @dataclass
 class LoadResult:
     rows: int
@@ -136,6 +140,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: str | None = None)
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
+def touched_partitions(current: DataFrame, updates: DataFrame, keys: list[str],
+                       partition_by: list[str]) -> DataFrame:
+    """Partitions holding an updated key, plus those receiving an update."""
+    return (current.join(updates.select(*keys), keys, "left_semi").select(*partition_by)
+            .unionByName(updates.select(*partition_by)).distinct())
+
+
 def merged_rows(current: DataFrame, updates: DataFrame, keys: list[str],
                 partition_by: list[str] | None = None,
                 emitted: DataFrame | None = None) -> DataFrame:
@@ -147,9 +158,8 @@ def merged_rows(current: DataFrame, updates: DataFrame, keys: list[str],
     upd_keys = updates.select(*keys)
     scope = current
     if partition_by:
-        touched = (current.join(upd_keys, keys, "left_semi").select(*partition_by)
-                   .unionByName(updates.select(*partition_by)).distinct())
-        scope = current.join(touched, partition_by, "left_semi")
+        scope = current.join(touched_partitions(current, updates, keys, partition_by),
+                             partition_by, "left_semi")
     kept = scope.join(upd_keys, keys, "left_anti")
     return kept.unionByName((emitted if emitted is not None else updates).select(*current.columns))
 
@@ -180,7 +190,23 @@ def load_merge(source: DataFrame, lake: LakeLocation, table: str, keys: list[str
         w = w.partitionBy(*partition_by)
     w.parquet(stage)
     staged = spark.read.parquet(stage)
-    lake.write(staged.select(*lake.read(table).columns), table, "overwrite", partition_by)
+    current = lake.read(table)
+    emptied_files = []
+    if partition_by:
+        # A touched partition whose rows all moved elsewhere gets no output
+        # row, so dynamic overwrite would leave its old files in place; list
+        # them (one row per file of such partitions) and remove them after.
+        emptied = touched_partitions(current, updates, keys, partition_by).join(
+            staged.select(*partition_by).distinct(), partition_by, "left_anti")
+        files = current.select(*partition_by, F.col("_metadata.file_path").alias("_file"))
+        emptied_files = [r[0] for r in files.join(emptied, partition_by, "left_semi")
+                         .select("_file").distinct().toLocalIterator()]
+    lake.write(staged.select(*current.columns), table, "overwrite", partition_by)
+    for f in emptied_files:
+        fs, p = _fs(spark, f)
+        fs.delete(p, False)
+    if emptied_files and not lake.root:
+        spark.catalog.refreshTable(lake.name(table))
     m = obs.get
     new_mark = m.get("mark") if m.get("rows") else mark
     return LoadResult(m["rows"], new_mark)

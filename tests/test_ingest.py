@@ -101,3 +101,18 @@ def test_parallel_run_equals_sequential(spark):
                             job_name="J", batch="B", max_parallel=par)
         out[par] = [(r.ID, r.STATUS, r.ROWS_LOADED) for r in run.audit.collect()]
     assert out[1] == out[4] and [i for i, *_ in out[1]] == [1, 2, 3, 4, 5]
+
+
+def test_partitioned_merge_moving_rows_empties_their_old_partition(spark):
+    lake = LakeLocation(spark, root=scratch_path(spark, "t-move"))
+    o = fx.read_table(spark, SF_MID, "orders").withColumn("o_year", F.year("o_orderdate"))
+    load_full(o, lake, "o", ["o_year"])
+    # every 2001 order is re-dated into 2002: year 2001 must disappear
+    moved = o.where(F.col("o_year") == 2001).withColumn(
+        "o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 365 DAYS")).withColumn("o_year", F.lit(2002))
+    load_merge(moved, lake, "o", ["o_orderkey"], partition_by=["o_year"])
+    back = lake.read("o")
+    years = {r.o_year: r.n for r in back.groupBy("o_year").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert 2001 not in years and years[2002] == o.where(F.col("o_year") == 2001).count()
+    assert back.count() == o.count()
+    assert back.select("o_orderkey").distinct().count() == o.count()

@@ -126,13 +126,16 @@ class CompactionResult:
 
 def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
                  partition_cols: Sequence[str], dry_run: bool = True,
-                 max_files_per_job: int = 100_000) -> CompactionResult:
+                 max_files_per_job: int = 100_000, size_col: str = "size",
+                 target_bytes: int | None = None) -> CompactionResult:
     """Carry out a compaction plan on a Parquet table (MNT-1).
 
     Each bin is read as one scan of exactly its files, coalesced to one
     partition (no shuffle), and the bins of a job are unioned and appended
     to the table, one new file per bin; then the bin's input files are
-    deleted.  Like a table format's bin-pack rewrite, rows move once, from
+    deleted.  With ``target_bytes``, a bin larger than the target (a file
+    that must be split) is coalesced to ``ceil(bytes / target)`` partitions
+    instead; the scan already splits large files at row-group boundaries.  Like a table format's bin-pack rewrite, rows move once, from
     the small files into the new file.  Work is cut into jobs of at most
     ``max_files_per_job`` input files (whole bins, assigned by a hash of the
     bin on executors), which bounds the file list the driver holds at once.
@@ -140,7 +143,7 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
     """
     # Freeze the plan first: the listing it came from changes once new files land.
     frozen = scratch_path(spark, "compaction-plan")
-    plan.select("path", *partition_cols, "bin").write.parquet(frozen)
+    plan.select("path", *partition_cols, "bin", F.col(size_col).alias("_size")).write.parquet(frozen)
     plan = spark.read.parquet(frozen)
     files_in = plan.count()
     if dry_run or not files_in:
@@ -152,12 +155,17 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
     removed, bins_total = 0, 0
     for job in range(n_jobs):
         groups: dict[tuple, list[str]] = {}
-        for r in keyed.where(F.col("_job") == job).select("path", *partition_cols, "bin").collect():
-            groups.setdefault(tuple(r[c] for c in [*partition_cols, "bin"]), []).append(r["path"])
+        sizes: dict[tuple, int] = {}
+        for r in keyed.where(F.col("_job") == job).select(
+                "path", *partition_cols, "bin", "_size").collect():
+            key = tuple(r[c] for c in [*partition_cols, "bin"])
+            groups.setdefault(key, []).append(r["path"])
+            sizes[key] = sizes.get(key, 0) + int(r["_size"])
         if not groups:
             continue
-        scans = [spark.read.schema(schema).option("basePath", table_path).parquet(*paths).coalesce(1)
-                 for paths in groups.values()]
+        scans = [spark.read.schema(schema).option("basePath", table_path).parquet(*paths)
+                 .coalesce(max(1, -(-sizes[k] // target_bytes)) if target_bytes else 1)
+                 for k, paths in groups.items()]
         out = reduce(lambda a, b: a.unionByName(b), scans)
         writer = out.write.mode("append")
         if partition_cols:
@@ -252,7 +260,8 @@ class ParquetMaintenance:
         inv = file_inventory(self.spark, loc)
         plan = compaction_plan(inv, partition_cols=parts, order_col="modified", tie_cols=["path"],
                                target_bytes=self.target_bytes)
-        res = rewrite_bins(self.spark, loc, plan, parts, dry_run=self.dry_run)
+        res = rewrite_bins(self.spark, loc, plan, parts, dry_run=self.dry_run,
+                           target_bytes=self.target_bytes)
         self.results[(database, table)] = res
         if not self.dry_run:
             self.spark.catalog.refreshTable(name)

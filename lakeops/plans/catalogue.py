@@ -416,7 +416,7 @@ def q_compaction_rewrite(spark, sf_dir):
     target = int(inv.agg(F.sum("size")).first()[0] // 6)
     plan = compaction_plan(inv, partition_cols=["l_returnflag"], order_col="modified",
                            tie_cols=["path"], target_bytes=target)
-    rewrite_bins(spark, path, plan, ["l_returnflag"], dry_run=False)
+    rewrite_bins(spark, path, plan, ["l_returnflag"], dry_run=False, target_bytes=target)
     return spark.read.parquet(path).select(*li.columns)
 
 

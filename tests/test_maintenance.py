@@ -95,3 +95,23 @@ def test_sweep_excludes_and_stops_a_table_after_a_failure(spark):
     assert all(rows[("good", s)] == "SUCCESS" for s in mnt.STEPS)
     names = spark.createDataFrame([(n,) for n in mnt.list_tables(spark, db)], "name string")
     assert sorted(r.name for r in mnt.without_excluded(names).collect()) == ["bad", "good"]
+
+
+def test_a_file_over_the_maximum_is_split(spark):
+    li = fx.read_table(spark, SF_MID, "lineitem")
+    path = scratch_path(spark, "t-big")
+    # one file written with small row groups, so the scan can split it
+    li.coalesce(1).write.option("parquet.block.size", 64 * 1024).parquet(path)
+    inv = mnt.file_inventory(spark, path)
+    size = inv.first()["size"]
+    target = size // 4
+    plan = mnt.compaction_plan(inv, partition_cols=[], order_col="modified", tie_cols=["path"],
+                               target_bytes=target)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target))
+    try:
+        mnt.rewrite_bins(spark, path, plan, [], dry_run=False, target_bytes=target)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert mnt.file_inventory(spark, path).count() >= 3
+    back = spark.read.parquet(path)
+    assert back.exceptAll(li).count() == 0 and li.exceptAll(back).count() == 0

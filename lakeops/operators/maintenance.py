@@ -126,8 +126,8 @@ class CompactionResult:
 
 def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
                  partition_cols: Sequence[str], dry_run: bool = True,
-                 max_files_per_job: int = 100_000, size_col: str = "size",
-                 target_bytes: int | None = None) -> CompactionResult:
+                 max_files_per_job: int = 100_000, max_bins_per_job: int = 256,
+                 size_col: str = "size", target_bytes: int | None = None) -> CompactionResult:
     """Carry out a compaction plan on a Parquet table (MNT-1).
 
     Each bin is read as one scan of exactly its files, coalesced to one
@@ -137,20 +137,24 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
     that must be split) is coalesced to ``ceil(bytes / target)`` partitions
     instead; the scan already splits large files at row-group boundaries.  Like a table format's bin-pack rewrite, rows move once, from
     the small files into the new file.  Work is cut into jobs of at most
-    ``max_files_per_job`` input files (whole bins, assigned by a hash of the
-    bin on executors), which bounds the file list the driver holds at once.
+    ``max_files_per_job`` input files and ``max_bins_per_job`` bins (whole
+    bins, assigned by a hash of the bin on executors), which bounds the file
+    list the driver holds and the size of each job's plan.
     The swap is not atomic on plain Parquet: readers may briefly see both.
     """
     # Freeze the plan first: the listing it came from changes once new files land.
     frozen = scratch_path(spark, "compaction-plan")
     plan.select("path", *partition_cols, "bin", F.col(size_col).alias("_size")).write.parquet(frozen)
     plan = spark.read.parquet(frozen)
-    files_in = plan.count()
+    stats = plan.agg(F.count(F.lit(1)).alias("files"),
+                     F.count_distinct(*partition_cols, "bin").alias("bins")).first() \
+        if partition_cols else plan.agg(F.count(F.lit(1)).alias("files"),
+                                        F.count_distinct("bin").alias("bins")).first()
+    files_in, bins_in = stats["files"], stats["bins"]
     if dry_run or not files_in:
-        bins = plan.select(*partition_cols, "bin").distinct().count() if files_in else 0
-        return CompactionResult(files_in, bins, 0, True)
+        return CompactionResult(files_in, bins_in, 0, True)
     schema = spark.read.parquet(table_path).schema
-    n_jobs = -(-files_in // max_files_per_job)
+    n_jobs = max(-(-files_in // max_files_per_job), -(-bins_in // max_bins_per_job))
     keyed = plan.withColumn("_job", F.pmod(F.hash(*partition_cols, "bin"), F.lit(n_jobs)))
     removed, bins_total = 0, 0
     for job in range(n_jobs):

@@ -115,3 +115,18 @@ def test_a_file_over_the_maximum_is_split(spark):
     assert mnt.file_inventory(spark, path).count() >= 3
     back = spark.read.parquet(path)
     assert back.exceptAll(li).count() == 0 and li.exceptAll(back).count() == 0
+
+
+def test_rewrite_in_several_jobs_keeps_rows(spark):
+    li = fx.read_table(spark, SF_MID, "lineitem")
+    path = scratch_path(spark, "t-jobs")
+    li.repartition(24).write.partitionBy("l_returnflag").parquet(path)
+    inv = mnt.file_inventory(spark, path)
+    target = int(inv.agg(F.sum("size")).first()[0] // 12)
+    plan = mnt.compaction_plan(inv, partition_cols=["l_returnflag"], order_col="modified",
+                               tie_cols=["path"], target_bytes=target)
+    res = mnt.rewrite_bins(spark, path, plan, ["l_returnflag"], dry_run=False,
+                           max_bins_per_job=2, target_bytes=target)
+    assert res.bins >= 6 and res.files_removed == 72
+    back = spark.read.parquet(path).select(*li.columns)
+    assert back.exceptAll(li).count() == 0 and li.exceptAll(back).count() == 0

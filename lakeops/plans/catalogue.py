@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,8 @@ from lakeops.operators.control import (CONTROL_SCHEMA, ControlEntry, control_sca
 from lakeops.operators.ingest import (LakeLocation, load_full, load_incremental, load_merge,
                                       overwrite_partitions, run_ingestion)
 from lakeops.operators.maintenance import (ParquetMaintenance, compaction_plan,
-                                           expired_snapshots, file_inventory, orphan_files,
-                                           rewrite_bins, sweep)
+                                           expired_snapshots, file_inventory, list_tables,
+                                           orphan_files, rewrite_bins, sweep, without_excluded)
 from lakeops.operators.reconcile import plan_reconcile, reconcile_frame, run_reconcile
 from lakeops.plans import fixtures as fx
 from lakeops.session import scratch_path
@@ -557,3 +558,26 @@ def reconcile_many_marks(spark, sf_dir):
     plan = plan_reconcile(spark, many_marks_entries(), SparkSources(spark), LakeTables(spark))
     return reconcile_frame(spark, plan, JOB_NAME, BATCH).select(
         "ID", "STARTDATETIME", "SOURCE_COUNT", "DATALAKE_COUNT", "COUNT_DIFF")
+
+
+# --------------------------------------------------------------------------- listing
+LISTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+@query("table_listing", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS TABLE_NAME, CAST(count(*) AS BIGINT) AS ROWS FROM {t}" for t in LISTED))
+def q_table_listing(spark, sf_dir):
+    """SRC-6 + FLT-7: the given tables registered in a database (as external
+    tables over their files, plus one name holding the exclusion token),
+    listed, filtered, and counted in one job."""
+    db = "lakeops_listing_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'listing')}'")
+    for t in LISTED + ("d1_orders",):
+        src = "orders" if t == "d1_orders" else t
+        spark.catalog.createTable(f"{db}.{t}", path=f"{sf_dir.rstrip('/')}/{src}.parquet",
+                                  source="parquet")
+    names = spark.createDataFrame([(n,) for n in list_tables(spark, db)], "name string")
+    counts = [spark.table(f"{db}.{r.name}").agg(F.count(F.lit(1)).alias("ROWS"))
+              .select(F.lit(r.name).alias("TABLE_NAME"), "ROWS")
+              for r in without_excluded(names).collect()]
+    return reduce(lambda a, b: a.unionByName(b), counts)

@@ -60,8 +60,18 @@ def events_src_lake(src: DataFrame) -> DataFrame:
         F.col("created_on").try_cast("timestamp_ntz").alias("created_on"))
 
 
+_REGISTERED: dict[int, tuple[str, dict[str, DataFrame]]] = {}
+
+
 def register(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Register base tables and derived lake copies as temporary views."""
+    """Register base tables and derived lake copies as temporary views.
+
+    Done once per session and data folder; later calls reuse the views while
+    they are still registered.
+    """
+    known = _REGISTERED.get(id(spark))
+    if known and known[0] == sf_dir and all(spark.catalog.tableExists(n) for n in known[1]):
+        return known[1]
     views: dict[str, DataFrame] = {}
     for name in ("orders", "lineitem", "events", "customer", "documents", "labels"):
         views[name] = read_table(spark, sf_dir, name)
@@ -72,6 +82,7 @@ def register(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     views["events_src_lake"] = events_src_lake(views["events_src"])
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+    _REGISTERED[id(spark)] = (sf_dir, views)
     return views
 
 

@@ -37,15 +37,21 @@ def grouped_running_sum(df: DataFrame, group_cols: Sequence[str], order_col: str
     the current row out.  ``order_col`` must be numeric, date or timestamp.
     """
     g = list(group_cols)
-    probs = [i / chunks for i in range(1, chunks)]
-    quantiles = F.percentile_approx(order_col, probs).alias("_bounds")
-    if g:
-        bounds = df.groupBy(*g).agg(quantiles)
-        chunked = df.join(bounds, g, "left")
-    else:  # one group: the bounds are a scalar subquery, no join
-        chunked = df.withColumn("_bounds", df.select(quantiles).scalar())
-    chunked = chunked.withColumn(
-        "_chunk", F.size(F.filter("_bounds", lambda b: b < F.col(order_col)))).drop("_bounds")
+    if chunks <= 1:
+        chunked = df.withColumn("_chunk", F.lit(0))
+    else:
+        probs = [i / chunks for i in range(1, chunks)]
+        quantiles = F.percentile_approx(order_col, probs).alias("_bounds")
+        if g:
+            bounds = df.groupBy(*g).agg(quantiles)
+            chunked = df.join(bounds, g, "left")
+        else:  # one group: the bounds are a scalar subquery, no join
+            chunked = df.withColumn("_bounds", df.select(quantiles).scalar())
+        # No bounds (a group whose order values are all NULL) or a NULL value: chunk 0,
+        # which is also where NULLs sort first.
+        below = F.size(F.filter("_bounds", lambda b: b < F.col(order_col)))
+        chunked = chunked.withColumn(
+            "_chunk", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(below)).drop("_bounds")
     totals = chunked.groupBy(*g, "_chunk").agg(F.sum(value_col).alias("_chunk_sum"))
     before = F.sum("_chunk_sum").over(Window.partitionBy(*g).orderBy("_chunk")) - F.col("_chunk_sum")
     offsets = totals.select(*g, "_chunk", before.alias("_offset"))

@@ -130,3 +130,12 @@ def test_rewrite_in_several_jobs_keeps_rows(spark):
     assert res.bins >= 6 and res.files_removed == 72
     back = spark.read.parquet(path).select(*li.columns)
     assert back.exceptAll(li).count() == 0 and li.exceptAll(back).count() == 0
+
+
+def test_running_sum_with_null_order_values_and_one_chunk(spark):
+    df = spark.createDataFrame([("a", None, 1, 5), ("a", 3, 2, 7), ("b", None, 3, 2), ("b", None, 4, 4)],
+                               "g string, o long, tie long, v long")
+    for chunks in (1, 4):
+        got = {r.tie: r.rs for r in grouped_running_sum(df, ["g"], "o", "v", "rs",
+                                                        tie_cols=["tie"], chunks=chunks).collect()}
+        assert got == {1: 0, 2: 5, 3: 0, 4: 2}

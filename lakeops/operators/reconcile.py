@@ -91,9 +91,7 @@ class ReconcilePlan:
 def _source_spec(spark, slot: int, entry: ControlEntry, sources, days: int, resolve) -> CountSpec:
     mode = entry.mode
     if isinstance(sources, JdbcSource):
-        frame = sources.count_frame(spark, entry.sql_query) if mode is LoadMode.FULL else \
-            sources.read(spark, sources.source_count_sql(entry, days)).select(
-                F.col("CNT").cast("long").alias("CNT"))
+        frame = sources.entry_count_frame(spark, entry, days)
         return CountSpec(slot, SOURCE, f"jdbc:{slot}", frame, precounted=True)
     key, frame = resolve(("source", entry.sql_query, entry.tablename),
                          lambda: sources.relation(entry))

@@ -76,9 +76,10 @@ class JdbcSource:
     fetch_size: int | None = None
     extra: dict = field(default_factory=dict)
 
-    def options(self) -> dict[str, str]:
+    def options(self, dialect: str | None = None) -> dict[str, str]:
+        dialect = dialect or self.dialect
         opts = {"url": self.url,
-                "fetchsize": str(self.fetch_size or (ORACLE_FETCH_SIZE if self.dialect == "oracle"
+                "fetchsize": str(self.fetch_size or (ORACLE_FETCH_SIZE if dialect == "oracle"
                                                      else GENERIC_FETCH_SIZE))}
         for k, v in (("user", self.user), ("password", self.password), ("driver", self.driver)):
             if v is not None:
@@ -86,24 +87,32 @@ class JdbcSource:
         opts.update({k: str(v) for k, v in self.extra.items()})
         return opts
 
-    def read(self, spark: SparkSession, dbtable: str, **more) -> DataFrame:
+    def read(self, spark: SparkSession, dbtable: str, dialect: str | None = None,
+             **more) -> DataFrame:
         reader = spark.read.format("jdbc")
-        for k, v in {**self.options(), "dbtable": dbtable, **more}.items():
+        for k, v in {**self.options(dialect), "dbtable": dbtable, **more}.items():
             reader = reader.option(k, str(v))
         return reader.load()
 
     def count_frame(self, spark: SparkSession, base_query: str,
-                    where_sql: str | None = None, hint: str = "") -> DataFrame:
+                    where_sql: str | None = None, hint: str = "",
+                    dialect: str | None = None) -> DataFrame:
         """One row, column ``CNT`` as long: the count runs in the database (SRC-1/2)."""
-        df = self.read(spark, count_query(base_query, where_sql, hint))
+        df = self.read(spark, count_query(base_query, where_sql, hint), dialect)
+        return df.select(F.col("CNT").cast("long").alias("CNT"))
+
+    def entry_count_frame(self, spark: SparkSession, entry: ControlEntry,
+                          days: int = DEFAULT_WINDOW_DAYS) -> DataFrame:
+        """A control row's source count; dialect and fetch size follow its ``source``."""
+        df = self.read(spark, self.source_count_sql(entry, days), entry.dialect)
         return df.select(F.col("CNT").cast("long").alias("CNT"))
 
     def source_count_sql(self, entry: ControlEntry, days: int = DEFAULT_WINDOW_DAYS) -> str:
-        """The ``dbtable`` text for a control row's source count."""
+        """The ``dbtable`` text for a control row's source count (dialect from the row)."""
         mode = entry.mode
         if mode is LoadMode.FULL:
             return count_query(entry.sql_query)
-        hint = ORACLE_PARALLEL_HINT if self.dialect == "oracle" else ""
+        hint = ORACLE_PARALLEL_HINT if entry.dialect == "oracle" else ""
         if mode is LoadMode.OFFSET:
             (key,) = split_columns(entry.data_validation_column)
             return count_query(entry.sql_query, offset_predicate_sql(key, entry.offset_value), hint)
@@ -111,7 +120,7 @@ class JdbcSource:
             if entry.startdatetime is None:
                 raise ValueError("time-window reconciliation needs startdatetime")
             return count_query(entry.sql_query, window_predicate_sql(
-                self.dialect, entry.data_validation_column, entry.startdatetime, days), hint)
+                entry.dialect, entry.data_validation_column, entry.startdatetime, days), hint)
         raise ValueError(f"unknown load type {entry.loadtype!r}")
 
     def extract(self, spark: SparkSession, dbtable: str, partition_column: str | None = None,

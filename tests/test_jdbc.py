@@ -44,6 +44,15 @@ def test_source_count_sql_per_mode():
     assert jdbc.ORACLE_PARALLEL_HINT in text and text.endswith("WHERE subq.k <= 42) tmp")
 
 
+def test_dialect_follows_the_control_row():
+    src = jdbc.JdbcSource("jdbc:x://h/db")           # one connection, as in the original job
+    ora = ControlEntry(1, 1, "SELECT * FROM t", "oracle", "t", "merge", dt.datetime(2024, 1, 1), "c")
+    gen = ControlEntry(2, 1, "SELECT * FROM t", "mssql", "t", "merge", dt.datetime(2024, 1, 1), "c")
+    assert "TO_TIMESTAMP" in src.source_count_sql(ora) and jdbc.ORACLE_PARALLEL_HINT in src.source_count_sql(ora)
+    assert "TRY_CONVERT" in src.source_count_sql(gen) and "PARALLEL" not in src.source_count_sql(gen)
+    assert src.options("oracle")["fetchsize"] == "100000"
+
+
 def test_reader_options():
     ora = jdbc.JdbcSource("jdbc:o", "u", "p", "d", dialect="oracle").options()
     gen = jdbc.JdbcSource("jdbc:g", dialect="generic").options()

@@ -1,0 +1 @@
+"""Column-level building blocks: predicates, formatters, running sums."""

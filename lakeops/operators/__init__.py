@@ -1,0 +1 @@
+"""Relational operators: control scan, reconciliation, audit, ingestion, maintenance."""

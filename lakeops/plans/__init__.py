@@ -1,0 +1 @@
+"""Registered queries (with DuckDB twins) and the fixtures they derive from the test tables."""

@@ -1,0 +1 @@
+"""Readers: lake tables, Spark-side extracts, JDBC databases, dropped files."""

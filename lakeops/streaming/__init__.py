@@ -1,0 +1 @@
+"""Structured Streaming jobs: incremental, exactly-once file-drop ingestion."""

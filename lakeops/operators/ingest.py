@@ -166,11 +166,18 @@ def merged_rows(current: DataFrame, updates: DataFrame, keys: list[str],
 
 def load_merge(source: DataFrame, lake: LakeLocation, table: str, keys: list[str],
                mark_col: str | None = None, mark=None, order_by: str | None = None,
-               partition_by: list[str] | None = None) -> LoadResult:
-    """Upsert the rows past the mark into the target by key (ING-3)."""
+               partition_by: list[str] | None = None,
+               unique_keys: bool = False) -> LoadResult:
+    """Upsert the rows past the mark into the target by key (ING-3).
+
+    Updates are reduced to one row per key first (the newest by ``order_by``);
+    ``unique_keys=True`` skips that aggregation when the source guarantees it
+    (a primary key), saving a shuffle of the updates.
+    """
     spark = source.sparkSession
     updates = source.where(pending(mark_col, mark)) if mark_col and mark is not None else source
-    updates = latest_per_key(updates, keys, order_by)
+    if not unique_keys:
+        updates = latest_per_key(updates, keys, order_by)
     if not lake.exists(table):
         res = load_full(updates, lake, table, partition_by, mark_col)
         return LoadResult(res.rows, res.new_mark if res.rows else mark)

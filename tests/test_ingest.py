@@ -41,6 +41,8 @@ def test_merge_twice_equals_once(spark):
     once = _rows(lake.read("o"))
     load_merge(upd, lake, "o", ["o_orderkey"], "o_orderdate", mark)
     assert _rows(lake.read("o")) == once
+    load_merge(upd, lake, "o", ["o_orderkey"], "o_orderdate", mark, unique_keys=True)
+    assert _rows(lake.read("o")) == once
     assert len(once) == 14705
     assert round(sum(r[3] for r in once), 2) == 3787369219.54
 

@@ -447,42 +447,38 @@ def q_orphan_files(spark, sf_dir):
     return orphan_files(listing, referenced, on="doc_id")
 
 
-_SWEEP_DB = "lakeops_maintenance"
-
-
 def _sweep_rows(table: str, count_sql: str) -> str:
     statuses = [("rewrite_data_files", "SUCCESS"), ("rewrite_manifests", "SKIPPED"),
                 ("expire_snapshots", "SKIPPED"), ("remove_orphan_files", "SKIPPED")]
     return "\nUNION ALL\n".join(
-        f"SELECT '{_SWEEP_DB}' AS DATABASE, '{table}' AS TABLE_NAME, '{step}' AS STEP, "
+        f"SELECT '{table}' AS TABLE_NAME, '{step}' AS STEP, "
         f"'{st}' AS STATUS, CAST(({count_sql}) AS BIGINT) AS ROWS_AFTER" for step, st in statuses)
 
 
 @query("maintenance_sweep", "\nUNION ALL\n".join([
     _sweep_rows("lineitem", "SELECT count(*) FROM lineitem"),
     _sweep_rows("orders", "SELECT count(*) FROM orders"),
-    f"SELECT '{_SWEEP_DB}' AS DATABASE, 'd1_orders' AS TABLE_NAME, CAST(NULL AS VARCHAR) AS STEP, "
+    "SELECT 'd1_orders' AS TABLE_NAME, CAST(NULL AS VARCHAR) AS STEP, "
     f"'EXCLUDED' AS STATUS, CAST((SELECT count(*) FROM orders) AS BIGINT) AS ROWS_AFTER"]))
 def q_maintenance_sweep(spark, sf_dir):
     """MNT-4: a database of small-file Parquet tables swept; names holding the
     exclusion token are skipped; row counts after compaction are unchanged."""
-    spark.sql(f"DROP DATABASE IF EXISTS {_SWEEP_DB} CASCADE")
-    spark.sql(f"CREATE DATABASE {_SWEEP_DB} LOCATION '{scratch_path(spark, 'warehouse')}'")
+    db = "lakeops_maintenance_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'warehouse')}'")
     li = fx.read_table(spark, sf_dir, "lineitem")
     orders = fx.read_table(spark, sf_dir, "orders")
-    li.repartition(16).write.partitionBy("l_returnflag").saveAsTable(f"{_SWEEP_DB}.lineitem")
-    orders.repartition(16).write.saveAsTable(f"{_SWEEP_DB}.orders")
-    orders.repartition(4).write.saveAsTable(f"{_SWEEP_DB}.d1_orders")
-    target = 4 * int(file_inventory(spark, f"{scratch_root_of(spark, _SWEEP_DB)}/orders")
+    li.repartition(16).write.partitionBy("l_returnflag").saveAsTable(f"{db}.lineitem")
+    orders.repartition(16).write.saveAsTable(f"{db}.orders")
+    orders.repartition(4).write.saveAsTable(f"{db}.d1_orders")
+    target = 4 * int(file_inventory(spark, f"{scratch_root_of(spark, db)}/orders")
                      .agg(F.sum("size")).first()[0] // 16)
-    report = sweep(spark, [_SWEEP_DB], ParquetMaintenance(spark, target_bytes=target, dry_run=False))
+    report = sweep(spark, [db], ParquetMaintenance(spark, target_bytes=target, dry_run=False))
     counts = None
     for t in ("lineitem", "orders", "d1_orders"):
-        c = spark.table(f"{_SWEEP_DB}.{t}").agg(F.count(F.lit(1)).alias("ROWS_AFTER")) \
+        c = spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).alias("ROWS_AFTER")) \
             .select(F.lit(t).alias("TABLE_NAME"), "ROWS_AFTER")
         counts = c if counts is None else counts.unionByName(c)
-    return report.join(counts, "TABLE_NAME").select("DATABASE", "TABLE_NAME", "STEP", "STATUS",
-                                                    "ROWS_AFTER")
+    return report.join(counts, "TABLE_NAME").select("TABLE_NAME", "STEP", "STATUS", "ROWS_AFTER")
 
 
 def scratch_root_of(spark: SparkSession, database: str) -> str:

@@ -43,3 +43,16 @@ def test_maintain_plans_without_touching_files(spark):
     spark.range(1000).repartition(8).write.saveAsTable(f"{db}.t")
     rows = {r.STEP: r.STATUS for r in jobs.maintain(spark, [db], target_bytes=1 << 20).collect()}
     assert rows["rewrite_data_files"] == "PLANNED" and rows["expire_snapshots"] == "SKIPPED"
+
+
+def test_cli_validate_and_maintain(spark):
+    fx.register(spark, SF_SMALL)
+    fx.control_table(spark, SF_SMALL).createOrReplaceTempView("cli_control")
+    audit = scratch_path(spark, "cli-audit")
+    assert jobs.main(["validate", "--control", "cli_control", "--group", "1",
+                      "--audit", audit, "--job-name", "CLI"]) == 0
+    rows = read_audit(spark, audit).collect()
+    assert len(rows) == 5 and {r.JOB_NAME for r in rows} == {"CLI"}
+    db = "t_cli_maint"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, 'wh')}'")
+    assert jobs.main(["maintain", "--databases", db]) == 0

@@ -45,6 +45,8 @@ DEFAULT_MAX_RATIO = 1.80
 DEFAULT_SNAPSHOT_AGE = dt.timedelta(days=5)
 DEFAULT_RETAIN_LAST = 1
 DEFAULT_ORPHAN_AGE = dt.timedelta(days=3)
+# Files per running-sum chunk when a sweep sizes the chunking from its inventory.
+CHUNK_FILES = 50_000
 # Fixed value: table names containing this token are left out of a sweep.
 EXCLUDE_TOKEN = "d1_"
 # The maintenance steps, in the order they run.
@@ -146,44 +148,66 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
     frozen = scratch_path(spark, "compaction-plan")
     plan.select("path", *partition_cols, "bin", F.col(size_col).alias("_size")).write.parquet(frozen)
     plan = spark.read.parquet(frozen)
-    stats = plan.agg(F.count(F.lit(1)).alias("files"),
-                     F.count_distinct(*partition_cols, "bin").alias("bins")).first() \
-        if partition_cols else plan.agg(F.count(F.lit(1)).alias("files"),
-                                        F.count_distinct("bin").alias("bins")).first()
-    files_in, bins_in = stats["files"], stats["bins"]
-    if dry_run or not files_in:
-        return CompactionResult(files_in, bins_in, 0, True)
+    cols = ["path", *partition_cols, "bin", "_size"]
+    files_in = plan.count()
+    if not files_in:
+        return CompactionResult(0, 0, 0, dry_run)
+    if files_in <= max_files_per_job:
+        # One bounded read of the plan; jobs are then cut by bins on the driver.
+        groups, sizes = _bins(plan.select(*cols).collect(), partition_cols)
+        keys = list(groups)
+        n_jobs = max(1, -(-len(keys) // max_bins_per_job))
+        batches = [[k for i, k in enumerate(keys) if i % n_jobs == j] for j in range(n_jobs)]
+        if dry_run:
+            return CompactionResult(files_in, len(keys), 0, True)
+        fetch = None
+    else:
+        bins_in = plan.select(*partition_cols, "bin").distinct().count()
+        if dry_run:
+            return CompactionResult(files_in, bins_in, 0, True)
+        n_jobs = max(-(-files_in // max_files_per_job), -(-bins_in // max_bins_per_job))
+        keyed = plan.withColumn("_job", F.pmod(F.hash(*partition_cols, "bin"), F.lit(n_jobs)))
+        batches = list(range(n_jobs))
+
+        def fetch(job):
+            return _bins(keyed.where(F.col("_job") == job).select(*cols).collect(), partition_cols)
     schema = spark.read.parquet(table_path).schema
-    n_jobs = max(-(-files_in // max_files_per_job), -(-bins_in // max_bins_per_job))
-    keyed = plan.withColumn("_job", F.pmod(F.hash(*partition_cols, "bin"), F.lit(n_jobs)))
     removed, bins_total = 0, 0
-    for job in range(n_jobs):
-        groups: dict[tuple, list[str]] = {}
-        sizes: dict[tuple, int] = {}
-        for r in keyed.where(F.col("_job") == job).select(
-                "path", *partition_cols, "bin", "_size").collect():
-            key = tuple(r[c] for c in [*partition_cols, "bin"])
-            groups.setdefault(key, []).append(r["path"])
-            sizes[key] = sizes.get(key, 0) + int(r["_size"])
-        if not groups:
+    for batch in batches:
+        if fetch is None:
+            job_groups = {k: groups[k] for k in batch}
+            job_sizes = {k: sizes[k] for k in batch}
+        else:
+            job_groups, job_sizes = fetch(batch)
+        if not job_groups:
             continue
         scans = [spark.read.schema(schema).option("basePath", table_path).parquet(*paths)
-                 .coalesce(max(1, -(-sizes[k] // target_bytes)) if target_bytes else 1)
-                 for k, paths in groups.items()]
+                 .coalesce(max(1, -(-job_sizes[k] // target_bytes)) if target_bytes else 1)
+                 for k, paths in job_groups.items()]
         out = reduce(lambda a, b: a.unionByName(b), scans)
         writer = out.write.mode("append")
         if partition_cols:
             writer = writer.partitionBy(*partition_cols)
         writer.parquet(table_path)
-        for paths in groups.values():
+        for paths in job_groups.values():
             for f in paths:
                 fs, p = _fs(spark, f)
                 fs.delete(p, False)
             removed += len(paths)
-        bins_total += len(groups)
+        bins_total += len(job_groups)
     return CompactionResult(files_in, bins_total, removed, False)
 
 
+def _bins(rows, partition_cols: Sequence[str]) -> tuple[dict, dict]:
+    groups: dict[tuple, list[str]] = {}
+    sizes: dict[tuple, int] = {}
+    for r in rows:
+        key = tuple(r[c] for c in [*partition_cols, "bin"])
+        groups.setdefault(key, []).append(r["path"])
+        sizes[key] = sizes.get(key, 0) + int(r["_size"])
+    return groups, sizes
+
+
 # --------------------------------------------------------------------------- MNT-2
 def expired_snapshots(snapshots: DataFrame, *, table_cols: Sequence[str], time_col: str,
                       id_col: str, older_than, retain_last: int = DEFAULT_RETAIN_LAST) -> DataFrame:
@@ -262,8 +286,11 @@ class ParquetMaintenance:
             .where(F.col("col_name") == "Location").first()["data_type"]
         parts = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
         inv = file_inventory(self.spark, loc)
+        # Chunk hot partitions only when the inventory is big enough for one
+        # partition's running sum to matter to a single task.
+        chunks = max(1, min(DEFAULT_CHUNKS, inv.count() // CHUNK_FILES))
         plan = compaction_plan(inv, partition_cols=parts, order_col="modified", tie_cols=["path"],
-                               target_bytes=self.target_bytes)
+                               target_bytes=self.target_bytes, chunks=chunks)
         res = rewrite_bins(self.spark, loc, plan, parts, dry_run=self.dry_run,
                            target_bytes=self.target_bytes)
         self.results[(database, table)] = res

@@ -67,9 +67,9 @@ def round_to_millis(ts: Column) -> Column:
     (epoch-based helpers do, and shift wall-clock times inside a DST gap).
     """
     sub = (F.date_part(F.lit("SECOND"), ts) * 1000000).cast("long") % 1000
-    down = ts - F.make_dt_interval(secs=sub.cast("decimal(18,6)") / 1000000)
-    return F.when(sub >= 500, down + F.make_dt_interval(secs=F.lit(0.001).cast("decimal(18,6)"))) \
-        .otherwise(down)
+    one_us = F.make_dt_interval(secs=F.lit(0.000001).cast("decimal(18,6)"))
+    down = ts - one_us * sub
+    return F.when(sub >= 500, down + one_us * 1000).otherwise(down)
 
 
 def try_timestamp_millis(c: Column) -> Column:

@@ -3,7 +3,8 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is built and run to completion into Spark's ``noop`` sink, so the
-whole plan executes but no rows travel to Python.  The reconciliation batch
+whole plan executes but no rows travel to Python.  One cold pass is reported
+as ``cold_total_sec``; per-query times are the best of two warm passes.  The reconciliation batch
 is also run table by table (one job per relation, as a per-table loop would)
 to report what the joint plan saves.
 """
@@ -35,6 +36,12 @@ def run(spark, name, sf_dir):
     return time.perf_counter() - t0
 
 
+def timed(fn) -> float:
+    t0 = time.perf_counter()
+    fn()
+    return time.perf_counter() - t0
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -46,16 +53,21 @@ def main():
     # Pass 1 (cold: JVM start, code generation, file footers) is reported
     # separately; pass 2 is the steady state a long-running job sees.
     cold = {name: run(spark, name, sf_dir) for name in HEADLINE}
-    times = {name: round(run(spark, name, sf_dir), 3) for name in HEADLINE}
-    t0 = time.perf_counter()
-    catalogue.batch_result(spark, sf_dir, mode="per_table").audit.collect()
-    per_table = time.perf_counter() - t0
-    # The same twelve tables reconciled one after another, one job each.
-    t0 = time.perf_counter()
-    for e in catalogue.many_marks_entries():
-        run_reconcile(spark, [e], SparkSources(spark), LakeTables(spark),
-                      job_name="BENCH", batch="B").audit.collect()
-    many_per_table = time.perf_counter() - t0
+    # Steady state: best of two warm passes (this damps noise from other tenants).
+    warm = [{name: run(spark, name, sf_dir) for name in HEADLINE} for _ in range(2)]
+    times = {name: round(min(p[name] for p in warm), 3) for name in HEADLINE}
+
+    def per_table_batch():
+        catalogue.batch_result(spark, sf_dir, mode="per_table").audit.collect()
+
+    def one_job_per_table():
+        # The same twelve tables reconciled one after another, one job each.
+        for e in catalogue.many_marks_entries():
+            run_reconcile(spark, [e], SparkSources(spark), LakeTables(spark),
+                          job_name="BENCH", batch="B").audit.collect()
+
+    per_table = min(timed(per_table_batch) for _ in range(2))
+    many_per_table = min(timed(one_job_per_table) for _ in range(2))
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
         "metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -25,7 +25,7 @@ from lakeops.operators.control import control_scan, ingestion_scan, to_entries
 from lakeops.operators.ingest import LakeLocation, advance_marks, run_ingestion
 from lakeops.operators.maintenance import IcebergProcedures, ParquetMaintenance, sweep
 from lakeops.operators.reconcile import ReconcileResult, run_reconcile
-from lakeops.session import build_session
+from lakeops.session import build_session, scratch_path
 from lakeops.sources.jdbc import JdbcRelations, JdbcSource
 from lakeops.sources.lake import LakeTables, SparkSources
 
@@ -73,9 +73,27 @@ def validate(spark: SparkSession, control: DataFrame, group_id: int, *, job_name
     return ValidationRun(batch, res)
 
 
+def save_control(control: DataFrame, target: str) -> None:
+    """Persist a control table, also over the table it was read from.
+
+    The rows are staged in the shared scratch folder first, so the final
+    overwrite never reads the files it replaces.
+    """
+    spark = control.sparkSession
+    stage = scratch_path(spark, "control")
+    control.write.parquet(stage)
+    staged = spark.read.parquet(stage)
+    if "/" in target or ":" in target:
+        staged.write.mode("overwrite").parquet(target)
+    elif spark.catalog.tableExists(target):
+        staged.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+    else:
+        staged.write.saveAsTable(target)
+
+
 def ingest(spark: SparkSession, control: DataFrame, group_id: int, lake: LakeLocation, *,
            job_name: str, audit_target: str | None = None, sources=None,
-           batch: str | None = None):
+           batch: str | None = None, max_parallel: int = 1):
     """Load every active table of a group in priority order.
 
     Returns ``(successes, failures, run audit)`` and the control table with
@@ -84,21 +102,22 @@ def ingest(spark: SparkSession, control: DataFrame, group_id: int, lake: LakeLoc
     batch = batch or batch_number(group_id)
     entries = to_entries(ingestion_scan(control, group_id))
     run = run_ingestion(spark, entries, sources or SparkSources(spark), lake,
-                        job_name=job_name, batch=batch)
+                        job_name=job_name, batch=batch, max_parallel=max_parallel)
     if audit_target:
         append_rows(run.audit, audit_target)
     return run, advance_marks(control, run)
 
 
 def maintain(spark: SparkSession, databases: list[str], *, iceberg_catalog: str | None = None,
-             apply: bool = False, target_bytes: int | None = None) -> DataFrame:
+             apply: bool = False, target_bytes: int | None = None,
+             max_parallel: int = 1) -> DataFrame:
     """Sweep every table of each database (compaction, manifests, snapshots, orphans)."""
     if iceberg_catalog:
         backend = IcebergProcedures(spark, iceberg_catalog)
     else:
         kw = {"target_bytes": target_bytes} if target_bytes else {}
         backend = ParquetMaintenance(spark, dry_run=not apply, **kw)
-    return sweep(spark, databases, backend)
+    return sweep(spark, databases, backend, max_parallel=max_parallel)
 
 
 def _jdbc(args) -> JdbcSource | None:
@@ -125,11 +144,15 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--source-dialect", default="generic")
     sub.choices["validate"].add_argument("--mode", default="joint", choices=["joint", "per_table"])
     sub.choices["ingest"].add_argument("--lake-root")
+    sub.choices["ingest"].add_argument("--control-out",
+                                       help="write the control table with advanced marks here")
+    sub.choices["ingest"].add_argument("--parallel", type=int, default=1)
     m = sub.add_parser("maintain")
     m.add_argument("--databases", nargs="+", required=True)
     m.add_argument("--iceberg-catalog")
     m.add_argument("--apply", action="store_true", help="rewrite/delete files (default: plan only)")
     m.add_argument("--target-bytes", type=int)
+    m.add_argument("--parallel", type=int, default=1)
     p.add_argument("--launcher-conf", action="store_true", help="use the launchers' tuning")
     args = p.parse_args(argv)
 
@@ -144,13 +167,16 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "ingest":
         lake = LakeLocation(spark, root=args.lake_root, database=args.lake_db)
         src = _jdbc(args)
-        run, _ = ingest(spark, spark.table(args.control), args.group, lake,
-                        job_name=args.job_name, audit_target=args.audit,
-                        sources=JdbcRelations(spark, src) if src else None)
+        run, advanced = ingest(spark, spark.table(args.control), args.group, lake,
+                               job_name=args.job_name, audit_target=args.audit,
+                               sources=JdbcRelations(spark, src) if src else None,
+                               max_parallel=args.parallel)
+        if args.control_out:
+            save_control(advanced, args.control_out)
         log.info("%d loads succeeded, %d failed", run.succeeded, run.failed)
         return 0 if run.succeeded > 0 else 1
     maintain(spark, args.databases, iceberg_catalog=args.iceberg_catalog, apply=args.apply,
-             target_bytes=args.target_bytes).show(200, truncate=False)
+             target_bytes=args.target_bytes, max_parallel=args.parallel).show(200, truncate=False)
     return 0
 
 

@@ -56,3 +56,15 @@ def test_cli_validate_and_maintain(spark):
     db = "t_cli_maint"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, 'wh')}'")
     assert jobs.main(["maintain", "--databases", db]) == 0
+
+
+def test_cli_ingest_persists_advanced_marks_over_its_own_control(spark):
+    fx.register(spark, SF_SMALL)
+    ctl_path = scratch_path(spark, "ctl")
+    fx.control_table(spark, SF_SMALL).where(F.col("id").isin(1, 3)).write.parquet(ctl_path)
+    spark.read.parquet(ctl_path).createOrReplaceTempView("cli_ctl")
+    lake_root = scratch_path(spark, "cli-lake")
+    assert jobs.main(["ingest", "--control", "cli_ctl", "--group", "1", "--lake-root", lake_root,
+                      "--control-out", ctl_path, "--parallel", "2"]) == 0
+    marks = {r.id: r.offset_value for r in spark.read.parquet(ctl_path).collect()}
+    assert marks[3] == fx.read_table(spark, SF_SMALL, "events").count() - 1

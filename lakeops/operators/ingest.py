@@ -115,8 +115,12 @@ def load_full(df: DataFrame, lake: LakeLocation, table: str,
 
 def load_incremental(source: DataFrame, lake: LakeLocation, table: str, mark_col: str,
                      mark, partition_by: list[str] | None = None) -> LoadResult:
-    """Append rows with ``mark_col > mark``; the new mark is the largest loaded (ING-2)."""
-    df, obs = _observed(source.where(pending(mark_col, mark)), mark_col)
+    """Append rows with ``mark_col > mark``; the new mark is the largest loaded (ING-2).
+
+    Without a mark (a table's first load) every row is loaded.
+    """
+    rows = source if mark is None else source.where(pending(mark_col, mark))
+    df, obs = _observed(rows, mark_col)
     lake.write(df, table, "append", partition_by)
     m = obs.get
     new_mark = m.get("mark") if m.get("rows") else mark

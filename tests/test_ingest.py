@@ -118,3 +118,12 @@ def test_partitioned_merge_moving_rows_empties_their_old_partition(spark):
     assert 2001 not in years and years[2002] == o.where(F.col("o_year") == 2001).count()
     assert back.count() == o.count()
     assert back.select("o_orderkey").distinct().count() == o.count()
+
+
+def test_first_incremental_load_without_a_mark_loads_everything(spark):
+    lake = LakeLocation(spark, root=scratch_path(spark, "t-first"))
+    ev = fx.read_table(spark, SF_MID, "events")
+    res = load_incremental(ev, lake, "ev", "event_id", None)
+    assert res.rows == ev.count() and res.new_mark == ev.count() - 1
+    again = load_incremental(ev, lake, "ev", "event_id", res.new_mark)
+    assert again.rows == 0 and lake.read("ev").count() == ev.count()

@@ -43,6 +43,8 @@ def days_before(mark: Column, days: int = DEFAULT_WINDOW_DAYS) -> Column:
 
 def split_columns(spec: str | Sequence[str]) -> list[str]:
     """A comma list of column names, each trimmed (SCL-1)."""
+    if spec is None:
+        raise ValueError("no validation column given")
     if isinstance(spec, str):
         parts = spec.split(",")
     else:

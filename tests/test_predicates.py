@@ -77,6 +77,8 @@ def test_split_columns():
     assert split_columns("x") == ["x"]
     with pytest.raises(ValueError):
         split_columns(" , ")
+    with pytest.raises(ValueError, match="no validation column"):
+        split_columns(None)
 
 
 def test_formatters(spark):

@@ -209,10 +209,23 @@ def _bins(rows, partition_cols: Sequence[str]) -> tuple[dict, dict]:
 
 
 # --------------------------------------------------------------------------- MNT-2
+def _cutoff(value, age: dt.timedelta, dtype):
+    """A cut-off instant of the column's type: ``value`` if given, else now - age."""
+    if value is None:
+        now = F.current_timestamp().cast(dtype)
+        return now - F.make_dt_interval(secs=F.lit(age.total_seconds()).cast("decimal(18,6)"))
+    if isinstance(value, dt.datetime):
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    if isinstance(value, dt.date):
+        return F.lit(value.isoformat()).cast(dtype)
+    return value if hasattr(value, "alias") else F.lit(value)
+
+
 def expired_snapshots(snapshots: DataFrame, *, table_cols: Sequence[str], time_col: str,
-                      id_col: str, older_than, retain_last: int = DEFAULT_RETAIN_LAST) -> DataFrame:
-    """Snapshots to expire: older than ``older_than`` and not among the newest
-    ``retain_last`` of their table.
+                      id_col: str, older_than=None,
+                      retain_last: int = DEFAULT_RETAIN_LAST) -> DataFrame:
+    """Snapshots to expire: older than ``older_than`` (default: five days ago)
+    and not among the newest ``retain_last`` of their table.
 
     The newest ``retain_last`` per table come from a ``row_number() <= k``
     filter, which Spark evaluates with a partial per-task limit before the
@@ -226,9 +239,7 @@ def expired_snapshots(snapshots: DataFrame, *, table_cols: Sequence[str], time_c
         .where(F.col("_rn") <= retain_last)
     keep_from = newest.groupBy(*t).agg(
         F.min(F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("i"))).alias("_keep_from"))
-    cutoff = older_than if not isinstance(older_than, (dt.datetime, dt.date)) else \
-        F.lit(older_than.isoformat(sep=" ") if isinstance(older_than, dt.datetime)
-              else older_than.isoformat()).cast(snapshots.schema[time_col].dataType)
+    cutoff = _cutoff(older_than, DEFAULT_SNAPSHOT_AGE, snapshots.schema[time_col].dataType)
     return (snapshots.join(keep_from, t)
             .where((F.col(time_col) < cutoff)
                    & (F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("i"))
@@ -239,11 +250,18 @@ def expired_snapshots(snapshots: DataFrame, *, table_cols: Sequence[str], time_c
 # --------------------------------------------------------------------------- MNT-3
 def orphan_files(listing: DataFrame, referenced: DataFrame, *, on: str | Sequence[str],
                  modified_col: str | None = None, older_than=None) -> DataFrame:
-    """Listed files no metadata refers to, older than ``older_than`` (MNT-3)."""
+    """Listed files no metadata refers to (MNT-3).
+
+    With ``modified_col``, only files older than ``older_than`` (default:
+    three days ago) count, so files of a write still in progress are spared.
+    """
     keys = [on] if isinstance(on, str) else list(on)
     out = listing.join(referenced.select(*keys), keys, "left_anti")
-    if modified_col is not None and older_than is not None:
-        out = out.where(F.col(modified_col) < F.lit(older_than))
+    if modified_col is not None:
+        dtype = listing.schema[modified_col].dataType
+        cutoff = F.lit(older_than) if isinstance(older_than, (int, float)) else \
+            _cutoff(older_than, DEFAULT_ORPHAN_AGE, dtype)
+        out = out.where(F.col(modified_col) < cutoff)
     return out
 
 

@@ -139,3 +139,18 @@ def test_running_sum_with_null_order_values_and_one_chunk(spark):
         got = {r.tie: r.rs for r in grouped_running_sum(df, ["g"], "o", "v", "rs",
                                                         tie_cols=["tie"], chunks=chunks).collect()}
         assert got == {1: 0, 2: 5, 3: 0, 4: 2}
+
+
+def test_default_cutoffs_follow_the_clock(spark):
+    now = dt.datetime.now()
+    snaps = spark.createDataFrame(
+        [(1, 1, now - dt.timedelta(days=10)), (1, 2, now - dt.timedelta(days=9)),
+         (1, 3, now - dt.timedelta(days=1))], "t long, id long, at timestamp_ntz")
+    got = [r.id for r in mnt.expired_snapshots(snaps, table_cols=["t"], time_col="at",
+                                               id_col="id").collect()]
+    assert sorted(got) == [1, 2]          # older than 5 days and not the newest
+    files = spark.createDataFrame([("old", now - dt.timedelta(days=4)), ("new", now)],
+                                  "path string, modified timestamp_ntz")
+    none = spark.createDataFrame([], "path string")
+    got = [r.path for r in mnt.orphan_files(files, none, on="path", modified_col="modified").collect()]
+    assert got == ["old"]

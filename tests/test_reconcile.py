@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from lakeops.operators.control import ControlEntry
 from lakeops.operators.reconcile import (counts_frame, plan_reconcile, reconcile_frame,
                                          run_reconcile)

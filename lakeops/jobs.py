@@ -143,6 +143,10 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--jdbc-driver")
         s.add_argument("--source-dialect", default="generic")
     sub.choices["validate"].add_argument("--mode", default="joint", choices=["joint", "per_table"])
+    sub.choices["validate"].add_argument("--days", type=int, default=30,
+                                         help="trailing window length in days")
+    sub.choices["validate"].add_argument("--lake-upper-bound", action="store_true",
+                                         help="bound the lake window by the mark as well")
     sub.choices["ingest"].add_argument("--lake-root")
     sub.choices["ingest"].add_argument("--control-out",
                                        help="write the control table with advanced marks here")
@@ -161,7 +165,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "validate":
         run = validate(spark, spark.table(args.control), args.group, job_name=args.job_name,
                        audit_target=args.audit, sources=_jdbc(args),
-                       lake=LakeTables(spark, database=args.lake_db), mode=args.mode)
+                       lake=LakeTables(spark, database=args.lake_db), mode=args.mode,
+                       days=args.days, lake_upper_bound=args.lake_upper_bound)
         run.result.audit.show(truncate=False)
         return 0
     if args.job == "ingest":

@@ -50,7 +50,7 @@ def test_cli_validate_and_maintain(spark):
     fx.control_table(spark, SF_SMALL).createOrReplaceTempView("cli_control")
     audit = scratch_path(spark, "cli-audit")
     assert jobs.main(["validate", "--control", "cli_control", "--group", "1",
-                      "--audit", audit, "--job-name", "CLI"]) == 0
+                      "--audit", audit, "--job-name", "CLI", "--days", "30"]) == 0
     rows = read_audit(spark, audit).collect()
     assert len(rows) == 5 and {r.JOB_NAME for r in rows} == {"CLI"}
     db = "t_cli_maint"

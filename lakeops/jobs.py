@@ -25,7 +25,7 @@ from lakeops.operators.control import control_scan, ingestion_scan, to_entries
 from lakeops.operators.ingest import LakeLocation, advance_marks, run_ingestion
 from lakeops.operators.maintenance import IcebergProcedures, ParquetMaintenance, sweep
 from lakeops.operators.reconcile import ReconcileResult, run_reconcile
-from lakeops.session import build_session, scratch_path
+from lakeops.session import build_session, drop_scratch, scratch_path
 from lakeops.sources.jdbc import JdbcRelations, JdbcSource
 from lakeops.sources.lake import LakeTables, SparkSources
 
@@ -89,6 +89,7 @@ def save_control(control: DataFrame, target: str) -> None:
         staged.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
     else:
         staged.write.saveAsTable(target)
+    drop_scratch(spark, stage)
 
 
 def ingest(spark: SparkSession, control: DataFrame, group_id: int, lake: LakeLocation, *,

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from lakeops.functions.formatting import hms, truncate_error
 from lakeops.functions.predicates import pending, split_columns
 from lakeops.operators.control import ControlEntry
-from lakeops.session import scratch_path
+from lakeops.session import drop_scratch, scratch_path
 
 
 @dataclass
@@ -218,6 +218,7 @@ def load_merge(source: DataFrame, lake: LakeLocation, table: str, keys: list[str
         fs.delete(p, False)
     if emptied_files and not lake.root:
         spark.catalog.refreshTable(lake.name(table))
+    drop_scratch(spark, stage)
     m = obs.get
     new_mark = m.get("mark") if m.get("rows") else mark
     return LoadResult(m["rows"], new_mark)

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from lakeops.functions.formatting import truncate_error
 from lakeops.functions.running import DEFAULT_CHUNKS, grouped_running_sum
-from lakeops.session import scratch_path
+from lakeops.session import drop_scratch, scratch_path
 
 # Defaults of the table format's maintenance procedures, as parameters.
 DEFAULT_TARGET_BYTES = 512 * 1024 * 1024
@@ -151,6 +151,7 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
     cols = ["path", *partition_cols, "bin", "_size"]
     files_in = plan.count()
     if not files_in:
+        drop_scratch(spark, frozen)
         return CompactionResult(0, 0, 0, dry_run)
     if files_in <= max_files_per_job:
         # One bounded read of the plan; jobs are then cut by bins on the driver.
@@ -158,12 +159,14 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
         keys = list(groups)
         n_jobs = max(1, -(-len(keys) // max_bins_per_job))
         batches = [[k for i, k in enumerate(keys) if i % n_jobs == j] for j in range(n_jobs)]
+        drop_scratch(spark, frozen)  # the plan now lives on the driver
         if dry_run:
             return CompactionResult(files_in, len(keys), 0, True)
         fetch = None
     else:
         bins_in = plan.select(*partition_cols, "bin").distinct().count()
         if dry_run:
+            drop_scratch(spark, frozen)
             return CompactionResult(files_in, bins_in, 0, True)
         n_jobs = max(-(-files_in // max_files_per_job), -(-bins_in // max_bins_per_job))
         keyed = plan.withColumn("_job", F.pmod(F.hash(*partition_cols, "bin"), F.lit(n_jobs)))
@@ -195,6 +198,8 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
                 fs.delete(p, False)
             removed += len(paths)
         bins_total += len(job_groups)
+    if fetch is not None:
+        drop_scratch(spark, frozen)
     return CompactionResult(files_in, bins_total, removed, False)
 
 

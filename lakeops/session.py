@@ -63,3 +63,20 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch location this package made, once its consumer committed.
+
+    Staged merges can be as large as the partitions they rewrite, so they are
+    not left behind in the shared folder.  Failures are ignored: a leftover
+    only costs space.
+    """
+    if not path.startswith(scratch_root(spark)):
+        raise ValueError(f"not a scratch location: {path}")
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001
+        pass

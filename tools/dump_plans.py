@@ -22,15 +22,31 @@ from lakeops.session import build_session  # noqa: E402
 from lakeops.sources.lake import LakeTables, SparkSources  # noqa: E402
 
 NOTES = {
-    "reconcile_many_marks (counts)": "24 counts, one scan per relation; the OR of the windows is "
-                                     "pushed into each Parquet scan.",
-    "load_merge (merged rows)": "Target scan pruned to the touched years by dynamic partition "
-                                "pruning; updates deduplicated by a partial aggregate.",
-    "compaction_plan": "Running sum per (partition, chunk); chunk bounds from a partial "
-                       "percentile sketch; chunk offsets from a window over at most 64 rows "
-                       "per partition.",
-    "snapshot_expiry": "row_number() <= k runs as a partial WindowGroupLimit before the shuffle.",
-    "orphan_files": "Anti-join; AQE picks broadcast or sort-merge from the measured size.",
+    "reconcile_many_marks (counts)": (
+        "24 counts, one scan per relation; the OR of the windows is pushed into each Parquet "
+        "scan. At 1000x: same shape. Each scan is a map-only stage with a partial count per "
+        "task, and the single-partition exchange carries one row per task; time windows prune "
+        "row groups (and partitions on date-partitioned lakes), so cost follows the window, not "
+        "the table."),
+    "load_merge (merged rows)": (
+        "Target scan pruned to the touched years by dynamic partition pruning; updates "
+        "deduplicated by a partial aggregate. At 1000x: the broadcasts seen here are AQE "
+        "decisions from measured sizes; bigger update sets get sort-merge anti/semi joins "
+        "(AQE splits a skewed key's partition); untouched partitions are neither read nor "
+        "rewritten."),
+    "compaction_plan": (
+        "Running sum per (partition, chunk); chunk bounds from a partial percentile sketch; "
+        "chunk offsets from a window over at most 64 rows per partition. At 1000x: a table "
+        "partition with a third of all files is cut into 64 ranges, so no window task sees "
+        "more than ~1/192 of the inventory; the bounds join becomes sort-merge if the "
+        "inventory has very many partitions."),
+    "snapshot_expiry": (
+        "row_number() <= k runs as a partial WindowGroupLimit before the shuffle. At 1000x: a "
+        "table with a third of all snapshots ships k rows per map task to the final limit; the "
+        "keep-from join has one row per table on the build side."),
+    "orphan_files": (
+        "Anti-join; AQE picks broadcast or sort-merge from the measured size. At 1000x: a "
+        "sort-merge anti-join on unique file paths, so no skew."),
 }
 
 

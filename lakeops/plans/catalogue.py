@@ -227,10 +227,20 @@ def batch_result(spark: SparkSession, sf_dir: str, mode: str = "joint"):
                          job_name=JOB_NAME, batch=BATCH, mode=mode)
 
 
+def batch_plan(spark: SparkSession, sf_dir: str):
+    fx.register(spark, sf_dir)
+    control = spark.createDataFrame(fx.control_rows(spark, sf_dir), CONTROL_SCHEMA)
+    entries = to_entries(control_scan(control, 1))
+    return plan_reconcile(spark, entries, SparkSources(spark), LakeTables(spark))
+
+
 @query("reconcile_batch", ORACLE_BATCH)
 def reconcile_batch(spark, sf_dir):
-    """REC-4..REC-7: control scan, dispatch, all counts in one job, audit rows."""
-    return batch_result(spark, sf_dir).audit.select(*BATCH_COLS)
+    """REC-4..REC-7: control scan, dispatch, all counts in one plan, audit rows.
+
+    Returned lazily: the counting job runs when the caller collects.
+    """
+    return reconcile_frame(spark, batch_plan(spark, sf_dir), JOB_NAME, BATCH).select(*BATCH_COLS)
 
 
 @query("audit_rows", f"SELECT *, TRUE AS HAS_INSERT_TIMESTAMP FROM ({ORACLE_BATCH}) b")

@@ -26,6 +26,7 @@ from lakeops.operators.ingest import LakeLocation, advance_marks, run_ingestion
 from lakeops.operators.maintenance import IcebergProcedures, ParquetMaintenance, sweep
 from lakeops.operators.reconcile import ReconcileResult, run_reconcile
 from lakeops.session import build_session, drop_scratch, scratch_path
+from lakeops.sources.files import FileDropSources
 from lakeops.sources.jdbc import JdbcRelations, JdbcSource
 from lakeops.sources.lake import LakeTables, SparkSources
 
@@ -152,6 +153,9 @@ def main(argv: list[str] | None = None) -> int:
     sub.choices["ingest"].add_argument("--control-out",
                                        help="write the control table with advanced marks here")
     sub.choices["ingest"].add_argument("--parallel", type=int, default=1)
+    sub.choices["ingest"].add_argument("--files", action="store_true",
+                                       help="sources are folders of dropped files "
+                                            "(sql_query = folder, source = format)")
     m = sub.add_parser("maintain")
     m.add_argument("--databases", nargs="+", required=True)
     m.add_argument("--iceberg-catalog")
@@ -173,10 +177,11 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "ingest":
         lake = LakeLocation(spark, root=args.lake_root, database=args.lake_db)
         src = _jdbc(args)
+        sources = FileDropSources(spark, lake) if args.files else \
+            JdbcRelations(spark, src) if src else None
         run, advanced = ingest(spark, spark.table(args.control), args.group, lake,
                                job_name=args.job_name, audit_target=args.audit,
-                               sources=JdbcRelations(spark, src) if src else None,
-                               max_parallel=args.parallel)
+                               sources=sources, max_parallel=args.parallel)
         if args.control_out:
             save_control(advanced, args.control_out)
         log.info("%d loads succeeded, %d failed", run.succeeded, run.failed)

@@ -22,3 +22,26 @@ def test_each_file_loaded_once(spark):
     third = ingest_drops(spark, drops, "json", DDL, out, ck)
     assert first + second == c.count() and third == 0
     assert spark.read.parquet(out).exceptAll(c).count() == 0
+
+
+def test_control_driven_file_drop_loads(spark):
+    from lakeops.operators.control import ControlEntry
+    from lakeops.operators.ingest import LakeLocation, load_full, run_ingestion
+    from lakeops.sources.files import FileDropSources
+
+    c = fx.read_table(spark, SF_MID, "customer")
+    drops = scratch_path(spark, "drops")
+    write_drop(c, f"{drops}/customer_csv", "csv")
+    write_drop(c, f"{drops}/customer_json", "json")
+    lake = LakeLocation(spark, root=scratch_path(spark, "lake"))
+    load_full(c.limit(0), lake, "customer_b")          # an existing, empty target fixes the schema
+    entries = [ControlEntry(1, 2, f"{drops}/customer_csv", "csv", "customer_a", "Full Load"),
+               ControlEntry(2, 2, f"{drops}/customer_json", "json", "customer_b", "Full Load"),
+               ControlEntry(3, 2, f"{drops}/missing", "csv", "customer_c", "Full Load")]
+    run = run_ingestion(spark, entries, FileDropSources(spark, lake, schema=DDL), lake,
+                        job_name="FILES", batch="B")
+    status = {r.ID: r.STATUS for r in run.audit.collect()}
+    assert status == {1: "SUCCESS", 2: "SUCCESS", 3: "FAILED"}
+    for t in ("customer_a", "customer_b"):
+        back = lake.read(t)
+        assert back.exceptAll(c).count() == 0 and c.exceptAll(back).count() == 0

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import re
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -281,6 +282,9 @@ def without_excluded(names: DataFrame, token: str = EXCLUDE_TOKEN, col: str = "n
     return names.where(~F.col(col).contains(token))
 
 
+_PLAIN_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+
+
 class IcebergProcedures:
     """Maintenance through an Iceberg catalog's stored procedures."""
 
@@ -288,6 +292,9 @@ class IcebergProcedures:
         self.spark, self.catalog = spark, catalog
 
     def run(self, step: str, database: str, table: str) -> str:
+        for name in (self.catalog, step, database, table):
+            if not _PLAIN_NAME.match(name):
+                raise ValueError(f"not a plain identifier: {name!r}")
         self.spark.sql(f"CALL {self.catalog}.system.{step}(table => '{database}.{table}')").collect()
         return "SUCCESS"
 

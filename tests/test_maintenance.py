@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -154,3 +156,8 @@ def test_default_cutoffs_follow_the_clock(spark):
     none = spark.createDataFrame([], "path string")
     got = [r.path for r in mnt.orphan_files(files, none, on="path", modified_col="modified").collect()]
     assert got == ["old"]
+
+
+def test_procedure_calls_reject_odd_names(spark):
+    with pytest.raises(ValueError):
+        mnt.IcebergProcedures(spark, "cat").run("expire_snapshots", "db", "t'); DROP TABLE x; --")

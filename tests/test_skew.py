@@ -42,3 +42,20 @@ def test_compaction_bins_with_a_partition_holding_a_third_of_files(spark):
     assert _same(got.select(*want.columns), want)
     hot = got.where(F.col("source") == "hot").count()
     assert hot * 4 > got.count()   # the hot partition really holds a large share
+
+
+def test_merge_replaces_every_row_of_a_hot_target_key(spark):
+    from lakeops.operators.ingest import LakeLocation, load_full, load_merge
+    from lakeops.session import scratch_path
+
+    orders = fx.read_table(spark, SF_MID, "orders")
+    hot = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1))
+                            .otherwise(F.col("o_custkey")))
+    lake = LakeLocation(spark, root=scratch_path(spark, "t-hot"))
+    load_full(hot, lake, "o")
+    update = hot.where(F.col("o_custkey") == -1).limit(1).withColumn("o_totalprice", F.lit(-5.0))
+    load_merge(update, lake, "o", ["o_custkey"], unique_keys=True)
+    back = lake.read("o")
+    assert back.where(F.col("o_custkey") == -1).count() == 1
+    assert back.where(F.col("o_custkey") == -1).first().o_totalprice == -5.0
+    assert back.count() == hot.where(F.col("o_custkey") != -1).count() + 1

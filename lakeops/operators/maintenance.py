@@ -271,6 +271,30 @@ def orphan_files(listing: DataFrame, referenced: DataFrame, *, on: str | Sequenc
     return out
 
 
+# Directory-name prefixes Spark's writers leave behind when a write dies
+# (the file committer's work area; dynamic partition overwrite's staging area).
+WRITE_LEFTOVER_PREFIXES = ("_temporary", ".spark-staging")
+
+
+def stale_write_leftovers(spark: SparkSession, table_path: str,
+                          older_than: dt.timedelta = DEFAULT_ORPHAN_AGE) -> list[str]:
+    """Work directories of failed writes at a Parquet table's root (MNT-3).
+
+    Readers skip them, so no metadata refers to them: they are the orphans of
+    a plain Parquet table.  Only entries untouched for ``older_than`` count,
+    so a write still in progress is never caught.  One directory listing of
+    the table root.
+    """
+    fs, root = _fs(spark, table_path)
+    if not fs.exists(root):
+        return []
+    jvm = spark.sparkContext._jvm
+    cutoff = jvm.java.lang.System.currentTimeMillis() - int(older_than.total_seconds() * 1000)
+    return [st.getPath().toString() for st in fs.listStatus(root)
+            if st.getPath().getName().startswith(WRITE_LEFTOVER_PREFIXES)
+            and st.getModificationTime() < cutoff]
+
+
 # --------------------------------------------------------------------------- MNT-4
 def list_tables(spark: SparkSession, database: str) -> list[str]:
     """Table names of a database (SRC-6)."""
@@ -301,7 +325,8 @@ class IcebergProcedures:
 
 @dataclass
 class ParquetMaintenance:
-    """Maintenance of plain Parquet catalog tables: compaction only."""
+    """Maintenance of plain Parquet catalog tables: compaction and removal of
+    failed writes' leftovers; manifests and snapshots do not exist there."""
 
     spark: SparkSession
     target_bytes: int = DEFAULT_TARGET_BYTES
@@ -309,11 +334,19 @@ class ParquetMaintenance:
     results: dict = field(default_factory=dict)
 
     def run(self, step: str, database: str, table: str) -> str:
-        if step != "rewrite_data_files":
-            return "SKIPPED"
+        if step not in ("rewrite_data_files", "remove_orphan_files"):
+            return "SKIPPED"   # no manifests or snapshots in plain Parquet
         name = f"{database}.{table}"
         loc = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}") \
             .where(F.col("col_name") == "Location").first()["data_type"]
+        if step == "remove_orphan_files":
+            leftovers = stale_write_leftovers(self.spark, loc)
+            if not self.dry_run:
+                for path in leftovers:
+                    fs, p = _fs(self.spark, path)
+                    fs.delete(p, True)
+            self.results[(database, table, step)] = leftovers
+            return "PLANNED" if self.dry_run else "SUCCESS"
         parts = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
         inv = file_inventory(self.spark, loc)
         # Chunk hot partitions only when the inventory is big enough for one

@@ -459,7 +459,7 @@ def q_orphan_files(spark, sf_dir):
 
 def _sweep_rows(table: str, count_sql: str) -> str:
     statuses = [("rewrite_data_files", "SUCCESS"), ("rewrite_manifests", "SKIPPED"),
-                ("expire_snapshots", "SKIPPED"), ("remove_orphan_files", "SKIPPED")]
+                ("expire_snapshots", "SKIPPED"), ("remove_orphan_files", "SUCCESS")]
     return "\nUNION ALL\n".join(
         f"SELECT '{table}' AS TABLE_NAME, '{step}' AS STEP, "
         f"'{st}' AS STATUS, CAST(({count_sql}) AS BIGINT) AS ROWS_AFTER" for step, st in statuses)

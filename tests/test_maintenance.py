@@ -161,3 +161,25 @@ def test_default_cutoffs_follow_the_clock(spark):
 def test_procedure_calls_reject_odd_names(spark):
     with pytest.raises(ValueError):
         mnt.IcebergProcedures(spark, "cat").run("expire_snapshots", "db", "t'); DROP TABLE x; --")
+
+
+def test_stale_write_leftovers_are_found_and_removed(spark):
+    db = "t_leftovers"
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'wh')}'")
+    spark.range(100).write.saveAsTable(f"{db}.t")
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.t").where(F.col("col_name") == "Location") \
+        .first()["data_type"]
+    jvm = spark.sparkContext._jvm
+    fs, _ = mnt._fs(spark, loc)
+    old_dir = jvm.org.apache.hadoop.fs.Path(f"{loc}/_temporary/0")
+    new_dir = jvm.org.apache.hadoop.fs.Path(f"{loc}/.spark-staging-fresh")
+    fs.mkdirs(old_dir)
+    fs.mkdirs(new_dir)
+    ten_days_ago = jvm.java.lang.System.currentTimeMillis() - 10 * 86400 * 1000
+    fs.setTimes(jvm.org.apache.hadoop.fs.Path(f"{loc}/_temporary"), ten_days_ago, -1)
+    assert [p.rsplit("/", 1)[-1] for p in mnt.stale_write_leftovers(spark, loc)] == ["_temporary"]
+    backend = mnt.ParquetMaintenance(spark, dry_run=False)
+    assert backend.run("remove_orphan_files", db, "t") == "SUCCESS"
+    assert not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{loc}/_temporary"))
+    assert fs.exists(new_dir) and spark.table(f"{db}.t").count() == 100

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -131,4 +130,9 @@ def pending(key: str, mark) -> Column:
 
 
 def any_of(preds: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, preds)
+    """OR of the predicates as a balanced tree (depth log n, not n)."""
+    preds = list(preds)
+    while len(preds) > 1:
+        preds = [preds[i] | preds[i + 1] if i + 1 < len(preds) else preds[i]
+                 for i in range(0, len(preds), 2)]
+    return preds[0]

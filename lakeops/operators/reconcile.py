@@ -66,6 +66,8 @@ AUDIT_SCHEMA = T.StructType(AUDIT_FIELDS)
 AUDIT_COLUMNS = [f.name for f in AUDIT_FIELDS]
 
 SOURCE, LAKE = "source", "lake"
+# Counts taken by one aggregate over a relation (see ``_groups``).
+MAX_COUNTS_PER_SCAN = 64
 
 
 @dataclass
@@ -182,18 +184,28 @@ def _relation_counts(specs: list[CountSpec]) -> DataFrame:
     aggs = [(F.count_if(p) if p is not None and len(specs) > 1 else F.count(F.lit(1)))
             .alias(f"c{i}") for i, p in enumerate(preds)]
     wide = frame.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(s.slot).alias("SLOT"),
-                              F.lit(s.side).alias("SIDE"),
-                              F.col(f"c{i}").cast("long").alias("CNT"))
-                     for i, s in enumerate(specs)])
-    return wide.select(F.inline(rows))
+    # One expression unpivots the counts (SLOT, SIDE, CNT); sides are fixed words.
+    cells = ", ".join(f"{s.slot}, '{s.side}', c{i}" for i, s in enumerate(specs))
+    return wide.selectExpr(f"stack({len(specs)}, {cells}) AS (SLOT, SIDE, CNT)")
 
 
 def _groups(specs: list[CountSpec]) -> "OrderedDict[str, list[CountSpec]]":
+    """Specs by relation, at most ``MAX_COUNTS_PER_SCAN`` per group.
+
+    Past that width one aggregate leaves whole-stage code generation
+    (``spark.sql.codegen.maxFields``) and runs several times slower per row
+    than a second scan costs, so a relation with very many control rows is
+    scanned once per 64 of them.
+    """
     groups: OrderedDict[str, list[CountSpec]] = OrderedDict()
     for s in specs:
         groups.setdefault(s.relation_key, []).append(s)
-    return groups
+    out: OrderedDict[str, list[CountSpec]] = OrderedDict()
+    for key, group in groups.items():
+        for i in range(0, len(group), MAX_COUNTS_PER_SCAN):
+            out[key if i == 0 else f"{key}#{i // MAX_COUNTS_PER_SCAN}"] = \
+                group[i:i + MAX_COUNTS_PER_SCAN]
+    return out
 
 
 def counts_frame(specs: list[CountSpec]) -> DataFrame:

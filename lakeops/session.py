@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.parquet.filterPushdown": "true",
+    # Skip PySpark's per-call Python call-site capture: with hundreds of
+    # control rows a batch builds thousands of column expressions, and the
+    # capture (a stack inspection per call) dominated planning time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

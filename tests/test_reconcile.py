@@ -128,3 +128,24 @@ def test_duplicate_control_ids_keep_their_own_counts(spark):
     plan = plan_reconcile(spark, entries, SparkSources(spark), LakeTables(spark))
     lazy = sorted((r.TABLE_NAME, r.COUNT_DIFF) for r in reconcile_frame(spark, plan, "J", "B").collect())
     assert lazy == [("lineitem_lake", 705 - 25819), ("orders_lake", 300)]
+
+
+def test_more_control_rows_than_one_scan_takes(spark):
+    from conftest import SF_SMALL
+    fx.register(spark, SF_SMALL)
+    marks = [dt.datetime(1992, 1, 1) + dt.timedelta(days=30 * i) for i in range(70)]
+    entries = [ControlEntry(i, 1, "SELECT * FROM lineitem", "oracle", "lineitem_lake",
+                            "incremental", m, "l_shipdate") for i, m in enumerate(marks)]
+    plan = plan_reconcile(spark, entries, SparkSources(spark), LakeTables(spark))
+    text = counts_frame(plan.specs)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation ") == 4       # 70 counts per side -> two scans per relation
+    got = {r.ID: (r.SOURCE_COUNT, r.DATALAKE_COUNT) for r in
+           run_reconcile(spark, entries, SparkSources(spark), LakeTables(spark),
+                         job_name="J", batch="B").audit.collect()}
+    li = spark.table("lineitem")
+    lake = spark.table("lineitem_lake")
+    for i in (0, 40, 69):
+        lo, hi = marks[i] - dt.timedelta(days=30), marks[i]
+        want_src = li.where((li.l_shipdate > lo) & (li.l_shipdate <= hi)).count()
+        want_lake = lake.where(lake.l_shipdate > lo).count()
+        assert got[i] == (want_src, want_lake)

@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import simhash
+from lakeops.llm import oracles, secrets, simhash
 from lakeops.llm.common import read_table
+from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +30,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
     return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"),
                         "component_id")
+
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, scanned through a ledger that has seen none."""
+    versions = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    ledger = secrets.BlobLedger(spark, scratch_path(spark, "ledger"))
+    found = ledger.join_back(versions, ledger.update(versions))
+    base = [r.kind for r in secrets.BASE_RULES]
+    of_base = F.filter("spans", lambda s: s["kind"].isin(base))
+    kinds = F.col("spans.kind")
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2(secrets.spans_text(of_base), 256).alias("base_sha256"),
+                        secrets.spans_text(F.col("spans")).alias("spans"))
+
+
+ORACLE["op7_secrets"] = oracles.secrets_sql(secrets.RULES)

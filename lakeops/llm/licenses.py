@@ -121,7 +121,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     key = ["id", "text_hash"]
     votes = hits.groupBy(*key, "name", "label", "base", "m", (F.col("p") - F.col("t")).alias("diagonal"),
                          F.col("name").isNull().alias("text_row")).agg(
-        F.count_distinct("t").alias("votes"), F.min("t").alias("first_t"), F.max("t").alias("last_t"),
+        F.min("t").alias("first_t"), F.max("t").alias("last_t"),
         F.collect_set("t").alias("ts"), F.max("n_words").alias("n_words"), F.count("n_words").alias("copies"))
     # Neighbouring diagonals of one template are one span.
     along = Window.partitionBy(*key, "name").orderBy("diagonal")

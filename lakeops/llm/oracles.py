@@ -27,3 +27,37 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN found USING (doc_id)
 """
+
+
+def licenses_sql(templates, words_of, word: str, k: int, coverage: float = 0.8, slack: int = 3) -> str:
+    grams = []
+    for x in templates:
+        words = words_of(x.text)
+        grams += [f"('{x.name}', '{x.label}', {str(x.base).lower()}, {len(words)}, {t}, '{' '.join(words[t:t + k])}')"
+                  for t in range(len(words) - k + 1)]
+    gram = " || ' ' || ".join(f"ws[i + {j + 1}]" for j in range(k))
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '{word}') AS ws FROM documents),
+g AS (SELECT doc_id, {gram} AS gram, i AS p
+      FROM (SELECT doc_id, ws, unnest(range(len(ws) - {k - 1})) AS i FROM w)),
+tg(name, label, base, m, t, gram) AS (VALUES {", ".join(grams)}),
+h AS (SELECT doc_id, name, label, base, m, t, p - t AS diagonal FROM g JOIN tg USING (gram)),
+d AS (SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER s > {slack} OR lag(diagonal) OVER s IS NULL
+                     THEN 1 ELSE 0 END AS fresh
+      FROM (SELECT DISTINCT doc_id, name, base, diagonal FROM h) WINDOW s AS (PARTITION BY doc_id, name ORDER BY diagonal)),
+n AS (SELECT doc_id, name, diagonal, sum(fresh) OVER (PARTITION BY doc_id, name ORDER BY diagonal) AS span FROM d),
+c AS (SELECT doc_id, name, label, base, m, span, min(diagonal + t) AS start,
+             count(DISTINCT t + j) AS words
+      FROM h JOIN n USING (doc_id, name, diagonal), (SELECT unnest(range({k})) AS j)
+      GROUP BY doc_id, name, label, base, m, span),
+v AS (SELECT *, words / CAST(m AS DOUBLE) AS covered FROM c
+      WHERE words / CAST(m AS DOUBLE) >= CASE WHEN base THEN 1.0 ELSE {coverage} END),
+f AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+             max(start) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS b,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS a, max(covered) AS score
+      FROM v GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(b, '') AS base_labels, coalesce(a, '') AS labels, coalesce(score, 0.0) AS score
+FROM w LEFT JOIN f USING (doc_id)
+"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import oracles, secrets, simhash
+from lakeops.llm import licenses, oracles, secrets, simhash
 from lakeops.llm.common import read_table
 from lakeops.session import scratch_path
 
@@ -47,3 +47,22 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op7_secrets"] = oracles.secrets_sql(secrets.RULES)
+
+
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that every document names or quotes."""
+    found = licenses.scan(read_table(spark, sf_dir, "documents"))
+    starts, covered = F.col("places.start"), F.col("spans.covered")
+
+    def labels(of):
+        return F.array_join(F.array_sort(F.array_distinct(of)), ",")
+
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
+        labels(F.col("places.label")).alias("base_labels"), labels(F.col("spans.label")).alias("labels"),
+        F.coalesce(F.array_max(covered), F.lit(0.0)).alias("score"))
+
+
+ORACLE["op4_licenses"] = oracles.licenses_sql(licenses.TEMPLATES, licenses.words_of, licenses.WORD, licenses.K)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import licenses, oracles, secrets, simhash
+from lakeops.llm import licenses, oracles, secrets, simhash, winnow
 from lakeops.llm.common import read_table
 from lakeops.session import scratch_path
 
@@ -66,3 +66,9 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op4_licenses"] = oracles.licenses_sql(licenses.TEMPLATES, licenses.words_of, licenses.WORD, licenses.K)
+
+
+@query
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of every document, its edited text and the next document."""
+    return winnow.edited_pairs(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

@@ -21,6 +21,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,11 +37,14 @@ def _power(base: int, n: int) -> np.uint64:
 
 def rolling_hashes(codes: np.ndarray, k: int = K) -> np.ndarray:
     """32-bit hashes of every run of ``k`` code points (of all of them, if fewer)."""
+    if k & (k - 1):
+        raise ValueError("k must be a power of two")
     h = codes.astype(np.uint64) + np.uint64(1)
     if len(h) < k:
-        for m in (h[i:i + 1] for i in range(1, len(h))):
-            h = np.concatenate((h[:1] * _BASE + m, h[1:])) if len(m) else h
-        h = h[:1]
+        whole = 0
+        for code in h.tolist():
+            whole = (whole * int(_BASE) + code) & 0xFFFFFFFFFFFFFFFF
+        h = np.array([whole], np.uint64)
     else:
         m = 1
         while m < k:
@@ -101,39 +105,42 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def with_next(docs: DataFrame, id_col: str, text_col: str, parts: int | None = None) -> DataFrame:
     """Rows dealt so that each task holds runs of consecutive ids and the row after each run.
 
-    ``(part, id, text, extra)``, sorted by part and order within each partition;
-    ``extra`` marks the row that only follows a run.  Rows are ordered by id
-    (null first), then by text.  Only ids are summed up on the driver: one per
-    part.
+    ``(part, extra, id, text)``, sorted so within each partition; ``extra`` marks
+    the row that only follows a run.  Rows are ordered by id (null first), then by
+    text.  The driver sees one cut and one id per part, whatever the table's size;
+    the text is shuffled once.
     """
     spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or 4 * n  # several runs a task, so that tasks even out
+    # A null id sorts first; in the search for its part the smallest integer stands for it.
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    cuts = rows.select(F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], 10000)
-                       .alias("cuts")).first()["cuts"] or []
-    cuts = sorted(set(cuts))
-    # The part of a row: how many cuts are at most its id.
-    part = F.when(F.col("id").isNull(), 0).otherwise(
-        F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>"), lambda c: c <= F.col("id")))
-        if cuts else F.lit(0))
-    rows = rows.withColumn("part", part)
-    # The first id of each part that has rows, and the part before it (cyclic).
-    firsts = rows.groupBy("part").agg(F.min(F.struct(F.col("id").isNotNull().alias("some"), "id")).alias("f")) \
-        .select("part", "f.id").orderBy("part").collect()
-    before = {f["part"]: firsts[i - 1]["part"] for i, f in enumerate(firsts)}
-    lead = {f["part"]: f["id"] for f in firsts}
-    leading = F.lit(False)
-    if firsts:
-        heads = F.create_map(*[x for p in lead for x in (F.lit(p), F.lit(lead[p]).cast("bigint"))])
-        befores = F.create_map(*[x for p in before for x in (F.lit(p), F.lit(before[p]))])
-        leading = F.col("id").eqNullSafe(heads[F.col("part")])
-    else:
-        befores = F.create_map(F.lit(0), F.lit(0))
-    own = F.struct(F.col("part").alias("part"), F.lit(False).alias("extra"))
-    follows = F.struct(befores[F.col("part")].alias("part"), F.lit(True).alias("extra"))
-    dealt = rows.select("id", "text", F.explode(F.when(leading, F.array(own, follows)).otherwise(F.array(own)))
-                        .alias("to")).select("to.part", "to.extra", "id", "text")
-    return dealt.repartition(parts, "part").sortWithinPartitions("part", "extra", "id", "text")
+    key = F.coalesce("id", F.lit(-(1 << 63)))
+    found = rows.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 10 * parts)).first()[0]
+    cuts = np.array(sorted(set(found or [])), np.int64)
+
+    @F.pandas_udf("int")
+    def part_of(ids: pd.Series) -> pd.Series:
+        return pd.Series(_parts(ids, cuts))
+
+    firsts = sorted(map(tuple, rows.groupBy(part_of(key).alias("part")).agg(F.min(key)).collect()))
+    lead = dict(firsts)
+    before = {part: firsts[i - 1][0] for i, (part, _) in enumerate(firsts)}  # cyclic
+
+    @F.pandas_udf("array<struct<part:int,extra:boolean>>")
+    def targets(ids: pd.Series) -> pd.Series:
+        """A row's own part, and the part before it if it has that part's first id."""
+        return pd.Series([[{"part": p, "extra": False}] + [{"part": before[p], "extra": True}] * (i == lead[p])
+                          for p, i in zip(_parts(ids, cuts).tolist(), ids.tolist())], dtype=object)
+
+    dealt = rows.select("id", "text", F.inline(targets(key)))
+    return (dealt.select("part", "extra", "id", "text").repartition(n, "part")
+            .sortWithinPartitions("part", "extra", "id", "text"))
+
+
+def _parts(ids: pd.Series, cuts: np.ndarray) -> np.ndarray:
+    """How many cuts are at most the id."""
+    return np.searchsorted(cuts, ids.to_numpy(np.int64), "right").astype(np.int32)
 
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, w: int = W) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import licenses, oracles, secrets, simhash, winnow
+from lakeops.llm import langid, licenses, oracles, secrets, simhash, winnow
 from lakeops.llm.common import read_table
 from lakeops.session import scratch_path
 
@@ -72,3 +72,13 @@ ORACLE["op4_licenses"] = oracles.licenses_sql(licenses.TEMPLATES, licenses.words
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowing fingerprints of every document, its edited text and the next document."""
     return winnow.edited_pairs(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.learn_from_documents(docs)
+    predicted = langid.predict_column(spark, model, F.col("text"))
+    return (docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), predicted.alias("p"))
+            .select("doc_id", "held_out", "p.lang_pred", "p.score"))

@@ -121,9 +121,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # Documents end to end in the order of a hash; the row number tells repeats apart.
     numbered = rows.join(sources.select("none", "source", "sid", F.col("size").alias("source_size"), "target"),
                          ["none", "source"])
-    shuffled = F.xxhash64("id", "key", F.lit("mix"))
+    shuffled = F.md5(F.concat(F.lit("mix"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
     laid = chunked_running(
-        numbered.withColumn("order", shuffled).withColumn("chunk", F.shiftright(shuffled, 64 - 12)),
+        numbered.withColumn("order", shuffled).withColumn("chunk", F.substring(shuffled, 1, 3)),
         ["sid"], "chunk", ["order", "id", "key"], "size", "begin")
     laid = materialise(laid.select("sid", "id", "key", "size", "source_size", "target", "begin"), "mix-laid")
     # How often each block is taken: its source's slots in turn, at most ``cap`` rounds.

@@ -61,3 +61,43 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, la
        coalesce(b, '') AS base_labels, coalesce(a, '') AS labels, coalesce(score, 0.0) AS score
 FROM w LEFT JOIN f USING (doc_id)
 """
+
+
+def mixture_ctes(docs: str = "documents", slots: int = 1 << 22, least_block: int = 32) -> str:
+    return f"""
+r AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM {docs}),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid
+       FROM r GROUP BY source),
+s1 AS (SELECT *, 1 + sid % 3 AS weight, sum(size) OVER () AS total FROM s0),
+s2 AS (SELECT *, coalesce(sum(3 * size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+              sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+       FROM s1 WINDOW o AS (ORDER BY size / CAST(weight AS DOUBLE), sid)),
+s3 AS (SELECT *, 3 * size * rest < (total - capped) * weight AS filled FROM s2),
+s4 AS (SELECT source, sid, size, total, CASE WHEN filled THEN CAST(3 * size AS DOUBLE) ELSE
+              CAST(weight * (total - coalesce(sum(3 * size) FILTER (filled) OVER (), 0)) AS DOUBLE)
+              / CAST(sum(weight) FILTER (NOT filled) OVER () AS DOUBLE) END AS target FROM s3),
+b AS (SELECT CAST(greatest({least_block}, (total + {slots - 1}) // {slots}) AS BIGINT) AS block, CAST(total AS BIGINT) AS total
+      FROM (SELECT max(total) AS total FROM s4)),
+p AS (SELECT sid, CAST(floor(target / CAST(total AS DOUBLE) * 4294967296) AS BIGINT) AS part FROM s4),
+h AS (SELECT sid, sum(part) OVER (ORDER BY sid) - part AS low,
+             CASE WHEN sid = max(sid) OVER () THEN 4294967296 ELSE sum(part) OVER (ORDER BY sid) END AS high FROM p),
+t AS (SELECT slot, (slot * 2654435769 + 2147483648) % 4294967296 AS point
+      FROM (SELECT unnest(range(CAST((total + block - 1) // block AS BIGINT))) AS slot FROM b)),
+k AS (SELECT sid, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank
+      FROM t JOIN h ON point >= low AND point < high),
+n AS (SELECT sid, rank % ((size + block - 1) // block) AS blk, count(*) AS times
+      FROM k JOIN s4 USING (sid), b WHERE size > 0 AND rank < 3 * ((size + block - 1) // block) GROUP BY ALL),
+l AS (SELECT r.*, sid, s4.size AS source_size, target, CAST(sum(r.size) OVER
+             (PARTITION BY sid ORDER BY md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - r.size AS BIGINT) AS start
+      FROM r JOIN s4 ON r.source IS NOT DISTINCT FROM s4.source),
+u AS (SELECT *, unnest(range(start // block, (start + size - 1) // block + 1)) AS blk FROM l, b WHERE size > 0),
+mixed AS (SELECT l.*, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM l LEFT JOIN (
+      SELECT doc_id, sum((least(start + size, (blk + 1) * block) - greatest(start, blk * block)) * times) AS taken
+      FROM u JOIN n USING (sid, blk) GROUP BY doc_id) USING (doc_id))"""
+
+
+def mixture_sql() -> str:
+    return f"""
+WITH {mixture_ctes()}
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, taken FROM mixed
+"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import langid, licenses, oracles, secrets, simhash, winnow
+from lakeops.llm import langid, licenses, mixture, oracles, secrets, simhash, winnow
 from lakeops.llm.common import read_table
 from lakeops.session import scratch_path
 
@@ -82,3 +82,13 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     predicted = langid.predict_column(spark, model, F.col("text"))
     return (docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), predicted.alias("p"))
             .select("doc_id", "held_out", "p.lang_pred", "p.score"))
+
+
+@query
+def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix by source weights takes of every document."""
+    return (mixture.mix(read_table(spark, sf_dir, "documents"), weights=(1, 2, 3), cap=3)
+            .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"))
+
+
+ORACLE["op2_mixture"] = oracles.mixture_sql()

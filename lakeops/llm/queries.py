@@ -11,10 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import langid, licenses, mixture, oracles, secrets, simhash, winnow
+from lakeops.llm import langid, licenses, mixture, oracles, secrets, sentencepiece_codec, simhash, winnow
 from lakeops.llm.common import read_table
 from lakeops.session import scratch_path
 
+# A public model file, read on the driver and broadcast.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -92,3 +95,11 @@ def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op2_mixture"] = oracles.mixture_sql()
+
+
+@query
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded into pieces and decoded again."""
+    model = sentencepiece_codec.read_model(PIECES)
+    return (sentencepiece_codec.encoded_digests(read_table(spark, sf_dir, "documents"), model)
+            .withColumnRenamed("id", "doc_id"))

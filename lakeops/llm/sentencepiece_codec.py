@@ -27,6 +27,7 @@ get equal ids.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -42,7 +43,9 @@ from pyspark.sql import functions as F
 MARK = "▁"
 # Stands in for a U+2581 of the text itself; not a character that text can hold.
 _LITERAL = "\ud800"
-_BYTE_SCORE = -30.0  # below any piece: bytes are the last resort
+# Scores are added up as integers, in so many parts of one: sums do not depend on their order.
+_PARTS = 1 << 20
+_BYTE_SCORE = -30 * _PARTS  # below any piece: bytes are the last resort
 _REMEMBERED = 1 << 18
 _UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -56,14 +59,14 @@ class Codec:
     """Encoder and decoder of one model (the bytes of its file)."""
 
     def __init__(self, model: bytes):
-        import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as proto
 
         told = proto.ModelProto()
         told.ParseFromString(model)
         kinds = proto.ModelProto.SentencePiece
         unigram = told.trainer_spec.model_type == proto.TrainerSpec.UNIGRAM
-        del sentencepiece
+        # Words can be solved one by one only if no piece reaches from one into the next.
+        self.by_word = all(MARK not in p.piece.lstrip(MARK) for p in told.pieces)
         self.pieces = [p.piece for p in told.pieces]
         self.byte_of: dict[int, int] = {}
         self.byte_id: dict[int, int] = {}
@@ -77,15 +80,14 @@ class Codec:
                 self.unknown = i
             elif p.type in (kinds.NORMAL, kinds.USER_DEFINED):
                 score = p.score if unigram else -math.log1p(max(0.0, -p.score))
-                self.automaton.add_word(p.piece, (i, len(p.piece), score))
+                self.automaton.add_word(p.piece, (i, len(p.piece), round(score * _PARTS)))
         self.automaton.make_automaton()
-        self.longest_marks = max((len(p) - len(p.lstrip(MARK)) for p in self.pieces), default=1)
         self.memory: dict[str, list[int]] = {}
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the best segmentation of a framed text."""
         n = len(text)
-        best = [0.0] + [-math.inf] * n
+        best = [0] * (n + 1)
         count = [0] * (n + 1)
         back: list[tuple[int, int] | None] = [None] * (n + 1)
         at = 1  # positions before it are final, or have a character's bytes to offer
@@ -126,7 +128,7 @@ class Codec:
             return []
         framed = MARK + text.replace(MARK, _LITERAL).replace(" ", MARK)
         ids: list[int] = []
-        for unit in _UNITS.findall(framed):
+        for unit in _UNITS.findall(framed) if self.by_word else [framed]:
             known = self.memory.get(unit)
             if known is None:
                 if len(self.memory) >= _REMEMBERED:
@@ -195,8 +197,6 @@ def encoded_digests(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_
     Each text is encoded and its ids decoded in one pass; ``exact``: the decoded
     text equals the text.
     """
-    import hashlib
-
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import langid, licenses, mixture, oracles, secrets, sentencepiece_codec, simhash, winnow
+from lakeops.llm import ann, langid, licenses, mixture, oracles, secrets, sentencepiece_codec, simhash, suffix_dedup, winnow
 from lakeops.llm.common import read_table
 from lakeops.session import scratch_path
 
@@ -103,3 +103,18 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = sentencepiece_codec.read_model(PIECES)
     return (sentencepiece_codec.encoded_digests(read_table(spark, sf_dir, "documents"), model)
             .withColumnRenamed("id", "doc_id"))
+
+
+@query
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth vector."""
+    found = ann.search(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its strings of 50 bytes that an earlier one holds."""
+    found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=50)
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+                        F.col("kept").alias("kept_sha256"))

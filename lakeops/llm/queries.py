@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, langid, licenses, mixture, oracles, secrets, sentencepiece_codec, simhash, suffix_dedup, winnow
+from lakeops.llm import ann, chains, langid, licenses, mixture, oracles, secrets, sentencepiece_codec, simhash, suffix_dedup, winnow
 from lakeops.llm.common import read_table
 from lakeops.session import scratch_path
 
@@ -118,3 +118,12 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=50)
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
                         F.col("kept").alias("kept_sha256"))
+
+
+@query
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of documents that repeat, perhaps with changes, in others."""
+    found = chains.passages(read_table(spark, sf_dir, "documents"), k=5, least=40, identity=0.8)
+    return found.select(F.col("id").alias("doc_id"), F.col("start").alias("first_word"), F.col("end").alias("end_word"),
+                        F.col("other_id").alias("other_doc_id"), F.col("other_start").alias("other_first_word"),
+                        F.col("other_end").alias("other_end_word"), "identity")

@@ -124,14 +124,14 @@ class BlobLedger:
         (done.join(seen, "blob", "left_anti").write.mode("append").parquet(f"{self.path}/scans"))
         return name
 
-    def join_back(self, versions: DataFrame, version: str, content: str = "content") -> DataFrame:
+    def join_back(self, versions: DataFrame, version: str, content: str = "content", blob: str = "blob",
+                  spans: str = "spans") -> DataFrame:
         """``versions`` without its content, each row with its ``blob`` and ``spans``."""
         text = F.coalesce(F.col(content), F.lit(""))
-        rows = versions.withColumn("blob", F.sha2(text, 256)).drop(content)
+        rows = versions.withColumn(blob, F.sha2(text, 256)).drop(content)
         found = (self.findings().where((F.col("rule_version") == version) & (F.size("spans") > 0))
-                 .select("blob", "spans").dropDuplicates(["blob"]))
-        return rows.join(found, "blob", "left").withColumn(
-            "spans", F.coalesce("spans", F.array().cast(SPANS)))
+                 .select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob]))
+        return rows.join(found, blob, "left").withColumn(spans, F.coalesce(spans, F.array().cast(SPANS)))
 
 
 def spans_text(spans: Column) -> Column:

@@ -42,6 +42,7 @@ GRAM = 16
 _CHUNK = 1 << 17  # bytes whose hashes are made at once, to stay in a core's cache
 _BASE = 0x9E3779B97F4A7C15  # odd
 _LAST = (1 << 63) - 1  # stands for a null id
+_SUBS = 16
 
 
 def rolling_hashes(data: np.ndarray) -> np.ndarray:
@@ -103,33 +104,37 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     words = np.concatenate((data, np.zeros(depth + 8, np.uint8))).astype(np.uint64)
     for m in (1, 2, 4):
         words = (words[:-m] << np.uint64(8 * m)) | words[m:]
-    words = words[:n + depth]
-    order = np.argsort(words[:n], kind="stable")
-    rank = np.zeros(n + depth, np.int64)
-    sorted_words = words[order]
-    begins = np.concatenate(([True], sorted_words[1:] != sorted_words[:-1]))
-    del sorted_words
-    rank[order] = np.flatnonzero(begins)[np.cumsum(begins) - 1]
-    rank[n:] = -1
+    words = words[:n + depth].copy()
+    order = np.argsort(words[:n]).astype(np.int32)
+    by_word = words[order]
+    begins = np.concatenate(([True], by_word[1:] != by_word[:-1]))
+    del by_word
+    rank = np.full(n + depth, -1, np.int32)
+    rank[order] = _group_begins(begins)
     done = 8
     while done < depth:
-        alone = begins & np.concatenate((begins[1:], [True]))
-        slots = np.flatnonzero(~alone)
+        slots = np.flatnonzero(~(begins & np.concatenate((begins[1:], [True])))).astype(np.int32)
         if not len(slots):
             break
         step = min(done, depth - done)
         at = order[slots]
         keys = (rank[at].astype(np.uint64) << np.uint64(32)) | (rank[at + step] + 1).astype(np.uint64)
-        by = np.argsort(keys, kind="stable")
+        by = np.argsort(keys)
         at, keys = at[by], keys[by]
+        del by
         order[slots] = at
         fresh = np.concatenate(([True], keys[1:] != keys[:-1]))
         begins[slots] = fresh
-        rank[at] = slots[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+        rank[at] = slots[_group_begins(fresh)]
         done += step
     return order, words
 
 
+def _group_begins(begins: np.ndarray) -> np.ndarray:
+    """For each place, where its group begins."""
+    return np.maximum.accumulate(np.where(begins, np.arange(len(begins), dtype=np.int32), np.int32(0)))
+
+
 def common_prefixes(order: np.ndarray, words: np.ndarray, limit: int) -> np.ndarray:
     """Bytes that each position of ``order`` has in common with the one before it, up to ``limit``."""
     common = np.zeros(len(order), np.int64)
@@ -182,8 +187,13 @@ def _joined(group: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
-                   shard_bytes: int = 4 << 20) -> DataFrame:
-    """``(id, n_bytes, n_removed, n_spans, kept)`` for each row; ``kept``: the remaining bytes' SHA-256."""
+                   shard_bytes: int = 4 << 20, part_bytes: int = 16 << 20) -> DataFrame:
+    """``(id, n_bytes, n_removed, n_spans, kept)`` for each row; ``kept``: the remaining bytes' SHA-256.
+
+    ``shard_bytes`` of text make a shard of documents; the range of anchors of
+    ``part_bytes`` of text makes a part, whose suffix arrays are built one after the
+    other for ``_SUBS`` residues of the anchor, which bounds a task's memory.
+    """
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc"),
@@ -192,10 +202,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", F.octet_length("data")), F.lit(shards)).cast("int"))
-    width = (1 << 64) // shards + 1
+    parts = max(1, -(-total // part_bytes))
+    width = (1 << 64) // parts + 1
 
     def range_of(hashes: np.ndarray) -> np.ndarray:
-        return (hashes // np.uint64(width) if shards > 1 else hashes * np.uint64(0)).astype(np.int32)
+        return (hashes // np.uint64(width) if parts > 1 else hashes * np.uint64(0)).astype(np.int32)
 
     def name_anchors(group: pd.DataFrame) -> pd.DataFrame:
         group, data, ends = _joined(group)
@@ -228,7 +239,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pd.DataFrame(made, columns=["shard", "hashes"])
 
     def cut_segments(group: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        columns = ["part", "shard", "ids", "starts", "sizes", "data", "gone"]
+        columns = ["part", "shard", "counts", "ids", "starts", "sizes", "data", "gone"]
         if not len(group) or not len(found):
             return pd.DataFrame([], columns=columns)
         group, data, ends = _joined(group)
@@ -238,12 +249,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         keep = np.flatnonzero(shared[at] == hashes)
         first, last, hashes = first[keep], last[keep], hashes[keep]
         ids = group["id"].to_numpy(np.int64)[np.searchsorted(ends, first, "right")]
-        parts = range_of(hashes)
-        order = np.argsort(parts, kind="stable")  # within a part by position, and so by id
-        first, stop, ids, parts = first[order], last[order] + length, ids[order], parts[order]
+        part, sub = range_of(hashes), (hashes % np.uint64(_SUBS)).astype(np.int32)
+        order = np.lexsort((first, sub, part))  # by position, and so by id, within a part and residue
+        first, stop, ids, part, sub = first[order], last[order] + length, ids[order], part[order], sub[order]
         whole = data.tobytes()
         made = []
-        for part, a, b in _slices(parts):
+        for value, a, b in _slices(part):
             seen: dict[bytes, int] = {}
             sent, gone = [], []
             for i, (x, y, doc) in enumerate(zip(first[a:b].tolist(), stop[a:b].tolist(), ids[a:b].tolist()), a):
@@ -252,36 +263,44 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     sent.append(i)
                 else:
                     gone += (x, y)
-            made.append((part, int(group["shard"][0]), ids[sent].tobytes(), first[sent].astype(np.int32).tobytes(),
+            made.append((value, int(group["shard"][0]), np.bincount(sub[sent], minlength=_SUBS).astype(np.int32).tobytes(),
+                         ids[sent].tobytes(), first[sent].astype(np.int32).tobytes(),
                          (stop[sent] - first[sent]).astype(np.int32).tobytes(),
                          b"".join([whole[x:y] for x, y in zip(first[sent].tolist(), stop[sent].tolist())]),
                          np.array(gone, np.int32).tobytes()))
         return pd.DataFrame(made, columns=columns)
 
     def match_segments(group: pd.DataFrame) -> pd.DataFrame:
-        known: dict[bytes, int] = {}
-        which, ids, starts, owner = [], [], [], []
         gone = {s: [] for s in group["shard"]}
-        for shard, i, s, n, blob, out in zip(*(group[c] for c in ("shard", "ids", "starts", "sizes", "data", "gone"))):
-            ends = np.cumsum(np.frombuffer(n, np.int32)).tolist()
-            for a, b in zip([0, *ends], ends):
-                which.append(known.setdefault(blob[a:b], len(known)))
-            ids.append(np.frombuffer(i, np.int64))
-            starts.append(np.frombuffer(s, np.int32))
-            owner.append(np.full(len(ends), shard, np.int32))
+        rows = []
+        for shard, counts, i, s, n, blob, out in zip(*(group[c] for c in (
+                "shard", "counts", "ids", "starts", "sizes", "data", "gone"))):
             gone[shard].append(np.frombuffer(out, np.int32).reshape(-1, 2))
-        which, ids, starts, owner = np.array(which, np.int64), *map(np.concatenate, (ids, starts, owner))
-        if len(which):
+            rows.append((shard, np.cumsum(np.frombuffer(counts, np.int32)).tolist(), np.frombuffer(i, np.int64),
+                         np.frombuffer(s, np.int32), [0, *np.cumsum(np.frombuffer(n, np.int32)).tolist()], blob))
+        for sub in range(_SUBS):
+            known: dict[bytes, int] = {}
+            which, ids, starts, owner = [], [], [], []
+            for shard, until, i, s, ends, blob in rows:
+                a, b = until[sub - 1] if sub else 0, until[sub]
+                which += [known.setdefault(blob[x:y], len(known)) for x, y in zip(ends[a:b], ends[a + 1:b + 1])]
+                ids.append(i[a:b])
+                starts.append(s[a:b])
+                owner.append(np.full(b - a, shard, np.int32))
+            if not which:
+                continue
+            which, ids, starts, owner = np.array(which, np.int64), *map(np.concatenate, (ids, starts, owner))
             occurrence, offset = repeated(list(known), which, ids, length)
-            if len(occurrence):
-                # Windows next to each other are one span.
-                fresh = np.concatenate(([True], (occurrence[1:] != occurrence[:-1]) | (offset[1:] != offset[:-1] + 1)))
-                a = np.flatnonzero(fresh)
-                b = np.concatenate((a[1:], [len(fresh)])) - 1
-                spans = np.stack((starts[occurrence[a]] + offset[a], starts[occurrence[b]] + offset[b] + length), 1)
-                shard = owner[occurrence[a]]
-                for s in np.unique(shard).tolist():
-                    gone[s].append(spans[shard == s].astype(np.int32))
+            if not len(occurrence):
+                continue
+            # Windows next to each other are one span.
+            fresh = np.concatenate(([True], (occurrence[1:] != occurrence[:-1]) | (offset[1:] != offset[:-1] + 1)))
+            a = np.flatnonzero(fresh)
+            b = np.concatenate((a[1:], [len(fresh)])) - 1
+            spans = np.stack((starts[occurrence[a]] + offset[a], starts[occurrence[b]] + offset[b] + length), 1)
+            order = np.argsort(owner[occurrence[a]], kind="stable")
+            for shard, x, y in _slices(owner[occurrence[a]][order]):
+                gone[shard].append(spans[order[x:y]].astype(np.int32))
         made = [(s, np.concatenate(x).tobytes()) for s, x in gone.items()]
         return pd.DataFrame([m for m in made if m[1]], columns=["shard", "spans"])
 
@@ -308,7 +327,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     anchors = by_shard.applyInPandas(name_anchors, "part int, shard int, hashes binary, several binary")
     shared = anchors.groupBy("part").applyInPandas(merge_anchors, "shard int, hashes binary")
     segments = by_shard.cogroup(shared.groupBy("shard")).applyInPandas(
-        cut_segments, "part int, shard int, ids binary, starts binary, sizes binary, data binary, gone binary")
+        cut_segments, "part int, shard int, counts binary, ids binary, starts binary, sizes binary, data binary, "
+                      "gone binary")
     spans = segments.groupBy("part").applyInPandas(match_segments, "shard int, spans binary")
     return rows.groupBy("shard").cogroup(spans.groupBy("shard")).applyInPandas(
         cut_out, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept string")

@@ -1,0 +1,80 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from lakeops.llm import suffix_dedup as sd
+from llm_cases import edge_docs, edge_rows, no_docs
+
+
+def plain(rows, length=50):
+    """By looking up every string; rows with equal ids do not remove each other's."""
+    last = (1 << 63) - 1
+    least = {}
+    for i, t in rows:
+        b = (t or "").encode()
+        for p in range(len(b) - length + 1):
+            w = b[p:p + length]
+            least[w] = min(least.get(w, last), last if i is None else i)
+    out = []
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for p in range(len(b) - length + 1):
+            if least[b[p:p + length]] < (last if i is None else i):
+                gone[p:p + length] = True
+        runs = int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum())
+        out.append((i, len(b), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, **params):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    return sorted(map(tuple, sd.remove_repeats(docs, **params).collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed,length,alphabet", [(1, 50, "abcdefg é"), (2, 20, "ab"), (3, 16, "abc")])
+def test_against_every_string(spark, seed, length, alphabet):
+    rng = random.Random(seed)
+    pool = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(10, 150))) for _ in range(25)]
+    rows = [(i // 2 if i % 11 == 0 else i, "".join(rng.choice(pool)[rng.randrange(9):] for _ in range(rng.randrange(8))))
+            for i in range(120)]
+    rows += [(200, rows[3][1]), (None, rows[3][1]), (201, None), (202, "a" * 400), (203, "a" * 77)]
+    assert run(spark, rows, length=length, shard_bytes=1500) == plain(rows, length)
+
+
+def test_edges(spark):
+    got = sorted(map(tuple, sd.remove_repeats(edge_docs(spark)).collect()), key=repr)
+    assert got == plain([(r[0], r[1]) for r in edge_rows()])
+    assert sd.remove_repeats(no_docs(spark)).count() == 0
+
+
+def test_suffix_array_and_common_prefixes():
+    rng = random.Random(4)
+    data = bytes(rng.choice(b"ab") for _ in range(700)) + b"abab" * 60 + b"\x00" * 20
+    order, words = sd.suffix_array(np.frombuffer(data, np.uint8), 50)
+    padded = data + b"\x00" * 50
+    keys = [padded[i:i + 50] for i in order.tolist()]
+    assert keys == sorted(keys) and sorted(order.tolist()) == list(range(len(data)))
+
+    def common(a, b):
+        return next((j for j in range(50) if a[j] != b[j]), 50)
+
+    got = sd.common_prefixes(order, words, 50).tolist()
+    assert got[1:] == [common(a, b) for a, b in zip(keys, keys[1:])]
+
+
+def test_anchors_depend_on_the_window_alone():
+    rng = random.Random(5)
+    shared = bytes(rng.choice(b"abcd") for _ in range(300))
+    sides = [bytes(rng.choice(b"abcd") for _ in range(n)) for n in (70, 131)]
+    named = []
+    for side in sides:
+        data = np.frombuffer(side + shared, np.uint8)
+        first, last, hashes = sd.anchor_runs(data, np.array([len(data)]), 50)
+        of = {}
+        for a, b, h in zip(first.tolist(), last.tolist(), hashes.tolist()):
+            of.update({p - len(side): h for p in range(a, b + 1)})
+        named.append({p: h for p, h in of.items() if p >= 0})
+    assert named[0] == named[1] and len(named[0]) == 251

@@ -107,10 +107,16 @@ def lake_window(cols: Sequence[str], mark: Column, days: int = DEFAULT_WINDOW_DA
     the mark are counted on this side only; ``upper_bound=True`` gives the
     symmetric check.
     """
-    value = first_of([F.col(c) for c in cols])
-    if upper_bound:
-        return bounded_window(value, mark, days)
-    return value > days_before(mark, days)
+    columns = [F.col(c) for c in cols]
+    low = days_before(mark, days)
+
+    def inside(value: Column) -> Column:
+        return bounded_window(value, mark, days) if upper_bound else value > low
+
+    if len(columns) == 1:
+        return inside(columns[0])
+    # COALESCE cannot be pushed into a scan; that one of the columns is inside follows from it and can.
+    return inside(first_of(columns)) & any_of([inside(c) for c in columns])
 
 
 def loaded_up_to(key: str, offset: int | Column) -> Column:
@@ -118,15 +124,23 @@ def loaded_up_to(key: str, offset: int | Column) -> Column:
     return F.col(key) <= (offset if isinstance(offset, Column) else F.lit(offset))
 
 
-def pending(key: str, mark) -> Column:
-    """Rows past the high-water mark, the incremental extract (FLT-6)."""
+def pending(key: str | Sequence[str], mark) -> Column:
+    """Rows past the high-water mark, the incremental extract (FLT-6).
+
+    Of several key columns the first that is not null counts; that any of them
+    is past the mark follows from it, and is said besides because a scan can
+    prune by it.
+    """
     if isinstance(mark, Column):
         bound = mark
     elif isinstance(mark, (dt.datetime, dt.date)):
         bound = ts_literal(mark)
     else:
         bound = F.lit(mark)
-    return F.col(key) > bound
+    cols = [F.col(key)] if isinstance(key, str) else [F.col(k) for k in key]
+    if len(cols) == 1:
+        return cols[0] > bound
+    return (first_of(cols) > bound) & any_of([c > bound for c in cols])
 
 
 def any_of(preds: Sequence[Column]) -> Column:

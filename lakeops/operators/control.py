@@ -2,7 +2,9 @@
 
 Columns: ``id, groupid, sql_query, source, schemaname, tablename, loadtype,
 startdatetime, data_validation_column, offset_value, active,
-data_validation_required, priority`` and, optionally, ``merge_key``.
+data_validation_required, priority`` and, optionally, ``merge_key`` and
+``base_query`` (the extract without its incremental predicate, for
+reconciliation).
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ CONTROL_SCHEMA = T.StructType([
 
 _SELECTED = ["id", "groupid", "sql_query", "source", "schemaname", "tablename",
              "loadtype", "startdatetime", "data_validation_column", "offset_value",
-             "priority", "merge_key"]
+             "priority", "merge_key", "base_query"]
+OPTIONAL = ("merge_key", "base_query")
 
 
 class LoadMode(str, Enum):
@@ -57,6 +60,7 @@ class ControlEntry:
     priority: int | None = None
     merge_key: str | None = None
     schemaname: str | None = None
+    base_query: str | None = None
 
     @property
     def mode(self) -> LoadMode | None:
@@ -82,8 +86,9 @@ def _filtered(control: DataFrame, group_id: int, validation: bool) -> DataFrame:
     cond = (F.col("groupid") == F.lit(group_id)) & (F.col("active") == 1)
     if validation:
         cond = cond & (F.col("data_validation_required") == 1)
-    if "merge_key" not in control.columns:
-        control = control.withColumn("merge_key", F.lit(None).cast("string"))
+    for c in OPTIONAL:
+        if c not in control.columns:
+            control = control.withColumn(c, F.lit(None).cast("string"))
     return (control.where(cond)
             .select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "startdatetime"
                       else F.col(c) for c in _SELECTED])
@@ -114,5 +119,6 @@ def to_entries(scanned: DataFrame) -> list[ControlEntry]:
             tablename=d["tablename"], loadtype=d["loadtype"], startdatetime=d["startdatetime"],
             data_validation_column=d["data_validation_column"],
             offset_value=d["offset_value"], priority=d["priority"],
-            merge_key=d.get("merge_key"), schemaname=d.get("schemaname")))
+            merge_key=d.get("merge_key"), schemaname=d.get("schemaname"),
+            base_query=d.get("base_query")))
     return out

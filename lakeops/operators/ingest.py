@@ -8,17 +8,24 @@
   audit row each (ING-4, SNK-4).
 
 Row counts and new marks come from ``Observation`` metrics gathered while the
-write runs, so no load scans its input twice.  A merge never reads and
-overwrites the same files in one plan: the merged rows are first written to
-the shared scratch folder (which also cuts the lineage), then moved into the
-target.  On a partitioned target only the partitions holding updated keys
-are rewritten (dynamic partition overwrite, SNK-3).
+extract is read.  A merge reads its source once, into the shared scratch
+folder: keys, touched partitions and written rows all come from that copy, so a
+source that moves (or a tie that falls another way) cannot make them
+disagree.  The merged rows are staged there too, then moved into the target; on a
+partitioned target only the partitions holding updated keys are rewritten
+(dynamic partition overwrite, SNK-3).  Keys and partition values are compared
+null-safe: NULL is a value like any other.
+
+A target keeps its layout: partition columns, provider and table properties are
+taken from it unless given.  After each load the rows are counted in the target;
+a load whose rows cannot be read back raises instead of reporting success.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -27,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.formatting import hms, truncate_error
-from lakeops.functions.predicates import pending, split_columns
+from lakeops.functions.predicates import first_of, pending, split_columns
 from lakeops.operators.control import ControlEntry
 from lakeops.session import drop_scratch, scratch_path
 
@@ -58,23 +65,61 @@ class LakeLocation:
             return self.spark.read.parquet(self.path(table))
         return self.spark.table(self.name(table))
 
+    def partitions(self, table: str) -> list[str]:
+        """Partition columns of an existing target, in folder order."""
+        if self.root:
+            return _folder_partitions(self.spark, self.path(table))
+        return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
+
+    def described(self, table: str, key: str) -> str | None:
+        row = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").where(F.col("col_name") == key).first()
+        return row["data_type"] if row else None
+
     def write(self, df: DataFrame, table: str, mode: str,
               partition_by: list[str] | None = None) -> None:
         """``overwrite`` on a partitioned table replaces only the partitions in ``df``."""
+        if not self.root and self.exists(table):
+            name = self.name(table)
+            df = df.select(*self.spark.table(name).columns)
+            parts = self.partitions(table)
+            if mode != "overwrite" or not parts:
+                df.write.mode(mode).insertInto(name, overwrite=(mode == "overwrite"))
+                return
+            # An insert follows the session's overwrite mode; a write to the table's folder
+            # follows its own, so other partitions are safe whatever the session says.
+            (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+             .format(self.described(table, "Provider") or "parquet").partitionBy(*parts)
+             .save(self.described(table, "Location")))
+            self.spark.catalog.recoverPartitions(name)
+            self.spark.catalog.refreshTable(name)
+            return
         w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
         if self.root:
-            if partition_by:
-                w = w.partitionBy(*partition_by)
             w.parquet(self.path(table))
-        elif self.exists(table):
-            cols = self.spark.table(self.name(table)).columns
-            df.select(*cols).write.mode(mode).option("partitionOverwriteMode", "dynamic") \
-                .insertInto(self.name(table), overwrite=(mode == "overwrite"))
         else:
-            if partition_by:
-                w = w.partitionBy(*partition_by)
             w.format("parquet").saveAsTable(self.name(table))
 
+    def replace(self, df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
+        """The whole table becomes ``df``; a catalog table keeps its provider and properties."""
+        # Static mode: every partition is replaced, not only those in the extract.
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        if self.root:
+            w.parquet(self.path(table))
+            return
+        name, kept, provider = self.name(table), [], "parquet"
+        if self.exists(table):
+            provider = self.described(table, "Provider") or provider
+            kept = [(r["key"], r["value"]) for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+                    if not r["key"].startswith(("transient_", "spark.", "option."))]
+        w.format(provider).saveAsTable(name)
+        if kept:
+            told = ", ".join("'{}' = '{}'".format(*(x.replace("\\", "\\\\").replace("'", "\\'") for x in kv)) for kv in kept)
+            self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({told})")
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -82,146 +127,204 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _folder_partitions(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a Parquet folder, from the names of its first sub-folders."""
+    found: list[str] = []
+    fs, folder = _fs(spark, path)
+    while True:
+        below = [st.getPath() for st in fs.listStatus(folder) if st.isDirectory() and "=" in st.getPath().getName()
+                 and not st.getPath().getName().startswith(("_", "."))]
+        if not below:
+            return found
+        folder = below[0]
+        found.append(folder.getName().split("=", 1)[0])
+
+
+def delete_file(spark: SparkSession, url: str) -> None:
+    """Delete a file that ``_metadata.file_path`` names (URL-encoded); raise if it is still there."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(url))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.delete(path, False) and fs.exists(path):
+        raise OSError(f"could not delete {url}")
+
+
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]):
+    """Null-safe equality of the columns of two frames."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(right[c])
+    return cond
+
+
+def _staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared scratch folder and read back with its own schema."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _read_back(lake: LakeLocation, table: str, found: int, expected: int) -> None:
+    if found < expected:
+        raise RuntimeError(f"{table}: {expected} rows written, {found} can be read back")
+
+
 @dataclass
 class LoadResult:
     rows: int
     new_mark: object = None
 
 
-def _observed(df: DataFrame, mark_col: str | None = None) -> tuple[DataFrame, Observation]:
+def _columns(mark_col: str | Sequence[str] | None) -> list[str]:
+    return [] if mark_col is None else [mark_col] if isinstance(mark_col, str) else list(mark_col)
+
+
+def _observed(df: DataFrame, mark_col: str | Sequence[str] | None = None) -> tuple[DataFrame, Observation]:
     obs = Observation()
     metrics = [F.count(F.lit(1)).alias("rows")]
-    if mark_col:
-        metrics.append(F.max(mark_col).alias("mark"))
+    cols = _columns(mark_col)
+    if cols:
+        metrics.append(F.max(first_of([F.col(c) for c in cols])).alias("mark"))
     return df.observe(obs, *metrics), obs
 
 
-def load_full(df: DataFrame, lake: LakeLocation, table: str,
-              partition_by: list[str] | None = None, mark_col: str | None = None) -> LoadResult:
+def load_full(df: DataFrame, lake: LakeLocation, table: str, partition_by: list[str] | None = None,
+              mark_col: str | Sequence[str] | None = None) -> LoadResult:
     """Replace the target with the extract (ING-1); with ``mark_col``, also
     report the largest value loaded."""
+    if partition_by is None and lake.exists(table):
+        partition_by = lake.partitions(table)
     df, obs = _observed(df, mark_col)
-    # Static mode: a full load replaces every partition, not only those in the extract.
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if lake.root:
-        w.parquet(lake.path(table))
-    else:
-        w.format("parquet").saveAsTable(lake.name(table))
+    lake.replace(df, table, partition_by)
     m = obs.get
+    _read_back(lake, table, lake.read(table).count(), m["rows"])
     return LoadResult(m["rows"], m.get("mark"))
 
 
-def load_incremental(source: DataFrame, lake: LakeLocation, table: str, mark_col: str,
+def load_incremental(source: DataFrame, lake: LakeLocation, table: str, mark_col: str | Sequence[str],
                      mark, partition_by: list[str] | None = None) -> LoadResult:
-    """Append rows with ``mark_col > mark``; the new mark is the largest loaded (ING-2).
+    """Append rows past the mark; the new mark is the largest value loaded (ING-2).
 
-    Without a mark (a table's first load) every row is loaded.
+    Of several mark columns the first that is not null counts.  Without a mark
+    (a table's first load) every row is loaded.
     """
     rows = source if mark is None else source.where(pending(mark_col, mark))
+    before = 0
+    if lake.exists(table):
+        partition_by = partition_by or lake.partitions(table)
+        before = lake.read(table).count()
     df, obs = _observed(rows, mark_col)
     lake.write(df, table, "append", partition_by)
     m = obs.get
+    if m["rows"]:
+        _read_back(lake, table, lake.read(table).count(), before + m["rows"])
     new_mark = m.get("mark") if m.get("rows") else mark
-    if mark is not None and new_mark is not None and new_mark < mark:
+    if mark is not None and (new_mark is None or new_mark < mark):
         new_mark = mark
     return LoadResult(m["rows"], new_mark)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order_by: str | None = None) -> DataFrame:
-    """One row per key: the one with the largest ``order_by`` (else any one).
+def latest_per_key(df: DataFrame, keys: list[str], order_by: str | Sequence[str] | None = None) -> DataFrame:
+    """One row per key: the one with the largest ``order_by``; of equal ones, or
+    without it, the one whose other columns have the largest hash.
 
-    An aggregation, not a window: partial aggregation collapses each key on
-    the map side, so a key holding a third of all rows never reaches one task
+    Of several order columns the first that is not null counts.  NULL keys are
+    one key.  An aggregation, not a window: partial aggregation collapses each key
+    on the map side, so a key holding a third of all rows never reaches one task
     as a third of all rows.
     """
-    if order_by is None:
-        return df.dropDuplicates(keys)
     others = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order_by)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
+    if not others:
+        return df.dropDuplicates(keys)
+    order = [first_of([F.col(c) for c in _columns(order_by)]).alias("o")] if _columns(order_by) else []
+    picked = df.groupBy(*keys).agg(F.max_by(
+        F.struct(*[F.col(c) for c in others]),
+        F.struct(*order, F.xxhash64(*[F.col(c) for c in others]).alias("h"))).alias("_row"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def touched_partitions(current: DataFrame, updates: DataFrame, keys: list[str],
                        partition_by: list[str]) -> DataFrame:
     """Partitions holding an updated key, plus those receiving an update."""
-    return (current.join(updates.select(*keys), keys, "left_semi").select(*partition_by)
+    return (current.join(updates, _same(current, updates, keys), "left_semi").select(*partition_by)
             .unionByName(updates.select(*partition_by)).distinct())
 
 
 def merged_rows(current: DataFrame, updates: DataFrame, keys: list[str],
-                partition_by: list[str] | None = None,
-                emitted: DataFrame | None = None) -> DataFrame:
+                touched: DataFrame | None = None) -> DataFrame:
     """``updates ∪ (current rows whose key is not updated)``, by key (ING-3).
 
-    With ``partition_by``, only the partitions that hold an updated key (or
-    receive an update) are produced; the others need no rewrite.
+    With ``touched``, only rows of these partitions are produced; the others
+    need no rewrite.
     """
-    upd_keys = updates.select(*keys)
-    scope = current
-    if partition_by:
-        scope = current.join(touched_partitions(current, updates, keys, partition_by),
-                             partition_by, "left_semi")
-    kept = scope.join(upd_keys, keys, "left_anti")
-    return kept.unionByName((emitted if emitted is not None else updates).select(*current.columns))
+    scope = current if touched is None else \
+        current.join(touched, _same(current, touched, touched.columns), "left_semi")
+    kept = scope.join(updates, _same(scope, updates, keys), "left_anti")
+    return kept.unionByName(updates.select(*current.columns))
 
 
 def load_merge(source: DataFrame, lake: LakeLocation, table: str, keys: list[str],
-               mark_col: str | None = None, mark=None, order_by: str | None = None,
-               partition_by: list[str] | None = None,
+               mark_col: str | Sequence[str] | None = None, mark=None,
+               order_by: str | Sequence[str] | None = None, partition_by: list[str] | None = None,
                unique_keys: bool = False) -> LoadResult:
     """Upsert the rows past the mark into the target by key (ING-3).
 
-    Updates are reduced to one row per key first (the newest by ``order_by``);
-    ``unique_keys=True`` skips that aggregation when the source guarantees it
-    (a primary key), saving a shuffle of the updates.
+    Updates are reduced to one row per key first: the newest by ``order_by``,
+    which is the mark unless given.  ``unique_keys=True`` skips that aggregation
+    when the source guarantees it (a primary key), saving a shuffle of the
+    updates.  The new mark comes from the extract before that reduction.
     """
     spark = source.sparkSession
-    updates = source.where(pending(mark_col, mark)) if mark_col and mark is not None else source
-    if not unique_keys:
-        updates = latest_per_key(updates, keys, order_by)
+    extract, obs = _observed(source.where(pending(mark_col, mark)) if _columns(mark_col) and mark is not None
+                             else source, mark_col)
+    updates = extract if unique_keys else latest_per_key(extract, keys, order_by or mark_col)
+    updates, updates_path = _staged(updates, f"updates-{table}")
+    m = obs.get
+    result = LoadResult(updates.count(), m.get("mark") if m.get("rows") and m.get("mark") is not None else mark)
     if not lake.exists(table):
-        res = load_full(updates, lake, table, partition_by, mark_col)
-        return LoadResult(res.rows, res.new_mark if res.rows else mark)
-    emitted, obs = _observed(updates, mark_col)
-    if lake.row_level_merge:
+        load_full(updates, lake, table, partition_by)
+    elif lake.row_level_merge:
         # The table format rewrites only the files holding matched keys.
         # (Not exercised here: no such catalog is available locally.)
-        cond = " AND ".join(f"{table}.{k} = s.{k}" for k in keys)
-        (emitted.alias("s").mergeInto(lake.name(table), F.expr(cond))
+        cond = " AND ".join(f"{table}.{k} <=> s.{k}" for k in keys)
+        (updates.alias("s").mergeInto(lake.name(table), F.expr(cond))
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
-        m = obs.get
-        return LoadResult(m["rows"], m.get("mark") if m.get("rows") else mark)
-    merged = merged_rows(lake.read(table), updates, keys, partition_by, emitted)
-    stage = scratch_path(spark, f"merge-{table}")
-    w = merged.write.mode("overwrite")
+    elif result.rows:
+        _merge_partitions(lake, table, updates, keys, partition_by or lake.partitions(table))
+    drop_scratch(spark, updates_path)
+    return result
+
+
+def _merge_partitions(lake: LakeLocation, table: str, updates: DataFrame, keys: list[str],
+                      partition_by: list[str]) -> None:
+    spark, current = lake.spark, lake.read(table)
+    paths, touched, old_files = [], None, None
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(stage)
-    staged = spark.read.parquet(stage)
-    current = lake.read(table)
-    emptied_files = []
+        touched, path = _staged(touched_partitions(current, updates, keys, partition_by), f"touched-{table}")
+        paths.append(path)
+        old_files, path = _staged(_files_of(current, touched), f"files-{table}")
+        paths.append(path)
+    merged, path = _staged(merged_rows(current, updates, keys, touched), f"merge-{table}")
+    paths.append(path)
+    lake.write(merged.select(*current.columns), table, "overwrite", partition_by)
+    after = lake.read(table)
     if partition_by:
-        # A touched partition whose rows all moved elsewhere gets no output
-        # row, so dynamic overwrite would leave its old files in place; list
-        # them (one row per file of such partitions) and remove them after.
-        emptied = touched_partitions(current, updates, keys, partition_by).join(
-            staged.select(*partition_by).distinct(), partition_by, "left_anti")
-        files = current.select(*partition_by, F.col("_metadata.file_path").alias("_file"))
-        emptied_files = [r[0] for r in files.join(emptied, partition_by, "left_semi")
-                         .select("_file").distinct().toLocalIterator()]
-    lake.write(staged.select(*current.columns), table, "overwrite", partition_by)
-    for f in emptied_files:
-        fs, p = _fs(spark, f)
-        fs.delete(p, False)
-    if emptied_files and not lake.root:
-        spark.catalog.refreshTable(lake.name(table))
-    drop_scratch(spark, stage)
-    m = obs.get
-    new_mark = m.get("mark") if m.get("rows") else mark
-    return LoadResult(m["rows"], new_mark)
+        # A file of a touched partition that is still there belongs to one whose rows all moved
+        # elsewhere (it got no output), or whose folder is spelled otherwise than a write spells it.
+        for r in old_files.join(_files_of(after, touched), "file", "left_semi").toLocalIterator():
+            delete_file(spark, r["file"])
+        if not lake.root:
+            spark.catalog.refreshTable(lake.name(table))
+        after = lake.read(table)
+        after = after.join(touched, _same(after, touched, partition_by), "left_semi")
+    _read_back(lake, table, after.count(), merged.count())
+    for path in paths:
+        drop_scratch(spark, path)
+
+
+def _files_of(df: DataFrame, touched: DataFrame) -> DataFrame:
+    rows = df.select(*touched.columns, F.col("_metadata.file_path").alias("file"))
+    return rows.join(touched, _same(rows, touched, touched.columns), "left_semi").select("file").distinct()
 
 
 def overwrite_partitions(df: DataFrame, lake: LakeLocation, table: str,
@@ -269,19 +372,19 @@ def _mark_text(v) -> str | None:
 def load_entry(spark: SparkSession, entry: ControlEntry, sources, lake: LakeLocation,
                partition_by: list[str] | None = None) -> tuple[LoadResult, object]:
     """Run the load a control row asks for; returns the result and the old mark."""
-    _, df = sources.relation(entry)
+    _, df = sources.relation(entry, for_load=True)
     kind = (entry.loadtype or "").lower()
     mark = entry.offset_value if entry.offset_value is not None else entry.startdatetime
     if entry.loadtype == "Full Load":
         return load_full(df, lake, entry.tablename, partition_by), None
     if kind in ("incremental", "merge"):
-        (col,) = split_columns(entry.data_validation_column)
+        cols = split_columns(entry.data_validation_column)
         if kind == "incremental":
-            return load_incremental(df, lake, entry.tablename, col, mark, partition_by), mark
+            return load_incremental(df, lake, entry.tablename, cols, mark, partition_by), mark
         if not entry.merge_key:
             raise ValueError("merge load needs merge_key")
         return load_merge(df, lake, entry.tablename, split_columns(entry.merge_key),
-                          col, mark, None, partition_by), mark
+                          cols, mark, None, partition_by), mark
     raise ValueError(f"unknown load type {entry.loadtype!r}")
 
 

@@ -95,7 +95,7 @@ def _source_spec(spark, slot: int, entry: ControlEntry, sources, days: int, reso
     if isinstance(sources, JdbcSource):
         frame = sources.entry_count_frame(spark, entry, days)
         return CountSpec(slot, SOURCE, f"jdbc:{slot}", frame, precounted=True)
-    key, frame = resolve(("source", entry.sql_query, entry.tablename),
+    key, frame = resolve(("source", entry.base_query or entry.sql_query, entry.tablename),
                          lambda: sources.relation(entry))
     pred = None
     if mode is LoadMode.OFFSET:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.predicates import (lake_window, source_window, split_columns,
                                           ts_literal)
-from lakeops.operators.audit import append_audit, read_audit
+from lakeops.operators.audit import append_audit, append_rows, read_audit
 from lakeops.operators.control import (CONTROL_SCHEMA, ControlEntry, control_scan,
                                        to_entries)
 from lakeops.operators.ingest import (LakeLocation, load_full, load_incremental, load_merge,
@@ -318,6 +318,38 @@ def q_load_merge(spark, sf_dir):
     return lake.read("orders")
 
 
+# Partition values of every awkward kind: NULL, a space, a leading zero, a sign of the path, not ASCII.
+S_EDGE_PART = ("CASE {0} % 5 WHEN 0 THEN NULL WHEN 1 THEN 'a b' WHEN 2 THEN '01' WHEN 3 THEN 'x=y%' ELSE 'é' END")
+
+
+@query("load_merge_edges", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       {S_EDGE_PART.format('o_orderkey')} AS part
+FROM {S_ORDERS_LAKE} t WHERE o_orderkey % 7 <> 0
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 3 AS o_totalprice,
+       o_orderdate + INTERVAL 1 DAY AS o_orderdate, o_orderpriority, {S_EDGE_PART.format('(o_orderkey + 1)')} AS part
+FROM orders WHERE o_orderkey % 7 = 0""")
+def q_load_merge_edges(spark, sf_dir):
+    """ING-3 at its edges: two versions of each updated key (the newer one wins), NULL and
+    awkward partition values, keys that move to another partition, one partition that is
+    emptied by that; merged twice, which must equal once."""
+    orders = fx.read_table(spark, sf_dir, "orders")
+    part = F.expr(S_EDGE_PART.format("o_orderkey"))
+    lake = _lake(spark)
+    emptied = (F.col("o_orderkey") % 35) == 14   # all of these are updated, and move
+    load_full(fx.orders_lake(orders).withColumn("part", F.when(emptied, F.lit("moved away")).otherwise(part)),
+              lake, "orders", ["part"])
+    due = orders.where(F.col("o_orderkey") % 7 == 0)
+    older = due.withColumn("o_totalprice", F.col("o_totalprice") * 2).withColumn("part", part)
+    newer = (due.withColumn("o_totalprice", F.col("o_totalprice") * 3)
+             .withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"))
+             .withColumn("part", F.expr(S_EDGE_PART.format("(o_orderkey + 1)"))))
+    for _ in range(2):
+        load_merge(older.unionByName(newer), lake, "orders", ["o_orderkey"], "o_orderdate")
+    return lake.read("orders").select(*orders.columns, "part")
+
+
 @query("overwrite_partitions", """
 SELECT o_orderkey, o_custkey, o_orderstatus,
        CASE WHEN year(o_orderdate) = 1995 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
@@ -338,20 +370,26 @@ def ingestion_control(spark: SparkSession, sf_dir: str) -> list[ControlEntry]:
     off = fx.events_offset_value(spark, sf_dir)
     return [
         ControlEntry(1, 1, "SELECT * FROM orders", "mssql", "orders", "Full Load", priority=1),
-        ControlEntry(2, 1, "SELECT * FROM lineitem", "mssql", "lineitem", "incremental",
-                     _MARK_2001, "l_shipdate", priority=2),
-        ControlEntry(3, 1, "SELECT * FROM events", "mssql", "events", "Incremental",
-                     dt.datetime(2024, 2, 9), "event_id", off, priority=3),
+        ControlEntry(2, 1, "SELECT * FROM lineitem WHERE l_shipdate > {startdatetime}", "mssql", "lineitem",
+                     "incremental", _MARK_2001, "l_shipdate", priority=2, base_query="SELECT * FROM lineitem"),
+        ControlEntry(3, 1, "SELECT * FROM events WHERE event_id > {offset_value}", "mssql", "events",
+                     "Incremental", dt.datetime(2024, 2, 9), "event_id", off, priority=3,
+                     base_query="SELECT * FROM events"),
         ControlEntry(4, 1, ORDERS_UPD_SQL, "mssql", "orders_merged", "merge", _MARK_2001,
                      "o_orderdate", priority=4, merge_key="o_orderkey"),
         ControlEntry(5, 1, "SELECT * FROM orders", "mssql", "orders_snapshot", "Snapshot", priority=5),
     ]
 
 
+RUN_PARTITIONS = {"orders": "o_orderpriority", "lineitem": "l_returnflag", "events": "event_type",
+                  "orders_merged": "o_orderstatus"}
+
+
 def _run_row(i, table, load, status, loaded, after) -> str:
+    by = f"'{RUN_PARTITIONS[table]}'" if table in RUN_PARTITIONS else "CAST(NULL AS VARCHAR)"
     return (f"SELECT CAST({i} AS BIGINT) AS ID, '{table}' AS TABLE_NAME, '{load}' AS LOAD_TYPE, "
             f"'{status}' AS STATUS, CAST(({loaded}) AS BIGINT) AS ROWS_LOADED, "
-            f"CAST(({after}) AS BIGINT) AS ROWS_IN_TABLE")
+            f"CAST(({after}) AS BIGINT) AS ROWS_IN_TABLE, {by} AS PARTITIONED_BY")
 
 
 _C = "SELECT count(*) FROM ({}) x".format
@@ -368,23 +406,28 @@ _C = "SELECT count(*) FROM ({}) x".format
     _run_row(5, "orders_snapshot", "Snapshot", "FAILED", "NULL", "NULL"),
 ]))
 def q_ingestion_run(spark, sf_dir):
-    """ING-4 + SNK-4: a control group loaded in priority order, one run-audit row each,
-    joined with the row count of every lake table after the run."""
+    """ING-4 + SNK-4: a control group loaded in priority order into partitioned tables; the
+    run audit appended and read back, joined with the row count and the partition column of
+    every lake table after the run."""
     fx.register(spark, sf_dir)
     lake = _lake(spark)
+    by = RUN_PARTITIONS
     li = fx.read_table(spark, sf_dir, "lineitem")
-    load_full(fx.lineitem_lake(li).where(F.col("l_shipdate") <= ts_literal(_MARK_2001)), lake, "lineitem")
-    load_full(fx.events_lake(fx.read_table(spark, sf_dir, "events")), lake, "events")
-    load_full(spark.table("orders_lake"), lake, "orders_merged")
+    load_full(spark.table("orders_lake"), lake, "orders", [by["orders"]])
+    load_full(fx.lineitem_lake(li).where(F.col("l_shipdate") <= ts_literal(_MARK_2001)), lake, "lineitem",
+              [by["lineitem"]])
+    load_full(fx.events_lake(fx.read_table(spark, sf_dir, "events")), lake, "events", [by["events"]])
+    load_full(spark.table("orders_lake"), lake, "orders_merged", [by["orders_merged"]])
     run = run_ingestion(spark, ingestion_control(spark, sf_dir), SparkSources(spark), lake,
                         job_name="LAKE_INGESTION", batch=BATCH)
-    sizes = None
-    for t in ("orders", "lineitem", "events", "orders_merged"):
-        part = lake.read(t).agg(F.count(F.lit(1)).alias("ROWS_IN_TABLE")).select(
-            F.lit(t).alias("TABLE_NAME"), "ROWS_IN_TABLE")
-        sizes = part if sizes is None else sizes.unionByName(part)
-    return (run.audit.join(sizes, "TABLE_NAME", "left")
-            .select("ID", "TABLE_NAME", "LOAD_TYPE", "STATUS", "ROWS_LOADED", "ROWS_IN_TABLE"))
+    target = scratch_path(spark, "run-audit")
+    append_rows(run.audit, target)
+    sizes = reduce(lambda a, b: a.unionByName(b), [
+        lake.read(t).agg(F.count(F.lit(1)).alias("ROWS_IN_TABLE")).select(
+            F.lit(t).alias("TABLE_NAME"), "ROWS_IN_TABLE", F.lit(",".join(lake.partitions(t))).alias("PARTITIONED_BY"))
+        for t in by])
+    return (read_audit(spark, target).join(sizes, "TABLE_NAME", "left")
+            .select("ID", "TABLE_NAME", "LOAD_TYPE", "STATUS", "ROWS_LOADED", "ROWS_IN_TABLE", "PARTITIONED_BY"))
 
 
 # --------------------------------------------------------------------------- maintenance

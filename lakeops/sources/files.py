@@ -50,7 +50,7 @@ class FileDropSources:
                  options: dict | None = None):
         self.spark, self.lake, self.schema, self.options = spark, lake, schema, options
 
-    def relation(self, entry) -> tuple[str, DataFrame]:
+    def relation(self, entry, for_load: bool = False) -> tuple[str, DataFrame]:
         fmt = (entry.source or "parquet").lower()
         schema = self.schema
         if self.lake is not None and self.lake.exists(entry.tablename):

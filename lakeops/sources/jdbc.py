@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.predicates import DEFAULT_WINDOW_DAYS, split_columns
 from lakeops.operators.control import ControlEntry, LoadMode
+from lakeops.sources.lake import OFFSET_SLOT, TIME_SLOT, has_mark_slot
 
 # JDBC fetch sizes of the two source kinds.
 ORACLE_FETCH_SIZE = 100000
 GENERIC_FETCH_SIZE = 1000000
+# Rows per round trip of a bulk extract: the sizes above are meant for counts of one row.
+EXTRACT_FETCH_SIZE = 10000
 # Fixed value: the Oracle degree-of-parallelism hint on incremental counts.
 ORACLE_PARALLEL_HINT = "/*+ PARALLEL(5) */"
 
@@ -41,7 +44,7 @@ def _ts_text(value: dt.datetime) -> str:
 
 
 def window_predicate_sql(dialect: str, columns: str, mark: dt.datetime,
-                         days: int = DEFAULT_WINDOW_DAYS, alias: str = "subq") -> str:
+                         days: int = DEFAULT_WINDOW_DAYS, alias: str = "extract_rows") -> str:
     """``mark - days < value <= mark`` in the source's SQL dialect."""
     cols = [f"{alias}.{_ident(c)}" for c in split_columns(columns)]
     stamp = _ts_text(mark)
@@ -51,11 +54,31 @@ def window_predicate_sql(dialect: str, columns: str, mark: dt.datetime,
         return f"{value} > {hi} - INTERVAL '{int(days)}' DAY AND {value} <= {hi}"
     conv = [f"TRY_CONVERT(datetime2(3), {c})" for c in cols]
     value = conv[0] if len(conv) == 1 else f"COALESCE({', '.join(conv)})"
-    hi = f"CAST('{stamp[:23]}' AS datetime2(3))"
+    # All digits, converted in two steps: the database rounds to milliseconds, as it does the values.
+    hi = f"CAST(CAST('{stamp}' AS datetime2(6)) AS datetime2(3))"
     return f"{value} > DATEADD(DAY, -{int(days)}, {hi}) AND {value} <= {hi}"
 
 
-def offset_predicate_sql(column: str, offset: int, alias: str = "subq") -> str:
+def bound_marks(entry: ControlEntry) -> str:
+    """A row's extract with its marks rendered as literals of their types."""
+    text = entry.sql_query
+    if OFFSET_SLOT in text:
+        text = text.replace(OFFSET_SLOT, str(int(entry.offset_value)))
+    if TIME_SLOT in text:
+        text = text.replace(f"'{TIME_SLOT}'", TIME_SLOT).replace(TIME_SLOT, f"'{_ts_text(entry.startdatetime)}'")
+    return text
+
+
+def base_extract(entry: ControlEntry) -> str:
+    """The extract that reconciliation counts: without an incremental predicate."""
+    text = entry.base_query or entry.sql_query
+    if has_mark_slot(text):
+        raise ValueError(f"the extract of {entry.tablename} holds a mark placeholder: reconciliation needs "
+                         "the control row's base_query, the extract without its incremental predicate")
+    return text
+
+
+def offset_predicate_sql(column: str, offset: int, alias: str = "extract_rows") -> str:
     return f"{alias}.{_ident(column)} <= {int(offset)}"
 
 
@@ -63,7 +86,7 @@ def count_query(base_query: str, where_sql: str | None = None, hint: str = "") -
     """The pushed-down count as a ``dbtable`` subquery with column ``CNT``."""
     where = f" WHERE {where_sql}" if where_sql else ""
     head = f"SELECT {hint} COUNT(*) AS CNT" if hint else "SELECT COUNT(*) AS CNT"
-    return f"({head} FROM ({base_query.strip().rstrip(';')}) subq{where}) tmp"
+    return f"({head} FROM ({base_query.strip().rstrip(';')}) extract_rows{where}) counted"
 
 
 @dataclass(frozen=True)
@@ -111,15 +134,15 @@ class JdbcSource:
         """The ``dbtable`` text for a control row's source count (dialect from the row)."""
         mode = entry.mode
         if mode is LoadMode.FULL:
-            return count_query(entry.sql_query)
+            return count_query(base_extract(entry))
         hint = ORACLE_PARALLEL_HINT if entry.dialect == "oracle" else ""
         if mode is LoadMode.OFFSET:
             (key,) = split_columns(entry.data_validation_column)
-            return count_query(entry.sql_query, offset_predicate_sql(key, entry.offset_value), hint)
+            return count_query(base_extract(entry), offset_predicate_sql(key, entry.offset_value), hint)
         if mode is LoadMode.WINDOW:
             if entry.startdatetime is None:
                 raise ValueError("time-window reconciliation needs startdatetime")
-            return count_query(entry.sql_query, window_predicate_sql(
+            return count_query(base_extract(entry), window_predicate_sql(
                 entry.dialect, entry.data_validation_column, entry.startdatetime, days), hint)
         raise ValueError(f"unknown load type {entry.loadtype!r}")
 
@@ -131,8 +154,9 @@ class JdbcSource:
         of ``[lower, upper]`` (rows outside still land in the first/last
         stride).  Missing bounds are fetched with one pushed-down MIN/MAX query.
         """
+        fetch = {"fetchsize": self.fetch_size or EXTRACT_FETCH_SIZE}
         if partition_column is None:
-            return self.read(spark, dbtable)
+            return self.read(spark, dbtable, **fetch)
         col = _ident(partition_column)
         if lower is None or upper is None:
             sub = dbtable if dbtable.lstrip().startswith("(") else f"(SELECT * FROM {dbtable}) b"
@@ -140,9 +164,9 @@ class JdbcSource:
             lower = row["LO"] if lower is None else lower
             upper = row["HI"] if upper is None else upper
         if lower is None:  # empty source
-            return self.read(spark, dbtable)
+            return self.read(spark, dbtable, **fetch)
         return self.read(spark, dbtable, partitionColumn=col, lowerBound=lower,
-                         upperBound=upper, numPartitions=num_partitions)
+                         upperBound=upper, numPartitions=num_partitions, **fetch)
 
 
 @dataclass
@@ -159,7 +183,7 @@ class JdbcRelations:
     partition_column: str | None = None
     num_partitions: int = 8
 
-    def relation(self, entry: ControlEntry) -> tuple[str, DataFrame]:
-        dbtable = f"({entry.sql_query.strip().rstrip(';')}) src"
+    def relation(self, entry: ControlEntry, for_load: bool = False) -> tuple[str, DataFrame]:
+        dbtable = f"({bound_marks(entry).strip().rstrip(';')}) src"
         return f"jdbc:{entry.id}", self.source.extract(
             self.spark, dbtable, self.partition_column, self.num_partitions)

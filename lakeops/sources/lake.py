@@ -31,19 +31,44 @@ class LakeTables:
         return f"table:{q}", self.spark.table(q)
 
 
+# How control rows write the two high-water marks into an extract.
+OFFSET_SLOT, TIME_SLOT = "{offset_value}", "{startdatetime}"
+
+
+def has_mark_slot(text: str | None) -> bool:
+    return bool(text) and (OFFSET_SLOT in text or TIME_SLOT in text)
+
+
 @dataclass
 class SparkSources:
     """Source relations defined by the control row's ``sql_query``, run by Spark.
 
-    The query is the base extract, without the incremental predicate; the
-    reconciliation adds its own typed predicate on top with ``where`` so the
-    optimizer pushes it into the scan.  With no query, ``tablename`` is read.
+    An extract may hold the row's marks as ``{offset_value}`` and
+    ``{startdatetime}``; a load binds them as typed arguments of the statement.
+    Reconciliation adds its own typed predicate to a base extract with ``where``, so
+    it needs one without marks: the row's ``base_query``, or a ``sql_query`` that
+    holds none.  With neither, ``tablename`` is read.
     """
 
     spark: SparkSession
 
-    def relation(self, entry: ControlEntry) -> tuple[str, DataFrame]:
-        if entry.sql_query:
-            text = " ".join(entry.sql_query.split()).rstrip(";")
+    def relation(self, entry: ControlEntry, for_load: bool = False) -> tuple[str, DataFrame]:
+        text = entry.sql_query if for_load else entry.base_query or entry.sql_query
+        if not text:
+            return f"table:{entry.tablename}", self.spark.table(entry.tablename)
+        text = " ".join(text.split()).rstrip(";")
+        if not has_mark_slot(text):
             return f"sql:{text}", self.spark.sql(text)
-        return f"table:{entry.tablename}", self.spark.table(entry.tablename)
+        if not for_load:
+            raise ValueError(f"the extract of {entry.tablename} holds a mark placeholder: reconciliation needs "
+                             "the control row's base_query, the extract without its incremental predicate")
+        marks = {"offset_value": (OFFSET_SLOT, entry.offset_value), "startdatetime": (TIME_SLOT, entry.startdatetime)}
+        bound = {}
+        for name, (slot, value) in marks.items():
+            if slot in text:
+                if value is None:
+                    raise ValueError(f"the extract of {entry.tablename} needs {name}, which is NULL")
+                typed = f"CAST(:{name} AS TIMESTAMP_NTZ)" if name == "startdatetime" else f":{name}"
+                text = text.replace(f"'{slot}'", slot).replace(slot, typed)
+                bound[name] = str(value) if name == "startdatetime" else value
+        return f"sql:{text}:{sorted(map(str, bound.items()))}", self.spark.sql(text, args=bound)

@@ -2,20 +2,17 @@
 
 A plain ``sum(x) over (partition by g order by o)`` sends every row of a group
 to one task; with one group holding a third of the rows, that task holds a
-third of the data.  Here each group is cut into up to ``chunks`` contiguous
-ranges of ``o`` first:
+third of the data.  Here rows are dealt by ranges of (group, order, ties)
+first, so a group is cut into as many ranges as its size asks for, and rows of
+equal ``o`` are told apart by the tie columns:
 
-1. per group, ``chunks - 1`` approximate quantiles of ``o`` (an aggregate
-   with map-side partial sketches, so a hot group costs nothing extra);
-2. each row's chunk = number of quantiles below its ``o`` value, a
-   deterministic function of the row, so recomputation after a lost
-   executor gives the same chunk;
-3. chunk totals (aggregate) -> chunk offsets (window over at most
-   ``chunks`` rows per group);
-4. running sum inside ``(group, chunk)`` plus the chunk offset.
+1. the dealt rows are written to the shared scratch folder with the number of
+   their range, which fixes it whatever executor is lost later;
+2. totals of each (group, range) -> offsets (a window over as many rows as a
+   group has ranges);
+3. running sum inside (group, range) plus the offset.
 
-Rows with equal ``o`` always share a chunk, and chunks are ordered by ``o``,
-so the result equals the plain window's.
+Groups are compared null-safe: NULL is a group like any other.
 """
 
 from __future__ import annotations
@@ -25,42 +22,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNKS = 64
+from lakeops.functions.joins import null_safe_join
+from lakeops.session import scratch_path
 
 
 def grouped_running_sum(df: DataFrame, group_cols: Sequence[str], order_col: str,
                         value_col: str, out_col: str, *, tie_cols: Sequence[str] = (),
-                        exclusive: bool = True, chunks: int = DEFAULT_CHUNKS) -> DataFrame:
+                        exclusive: bool = True, chunks: int | None = None) -> DataFrame:
     """Add ``out_col`` = sum of ``value_col`` over earlier rows of the same group.
 
-    Rows are ordered by ``order_col`` then ``tie_cols``; ``exclusive`` leaves
-    the current row out.  ``order_col`` must be numeric, date or timestamp.
+    Rows are ordered by ``order_col`` then ``tie_cols``, NULL first; ``exclusive``
+    leaves the current row out.  ``chunks``: number of ranges (default: the
+    session's shuffle partitions).
     """
-    g = list(group_cols)
-    if chunks <= 1:
-        chunked = df.withColumn("_chunk", F.lit(0))
-    else:
-        probs = [i / chunks for i in range(1, chunks)]
-        quantiles = F.percentile_approx(order_col, probs).alias("_bounds")
-        if g:
-            bounds = df.groupBy(*g).agg(quantiles)
-            chunked = df.join(bounds, g, "left")
-        else:  # one group: the bounds are a scalar subquery, no join
-            chunked = df.withColumn("_bounds", df.select(quantiles).scalar())
-        # No bounds (a group whose order values are all NULL) or a NULL value: chunk 0,
-        # which is also where NULLs sort first.
-        below = F.size(F.filter("_bounds", lambda b: b < F.col(order_col)))
-        chunked = chunked.withColumn(
-            "_chunk", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(below)).drop("_bounds")
-    totals = chunked.groupBy(*g, "_chunk").agg(F.sum(value_col).alias("_chunk_sum"))
-    before = F.sum("_chunk_sum").over(Window.partitionBy(*g).orderBy("_chunk")) - F.col("_chunk_sum")
-    offsets = totals.select(*g, "_chunk", before.alias("_offset"))
+    spark, g = df.sparkSession, list(group_cols)
+    by = [*g, order_col, *tie_cols]
+    ranged = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)
+    ranged = ranged.withColumn("_chunk", F.spark_partition_id())
+    path = scratch_path(spark, "ranges")
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    totals = ranged.groupBy(*g, "_chunk").agg(F.sum(value_col).alias("_chunk_sum"))
+    before = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*g, "_chunk", F.coalesce(F.sum("_chunk_sum").over(before), F.lit(0)).alias("_offset"))
     w = (Window.partitionBy(*g, "_chunk").orderBy(order_col, *tie_cols)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = F.sum(value_col).over(w)
     if exclusive:
         local = local - F.col(value_col)
-    return (chunked.withColumn("_local", local)
-            .join(offsets, [*g, "_chunk"])
+    return (null_safe_join(ranged.withColumn("_local", local), offsets, [*g, "_chunk"], "inner")
             .withColumn(out_col, F.col("_offset") + F.col("_local"))
             .drop("_chunk", "_offset", "_local"))

@@ -28,12 +28,14 @@ import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.formatting import hms, truncate_error
+from lakeops.functions.joins import null_safe_join
 from lakeops.functions.predicates import first_of, pending, split_columns
 from lakeops.operators.control import ControlEntry
 from lakeops.session import drop_scratch, scratch_path
@@ -149,14 +151,6 @@ def delete_file(spark: SparkSession, url: str) -> None:
         raise OSError(f"could not delete {url}")
 
 
-def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]):
-    """Null-safe equality of the columns of two frames."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
-
-
 def _staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written to the shared scratch folder and read back with its own schema."""
     path = scratch_path(df.sparkSession, name)
@@ -246,20 +240,34 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: str | Sequence[str]
 def touched_partitions(current: DataFrame, updates: DataFrame, keys: list[str],
                        partition_by: list[str]) -> DataFrame:
     """Partitions holding an updated key, plus those receiving an update."""
-    return (current.join(updates, _same(current, updates, keys), "left_semi").select(*partition_by)
+    return (null_safe_join(current, updates.select(*keys), keys).select(*partition_by)
             .unionByName(updates.select(*partition_by)).distinct())
 
 
-def merged_rows(current: DataFrame, updates: DataFrame, keys: list[str],
+def in_partitions(df: DataFrame, touched: DataFrame) -> DataFrame:
+    """The rows of ``df`` in the partitions of ``touched``.
+
+    Partitions without NULL are joined by plain equality, which Spark turns into
+    a partition filter at run time (it does not for null-safe equality); those
+    with one are a static partition filter of their own.
+    """
+    cols = touched.columns
+    no_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    return (df.where(no_null).join(touched.where(no_null), cols, "left_semi").select(*df.columns)
+            .unionByName(null_safe_join(df.where(~no_null), touched, cols)))
+
+
+def merged_rows(current: DataFrame, updates: DataFrame, keys: list[str], partition_by: list[str] | None = None,
                 touched: DataFrame | None = None) -> DataFrame:
     """``updates ∪ (current rows whose key is not updated)``, by key (ING-3).
 
-    With ``touched``, only rows of these partitions are produced; the others
-    need no rewrite.
+    With ``partition_by``, only the partitions that hold an updated key (or
+    receive an update) are produced; the others need no rewrite.
     """
-    scope = current if touched is None else \
-        current.join(touched, _same(current, touched, touched.columns), "left_semi")
-    kept = scope.join(updates, _same(scope, updates, keys), "left_anti")
+    if partition_by and touched is None:
+        touched = touched_partitions(current, updates, keys, partition_by)
+    scope = current if touched is None else in_partitions(current, touched)
+    kept = null_safe_join(scope, updates.select(*keys), keys, "left_anti")
     return kept.unionByName(updates.select(*current.columns))
 
 
@@ -304,7 +312,7 @@ def _merge_partitions(lake: LakeLocation, table: str, updates: DataFrame, keys:
         paths.append(path)
         old_files, path = _staged(_files_of(current, touched), f"files-{table}")
         paths.append(path)
-    merged, path = _staged(merged_rows(current, updates, keys, touched), f"merge-{table}")
+    merged, path = _staged(merged_rows(current, updates, keys, partition_by, touched), f"merge-{table}")
     paths.append(path)
     lake.write(merged.select(*current.columns), table, "overwrite", partition_by)
     after = lake.read(table)
@@ -316,7 +324,7 @@ def _merge_partitions(lake: LakeLocation, table: str, updates: DataFrame, keys:
         if not lake.root:
             spark.catalog.refreshTable(lake.name(table))
         after = lake.read(table)
-        after = after.join(touched, _same(after, touched, partition_by), "left_semi")
+        after = in_partitions(after, touched)
     _read_back(lake, table, after.count(), merged.count())
     for path in paths:
         drop_scratch(spark, path)
@@ -324,7 +332,7 @@ def _merge_partitions(lake: LakeLocation, table: str, updates: DataFrame, keys:
 
 def _files_of(df: DataFrame, touched: DataFrame) -> DataFrame:
     rows = df.select(*touched.columns, F.col("_metadata.file_path").alias("file"))
-    return rows.join(touched, _same(rows, touched, touched.columns), "left_semi").select("file").distinct()
+    return in_partitions(rows, touched).select("file").distinct()
 
 
 def overwrite_partitions(df: DataFrame, lake: LakeLocation, table: str,

@@ -17,8 +17,9 @@ not a driver loop:
 On an Iceberg catalog the sweep issues the catalog's own procedures.  On
 plain Parquet tables compaction is carried out here (``rewrite_bins``);
 Parquet keeps no snapshot or manifest metadata, so those steps report
-SKIPPED.  Deleting files is irreversible and not atomic on plain Parquet:
-it is off unless ``dry_run=False``.
+SKIPPED.  Deleting files is irreversible: it is off unless ``dry_run=False``.  A
+swap of files is recorded first, so that a run that dies in between is finished
+by the next one; readers may still see old and new files for a moment.
 """
 
 from __future__ import annotations
@@ -26,17 +27,20 @@ from __future__ import annotations
 import datetime as dt
 import math
 import re
-from concurrent.futures import ThreadPoolExecutor
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.formatting import truncate_error
-from lakeops.functions.running import DEFAULT_CHUNKS, grouped_running_sum
+from lakeops.functions.joins import null_safe_join
+from lakeops.functions.running import grouped_running_sum
 from lakeops.session import drop_scratch, scratch_path
 
 # Defaults of the table format's maintenance procedures, as parameters.
@@ -46,8 +50,8 @@ DEFAULT_MAX_RATIO = 1.80
 DEFAULT_SNAPSHOT_AGE = dt.timedelta(days=5)
 DEFAULT_RETAIN_LAST = 1
 DEFAULT_ORPHAN_AGE = dt.timedelta(days=3)
-# Files per running-sum chunk when a sweep sizes the chunking from its inventory.
-CHUNK_FILES = 50_000
+# Folder of a swap in progress, beside a table's files; readers skip names with this beginning.
+SWAP_PREFIX = "_compaction-"
 # Fixed value: table names containing this token are left out of a sweep.
 EXCLUDE_TOKEN = "d1_"
 # The maintenance steps, in the order they run.
@@ -56,14 +60,17 @@ STEPS = ("rewrite_data_files", "rewrite_manifests", "expire_snapshots", "remove_
 
 # --------------------------------------------------------------------------- inventory
 def file_inventory(spark: SparkSession, table_path: str) -> DataFrame:
-    """Data files of a Parquet table: ``path, size, modified`` plus partition columns.
+    """Data files of a Parquet table: ``path, folder, size, modified`` plus partition columns.
 
-    A listing only; no file content is read.
+    A listing only; no file content is read.  ``folder`` is the file's partition
+    as it is spelled (partition columns have inferred types, which may not tell
+    ``01`` from ``1``).
     """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
           .load(table_path))
     return df.drop("content").withColumnRenamed("length", "size") \
-        .withColumnRenamed("modificationTime", "modified")
+        .withColumnRenamed("modificationTime", "modified") \
+        .withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
 
 
 # --------------------------------------------------------------------------- MNT-1
@@ -71,7 +78,7 @@ def compaction_plan(inventory: DataFrame, *, partition_cols: Sequence[str], orde
                     size_col: str = "size", tie_cols: Sequence[str] = (),
                     target_bytes: int = DEFAULT_TARGET_BYTES,
                     min_ratio: float = DEFAULT_MIN_RATIO, max_ratio: float = DEFAULT_MAX_RATIO,
-                    min_input_files: int = 1, chunks: int = DEFAULT_CHUNKS) -> DataFrame:
+                    min_input_files: int = 1, chunks: int | None = None) -> DataFrame:
     """Candidate files with their bin: ``... , bytes_before, bin``.
 
     ``bin = floor(bytes of earlier candidates in the partition / target)``.
@@ -89,7 +96,7 @@ def compaction_plan(inventory: DataFrame, *, partition_cols: Sequence[str], orde
         big = planned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                          F.max(size_col).alias("_max"))
         keep = big.where((F.col("_n") >= min_input_files) | (F.col("_max") > hi)).select(*keys)
-        planned = planned.join(keep, keys, "left_semi")
+        planned = null_safe_join(planned, keep, keys)
     return planned
 
 
@@ -108,14 +115,23 @@ def _fs(spark: SparkSession, path: str):
 
 def delete_files(spark: SparkSession, paths: DataFrame, path_col: str = "path",
                  dry_run: bool = True) -> int:
-    """Delete the listed files; returns how many.  Paths stream to the driver
-    one partition at a time."""
+    """Delete the listed files (paths as they are, not URL-encoded); returns how many.
+
+    Paths stream to the driver one partition at a time and are deleted by a few
+    threads; a file that cannot be deleted raises.
+    """
+    def remove(row) -> None:
+        fs, p = _fs(spark, row[0])
+        if not fs.delete(p, False) and fs.exists(p):
+            raise OSError(f"could not delete {row[0]}")
+
+    rows = paths.select(path_col).toLocalIterator()
     n = 0
-    for r in paths.select(path_col).toLocalIterator():
-        if not dry_run:
-            fs, p = _fs(spark, r[0])
-            fs.delete(p, False)
-        n += 1
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        while batch := list(islice(rows, 1000)):
+            n += len(batch)
+            if not dry_run:
+                list(pool.map(remove, batch))
     return n
 
 
@@ -127,91 +143,139 @@ class CompactionResult:
     dry_run: bool
 
 
+def compaction_schema(spark: SparkSession, table_path: str, partition_cols: Sequence[str],
+                      schema: T.StructType | None = None) -> T.StructType:
+    """What to read files with: every column any of them may have; partition values as spelled."""
+    if schema is None:
+        schema = spark.read.option("mergeSchema", "true").parquet(table_path).schema
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in partition_cols else f.dataType, True)
+                         for f in schema])
+
+
 def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
                  partition_cols: Sequence[str], dry_run: bool = True,
-                 max_files_per_job: int = 100_000, max_bins_per_job: int = 256,
-                 size_col: str = "size", target_bytes: int | None = None) -> CompactionResult:
+                 max_files_per_job: int = 10_000, max_bins_per_job: int = 256,
+                 size_col: str = "size", target_bytes: int | None = None,
+                 max_ratio: float = DEFAULT_MAX_RATIO, schema: T.StructType | None = None) -> CompactionResult:
     """Carry out a compaction plan on a Parquet table (MNT-1).
 
-    Each bin is read as one scan of exactly its files, coalesced to one
-    partition (no shuffle), and the bins of a job are unioned and appended
-    to the table, one new file per bin; then the bin's input files are
-    deleted.  With ``target_bytes``, a bin larger than the target (a file
-    that must be split) is coalesced to ``ceil(bytes / target)`` partitions
-    instead; the scan already splits large files at row-group boundaries.  Like a table format's bin-pack rewrite, rows move once, from
-    the small files into the new file.  Work is cut into jobs of at most
-    ``max_files_per_job`` input files and ``max_bins_per_job`` bins (whole
-    bins, assigned by a hash of the bin on executors), which bounds the file
-    list the driver holds and the size of each job's plan.
-    The swap is not atomic on plain Parquet: readers may briefly see both.
+    The plan's bins are dealt to jobs by a hash, whole runs of
+    ``max_bins_per_job`` bins of a folder together, so that a job has about
+    ``max_files_per_job`` files; that is all the driver ever lists.  In a job, the
+    small files of a folder are one scan that Spark's own splitter packs into
+    tasks of ``target_bytes`` (default: the largest bin), one new file each,
+    without a shuffle; a file over the maximum is dealt out to as many files as it
+    needs.  Files are rewritten only if there will be fewer of them or one is
+    split, so a sweep that finds nothing to gain changes nothing.
+
+    ``schema``: the table's, by the catalog (default: merged from all files), so
+    that columns added later survive.  Tables written by a stream are refused:
+    their readers go by the stream's own list of files.
     """
+    fs, root = _fs(spark, table_path)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    if fs.exists(hadoop_path(root, "_spark_metadata")):
+        raise ValueError(f"{table_path} is written by a stream, whose log lists its files: not compacted here")
+    if not dry_run:
+        finish_swaps(spark, table_path)
     # Freeze the plan first: the listing it came from changes once new files land.
     frozen = scratch_path(spark, "compaction-plan")
-    plan.select("path", *partition_cols, "bin", F.col(size_col).alias("_size")).write.parquet(frozen)
-    plan = spark.read.parquet(frozen)
-    cols = ["path", *partition_cols, "bin", "_size"]
-    files_in = plan.count()
+    listed = plan.withColumn("_folder", F.regexp_replace("path", "/[^/]*$", "")) \
+        .select("path", "_folder", "bin", F.col(size_col).cast("long").alias("_size"))
+    listed.write.parquet(frozen)
+    listed = spark.read.schema(listed.schema).parquet(frozen)
+    per_bin = listed.groupBy("_folder", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("b"))
+    files_in, bins_in, largest = per_bin.agg(F.sum("n"), F.count(F.lit(1)), F.max("b")).first()
     if not files_in:
         drop_scratch(spark, frozen)
         return CompactionResult(0, 0, 0, dry_run)
-    if files_in <= max_files_per_job:
-        # One bounded read of the plan; jobs are then cut by bins on the driver.
-        groups, sizes = _bins(plan.select(*cols).collect(), partition_cols)
-        keys = list(groups)
-        n_jobs = max(1, -(-len(keys) // max_bins_per_job))
-        batches = [[k for i, k in enumerate(keys) if i % n_jobs == j] for j in range(n_jobs)]
-        drop_scratch(spark, frozen)  # the plan now lives on the driver
-        if dry_run:
-            return CompactionResult(files_in, len(keys), 0, True)
-        fetch = None
-    else:
-        bins_in = plan.select(*partition_cols, "bin").distinct().count()
-        if dry_run:
-            drop_scratch(spark, frozen)
-            return CompactionResult(files_in, bins_in, 0, True)
-        n_jobs = max(-(-files_in // max_files_per_job), -(-bins_in // max_bins_per_job))
-        keyed = plan.withColumn("_job", F.pmod(F.hash(*partition_cols, "bin"), F.lit(n_jobs)))
-        batches = list(range(n_jobs))
-
-        def fetch(job):
-            return _bins(keyed.where(F.col("_job") == job).select(*cols).collect(), partition_cols)
-    schema = spark.read.parquet(table_path).schema
-    removed, bins_total = 0, 0
-    for batch in batches:
-        if fetch is None:
-            job_groups = {k: groups[k] for k in batch}
-            job_sizes = {k: sizes[k] for k in batch}
-        else:
-            job_groups, job_sizes = fetch(batch)
-        if not job_groups:
-            continue
-        scans = [spark.read.schema(schema).option("basePath", table_path).parquet(*paths)
-                 .coalesce(max(1, -(-job_sizes[k] // target_bytes)) if target_bytes else 1)
-                 for k, paths in job_groups.items()]
-        out = reduce(lambda a, b: a.unionByName(b), scans)
-        writer = out.write.mode("append")
-        if partition_cols:
-            writer = writer.partitionBy(*partition_cols)
-        writer.parquet(table_path)
-        for paths in job_groups.values():
-            for f in paths:
-                fs, p = _fs(spark, f)
-                fs.delete(p, False)
-            removed += len(paths)
-        bins_total += len(job_groups)
-    if fetch is not None:
+    target = target_bytes or largest
+    if dry_run:
         drop_scratch(spark, frozen)
-    return CompactionResult(files_in, bins_total, removed, False)
+        return CompactionResult(files_in, bins_in, 0, True)
+    n_jobs = max(-(-files_in // max_files_per_job), -(-bins_in // max_bins_per_job))
+    run = F.floor(F.col("bin") / max_bins_per_job)
+    keyed = listed.withColumn("_run", run).withColumn("_job", F.pmod(F.xxhash64("_folder", "_run"), F.lit(n_jobs)))
+    # A session of its own packs scans by the target, whatever the caller's settings are.
+    packer = spark.newSession()
+    for k, v in (("spark.sql.files.maxPartitionBytes", target), ("spark.sql.files.openCostInBytes", 0),
+                 ("spark.sql.files.minPartitionNum", 1), ("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"),
+                 ("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))):
+        packer.conf.set(k, str(v))
+    read_as = compaction_schema(spark, table_path, partition_cols, schema)
+
+    def scan(paths):
+        return packer.read.schema(read_as).option("basePath", table_path).parquet(*paths)
+
+    removed = made = 0
+    for job in range(n_jobs):
+        groups: dict[tuple, list] = {}
+        for r in keyed.where(F.col("_job") == job).collect():
+            groups.setdefault((r["_folder"], r["_run"]), []).append((r["path"], r["_size"]))
+        parts, old = [], []
+        for files in groups.values():
+            for path, size in files:
+                if size > target * max_ratio:
+                    parts.append(scan([path]).repartition(-(-size // target)))
+                    old.append(path)
+            small = [path for path, size in files if size <= target * max_ratio]
+            packed = scan(small) if len(small) > 1 else None
+            if packed is not None and packed.rdd.getNumPartitions() < len(small):
+                parts.append(packed)
+                old += small
+        if parts:
+            out = reduce(lambda a, b: a.unionByName(b), parts)
+            made += out.rdd.getNumPartitions()
+            _swap(spark, table_path, out, old, partition_cols)
+            removed += len(old)
+    drop_scratch(spark, frozen)
+    return CompactionResult(files_in, made, removed, False)
+
+
+def _swap(spark: SparkSession, table_path: str, out: DataFrame, old: list[str], partition_cols: Sequence[str]) -> None:
+    """Replace the files ``old`` by ``out``, in steps that a later run can finish.
+
+    New files are written beside the table's, out of readers' sight, together
+    with the list of old ones; only then is the swap marked as ready.
+    """
+    folder = f"{table_path.rstrip('/')}/{SWAP_PREFIX}{uuid.uuid4().hex[:12]}"
+    writer = out.write.partitionBy(*partition_cols) if partition_cols else out.write
+    writer.parquet(f"{folder}/new")
+    spark.createDataFrame([(p,) for p in old], "path string").write.parquet(f"{folder}/old")
+    fs, ready = _fs(spark, f"{folder}/ready")
+    fs.create(ready).close()
+    finish_swaps(spark, table_path)
+
 
+def finish_swaps(spark: SparkSession, table_path: str) -> int:
+    """Finish the swaps that are ready, undo the others; returns how many were finished.
 
-def _bins(rows, partition_cols: Sequence[str]) -> tuple[dict, dict]:
-    groups: dict[tuple, list[str]] = {}
-    sizes: dict[tuple, int] = {}
-    for r in rows:
-        key = tuple(r[c] for c in [*partition_cols, "bin"])
-        groups.setdefault(key, []).append(r["path"])
-        sizes[key] = sizes.get(key, 0) + int(r["_size"])
-    return groups, sizes
+    One run at a time may compact a table.
+    """
+    fs, root = _fs(spark, table_path)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    done = 0
+    for st in fs.listStatus(root) if fs.exists(root) else []:
+        folder = st.getPath()
+        if not folder.getName().startswith(SWAP_PREFIX):
+            continue
+        if fs.exists(hadoop_path(folder, "ready")):
+            new = hadoop_path(folder, "new")
+            found, base = fs.listFiles(new, True), fs.makeQualified(new).toUri().getPath()
+            while found.hasNext():
+                path = found.next().getPath()
+                if path.getName().startswith(("_", ".")):
+                    continue
+                to = hadoop_path(f"{table_path.rstrip('/')}{path.toUri().getPath()[len(base):]}")
+                fs.mkdirs(to.getParent())
+                if not fs.rename(path, to):
+                    raise OSError(f"could not move {path} to {to}")
+            old = spark.read.schema("path string").parquet(hadoop_path(folder, "old").toString())
+            delete_files(spark, old, dry_run=False)
+            done += 1
+        if not fs.delete(folder, True):
+            raise OSError(f"could not remove {folder}")
+    return done
 
 
 # --------------------------------------------------------------------------- MNT-2
@@ -246,7 +310,7 @@ def expired_snapshots(snapshots: DataFrame, *, table_cols: Sequence[str], time_c
     keep_from = newest.groupBy(*t).agg(
         F.min(F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("i"))).alias("_keep_from"))
     cutoff = _cutoff(older_than, DEFAULT_SNAPSHOT_AGE, snapshots.schema[time_col].dataType)
-    return (snapshots.join(keep_from, t)
+    return (null_safe_join(snapshots, keep_from, t, "inner")
             .where((F.col(time_col) < cutoff)
                    & (F.struct(F.col(time_col).alias("t"), F.col(id_col).alias("i"))
                       < F.col("_keep_from")))
@@ -254,15 +318,26 @@ def expired_snapshots(snapshots: DataFrame, *, table_cols: Sequence[str], time_c
 
 
 # --------------------------------------------------------------------------- MNT-3
+def same_path(path: Column) -> Column:
+    """A path without what differs between names of one file: ``s3``, ``s3a`` and ``s3n``, repeated slashes."""
+    return F.regexp_replace(F.regexp_replace(path, "^s3[an]:", "s3:"), "(?<!:)/{2,}", "/")
+
+
 def orphan_files(listing: DataFrame, referenced: DataFrame, *, on: str | Sequence[str],
-                 modified_col: str | None = None, older_than=None) -> DataFrame:
+                 modified_col: str | None, older_than=None) -> DataFrame:
     """Listed files no metadata refers to (MNT-3).
 
-    With ``modified_col``, only files older than ``older_than`` (default:
-    three days ago) count, so files of a write still in progress are spared.
+    Only files older than ``older_than`` (default: three days ago) by
+    ``modified_col`` count, so files of a write still in progress are spared;
+    ``None`` there must be said on purpose.  Text keys are compared as paths.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    out = listing.join(referenced.select(*keys), keys, "left_anti")
+    text = {f.name for f in listing.schema if isinstance(f.dataType, T.StringType)}
+    known = referenced.select(*[(same_path(F.col(k)) if k in text else F.col(k)).alias(f"_ref_{k}") for k in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & ((same_path(listing[k]) if k in text else listing[k]) == known[f"_ref_{k}"])
+    out = listing.join(known, cond, "left_anti")
     if modified_col is not None:
         dtype = listing.schema[modified_col].dataType
         cutoff = F.lit(older_than) if isinstance(older_than, (int, float)) else \
@@ -281,18 +356,26 @@ def stale_write_leftovers(spark: SparkSession, table_path: str,
     """Work directories of failed writes at a Parquet table's root (MNT-3).
 
     Readers skip them, so no metadata refers to them: they are the orphans of
-    a plain Parquet table.  Only entries untouched for ``older_than`` count,
-    so a write still in progress is never caught.  One directory listing of
-    the table root.
+    a plain Parquet table.  Only those count in which no file is newer than
+    ``older_than``, so a write still in progress is never caught; where the
+    store keeps no times (0), nothing does.
     """
     fs, root = _fs(spark, table_path)
     if not fs.exists(root):
         return []
     jvm = spark.sparkContext._jvm
     cutoff = jvm.java.lang.System.currentTimeMillis() - int(older_than.total_seconds() * 1000)
+
+    def newest(folder: object) -> int:
+        """Of the newest file inside; of the folder itself if there is none."""
+        found, times = fs.listFiles(folder, True), []
+        while found.hasNext():
+            times.append(found.next().getModificationTime())
+        return max(times, default=fs.getFileStatus(folder).getModificationTime())
+
     return [st.getPath().toString() for st in fs.listStatus(root)
-            if st.getPath().getName().startswith(WRITE_LEFTOVER_PREFIXES)
-            and st.getModificationTime() < cutoff]
+            if st.isDirectory() and st.getPath().getName().startswith(WRITE_LEFTOVER_PREFIXES)
+            and 0 < newest(st.getPath()) < cutoff]
 
 
 # --------------------------------------------------------------------------- MNT-4
@@ -348,14 +431,10 @@ class ParquetMaintenance:
             self.results[(database, table, step)] = leftovers
             return "PLANNED" if self.dry_run else "SUCCESS"
         parts = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
-        inv = file_inventory(self.spark, loc)
-        # Chunk hot partitions only when the inventory is big enough for one
-        # partition's running sum to matter to a single task.
-        chunks = max(1, min(DEFAULT_CHUNKS, inv.count() // CHUNK_FILES))
-        plan = compaction_plan(inv, partition_cols=parts, order_col="modified", tie_cols=["path"],
-                               target_bytes=self.target_bytes, chunks=chunks)
+        plan = compaction_plan(file_inventory(self.spark, loc), partition_cols=["folder"], order_col="modified",
+                               tie_cols=["path"], target_bytes=self.target_bytes)
         res = rewrite_bins(self.spark, loc, plan, parts, dry_run=self.dry_run,
-                           target_bytes=self.target_bytes)
+                           target_bytes=self.target_bytes, schema=self.spark.table(name).schema)
         self.results[(database, table)] = res
         if not self.dry_run:
             self.spark.catalog.refreshTable(name)

@@ -22,7 +22,7 @@ from lakeops.operators.control import (CONTROL_SCHEMA, ControlEntry, control_sca
 from lakeops.operators.ingest import (LakeLocation, load_full, load_incremental, load_merge,
                                       overwrite_partitions, run_ingestion)
 from lakeops.operators.maintenance import (ParquetMaintenance, compaction_plan,
-                                           expired_snapshots, file_inventory, list_tables,
+                                           compaction_schema, expired_snapshots, file_inventory, list_tables,
                                            orphan_files, rewrite_bins, sweep, without_excluded)
 from lakeops.operators.reconcile import plan_reconcile, reconcile_frame, run_reconcile
 from lakeops.plans import fixtures as fx
@@ -459,19 +459,34 @@ def small_file_table(spark: SparkSession, df: DataFrame, name: str, files: int,
     return path
 
 
-@query("compaction_rewrite", "SELECT * FROM lineitem")
+# A table with every kind of partition value, and a column that its older files lack.
+S_GROWN = (f"SELECT l.*, CASE WHEN l_linenumber > 3 THEN l_quantity * 2 END AS added, "
+           f"CASE l_linenumber % 4 WHEN 0 THEN NULL WHEN 1 THEN '01' WHEN 2 THEN '1' ELSE 'a b' END AS m FROM lineitem l")
+
+
+@query("compaction_rewrite", f"SELECT *, 0 AS files_again FROM ({S_GROWN}) t")
 def q_compaction_rewrite(spark, sf_dir):
-    """MNT-1 carried out: a lineitem copy written as many small files, per
-    l_returnflag partition, is rewritten into bins of a sixth of its size; the
-    row multiset is unchanged."""
-    li = fx.read_table(spark, sf_dir, "lineitem")
-    path = small_file_table(spark, li, "small-lineitem", 16, ["l_returnflag"])
-    inv = file_inventory(spark, path)
-    target = int(inv.agg(F.sum("size")).first()[0] // 6)
-    plan = compaction_plan(inv, partition_cols=["l_returnflag"], order_col="modified",
-                           tie_cols=["path"], target_bytes=target)
-    rewrite_bins(spark, path, plan, ["l_returnflag"], dry_run=False, target_bytes=target)
-    return spark.read.parquet(path).select(*li.columns)
+    """MNT-1 carried out on a copy of lineitem in many small files: partitions ``01``, ``1``,
+    ``a b`` and NULL, a column added after half of the files were written.  The rows stay
+    as they are, and a second sweep rewrites no file (``files_again``)."""
+    li = fx.read_table(spark, sf_dir, "lineitem").withColumn("m", F.expr(
+        "CASE l_linenumber % 4 WHEN 0 THEN NULL WHEN 1 THEN '01' WHEN 2 THEN '1' ELSE 'a b' END"))
+    path = scratch_path(spark, "small-lineitem")
+    li.where("l_linenumber <= 3").repartition(8).write.partitionBy("m").parquet(path)
+    (li.where("l_linenumber > 3").withColumn("added", F.col("l_quantity") * 2).repartition(8)
+     .write.mode("append").partitionBy("m").parquet(path))
+    target = int(file_inventory(spark, path).agg(F.sum("size")).first()[0] // 6)
+
+    def sweep_once():
+        plan = compaction_plan(file_inventory(spark, path), partition_cols=["folder"], order_col="modified",
+                               tie_cols=["path"], target_bytes=target)
+        return rewrite_bins(spark, path, plan, ["m"], dry_run=False, target_bytes=target)
+
+    sweep_once()
+    again = sweep_once().files_removed
+    columns = [*li.drop("m").columns, "added", "m"]
+    whole = spark.read.schema(compaction_schema(spark, path, ["m"])).parquet(path)
+    return whole.select(*columns, F.lit(again).alias("files_again"))
 
 
 @query("snapshot_expiry", """
@@ -497,7 +512,7 @@ def q_orphan_files(spark, sf_dir):
     metadata refers to; unreferenced files are orphans."""
     listing = fx.read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
     referenced = fx.read_table(spark, sf_dir, "labels")
-    return orphan_files(listing, referenced, on="doc_id")
+    return orphan_files(listing, referenced, on="doc_id", modified_col=None)
 
 
 def _sweep_rows(table: str, count_sql: str) -> str:

@@ -42,9 +42,9 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster that folder is shared storage every executor can reach, so
-    it also serves for intermediate tables that cut lineage.  A private
-    temporary folder is only created when the session names none (local
-    runs and tests).
+    it also serves for intermediate tables that cut lineage.  Only a local
+    session that names none gets a private temporary folder; on a cluster each
+    executor would write to its own disk there, so that is refused.
     """
     try:
         sc = spark.sparkContext
@@ -58,6 +58,8 @@ def scratch_root(spark: SparkSession) -> str:
         configured = sc.getConf().get("spark.checkpoint.dir", None) \
             or spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
+            if not sc.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
             configured = tempfile.mkdtemp(prefix="lakeops-")
         sc.setCheckpointDir(configured)
         root = sc.getCheckpointDir()

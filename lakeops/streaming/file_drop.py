@@ -10,8 +10,13 @@ stable across runs (not a per-run scratch folder).
 
 from __future__ import annotations
 
+import threading
+import uuid
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from lakeops.sources.files import reader_options
 
@@ -25,13 +30,47 @@ def ingest_drops(spark: SparkSession, drop_path: str, fmt: str, schema: T.Struct
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
     stream = spark.readStream.schema(schema).format(fmt).options(**opts).load(drop_path)
+    # Every batch reports its rows under this name; the progress log keeps only the last ones.
+    name = f"drops-{uuid.uuid4().hex[:12]}"
+    counter = _RowCounter(name)
+    stream = stream.observe(name, F.count(F.lit(1)).alias("rows"))
     writer = (stream.writeStream.format("parquet").option("path", target_path)
               .option("checkpointLocation", checkpoint).outputMode("append")
               .trigger(availableNow=True))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    q = writer.start()
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    spark.streams.addListener(counter)
+    try:
+        q = writer.start()
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        counter.ended.wait(60)
+    finally:
+        spark.streams.removeListener(counter)
+    return counter.rows
+
+
+class _RowCounter(StreamingQueryListener):
+    """Adds up the rows that the batches of one query report."""
+
+    def __init__(self, name: str):
+        self.name, self.rows, self.ended = name, 0, threading.Event()
+        self.query = None
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        found = event.progress.observedMetrics.get(self.name)
+        if found is not None:
+            self.query = event.progress.runId
+            self.rows += found["rows"]
+
+    def onQueryTerminated(self, event):
+        # Events come in order; another query's end says nothing about this one.
+        if self.query is None or event.runId == self.query:
+            self.ended.set()

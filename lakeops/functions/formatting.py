@@ -4,37 +4,24 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MAX_ERROR_CHARS = 1000
 
 
-def hms(seconds: float | int | None) -> str | None:
+def _clock(seconds: float) -> tuple[int, int, int]:
+    """Whole hours, minutes and seconds."""
+    minutes, rest = divmod(int(seconds), 60)
+    return (*divmod(minutes, 60), rest)
+
+
+def hms(seconds: float | None) -> str | None:
     """Elapsed time as ``HH:MM:SS``; hours may exceed 99 (SCL-7)."""
-    if seconds is None:
-        return None
-    total = int(seconds)
-    h, rest = divmod(total, 3600)
-    m, s = divmod(rest, 60)
-    return f"{h:02}:{m:02}:{s:02}"
+    return None if seconds is None else ":".join(f"{part:02}" for part in _clock(seconds))
 
 
-def hms_words(seconds: float | int | None) -> str | None:
+def hms_words(seconds: float | None) -> str | None:
     """Elapsed time as ``HH Hour MM Minutes SS Seconds`` (SCL-8)."""
-    if seconds is None:
-        return None
-    total = int(seconds)
-    h, rest = divmod(total, 3600)
-    m, s = divmod(rest, 60)
-    return f"{h:02} Hour {m:02} Minutes {s:02} Seconds"
-
-
-def hms_col(seconds: Column) -> Column:
-    """Column form of :func:`hms`."""
-    s = seconds.cast("long")
-    return F.format_string("%02d:%02d:%02d", (s / 3600).cast("long"),
-                           ((s % 3600) / 60).cast("long"), s % 60)
+    units = ("Hour", "Minutes", "Seconds")
+    return None if seconds is None else " ".join(f"{part:02} {unit}" for part, unit in zip(_clock(seconds), units))
 
 
 def batch_number(group_id: int, at: dt.datetime | None = None) -> str:

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import argparse
 import logging
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.functions.formatting import batch_number
+from lakeops.functions.formatting import batch_number, hms_words
 from lakeops.operators.audit import append_audit, append_rows
 from lakeops.operators.control import control_scan, ingestion_scan, to_entries
 from lakeops.operators.ingest import LakeLocation, advance_marks, run_ingestion
@@ -32,25 +33,6 @@ from lakeops.sources.lake import LakeTables, SparkSources
 
 log = logging.getLogger("lakeops.jobs")
 
-# Tuning of the ingestion launchers, as an opt-in profile.  These are fixed
-# values of the original deployment; the library defaults are in
-# ``session.DEFAULT_CONF``.  The broadcast threshold is a runtime check of
-# measured size (AQE), not a blind hint.
-LAUNCHER_CONF = {
-    "spark.sql.shuffle.partitions": "500",
-    "spark.sql.files.maxPartitionBytes": "31457280",
-    "spark.sql.autoBroadcastJoinThreshold": "629145600",
-    "spark.sql.broadcastTimeout": "900",
-    "spark.sql.join.preferSortMergeJoin": "false",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.legacy.parquet.datetimeRebaseModeInRead": "CORRECTED",
-    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
-    "spark.sql.decimalOperations.allowPrecisionLoss": "true",
-    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-}
-
-
 @dataclass
 class ValidationRun:
     batch: str
@@ -64,13 +46,15 @@ def validate(spark: SparkSession, control: DataFrame, group_id: int, *, job_name
     batch = batch or batch_number(group_id)
     entries = to_entries(control_scan(control, group_id))
     log.info("validating %d tables of group %s, batch %s", len(entries), group_id, batch)
+    started = time.monotonic()
+    # Rows are appended batch by batch: what is done is on record if the driver is lost later.
     res = run_reconcile(spark, entries, sources or SparkSources(spark), lake or LakeTables(spark),
                         job_name=job_name, batch=batch, mode=mode, days=days,
-                        lake_upper_bound=lake_upper_bound)
+                        lake_upper_bound=lake_upper_bound,
+                        on_rows=(lambda rows: append_audit(rows, audit_target)) if audit_target else None)
+    log.info("validated %d tables in %s", len(entries), hms_words(time.monotonic() - started))
     for e in res.skipped:
         log.warning("unknown load type %r for table %s: no audit row", e.loadtype, e.tablename)
-    if audit_target:
-        append_audit(res.audit, audit_target)
     return ValidationRun(batch, res)
 
 
@@ -136,7 +120,8 @@ def main(argv: list[str] | None = None) -> int:
         s = sub.add_parser(name)
         s.add_argument("--control", required=True, help="control table name")
         s.add_argument("--group", type=int, required=True)
-        s.add_argument("--audit", help="audit table name or path")
+        s.add_argument("--audit", required=name == "validate",
+                       help="audit table name or path (ingest: by default ingestion_audit beside the lake's tables)")
         s.add_argument("--job-name", default=name.upper())
         s.add_argument("--lake-db")
         s.add_argument("--jdbc-url")
@@ -149,45 +134,52 @@ def main(argv: list[str] | None = None) -> int:
                                          help="trailing window length in days")
     sub.choices["validate"].add_argument("--lake-upper-bound", action="store_true",
                                          help="bound the lake window by the mark as well")
-    sub.choices["ingest"].add_argument("--lake-root")
-    sub.choices["ingest"].add_argument("--control-out",
-                                       help="write the control table with advanced marks here")
-    sub.choices["ingest"].add_argument("--parallel", type=int, default=1)
-    sub.choices["ingest"].add_argument("--files", action="store_true",
-                                       help="sources are folders of dropped files "
-                                            "(sql_query = folder, source = format)")
+    load = sub.choices["ingest"]
+    load.add_argument("--lake-root")
+    load.add_argument("--control-out", help="write the control table with advanced marks here "
+                                            "(default: over the control table itself)")
+    load.add_argument("--keep-marks", action="store_true", help="do not write the advanced marks anywhere")
+    load.add_argument("--parallel", type=int, default=1)
+    load.add_argument("--jdbc-partition-column", help="numeric or date column to read extracts in parallel by")
+    load.add_argument("--jdbc-partitions", type=int, default=8)
+    load.add_argument("--files", action="store_true",
+                      help="sources are folders of dropped files (sql_query = folder, source = format)")
     m = sub.add_parser("maintain")
     m.add_argument("--databases", nargs="+", required=True)
     m.add_argument("--iceberg-catalog")
     m.add_argument("--apply", action="store_true", help="rewrite/delete files (default: plan only)")
     m.add_argument("--target-bytes", type=int)
     m.add_argument("--parallel", type=int, default=1)
-    p.add_argument("--launcher-conf", action="store_true", help="use the launchers' tuning")
+    m.add_argument("--report", help="table or path of the report (default: maintenance_report in the first database)")
     args = p.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO)
-    spark = build_session(app=f"lakeops-{args.job}", conf=LAUNCHER_CONF if args.launcher_conf else None)
+    spark = build_session(app=f"lakeops-{args.job}")
     if args.job == "validate":
         run = validate(spark, spark.table(args.control), args.group, job_name=args.job_name,
                        audit_target=args.audit, sources=_jdbc(args),
                        lake=LakeTables(spark, database=args.lake_db), mode=args.mode,
                        days=args.days, lake_upper_bound=args.lake_upper_bound)
-        run.result.audit.show(truncate=False)
+        log.info("audit rows of batch %s are in %s", run.batch, args.audit)
         return 0
     if args.job == "ingest":
         lake = LakeLocation(spark, root=args.lake_root, database=args.lake_db)
         src = _jdbc(args)
-        sources = FileDropSources(spark, lake) if args.files else \
-            JdbcRelations(spark, src) if src else None
+        sources = FileDropSources(spark, lake) if args.files else JdbcRelations(
+            spark, src, args.jdbc_partition_column, args.jdbc_partitions) if src else None
+        audit = args.audit or (lake.path("_ingestion_audit") if args.lake_root else lake.name("ingestion_audit"))
         run, advanced = ingest(spark, spark.table(args.control), args.group, lake,
-                               job_name=args.job_name, audit_target=args.audit,
+                               job_name=args.job_name, audit_target=audit,
                                sources=sources, max_parallel=args.parallel)
-        if args.control_out:
-            save_control(advanced, args.control_out)
-        log.info("%d loads succeeded, %d failed", run.succeeded, run.failed)
+        if not args.keep_marks:
+            save_control(advanced, args.control_out or args.control)
+        log.info("%d loads succeeded, %d failed; audit rows are in %s", run.succeeded, run.failed, audit)
         return 0 if run.succeeded > 0 else 1
-    maintain(spark, args.databases, iceberg_catalog=args.iceberg_catalog, apply=args.apply,
-             target_bytes=args.target_bytes, max_parallel=args.parallel).show(200, truncate=False)
+    report = args.report or f"{args.databases[0]}.maintenance_report"
+    done = maintain(spark, args.databases, iceberg_catalog=args.iceberg_catalog, apply=args.apply,
+                    target_bytes=args.target_bytes, max_parallel=args.parallel)
+    append_audit(done, report)
+    log.info("the report is in %s", report)
     return 0
 
 

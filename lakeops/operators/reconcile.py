@@ -14,20 +14,22 @@ window     ``mark - 30d < value <= mark``          ``value > mark - 30d`` (open)
 ``COUNT_DIFF = SOURCE_COUNT - DATALAKE_COUNT``: positive means the lake is
 missing rows.
 
-All counts of a batch form **one** Spark plan: the specs are grouped by
-relation, each relation is scanned once with one aggregate holding a
-``count_if`` per spec (the disjunction of the predicates is pushed into the
-scan for file and row-group pruning), and the per-relation rows are unioned.
-One job counts every table; the audit frame holds one row per table.  A
-table whose plan cannot be built (missing table or column) becomes a FAILED
-row without touching the others; if the joint job fails at run time, each
-relation is re-run on its own and only the culprits are marked FAILED.
+All counts of a batch of tables form **one** Spark plan: the specs are grouped
+by relation, each relation's predicates are counted in one scan (their
+disjunction is pushed into it for file and row-group pruning), whole-table
+counts, which need file footers only, are a branch of their own, and the
+per-relation rows are unioned.  A table whose plan cannot be built (missing
+table or column) becomes a FAILED row without touching the others; if a batch's
+job fails at run time, each of its relations is re-run on its own and only the
+culprits are marked FAILED; other batches keep their counts.  A batch's audit
+rows are handed on as soon as it is done, so a lost driver leaves a record.
 """
 
 from __future__ import annotations
 
 import time
 from collections import OrderedDict
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -43,7 +45,7 @@ from lakeops.functions.predicates import (DEFAULT_WINDOW_DAYS, any_of, lake_wind
 from lakeops.operators.control import ControlEntry, LoadMode
 from lakeops.sources.jdbc import JdbcSource
 
-# The validation audit record, in table order; INSERT_TIMESTAMP is added on append.
+# Fixed value: the validation audit record, in table order; INSERT_TIMESTAMP is added on append.
 AUDIT_FIELDS = [
     T.StructField("ID", T.LongType()),
     T.StructField("JOB_NAME", T.StringType()),
@@ -66,8 +68,11 @@ AUDIT_SCHEMA = T.StructType(AUDIT_FIELDS)
 AUDIT_COLUMNS = [f.name for f in AUDIT_FIELDS]
 
 SOURCE, LAKE = "source", "lake"
-# Counts taken by one aggregate over a relation (see ``_groups``).
-MAX_COUNTS_PER_SCAN = 64
+# Predicates beside each other in one aggregate; more are counted by the slots that rows match
+# (a wider aggregate leaves whole-stage code generation, ``spark.sql.codegen.maxFields``).
+MAX_WIDE_COUNTS = 64
+# Tables of one joint job.
+BATCH_TABLES = 32
 
 
 @dataclass
@@ -169,42 +174,65 @@ def plan_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, la
 
 
 def _relation_counts(specs: list[CountSpec]) -> DataFrame:
-    """One scan and one aggregate for all specs that share a relation.
+    """The counts of all specs that share a relation: ``(SLOT, SIDE, CNT)`` rows.
 
-    Output rows: ``(SLOT, SIDE, CNT)``, one per spec.
+    Slots without a matching row may be left out: their count is 0.
     """
     first = specs[0]
     if first.precounted:
         return first.frame.select(F.lit(first.slot).alias("SLOT"),
                                   F.lit(first.side).alias("SIDE"), F.col("CNT"))
-    frame = first.frame
-    preds = [s.predicate for s in specs]
-    if all(p is not None for p in preds):
-        frame = frame.where(any_of(preds))          # pushed to the scan
-    aggs = [(F.count_if(p) if p is not None and len(specs) > 1 else F.count(F.lit(1)))
-            .alias(f"c{i}") for i, p in enumerate(preds)]
-    wide = frame.agg(*aggs)
-    # One expression unpivots the counts (SLOT, SIDE, CNT); sides are fixed words.
-    cells = ", ".join(f"{s.slot}, '{s.side}', c{i}" for i, s in enumerate(specs))
-    return wide.selectExpr(f"stack({len(specs)}, {cells}) AS (SLOT, SIDE, CNT)")
+    whole = [s for s in specs if s.predicate is None]
+    some = [s for s in specs if s.predicate is not None]
+    parts = []
+    if whole:  # answered from file footers; a predicate beside it would make it read columns
+        marks = F.array(*[F.struct(F.lit(s.slot).alias("SLOT"), F.lit(s.side).alias("SIDE")) for s in whole])
+        parts.append(first.frame.agg(F.count(F.lit(1)).alias("CNT")).select(F.inline(marks), "CNT"))
+    frame = first.frame.where(any_of([s.predicate for s in some])) if some else None  # pushed to the scan
+    if some and len(some) <= MAX_WIDE_COUNTS:
+        aggs = [F.count_if(s.predicate).alias(f"c{i}") for i, s in enumerate(some)]
+        # One expression unpivots the counts (SLOT, SIDE, CNT); sides are fixed words.
+        cells = ", ".join(f"{s.slot}, '{s.side}', c{i}" for i, s in enumerate(some))
+        parts.append(frame.agg(*aggs).selectExpr(f"stack({len(some)}, {cells}) AS (SLOT, SIDE, CNT)"))
+    elif some:
+        matched = F.filter(F.array(*[F.when(s.predicate, F.struct(
+            F.lit(s.slot).alias("SLOT"), F.lit(s.side).alias("SIDE"))) for s in some]), lambda m: m.isNotNull())
+        parts.append(frame.select(F.inline(matched)).groupBy("SLOT", "SIDE").agg(F.count(F.lit(1)).alias("CNT")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _groups(specs: list[CountSpec]) -> "OrderedDict[str, list[CountSpec]]":
-    """Specs by relation, at most ``MAX_COUNTS_PER_SCAN`` per group.
-
-    Past that width one aggregate leaves whole-stage code generation
-    (``spark.sql.codegen.maxFields``) and runs several times slower per row
-    than a second scan costs, so a relation with very many control rows is
-    scanned once per 64 of them.
-    """
+    """Specs by relation."""
     groups: OrderedDict[str, list[CountSpec]] = OrderedDict()
     for s in specs:
         groups.setdefault(s.relation_key, []).append(s)
-    out: OrderedDict[str, list[CountSpec]] = OrderedDict()
-    for key, group in groups.items():
-        for i in range(0, len(group), MAX_COUNTS_PER_SCAN):
-            out[key if i == 0 else f"{key}#{i // MAX_COUNTS_PER_SCAN}"] = \
-                group[i:i + MAX_COUNTS_PER_SCAN]
+    return groups
+
+
+def _batches(specs: list[CountSpec]) -> list[list[CountSpec]]:
+    """Specs in batches of about ``BATCH_TABLES`` tables; tables that share a relation stay together."""
+    by_slot: dict[int, list[CountSpec]] = {}
+    for s in specs:
+        by_slot.setdefault(s.slot, []).append(s)
+    home: dict[str, set[int]] = {}  # the tables that are bound together through a relation
+    for slot, own in by_slot.items():
+        together = {slot}.union(*(home.get(s.relation_key, ()) for s in own))
+        for x in together:
+            for s in by_slot[x]:
+                home[s.relation_key] = together
+    out: list[list[CountSpec]] = []
+    placed: set[int] = set()
+    tables = BATCH_TABLES
+    for slot in by_slot:
+        if slot in placed:
+            continue
+        group = sorted(home[by_slot[slot][0].relation_key])
+        if tables + len(group) > BATCH_TABLES:
+            out.append([])
+            tables = 0
+        tables += len(group)
+        placed.update(group)
+        out[-1] += [s for x in group for s in by_slot[x]]
     return out
 
 
@@ -247,8 +275,8 @@ def reconcile_frame(spark: SparkSession, plan: ReconcilePlan, job_name: str,
     frames = []
     if ok_slots:
         counts = counts_frame(plan.specs).groupBy("SLOT").agg(
-            F.max(F.when(F.col("SIDE") == SOURCE, F.col("CNT"))).alias("SOURCE_COUNT"),
-            F.max(F.when(F.col("SIDE") == LAKE, F.col("CNT"))).alias("DATALAKE_COUNT"))
+            F.coalesce(F.max(F.when(F.col("SIDE") == SOURCE, F.col("CNT"))), F.lit(0)).alias("SOURCE_COUNT"),
+            F.coalesce(F.max(F.when(F.col("SIDE") == LAKE, F.col("CNT"))), F.lit(0)).alias("DATALAKE_COUNT"))
         meta_schema = T.StructType([f for f in AUDIT_FIELDS if f.name in (
             "ID", "JOB_NAME", "GROUPID", "TABLE_NAME", "LOAD_TYPE", "INCREMENTAL_COLUMN",
             "STARTDATETIME", "START_OFFSET", "BATCH_NUMBER")])
@@ -263,7 +291,7 @@ def reconcile_frame(spark: SparkSession, plan: ReconcilePlan, job_name: str,
             "SRC_QUERY_EXEC_TIME": F.lit(None).cast("string"),
             "TARGET_QUERY_EXEC_TIME": F.lit(None).cast("string"),
         }
-        ok = F.broadcast(meta).join(counts, "SLOT").select(
+        ok = meta.join(counts, "SLOT", "left").fillna(0, ["SOURCE_COUNT", "DATALAKE_COUNT"]).select(
             *[computed[c].alias(c) if c in computed else F.col(c) for c in AUDIT_COLUMNS])
         frames.append(ok)
     if failed_rows or not frames:
@@ -287,55 +315,76 @@ def _run_group(specs: list[CountSpec]) -> tuple[dict, float]:
 def run_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lake, *,
                   job_name: str, batch: str, days: int = DEFAULT_WINDOW_DAYS,
                   lake_upper_bound: bool = False, mode: str = "joint",
-                  max_parallel: int = 4) -> ReconcileResult:
+                  max_parallel: int = 4,
+                  on_rows: Callable[[DataFrame], None] | None = None) -> ReconcileResult:
     """Reconcile a batch and return its audit rows (REC-7).
 
-    ``mode="joint"``: one job for all counts; elapsed columns stay NULL.
-    ``mode="per_table"``: one job per relation, up to ``max_parallel`` at a
-    time, with elapsed times filled in.  A failed joint job falls back to
-    per-table so a single bad table cannot hide the others' results.
+    ``mode="joint"``: one job for all counts of up to ``BATCH_TABLES`` tables, which
+    share its elapsed time.  ``mode="per_table"``: one job per relation, up to
+    ``max_parallel`` at a time, each with its own time.  A failed joint job falls
+    back to per-table so a single bad table cannot hide the others' results.
     JDBC sources always run per table: their counts execute in the source
     database, and ``max_parallel`` bounds how many it receives at once.
+
+    ``on_rows`` gets the audit rows of each batch as soon as it is done (those
+    that failed in planning first).
     """
     if isinstance(sources, JdbcSource):
         mode = "per_table"
     plan = plan_reconcile(spark, entries, sources, lake, days, lake_upper_bound)
-    live = [s for s in plan.specs if s.slot not in plan.failed]
-    counts: dict = {}
-    times: dict = {}
-    errors: dict[int, str] = dict(plan.failed)
+    rows: list[tuple] = []
     ran = mode
-    if live and mode == "joint":
-        try:
-            counts = {(r["SLOT"], r["SIDE"]): r["CNT"] for r in counts_frame(live).collect()}
-        except Exception:  # noqa: BLE001 - isolate the failing relation below
-            ran = "per_table"
-    if live and ran == "per_table":
-        groups = list(_groups(live).values())
 
-        def one(g):
+    def told(slots, counts, times, errors) -> None:
+        new = []
+        for i in slots:
+            e = plan.entries[i]
+            if i in errors:
+                new.append(_audit_row(e, job_name, batch, error=errors[i]))
+            else:
+                new.append(_audit_row(e, job_name, batch, counts.get((i, SOURCE), 0), counts.get((i, LAKE), 0),
+                                      None, times.get((i, SOURCE)), times.get((i, LAKE))))
+        rows.extend(new)
+        if on_rows and new:
+            on_rows(spark.createDataFrame(new, AUDIT_SCHEMA))
+
+    told(sorted(plan.failed), {}, {}, plan.failed)
+    for specs in _batches([s for s in plan.specs if s.slot not in plan.failed]):
+        counts, times, errors = None, {}, {}
+        if mode == "joint":
+            t0 = time.monotonic()
             try:
-                return g, _run_group(g), None
-            except Exception as exc:  # noqa: BLE001
-                return g, None, exc
-
-        with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
-            for g, res, exc in pool.map(one, groups):
-                if exc is not None:
-                    for s in g:
-                        errors.setdefault(s.slot, truncate_error(exc))
-                    continue
-                got, secs = res
-                counts.update(got)
-                for s in g:
-                    times[(s.slot, s.side)] = hms(secs)
-    rows = []
-    for i, e in enumerate(plan.entries):
-        if i in errors:
-            rows.append(_audit_row(e, job_name, batch, error=errors[i]))
-        else:
-            rows.append(_audit_row(e, job_name, batch, counts[(i, SOURCE)], counts[(i, LAKE)],
-                                   None, times.get((i, SOURCE)), times.get((i, LAKE))))
+                counts = {(r["SLOT"], r["SIDE"]): r["CNT"] for r in counts_frame(specs).collect()}
+                times = {(s.slot, s.side): hms(time.monotonic() - t0) for s in specs}
+            except Exception:  # noqa: BLE001 - isolate the failing relation below
+                ran = "per_table"
+        if counts is None:
+            counts, times, errors = _one_by_one(specs, max_parallel)
+        told(sorted({s.slot for s in specs}), counts, times, errors)
     # SET-1: successes first, then failures.
     rows.sort(key=lambda r: r[AUDIT_COLUMNS.index("STATUS")] != "SUCCESS")
     return ReconcileResult(spark.createDataFrame(rows, AUDIT_SCHEMA), plan.skipped, ran)
+
+
+def _one_by_one(specs: list[CountSpec], max_parallel: int) -> tuple[dict, dict, dict]:
+    """One job per relation: counts, elapsed times and errors."""
+    counts: dict = {}
+    times: dict = {}
+    errors: dict[int, str] = {}
+
+    def one(g):
+        try:
+            return g, _run_group(g), None
+        except Exception as exc:  # noqa: BLE001 - recorded in the audit row
+            return g, None, exc
+
+    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+        for g, res, exc in pool.map(one, _groups(specs).values()):
+            if exc is not None:
+                for s in g:
+                    errors.setdefault(s.slot, truncate_error(exc))
+                continue
+            counts.update(res[0])
+            for s in g:
+                times[(s.slot, s.side)] = hms(res[1])
+    return counts, times, errors

@@ -148,37 +148,52 @@ def reconcile_window_coalesce(spark, sf_dir):
 
 
 _EDGE_MARK = "2024-01-31"
+# Distances from the mark (days, microseconds): on, just inside and just outside both bounds of the
+# 30-day window, within and beyond half a millisecond; then a value that does not parse, and NULL.
+EDGES = [(-30, -600), (-30, -400), (-30, -1), (-30, 0), (-30, 1), (-30, 400), (-30, 600), (-30, 1000),
+         (0, -600), (0, -1), (0, 0), (0, 1), (0, 400), (0, 600), (10, 0)]
+_EDGE_CASES = " ".join(f"WHEN {i} THEN CAST(TIMESTAMP '{_EDGE_MARK}' + INTERVAL ({d}) DAY + INTERVAL ({us}) MICROSECOND "
+                       f"AS VARCHAR)" for i, (d, us) in enumerate(EDGES))
+S_EDGES = (f"(SELECT event_id, event_id % {len(EDGES) + 2} AS edge, CASE event_id % {len(EDGES) + 2} {_EDGE_CASES} "
+           f"WHEN {len(EDGES)} THEN 'bad' END AS c, CASE WHEN event_id % 2 = 0 THEN 'none' END AS m FROM events)")
 
 
 @query("window_boundaries", f"""
-SELECT in_source_micros, in_source_millis, in_lake_open, CAST(count(*) AS BIGINT) AS n
-FROM (SELECT
+SELECT edge, in_source_micros, in_source_millis, in_lake_open, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT edge,
   COALESCE({s_win('COALESCE(m, c)', _EDGE_MARK)}, FALSE) AS in_source_micros,
   COALESCE({s_win('COALESCE(' + s_ms('m') + ', ' + s_ms('c') + ')', _EDGE_MARK)}, FALSE)
     AS in_source_millis,
   COALESCE({s_win('COALESCE(m, c)', _EDGE_MARK, False)}, FALSE) AS in_lake_open
-  FROM (SELECT TRY_CAST(modified_on AS TIMESTAMP) AS m, TRY_CAST(created_on AS TIMESTAMP) AS c
-        FROM {S_EVENTS_SRC} s) x) y
-GROUP BY 1, 2, 3""")
+  FROM (SELECT edge, TRY_CAST(m AS TIMESTAMP) AS m, TRY_CAST(c AS TIMESTAMP) AS c
+        FROM {S_EDGES} s) x) y
+GROUP BY 1, 2, 3, 4""")
 def window_boundaries(spark, sf_dir):
-    """FLT-2, FLT-3 and FLT-4 side by side on every row of a text-typed source.
+    """FLT-2, FLT-3 and FLT-4 side by side on every event, moved to the bounds of the window.
 
-    Rows whose value sits within a millisecond of a bound fall differently
-    under micro and milli precision; rows after the mark only pass the open
-    lake window.
+    Values within half a millisecond of a bound fall differently under micro and
+    milli precision; rows after the mark only pass the open lake window.
     """
-    src = fx.events_src(fx.read_table(spark, sf_dir, "events"))
-    typed = src.select(F.col("modified_on").try_cast("timestamp_ntz").alias("m"),
+    number = F.col("event_id") % (len(EDGES) + 2)
+    mark = ts_literal(_EDGE_MARK)
+    moved = F.lit(None).cast("string")
+    for i, (days, micros) in enumerate(EDGES):
+        at = mark + F.make_dt_interval(F.lit(days), secs=F.lit(micros / 1e6).cast("decimal(18,6)"))
+        moved = F.when(number == i, at.cast("string")).otherwise(moved)
+    src = fx.read_table(spark, sf_dir, "events").select(
+        number.alias("edge"), F.when(number == len(EDGES), F.lit("bad")).otherwise(moved).alias("created_on"),
+        F.when(F.col("event_id") % 2 == 0, F.lit("none")).alias("modified_on"))
+    typed = src.select("edge", F.col("modified_on").try_cast("timestamp_ntz").alias("m"),
                        F.col("created_on").try_cast("timestamp_ntz").alias("c"),
                        "modified_on", "created_on")
-    mark = ts_literal(_EDGE_MARK)
     cols = split_columns("m, c")
     flags = typed.select(
+        "edge",
         F.coalesce(source_window(cols, mark, "oracle"), F.lit(False)).alias("in_source_micros"),
         F.coalesce(source_window(["modified_on", "created_on"], mark, "generic"),
                    F.lit(False)).alias("in_source_millis"),
         F.coalesce(lake_window(cols, mark), F.lit(False)).alias("in_lake_open"))
-    return flags.groupBy("in_source_micros", "in_source_millis", "in_lake_open").agg(
+    return flags.groupBy("edge", "in_source_micros", "in_source_millis", "in_lake_open").agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -219,12 +234,12 @@ ORACLE_BATCH = "\nUNION ALL\n".join([
 ])
 
 
-def batch_result(spark: SparkSession, sf_dir: str, mode: str = "joint"):
+def batch_result(spark: SparkSession, sf_dir: str, mode: str = "joint", on_rows=None):
     fx.register(spark, sf_dir)
     control = spark.createDataFrame(fx.control_rows(spark, sf_dir), CONTROL_SCHEMA)
     entries = to_entries(control_scan(control, 1))
     return run_reconcile(spark, entries, SparkSources(spark), LakeTables(spark),
-                         job_name=JOB_NAME, batch=BATCH, mode=mode)
+                         job_name=JOB_NAME, batch=BATCH, mode=mode, on_rows=on_rows)
 
 
 def batch_plan(spark: SparkSession, sf_dir: str):
@@ -243,13 +258,20 @@ def reconcile_batch(spark, sf_dir):
     return reconcile_frame(spark, batch_plan(spark, sf_dir), JOB_NAME, BATCH).select(*BATCH_COLS)
 
 
-@query("audit_rows", f"SELECT *, TRUE AS HAS_INSERT_TIMESTAMP FROM ({ORACLE_BATCH}) b")
+@query("audit_rows", f"SELECT *, TRUE AS HAS_INSERT_TIMESTAMP, STATUS = 'SUCCESS' AS HAS_ELAPSED, "
+       f"STATUS = 'FAILED' AS NAMES_ITS_ERROR FROM ({ORACLE_BATCH}) b")
 def audit_rows(spark, sf_dir):
-    """SNK-1: the batch's audit rows appended to an audit table, read back."""
+    """SNK-1, REC-5: the batch's audit rows appended to an audit table as they are done, read back."""
     target = scratch_path(spark, "audit")
-    append_audit(batch_result(spark, sf_dir).audit, target)
+    batch_result(spark, sf_dir, on_rows=lambda rows: append_audit(rows, target))
     back = read_audit(spark, target)
-    return back.select(*BATCH_COLS, F.col("INSERT_TIMESTAMP").isNotNull().alias("HAS_INSERT_TIMESTAMP"))
+    elapsed = "^[0-9]{2,}:[0-5][0-9]:[0-5][0-9]$"
+    return back.select(
+        *BATCH_COLS, F.col("INSERT_TIMESTAMP").isNotNull().alias("HAS_INSERT_TIMESTAMP"),
+        F.coalesce(F.col("SRC_QUERY_EXEC_TIME").rlike(elapsed) & F.col("TARGET_QUERY_EXEC_TIME").rlike(elapsed),
+                   F.lit(False)).alias("HAS_ELAPSED"),
+        F.coalesce(F.col("ERROR_MESSAGE").contains(F.col("TABLE_NAME"))
+                   & (F.char_length("ERROR_MESSAGE") <= 1000), F.lit(False)).alias("NAMES_ITS_ERROR"))
 
 
 # --------------------------------------------------------------------------- ingestion
@@ -540,13 +562,21 @@ def q_maintenance_sweep(spark, sf_dir):
     orders.repartition(4).write.saveAsTable(f"{db}.d1_orders")
     target = 4 * int(file_inventory(spark, f"{scratch_root_of(spark, db)}/orders")
                      .agg(F.sum("size")).first()[0] // 16)
-    report = sweep(spark, [db], ParquetMaintenance(spark, target_bytes=target, dry_run=False))
-    counts = None
-    for t in ("lineitem", "orders", "d1_orders"):
-        c = spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).alias("ROWS_AFTER")) \
-            .select(F.lit(t).alias("TABLE_NAME"), "ROWS_AFTER")
-        counts = c if counts is None else counts.unionByName(c)
-    return report.join(counts, "TABLE_NAME").select("TABLE_NAME", "STEP", "STATUS", "ROWS_AFTER")
+    try:
+        report = sweep(spark, [db], ParquetMaintenance(spark, target_bytes=target, dry_run=False))
+        counts = _table_counts(spark, db, ("lineitem", "orders", "d1_orders"))
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+    return (report.join(counts, "TABLE_NAME")
+            .select("TABLE_NAME", "STEP", "STATUS", F.col("ROWS").alias("ROWS_AFTER")))
+
+
+def _table_counts(spark: SparkSession, db: str, names) -> DataFrame:
+    """Rows of each table, counted in one job now: the database may be dropped afterwards."""
+    counts = reduce(lambda a, b: a.unionByName(b), [
+        spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).alias("ROWS")).select(F.lit(t).alias("TABLE_NAME"), "ROWS")
+        for t in names])
+    return spark.createDataFrame(counts.collect(), "TABLE_NAME string, ROWS bigint")
 
 
 def scratch_root_of(spark: SparkSession, database: str) -> str:
@@ -636,12 +666,12 @@ def q_table_listing(spark, sf_dir):
     listed, filtered, and counted in one job."""
     db = "lakeops_listing_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
     spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'listing')}'")
-    for t in LISTED + ("d1_orders",):
-        src = "orders" if t == "d1_orders" else t
-        spark.catalog.createTable(f"{db}.{t}", path=f"{sf_dir.rstrip('/')}/{src}.parquet",
-                                  source="parquet")
-    names = spark.createDataFrame([(n,) for n in list_tables(spark, db)], "name string")
-    counts = [spark.table(f"{db}.{r.name}").agg(F.count(F.lit(1)).alias("ROWS"))
-              .select(F.lit(r.name).alias("TABLE_NAME"), "ROWS")
-              for r in without_excluded(names).collect()]
-    return reduce(lambda a, b: a.unionByName(b), counts)
+    try:
+        for t in LISTED + ("d1_orders",):
+            src = "orders" if t == "d1_orders" else t
+            spark.catalog.createTable(f"{db}.{t}", path=f"{sf_dir.rstrip('/')}/{src}.parquet",
+                                      source="parquet")
+        names = spark.createDataFrame([(n,) for n in list_tables(spark, db)], "name string")
+        return _table_counts(spark, db, [r.name for r in without_excluded(names).collect()])
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")

@@ -60,7 +60,8 @@ def events_src_lake(src: DataFrame) -> DataFrame:
         F.col("created_on").try_cast("timestamp_ntz").alias("created_on"))
 
 
-_REGISTERED: dict[int, tuple[str, dict[str, DataFrame]]] = {}
+# Session setting that names the folder whose views are registered.
+_REGISTERED = "lakeops.fixtures"
 
 
 def register(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -69,9 +70,10 @@ def register(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     Done once per session and data folder; later calls reuse the views while
     they are still registered.
     """
-    known = _REGISTERED.get(id(spark))
-    if known and known[0] == sf_dir and all(spark.catalog.tableExists(n) for n in known[1]):
-        return known[1]
+    names = ("orders", "lineitem", "events", "customer", "documents", "labels", "orders_lake", "lineitem_lake",
+             "events_lake", "events_src", "events_src_lake")
+    if spark.conf.get(_REGISTERED, "") == sf_dir and all(spark.catalog.tableExists(n) for n in names):
+        return {n: spark.table(n) for n in names}
     views: dict[str, DataFrame] = {}
     for name in ("orders", "lineitem", "events", "customer", "documents", "labels"):
         views[name] = read_table(spark, sf_dir, name)
@@ -82,7 +84,7 @@ def register(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     views["events_src_lake"] = events_src_lake(views["events_src"])
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    _REGISTERED[id(spark)] = (sf_dir, views)
+    spark.conf.set(_REGISTERED, sf_dir)
     return views
 
 

@@ -13,19 +13,33 @@ from lakeops.sources import jdbc
 
 
 def test_count_query_wraps_extract():
-    q = jdbc.count_query("SELECT * FROM t WHERE a = 1;", "subq.k <= 5")
-    assert q == "(SELECT COUNT(*) AS CNT FROM (SELECT * FROM t WHERE a = 1) subq WHERE subq.k <= 5) tmp"
+    q = jdbc.count_query("SELECT * FROM t WHERE a = 1;", "extract_rows.k <= 5")
+    assert q == "(SELECT COUNT(*) AS CNT FROM (SELECT * FROM t WHERE a = 1) extract_rows WHERE extract_rows.k <= 5) counted"
 
 
 def test_window_predicates_by_dialect():
     mark = dt.datetime(2024, 2, 9)
     ora = jdbc.window_predicate_sql("oracle", "a, b", mark)
-    assert ora.startswith("COALESCE(subq.a, subq.b) > TO_TIMESTAMP('2024-02-09 00:00:00.000000'")
-    assert "INTERVAL '30' DAY AND COALESCE(subq.a, subq.b) <= TO_TIMESTAMP(" in ora
+    assert ora.startswith("COALESCE(extract_rows.a, extract_rows.b) > TO_TIMESTAMP('2024-02-09 00:00:00.000000'")
+    assert "INTERVAL '30' DAY AND COALESCE(extract_rows.a, extract_rows.b) <= TO_TIMESTAMP(" in ora
     gen = jdbc.window_predicate_sql("generic", "a", mark, days=7)
-    assert gen == ("TRY_CONVERT(datetime2(3), subq.a) > DATEADD(DAY, -7, "
-                   "CAST('2024-02-09 00:00:00.000' AS datetime2(3))) AND "
-                   "TRY_CONVERT(datetime2(3), subq.a) <= CAST('2024-02-09 00:00:00.000' AS datetime2(3))")
+    assert gen == ("TRY_CONVERT(datetime2(3), extract_rows.a) > DATEADD(DAY, -7, "
+                   "CAST(CAST('2024-02-09 00:00:00.000000' AS datetime2(6)) AS datetime2(3))) AND "
+                   "TRY_CONVERT(datetime2(3), extract_rows.a) <= CAST(CAST('2024-02-09 00:00:00.000000' AS datetime2(6)) AS datetime2(3))")
+
+
+def test_marks_keep_all_digits_and_the_database_rounds_them():
+    text = jdbc.window_predicate_sql("generic", "a", dt.datetime(2024, 2, 9, 0, 0, 0, 1500))
+    assert "CAST(CAST('2024-02-09 00:00:00.001500' AS datetime2(6)) AS datetime2(3))" in text
+
+
+def test_marks_in_extracts():
+    text = "SELECT * FROM t WHERE k > {offset_value} AND at > TO_TIMESTAMP('{startdatetime}', 'f')"
+    e = ControlEntry(1, 1, text, "oracle", "t", "merge", dt.datetime(2024, 1, 2), "k", 7)
+    assert jdbc.bound_marks(e) == ("SELECT * FROM t WHERE k > 7 AND at > "
+                                   "TO_TIMESTAMP('2024-01-02 00:00:00.000000', 'f')")
+    with pytest.raises(ValueError, match="base_query"):
+        jdbc.JdbcSource("jdbc:x://h/db").source_count_sql(e)
 
 
 def test_identifiers_are_validated():
@@ -39,9 +53,9 @@ def test_source_count_sql_per_mode():
     src = jdbc.JdbcSource("jdbc:x://h/db", "u", "p", "drv", dialect="oracle")
     full = ControlEntry(1, 1, "SELECT * FROM t", "oracle", "t", "Full Load")
     off = ControlEntry(2, 1, "SELECT * FROM t", "oracle", "t", "merge", None, "k", 42)
-    assert src.source_count_sql(full) == "(SELECT COUNT(*) AS CNT FROM (SELECT * FROM t) subq) tmp"
+    assert src.source_count_sql(full) == "(SELECT COUNT(*) AS CNT FROM (SELECT * FROM t) extract_rows) counted"
     text = src.source_count_sql(off)
-    assert jdbc.ORACLE_PARALLEL_HINT in text and text.endswith("WHERE subq.k <= 42) tmp")
+    assert jdbc.ORACLE_PARALLEL_HINT in text and text.endswith("WHERE extract_rows.k <= 42) counted")
 
 
 def test_dialect_follows_the_control_row():

@@ -87,4 +87,4 @@ def test_formatters(spark):
     assert fm.hms_words(3723) == "01 Hour 02 Minutes 03 Seconds"
     assert fm.batch_number(1, dt.datetime(2024, 12, 1, tzinfo=dt.timezone.utc)) == "1733011200_1"
     assert len(fm.truncate_error("x" * 5000)) == 1000
-    assert spark.range(1).select(fm.hms_col(F.lit(400000)).alias("h")).first().h == "111:06:40"
+    assert fm.hms(400000) == "111:06:40" and fm.hms(None) is None and fm.hms_words(None) is None

@@ -46,7 +46,10 @@ _LITERAL = "\ud800"
 # Scores are added up as integers, in so many parts of one: sums do not depend on their order.
 _PARTS = 1 << 20
 _BYTE_SCORE = -30 * _PARTS  # below any piece: bytes are the last resort
-_REMEMBERED = 1 << 18
+# A piece's score and a count of one, as one number: of equal scores fewer pieces are more.
+_SCORE, _ONE = 1 << 32, 1
+# Words that a worker remembers (about 200 bytes each); beyond it the memory is emptied.
+_REMEMBERED = 600_000
 _UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -80,83 +83,93 @@ class Codec:
                 self.unknown = i
             elif p.type in (kinds.NORMAL, kinds.USER_DEFINED):
                 score = p.score if unigram else -math.log1p(max(0.0, -p.score))
-                self.automaton.add_word(p.piece, (i, len(p.piece), round(score * _PARTS)))
+                self.automaton.add_word(p.piece, (i, len(p.piece), round(score * _PARTS) * _SCORE - _ONE))
         self.automaton.make_automaton()
-        self.memory: dict[str, list[int]] = {}
+        # The text of each piece; a byte that is no character by itself has none.
+        self.text_of = [p.replace(MARK, " ") for p in self.pieces]
+        for i, value in self.byte_of.items():
+            self.text_of[i] = chr(value) if value < 0x80 else None
+        self.spells = np.isin(np.arange(len(self.pieces)), list(self.byte_of))
+        self.memory: dict[str, bytes] = {}
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the best segmentation of a framed text."""
         n = len(text)
-        best = [0] * (n + 1)
-        count = [0] * (n + 1)
-        back: list[tuple[int, int] | None] = [None] * (n + 1)
-        at = 1  # positions before it are final, or have a character's bytes to offer
-        for end, (piece, length, score) in self.automaton.iter(text):
-            while at <= end:
-                self._relax_bytes(text, at, best, count, back)
+        best: list[int | None] = [0] + [None] * n
+        begin, by = [0] * (n + 1), [-1] * (n + 1)
+        at = 1  # positions before it are final
+        # At one position the automaton's output links go from the longest piece to the shortest.
+        for end, (piece, length, value) in self.automaton.iter(text):
+            stop = end + 1
+            while at < stop:
+                if best[at] is None:
+                    best[at], begin[at] = best[at - 1] + self._bytes_value(text[at - 1]), at - 1
                 at += 1
-            stop, start = end + 1, end + 1 - length
-            total, pieces = best[start] + score, count[start] + 1
-            if back[stop] is None or total > best[stop] or (total == best[stop] and (
-                    pieces < count[stop] or (pieces == count[stop] and length > stop - back[stop][0]))):
-                best[stop], count[stop], back[stop] = total, pieces, (start, piece)
+            total = best[stop - length] + value
+            if best[stop] is None or total > best[stop]:
+                best[stop], begin[stop], by[stop] = total, stop - length, piece
         while at <= n:
-            self._relax_bytes(text, at, best, count, back)
+            if best[at] is None:
+                best[at], begin[at] = best[at - 1] + self._bytes_value(text[at - 1]), at - 1
             at += 1
         ids: list[int] = []
         stop = n
         while stop:
-            start, piece = back[stop]
-            ids.extend(reversed(self._bytes(text[start])) if piece < 0 else (piece,))
+            start, piece = begin[stop], by[stop]
+            if piece < 0:  # a character that no piece ends with is spelled in bytes
+                ids.extend(reversed(self._bytes(text[start])))
+            else:
+                ids.append(piece)
             stop = start
         return ids[::-1]
 
-    def _relax_bytes(self, text, stop, best, count, back):
-        """If no piece ends at ``stop``, its last character is spelled in bytes."""
-        if back[stop] is None:
-            spelled = len(self._bytes(text[stop - 1]))
-            best[stop] = best[stop - 1] + spelled * _BYTE_SCORE
-            count[stop] = count[stop - 1] + spelled
-            back[stop] = (stop - 1, -1)
-
     def _bytes(self, char: str) -> list[int]:
         char = MARK if char == _LITERAL else char
         return [self.byte_id.get(b, self.unknown) for b in char.encode("utf-8", "surrogatepass")]
 
-    def encode(self, text: str) -> list[int]:
+    def _bytes_value(self, char: str) -> int:
+        return len(self._bytes(char)) * (_BYTE_SCORE * _SCORE - _ONE)
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text."""
         if not text:
-            return []
+            return np.zeros(0, np.int32)
         framed = MARK + text.replace(MARK, _LITERAL).replace(" ", MARK)
-        ids: list[int] = []
-        for unit in _UNITS.findall(framed) if self.by_word else [framed]:
-            known = self.memory.get(unit)
-            if known is None:
-                if len(self.memory) >= _REMEMBERED:
-                    self.memory.clear()
-                known = self.viterbi(unit)
-                if len(unit) <= 64:
-                    self.memory[unit] = known
-            ids += known
+        units = _UNITS.findall(framed) if self.by_word else [framed]
+        memory = self.memory
+        found = [memory.get(unit) or self._solve(unit) for unit in units]
+        return np.frombuffer(b"".join(found), np.int32)
+
+    def _solve(self, unit: str) -> bytes:
+        ids = np.array(self.viterbi(unit), np.int32).tobytes()
+        if len(unit) <= 32:
+            if len(self.memory) >= _REMEMBERED:
+                self.memory.clear()
+            self.memory[unit] = ids
         return ids
 
-    def decode(self, ids) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """The text of ``encode``'s ids."""
-        if not len(ids):
-            return ""
-        parts: list[str] = []
+        texts = list(map(self.text_of.__getitem__, ids.tolist()))
+        if None in texts:
+            texts = self._with_bytes(ids.tolist(), texts)
+        return "".join(texts)[1:]
+
+    def _with_bytes(self, ids: list[int], texts: list[str | None]) -> list[str]:
+        """``texts`` with runs of byte pieces read as UTF-8."""
+        out: list[str] = []
         spelled = bytearray()
-        for i in ids:
+        for i, text in zip(ids, texts):
             value = self.byte_of.get(i)
             if value is not None:
                 spelled.append(value)
                 continue
             if spelled:
-                parts.append(spelled.decode("utf-8", "surrogatepass"))
+                out.append(spelled.decode("utf-8", "surrogatepass"))
                 spelled.clear()
-            parts.append(self.pieces[i].replace(MARK, " "))
-        if spelled:
-            parts.append(spelled.decode("utf-8", "surrogatepass"))
-        return "".join(parts)[1:]
+            out.append(text)
+        out.append(spelled.decode("utf-8", "surrogatepass"))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -173,8 +186,7 @@ def encode_column(spark: SparkSession, model: bytes, text: Column) -> Column:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = codec(shared.value)
         for texts in batches:
-            yield pd.Series([None if t is None else np.array(known.encode(t), np.int32) for t in texts],
-                            dtype=object)
+            yield pd.Series([None if t is None else known.encode(t) for t in texts], dtype=object)
 
     return encode(text)
 
@@ -186,7 +198,7 @@ def decode_column(spark: SparkSession, model: bytes, ids: Column) -> Column:
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = codec(shared.value)
         for rows in batches:
-            yield pd.Series([None if x is None else known.decode(x.tolist()) for x in rows], dtype=object)
+            yield pd.Series([None if x is None else known.decode(x) for x in rows], dtype=object)
 
     return decode(ids)
 
@@ -209,8 +221,8 @@ def encoded_digests(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_
                     continue
                 ids = known.encode(text)
                 back = known.decode(ids)
-                rows.append((len(ids), sum(map(known.byte_of.__contains__, ids)),
-                             hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(),
+                rows.append((len(ids), int(known.spells[ids].sum()),
+                             hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(),
                              hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), back == text))
             columns = list(zip(*rows)) or [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]

@@ -68,9 +68,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token ids."""
-    ids = sentencepiece_codec.encode_column(spark, sentencepiece_codec.read_model(PIECES), F.col("text"))
-    return (docs.select("doc_id", "lang", "source", ids.alias("input_ids"))
-            .withColumn("n_tokens", F.size("input_ids").cast("long")))
+    model = sentencepiece_codec.read_model(PIECES)
+    encoded = sentencepiece_codec.encode_rows(docs.select("doc_id", "lang", "source", "text"), model)
+    return encoded.drop("text").withColumn("n_tokens", F.size("input_ids").cast("long"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

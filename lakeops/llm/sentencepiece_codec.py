@@ -39,6 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MARK = "▁"
 # Stands in for a U+2581 of the text itself; not a character that text can hold.
@@ -50,6 +51,7 @@ _BYTE_SCORE = -30 * _PARTS  # below any piece: bytes are the last resort
 _SCORE, _ONE = 1 << 32, 1
 # Words that a worker remembers (about 200 bytes each); beyond it the memory is emptied.
 _REMEMBERED = 600_000
+_ROWS_OUT = 256
 _UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -178,17 +180,29 @@ def codec(model: bytes) -> Codec:
     return Codec(model)
 
 
-def encode_column(spark: SparkSession, model: bytes, text: Column) -> Column:
-    """Ids of each text; the model file (a few MB at most) is broadcast."""
-    shared = spark.sparkContext.broadcast(model)
+def encode_rows(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "input_ids") -> DataFrame:
+    """``docs`` with the ids of each text; the model file (a few MB at most) is broadcast.
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = codec(shared.value)
-        for texts in batches:
-            yield pd.Series([None if t is None else known.encode(t) for t in texts], dtype=object)
+    Ids leave the workers in small batches: they take more room than the texts.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
 
-    return encode(text)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = codec(shared.value)
+        for whole in batches:
+            for start in range(0, len(whole), _ROWS_OUT):
+                batch = whole.slice(start, _ROWS_OUT)
+                found = [None if t is None else known.encode(t) for t in batch.column(at).to_pylist()]
+                ends = np.cumsum([0 if x is None else len(x) for x in found])
+                ids = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate(([0], ends)).astype(np.int32)),
+                    pa.array(np.concatenate([np.zeros(0, np.int32), *(x for x in found if x is not None)])),
+                    mask=pa.array([x is None for x in found]))
+                yield pa.record_batch([*batch.columns, ids], [*batch.schema.names, ids_col])
+
+    return docs.mapInArrow(encode, T.StructType([*docs.schema.fields, T.StructField(
+        ids_col, T.ArrayType(T.IntegerType(), False))]))
 
 
 def decode_column(spark: SparkSession, model: bytes, ids: Column) -> Column:

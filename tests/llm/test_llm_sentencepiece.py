@@ -62,7 +62,8 @@ def test_same_result_without_memory(codec):
 
 def test_columns(spark):
     model = sp.read_model(PIECES)
-    docs = edge_docs(spark).withColumn("ids", sp.encode_column(spark, model, F.col("text")))
+    docs = sp.encode_rows(edge_docs(spark).withColumn("after", F.lit(1)), model, ids_col="ids")
+    assert docs.columns == [*edge_docs(spark).columns, "after", "ids"] and sp.encode_rows(no_docs(spark), model).count() == 0
     rows = docs.withColumn("back", sp.decode_column(spark, model, F.col("ids"))).select("text", "ids", "back").collect()
     assert len(rows) == 12 and all(r.text == r.back for r in rows)
     assert all((r.ids is None) == (r.text is None) and (r.text != "" or r.ids == []) for r in rows)

@@ -40,7 +40,6 @@ from lakeops.llm.common import materialise
 BLOCK = 16
 # Of the test: a candidate is abandoned beyond (1 + EPSILON / sqrt(dimensions scanned)) times the bound.
 EPSILON = 2.1
-_COLUMNS = "list int, cell int, id bigint, vector array<double>, rotated array<float>"
 
 
 @dataclass

@@ -19,13 +19,13 @@ spread over many tasks.
 
 Nulls and edges: a null text has size 0; null is a source like any other, the
 last one; a document of size 0 takes part in no block and is taken 0 times;
-repeated rows are separate documents, told apart by nothing but their number;
+repeated rows are separate documents, each with a place of its own;
 a corpus without words has no slots.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm.common import SPACE_WORD, chunked_running, materialise
@@ -118,7 +118,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         schedule(spark, shares, n_slots).withColumn("one", F.lit(1))
         .withColumn("chunk", F.floor(F.col("slot") / max(1, n_slots // _CHUNKS))),
         ["sid"], "chunk", ["slot"], "one", "rank")
-    # Documents end to end in the order of a hash; the row number tells repeats apart.
+    # Documents end to end in the order of a hash of their id.
     numbered = rows.join(sources.select("none", "source", "sid", F.col("size").alias("source_size"), "target"),
                          ["none", "source"])
     shuffled = F.md5(F.concat(F.lit("mix"), F.coalesce(F.col("id").cast("string"), F.lit(""))))

@@ -454,7 +454,7 @@ def q_ingestion_run(spark, sf_dir):
 
 # --------------------------------------------------------------------------- maintenance
 
-G9_TARGET = 50000
+G9_TARGET = 2000  # about a quarter of the documents are of a good size, and left alone
 
 
 @query("compaction_plan", f"""
@@ -464,7 +464,7 @@ SELECT doc_id, source, n_chars,
 FROM documents WHERE n_chars < {G9_TARGET * 0.75} OR n_chars > {G9_TARGET * 1.8}""")
 def q_compaction_plan(spark, sf_dir):
     """MNT-1 plan: documents stand in for a file inventory (file = doc_id,
-    partition = source, bytes = n_chars); candidates packed into 50 000-byte bins."""
+    partition = source, bytes = n_chars); candidates packed into 2 000-byte bins."""
     inv = fx.read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
     plan = compaction_plan(inv, partition_cols=["source"], order_col="doc_id",
                            size_col="n_chars", target_bytes=G9_TARGET)

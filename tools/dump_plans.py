@@ -35,11 +35,10 @@ NOTES = {
         "(AQE splits a skewed key's partition); untouched partitions are neither read nor "
         "rewritten."),
     "compaction_plan": (
-        "Running sum per (partition, chunk); chunk bounds from a partial percentile sketch; "
-        "chunk offsets from a window over at most 64 rows per partition. At 1000x: a table "
-        "partition with a third of all files is cut into 64 ranges, so no window task sees "
-        "more than ~1/192 of the inventory; the bounds join becomes sort-merge if the "
-        "inventory has very many partitions."),
+        "The files were dealt by ranges of (partition, order, ties) and written with the number of "
+        "their range before this plan; here: totals per (partition, range), offsets by a window "
+        "over the ranges of a partition, running sums within. At 1000x: a table partition with a "
+        "third of all files is cut into a third of the ranges."),
     "snapshot_expiry": (
         "row_number() <= k runs as a partial WindowGroupLimit before the shuffle. At 1000x: a "
         "table with a third of all snapshots ships k rows per map task to the final limit; the "

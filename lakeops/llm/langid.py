@@ -104,9 +104,9 @@ def _table(counts: DataFrame, languages: list[str], most: int) -> Table:
     top = counts.groupBy("item").agg(F.sum("n").alias("total"), F.map_from_entries(
         F.collect_list(F.struct("lang", "n"))).alias("by")).orderBy(F.desc("total"), "item").limit(most)
     rows = top.select("item", *[F.coalesce(F.col("by")[lang], F.lit(0)).cast("double").alias(f"n{i}")
-                                for i, lang in enumerate(languages)]).toPandas()
-    n = rows.drop(columns="item").to_numpy(float)
-    return Table(rows["item"].tolist(), np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * max(1, len(rows)))))
+                                for i, lang in enumerate(languages)]).toArrow()
+    n = np.column_stack([rows[f"n{i}"].to_numpy() for i in range(len(languages))])
+    return Table(rows["item"].to_pylist(), np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * max(1, len(rows)))))
 
 
 def fit(labelled: DataFrame, rows_per_language: int = 1000, max_words: int = 200_000,

@@ -42,7 +42,7 @@ GRAM = 16
 _CHUNK = 1 << 17  # bytes whose hashes are made at once, to stay in a core's cache
 _BASE = 0x9E3779B97F4A7C15  # odd
 _LAST = (1 << 63) - 1  # stands for a null id
-_SUBS = 16
+_SUBS = 4
 
 
 def rolling_hashes(data: np.ndarray) -> np.ndarray:
@@ -187,7 +187,7 @@ def _joined(group: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
-                   shard_bytes: int = 4 << 20, part_bytes: int = 16 << 20) -> DataFrame:
+                   shard_bytes: int = 4 << 20, part_bytes: int = 4 << 20) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept)`` for each row; ``kept``: the remaining bytes' SHA-256.
 
     ``shard_bytes`` of text make a shard of documents; the range of anchors of

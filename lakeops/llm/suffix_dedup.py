@@ -42,7 +42,7 @@ GRAM = 16
 _CHUNK = 1 << 17  # bytes whose hashes are made at once, to stay in a core's cache
 _BASE = 0x9E3779B97F4A7C15  # odd
 _LAST = (1 << 63) - 1  # stands for a null id
-_SUBS = 4
+_SUBS = 16
 
 
 def rolling_hashes(data: np.ndarray) -> np.ndarray:
@@ -137,8 +137,8 @@ def _group_begins(begins: np.ndarray) -> np.ndarray:
 
 def common_prefixes(order: np.ndarray, words: np.ndarray, limit: int) -> np.ndarray:
     """Bytes that each position of ``order`` has in common with the one before it, up to ``limit``."""
-    common = np.zeros(len(order), np.int64)
-    live = np.arange(1, len(order))
+    common = np.zeros(len(order), np.int32)
+    live = np.arange(1, len(order), dtype=np.int32)
     for at in range(0, limit, 8):
         differ = words[order[live] + at] ^ words[order[live - 1] + at]
         same = differ == 0
@@ -168,7 +168,7 @@ def repeated(segments: list[bytes], which: np.ndarray, ids: np.ndarray, length:
     starts = np.cumsum(sizes) - sizes
     windows = sizes - length + 1
     order, words = suffix_array(np.frombuffer(b"".join(segments), np.uint8), length)
-    groups = np.empty(len(order), np.int64)
+    groups = np.empty(len(order), np.int32)
     groups[order] = np.cumsum(common_prefixes(order, words, length) < length) - 1
     least = np.full(len(order), _LAST, np.int64)
     occurrence = np.repeat(np.arange(len(which)), windows[which])

@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -266,7 +267,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             made.append((value, int(group["shard"][0]), np.bincount(sub[sent], minlength=_SUBS).astype(np.int32).tobytes(),
                          ids[sent].tobytes(), first[sent].astype(np.int32).tobytes(),
                          (stop[sent] - first[sent]).astype(np.int32).tobytes(),
-                         b"".join([whole[x:y] for x, y in zip(first[sent].tolist(), stop[sent].tolist())]),
+                         pa.compress(b"".join([whole[x:y] for x, y in zip(first[sent].tolist(), stop[sent].tolist())]),
+                                     "zstd", asbytes=True),
                          np.array(gone, np.int32).tobytes()))
         return pd.DataFrame(made, columns=columns)
 
@@ -276,8 +278,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for shard, counts, i, s, n, blob, out in zip(*(group[c] for c in (
                 "shard", "counts", "ids", "starts", "sizes", "data", "gone"))):
             gone[shard].append(np.frombuffer(out, np.int32).reshape(-1, 2))
+            ends = [0, *np.cumsum(np.frombuffer(n, np.int32)).tolist()]
             rows.append((shard, np.cumsum(np.frombuffer(counts, np.int32)).tolist(), np.frombuffer(i, np.int64),
-                         np.frombuffer(s, np.int32), [0, *np.cumsum(np.frombuffer(n, np.int32)).tolist()], blob))
+                         np.frombuffer(s, np.int32), ends, pa.decompress(blob, ends[-1], "zstd", asbytes=True)))
         for sub in range(_SUBS):
             known: dict[bytes, int] = {}
             which, ids, starts, owner = [], [], [], []

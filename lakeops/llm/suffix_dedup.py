@@ -188,7 +188,7 @@ def _joined(group: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
-                   shard_bytes: int = 4 << 20, part_bytes: int = 4 << 20) -> DataFrame:
+                   shard_bytes: int = 2 << 20, part_bytes: int = 2 << 20) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept)`` for each row; ``kept``: the remaining bytes' SHA-256.
 
     ``shard_bytes`` of text make a shard of documents; the range of anchors of

@@ -5,9 +5,9 @@ as Parquet and read again as the next one's ``docs``; all but the last return th
 columns of their input.
 
 Nulls and edges follow the operators: a null or letterless text is rejected by
-the first stage; rows with a null id stay, as one document; empty tables stay
-empty; further columns are carried along, whatever their names, unless they begin
-with ``__``.
+the first stage; rows with a null id stay, one of each near-duplicate group that
+has no other id; empty tables stay empty; further columns are carried along,
+whatever their names, unless they begin with ``__``.
 """
 
 from __future__ import annotations

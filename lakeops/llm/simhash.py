@@ -133,7 +133,10 @@ def links(fingerprints: DataFrame, max_distance: int = 2, blocks: int = 4, heavy
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     max_distance: int = 2, blocks: int = 4, heavy: int = 16) -> DataFrame:
-    """``(id, text_hash, fp, component_id)``: one row per row of ``docs``."""
+    """``(id, text_hash, fp, component_id, root)``: one row per row of ``docs``.
+
+    ``root``: the smallest fingerprint of the component, unique and never null.
+    """
     rows = materialise(
         docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
                     fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash-fp")
@@ -142,18 +145,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("id", "text_hash", "fp", "component_id")
+    by_fp = rooted.join(smallest, "root").select("fp", "component_id", "root")
+    return rows.join(by_fp, "fp").select("id", "text_hash", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
     """``docs`` with one row per near-duplicate group: the one of smallest id.
 
-    Among rows of that id, the smallest text hash stays (rows equal in id and
-    text count as one).  All columns are kept.
+    A null id is the last of all; among rows of that id, the smallest text hash
+    stays (rows equal in id and text count as one).  All columns are kept.
     """
     found = near_duplicates(docs, **params)
-    kept = found.groupBy("component_id").agg(
+    kept = found.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")).alias("k")) \
         .select(F.col("k.id").alias("__id"), F.col("k.text_hash").alias("__hash"))
     id_col, text_col = params.get("id_col", "doc_id"), params.get("text_col", "text")

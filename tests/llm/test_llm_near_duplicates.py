@@ -76,3 +76,13 @@ def test_keep_one(spark):
     assert kept.columns == docs.columns
     assert rows_of(kept, "doc_id") == sorted([(i,) for i in (1, 2, None, 5, 6, 7, 8, 10)], key=repr)
     assert simhash.keep_one(no_docs(spark)).count() == 0
+
+
+def test_keep_one_keeps_a_row_of_every_group_without_an_id_of_its_own(spark):
+    rng = random.Random(11)
+    texts = [" ".join(str(rng.random()) for _ in range(30)) for _ in range(12)]
+    rows = [(None, t) for t in texts[:8]] + [(None, texts[0]), (None, texts[9]), (4, texts[9])] \
+        + [(3, t) for t in (texts[8], texts[10])] + [(3, texts[10]), (7, texts[10]), (1, texts[11])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert rows_of(simhash.keep_one(docs), "doc_id", "text") == sorted(
+        [(None, t) for t in texts[:8]] + [(4, texts[9]), (3, texts[8]), (3, texts[10]), (1, texts[11])], key=repr)

@@ -13,9 +13,10 @@ first when all are used.
 All arithmetic of the schedule is in integers (points and cumulative shares are
 parts of 2**32), so reruns and other engines agree exactly.
 
-Scale: slots are at most about ``slots``, because blocks grow with the corpus;
-rankings and running sums go by chunks, so a source that holds most rows is
-spread over many tasks.
+Scale: a block has ``least_block`` words however large the corpus is, so a source's
+error is the same few blocks everywhere; slots grow with the words.  Rankings and
+running sums go by chunks, so a source that holds most rows is spread over many
+tasks.
 
 Nulls and edges: a null text has size 0; null is a source like any other, the
 last one; a document of size 0 takes part in no block and is taken 0 times;
@@ -93,7 +94,7 @@ def schedule(spark: SparkSession, shares: DataFrame, n_slots: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, slots: int = 1 << 22, least_block: int = 32) -> DataFrame:
+        weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, least_block: int = 32) -> DataFrame:
     """``(id, key, size, source_size, target, taken)`` for each row of ``docs``.
 
     ``taken``: words that the mix takes from the row, repeats counted; ``key``: the
@@ -106,8 +107,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sources = targets(rows.groupBy("none", "source").agg(F.sum("size").alias("size")), weights, cap)
     sources = materialise(sources, "mix-targets")
     total, n_sources, last = sources.agg(F.sum("size"), F.count("*"), F.max("sid")).first()
-    block = max(least_block, -(-(total or 0) // slots))
-    n_slots = -(-(total or 0) // block)
+    block, n_slots = least_block, -(-(total or 0) // least_block)
     # Shares of the schedule as parts of 2**32; what rounding leaves belongs to the last source.
     parts = sources.select("sid", "size", F.floor(F.col("target") / F.lit(float(total or 1)) * UNIT).alias("part"))
     placed = chunked_running(parts.withColumn("all", F.lit(0)).withColumn("chunk", F.floor(F.col("sid") / _CHUNKS)),

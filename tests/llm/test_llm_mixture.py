@@ -84,3 +84,18 @@ def test_hot_source_with_null_and_tiny_sources_matches_sql(spark):
     want = duckdb.sql(f"WITH {oracles.mixture_ctes()} SELECT doc_id, size, taken FROM mixed").fetchall()
     got = mixture.mix(docs).select(F.col("id"), "size", "taken").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_blocks_do_not_grow_with_the_corpus(spark, monkeypatch):
+    class Scheduled(Exception):
+        pass
+
+    def schedule(spark, shares, n_slots):
+        raise Scheduled(n_slots)
+
+    monkeypatch.setattr(mixture, "sizes", lambda text: F.lit(500_000_000).cast("bigint"))
+    monkeypatch.setattr(mixture, "schedule", schedule)
+    docs = spark.createDataFrame([(i, "", "small" if i == 3 else "large") for i in range(10)], "doc_id long, text string, source string")
+    with pytest.raises(Scheduled) as told:
+        mixture.mix(docs)
+    assert told.value.args[0] == 5_000_000_000 // 32

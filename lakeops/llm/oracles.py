@@ -101,3 +101,57 @@ def mixture_sql() -> str:
 WITH {mixture_ctes()}
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, taken FROM mixed
 """
+
+
+def _crc32_table() -> list[int]:
+    """The byte table of the reflected polynomial 0xEDB88320 (fixed value)."""
+    table = []
+    for n in range(256):
+        for _ in range(8):
+            n = (n >> 1) ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+    return table
+
+
+def spelling_sql(least_length: int = 5, least_count: int = 3, ratio: int = 2) -> str:
+    """Near words meet by what is left of them without one letter; roots by recursion."""
+    letters = "[A-Za-z\u00C0-\u00FF]+"
+    return f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '{letters}')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+table_of AS (SELECT {_crc32_table()}::UBIGINT[] AS t),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(
+           string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+           lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::UBIGINT]
+                          ELSE [(192 + unicode(c) // 64)::UBIGINT, (128 + unicode(c) % 64)::UBIGINT] END))),
+           lambda h, b: xor(h // 256, t[(xor(h % 256, b) + 1)::BIGINT])), 4294967295::UBIGINT) AS h
+  FROM counted, table_of),
+typed AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+              ELSE run END AS word, n FROM hashed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= {least_length} GROUP BY word HAVING sum(n) >= {least_count}),
+cut AS (
+  SELECT word, n, i, left(word, i::BIGINT - 1) || substr(word, i::BIGINT + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION
+  SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(k := -other_n, w := other)) AS b FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.k >= {ratio} * w.n THEN b.w END AS form,
+         CASE WHEN -b.k >= {ratio} * w.n THEN -b.k END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL
+  SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.at WHERE formed.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM formed f JOIN chain c USING (word) JOIN formed g ON g.word = c.at WHERE g.form IS NULL"""

@@ -11,12 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, chains, langid, licenses, mixture, oracles, secrets, sentencepiece_codec, simhash, suffix_dedup, winnow
+from lakeops.llm import ann, chains, langid, licenses, mixture, oracles, packing, secrets, \
+    sentencepiece_codec, simhash, spelling, suffix_dedup, whitening, winnow
 from lakeops.llm.common import read_table
 from lakeops.session import scratch_path
 
 # A public model file, read on the driver and broadcast.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+# A public tokenizer file, likewise.
+WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -127,3 +130,29 @@ def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("start").alias("first_word"), F.col("end").alias("end_word"),
                         F.col("other_id").alias("other_doc_id"), F.col("other_start").alias("other_first_word"),
                         F.col("other_end").alias("other_end_word"), "identity")
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its form, the root of its forms and the number of words one edit away."""
+    words = spelling.vocabulary(read_table(spark, sf_dir, "documents"), least_length=5, least_count=3)
+    return spelling.variants(words, ratio=2)
+
+
+ORACLE["op11_spelling"] = oracles.spelling_sql()
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the sixteen strongest components, whitened."""
+    found = whitening.whiten(read_table(spark, sf_dir, "embeddings"), top=16, weights="one")
+    return found.select(F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"),
+                        "whitened", "explained", "identity_error")
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in a sequence of 2048 tokens."""
+    tokenizer = packing.read_tokenizer(WORD_BPE)
+    found = packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer, capacity=2048)
+    return found.packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

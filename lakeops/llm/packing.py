@@ -21,10 +21,12 @@ result.  Only the named columns are read, so clashing names of others do not mat
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,8 @@ from tokenizers import Tokenizer
 from lakeops.llm.common import materialise
 
 END_ID = 0
-# Distinct words whose ids a task remembers; beyond that it starts anew.
-_REMEMBERED = 400_000
+# Distinct words whose ids a worker remembers; beyond that it starts anew.
+_REMEMBERED = 800_000
 
 
 # ------------------------------------------------------------------ bounds and best fit
@@ -166,11 +168,17 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length", group: in
 
 
 # ------------------------------------------------------------------ documents into pieces
+# A word of letters, then of ASCII punctuation other than the apostrophe: two words to the tokenizer, neither of
+# which changes with the other's presence.
+_LETTERS_THEN_MARKS = re.compile(rb"((?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class Tokens:
     """Ids of whole texts, by way of the words between ASCII white space.
 
     No token of this tokenizer's reaches over white space, and its normalization works word by word, so a text's
-    ids are those of its words in turn; each different word is encoded once.
+    ids are those of its words in turn; each different word is encoded once, letters and the marks behind them
+    apart and in lower case, as the tokenizer itself takes them.
     """
 
     def __init__(self, model: str):
@@ -179,28 +187,52 @@ class Tokens:
         self._forget()
 
     def _forget(self) -> None:
+        self._parts: dict[bytes, tuple[int, ...]] = {}
         self._number: dict[bytes, int] = {}
         self._ids, self._ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    @staticmethod
+    def _split(word: bytes) -> tuple[bytes, ...]:
+        found = _LETTERS_THEN_MARKS.fullmatch(word)
+        return (word,) if found is None else tuple(part for part in (found[1].lower(), found[2]) if part)
+
+    def _learn(self, new: list[bytes]) -> None:
+        split = [self._split(w) for w in new]
+        parts = list(dict.fromkeys(p for of in split for p in of if p not in self._parts))
+        if parts:
+            found = self._encoder.encode([p.decode() for p in parts], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
+            of = np.array(found.word_ids, np.int64)  # the part that each id belongs to
+            ends = np.searchsorted(of, np.arange(len(parts) + 1)).tolist()
+            ids = ids.tolist()
+            self._parts.update((p, tuple(ids[i:j])) for p, i, j in zip(parts, ends, ends[1:]))
+        spelled = [[i for p in of for i in self._parts[p]] for of in split]
+        self._number.update(zip(new, range(len(self._number), len(self._number) + len(new))))
+        self._ids = np.concatenate([self._ids, np.array([i for ids in spelled for i in ids], np.uint32)])
+        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum([len(ids) for ids in spelled])])
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         if len(self._number) > _REMEMBERED:
             self._forget()
         split = [t.encode().split() for t in texts]
-        new = list(dict.fromkeys(w for words in split for w in words if w not in self._number))
-        if new:
-            found = [e.ids for e in self._encoder.encode_batch([w.decode() for w in new], add_special_tokens=False)]
-            self._number.update(zip(new, range(len(self._number), len(self._number) + len(new))))
-            self._ids = np.concatenate([self._ids, *[np.array(ids, np.uint32) for ids in found]])
-            self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum([len(ids) for ids in found])])
-        out = []
-        for words in split:
-            at = np.fromiter(map(self._number.__getitem__, words), np.int64, len(words))
-            starts, lengths = self._ends[at], self._ends[at + 1] - self._ends[at]
-            before = np.cumsum(lengths) - lengths
-            places = np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
-            out.append(self._ids[places])
-        return out
+        ends = np.cumsum([0, *map(len, split)])
+        words = [w for of in split for w in of]
+        at = np.fromiter(map(self._number.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            self._learn(list(dict.fromkeys(words[i] for i in unknown)))
+            at[unknown] = [self._number[words[i]] for i in unknown]
+        lengths = self._ends[at + 1] - self._ends[at]
+        before = np.concatenate(([0], np.cumsum(lengths)))
+        ids = self._ids[np.repeat(self._ends[at] - before[:-1], lengths) + np.arange(int(before[-1]))]
+        return np.split(ids, before[ends[1:-1]])
+
+
+@lru_cache(maxsize=1)
+def _tokens(model: str) -> Tokens:
+    """What one task has encoded serves the next one of the same worker."""
+    return Tokens(model)
 
 
 _PIECE = {"piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
@@ -220,7 +252,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     kinds = {**_PIECE, **({"ids": pa.list_(pa.int32())} if with_ids else {})}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(tokenizer)
+        tokens = _tokens(tokenizer)
         for batch in batches:
             for first in range(0, len(batch), 64):  # a few texts at a time bound what their ids take
                 part = batch.slice(first, 64)

@@ -9,7 +9,8 @@ exchange their pieces among each other, together with the released ones, and run
 in partitions twice as large; an exchange that saves nothing is undone and ends the
 repacking.  A piece of full length is a sequence of its own.
 
-Pieces are dealt by a hash of their place in a written table, so copies, one source or
+Pieces are dealt by a hash of their place in a written table and then by rank of length,
+so every partition gets the same share of long and short pieces, copies, one source or
 one id never crowd a partition, and a lost task deals them the same way again.
 
 Nulls and edges: a null or empty text is the end token alone; a null id stays null;
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakeops.llm.common import materialise
+from lakeops.llm.common import chunked_running, materialise
 
 END_ID = 0
 # Distinct words whose ids a worker remembers; beyond that it starts anew.
@@ -101,10 +102,26 @@ class Packing:
 
 _PROOF = "turn int, part bigint, bins bigint, bound bigint"
 _MADE = {"part": pa.int64(), "bin": pa.int64(), "offset": pa.int64(), "fill": pa.int64(), "bins": pa.int64(), "bound": pa.int64()}
+# Partitions whose rows are dealt together.
+_BLOCK_PARTS = 16
 # Bits of a sequence's number left of a partition's and left of a turn's.
 _BIN_BITS, _TURN_BITS = 24, 58
 
 
+def _dealt(pool: DataFrame, parts: int, turn: int, length_col: str) -> DataFrame:
+    """The pool with a ``part`` for each row, lengths spread evenly: a partition with more than its share of long
+    pieces would leave room that another one's short pieces could fill.
+
+    A hash makes blocks of a bounded number of rows; a block's rows go round its partitions by rank of length.
+    """
+    blocks = -(-parts // _BLOCK_PARTS)
+    each = -(-parts // blocks)
+    blocked = pool.withColumn("block", F.pmod(F.xxhash64(F.col("row"), F.lit(turn)), F.lit(blocks).cast("bigint"))) \
+        .withColumn("one", F.lit(1))
+    ranked = chunked_running(blocked, ["block"], length_col, ["row"], "one", "rank")
+    return ranked.select(*pool.columns, (F.col("block") * each + F.pmod("rank", F.lit(each))).cast("bigint").alias("part"))
+
+
 def _packed(pool: DataFrame, parts: int, turn: int, capacity: int, length_col: str) -> DataFrame:
     """Each partition of the pool packed best-fit decreasing, with its number of bins and their bound."""
 
@@ -119,7 +136,7 @@ def _packed(pool: DataFrame, parts: int, turn: int, capacity: int, length_col: s
             group = group.append_column(name, pa.array(values, _MADE[name]))
         return group
 
-    dealt = pool.withColumn("part", F.pmod(F.xxhash64(F.col("row"), F.lit(turn)), F.lit(parts).cast("bigint")))
+    dealt = _dealt(pool, parts, turn, length_col)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields] + \
         [f"{name} bigint" for name in _MADE if name != "part"]
     return dealt.groupBy("part").applyInArrow(run, ", ".join(fields))
@@ -132,7 +149,7 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length", group: in
     The columns of ``pieces`` stay; ``sequence_id`` and ``offset`` (without gaps from 0) are added.
     """
     spark, columns = pieces.sparkSession, pieces.columns
-    clash = {"sequence_id", "row", *_MADE} & set(columns)
+    clash = {"sequence_id", "row", "block", "one", "rank", *_MADE} & set(columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are made here")
     # Once written, a row's number no longer changes.

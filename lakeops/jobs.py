@@ -21,12 +21,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.functions.formatting import batch_number, hms_words
-from lakeops.operators.audit import append_audit, append_rows
+from lakeops.operators.audit import append_audit, append_once
 from lakeops.operators.control import control_scan, ingestion_scan, to_entries
-from lakeops.operators.ingest import LakeLocation, advance_marks, run_ingestion
+from lakeops.operators.ingest import LakeLocation, advance_marks, load_full, run_ingestion
+from lakeops.operators.ledger import LoadLedger
 from lakeops.operators.maintenance import IcebergProcedures, ParquetMaintenance, sweep
 from lakeops.operators.reconcile import ReconcileResult, run_reconcile
-from lakeops.session import build_session, drop_scratch, scratch_path
+from lakeops.session import build_session
 from lakeops.sources.files import FileDropSources
 from lakeops.sources.jdbc import JdbcRelations, JdbcSource
 from lakeops.sources.lake import LakeTables, SparkSources
@@ -61,36 +62,37 @@ def validate(spark: SparkSession, control: DataFrame, group_id: int, *, job_name
 def save_control(control: DataFrame, target: str) -> None:
     """Persist a control table, also over the table it was read from.
 
-    The rows are staged in the shared scratch folder first, so the final
-    overwrite never reads the files it replaces.
+    The rows are staged and counted beside it and then take its place (:mod:`.operators.publish`):
+    a driver lost at any moment leaves the old rows or, after the next call, the new ones.
     """
     spark = control.sparkSession
-    stage = scratch_path(spark, "control")
-    control.write.parquet(stage)
-    staged = spark.read.parquet(stage)
     if "/" in target or ":" in target:
-        staged.write.mode("overwrite").parquet(target)
-    elif spark.catalog.tableExists(target):
-        staged.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        root, _, table = target.rstrip("/").rpartition("/")
+        lake = LakeLocation(spark, root=root)
     else:
-        staged.write.saveAsTable(target)
-    drop_scratch(spark, stage)
+        database, _, table = target.rpartition(".")
+        lake = LakeLocation(spark, database=database or None)
+    load_full(control, lake, table)
 
 
 def ingest(spark: SparkSession, control: DataFrame, group_id: int, lake: LakeLocation, *,
            job_name: str, audit_target: str | None = None, sources=None,
-           batch: str | None = None, max_parallel: int = 1):
+           batch: str | None = None, max_parallel: int = 1, ledger_target: str | None = None):
     """Load every active table of a group in priority order.
 
     Returns ``(successes, failures, run audit)`` and the control table with
-    advanced high-water marks (the caller decides where to persist it).
+    advanced high-water marks (the caller decides where to persist it).  What was loaded
+    is noted in the ledger beside the lake's tables, so a run that is repeated because
+    the marks were not saved appends nothing twice.  Each table's audit row is appended as
+    soon as the table is done, once per batch.
     """
     batch = batch or batch_number(group_id)
     entries = to_entries(ingestion_scan(control, group_id))
+    ledger = LoadLedger(spark, ledger_target or (lake.path("_load_ledger") if lake.root else lake.name("load_ledger")))
+    keys = ["BATCH_NUMBER", "ID", "TABLE_NAME", "STATUS"]
     run = run_ingestion(spark, entries, sources or SparkSources(spark), lake,
-                        job_name=job_name, batch=batch, max_parallel=max_parallel)
-    if audit_target:
-        append_rows(run.audit, audit_target)
+                        job_name=job_name, batch=batch, max_parallel=max_parallel, ledger=ledger,
+                        on_row=(lambda row: append_once(row, audit_target, keys)) if audit_target else None)
     return run, advance_marks(control, run)
 
 

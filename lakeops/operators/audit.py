@@ -7,9 +7,11 @@ A target is either a catalog table name or a storage path (Parquet).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.functions.joins import null_safe_join
+
 
 def with_insert_timestamp(rows: DataFrame, after: str = "START_OFFSET",
                           name: str = "INSERT_TIMESTAMP") -> DataFrame:
@@ -44,9 +46,46 @@ def append_rows(rows: DataFrame, target: str) -> None:
         rows.write.saveAsTable(target)
 
 
+def exists(spark: SparkSession, target: str) -> bool:
+    if not _is_path(target):
+        return spark.catalog.tableExists(target)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def append_once(rows: DataFrame, target: str, keys: list[str], within: str = "BATCH_NUMBER") -> None:
+    """Append the rows whose keys the target does not hold yet.
+
+    Only the target's rows of the same ``within`` values (a run's batch) are looked at, so the cost
+    does not grow with the audit's age where it is pruned by that column.  Keys are compared
+    null-safe; ``rows`` are few (one per table of a run) and are the broadcast side.
+    """
+    spark = rows.sparkSession
+    if exists(spark, target):
+        # The keys that are there, of these batches: never more than the audit rows of a run.
+        batches = [r[0] for r in rows.select(within).distinct().collect()]
+        there = read_audit(spark, target)
+        mine = there.where(F.col(within).isin([b for b in batches if b is not None])
+                           | (F.col(within).isNull() if None in batches else F.lit(False)))
+        rows = null_safe_join(rows, mine.select(*keys).distinct(), keys, "left_anti")
+        left = rows.collect()
+        if not left:
+            return
+        rows = spark.createDataFrame(left, rows.schema)
+    append_rows(rows, target)
+
+
 def append_audit(rows: DataFrame, target: str) -> None:
-    """Stamp and append validation audit rows (SNK-1)."""
-    append_rows(with_insert_timestamp(rows), target)
+    """Stamp and append validation audit rows (SNK-1); a batch that is told twice is there once.
+
+    A row of a run is told by its batch, control id and table.
+    """
+    keys = [c for c in ("BATCH_NUMBER", "ID", "TABLE_NAME") if c in rows.columns]
+    stamped = with_insert_timestamp(rows)
+    if len(keys) == 3:
+        append_once(stamped, target, keys)
+    else:
+        append_rows(stamped, target)
 
 
 def read_audit(spark, target: str) -> DataFrame:

@@ -7,28 +7,34 @@
 * a run: every active control row of a group in priority order, one run
   audit row each (ING-4, SNK-4).
 
+Every load stages its rows beside the target, in the target's layout, counts them there
+(file footers) and only then publishes them by renames (:mod:`.publish`): an extract
+that fails half-way leaves the target as it was, and a publication that is cut off is
+finished by the next call.  With a :class:`~.ledger.LoadLedger` a run that is
+repeated after a lost driver appends nothing twice.
+
 Row counts and new marks come from ``Observation`` metrics gathered while the
 extract is read.  A merge reads its source once, into the shared scratch
 folder: keys, touched partitions and written rows all come from that copy, so a
 source that moves (or a tie that falls another way) cannot make them
-disagree.  The merged rows are staged there too, then moved into the target; on a
-partitioned target only the partitions holding updated keys are rewritten
-(dynamic partition overwrite, SNK-3).  Keys and partition values are compared
-null-safe: NULL is a value like any other.
-
-A target keeps its layout: partition columns, provider and table properties are
-taken from it unless given.  After each load the rows are counted in the target;
-a load whose rows cannot be read back raises instead of reporting success.
+disagree.  On a partitioned target only the partitions holding updated keys are
+written and swapped in (SNK-3).  Keys and partition values are compared null-safe:
+NULL is a value like any other.
+
+A target keeps its layout: partition columns, provider, location, comment and table
+properties are taken from it unless given.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,17 +44,28 @@ from lakeops.functions.formatting import hms, truncate_error
 from lakeops.functions.joins import null_safe_join
 from lakeops.functions.predicates import first_of, pending, split_columns
 from lakeops.operators.control import ControlEntry
+from lakeops.operators.ledger import LoadLedger, mark_text as _mark_text
+from lakeops.operators.publish import (APPEND, REPLACE, REWRITE, SWAP, Done, Files, Publication, Watch, finish, publish,
+                                       stage_path)
 from lakeops.session import drop_scratch, scratch_path
 
 
+# Formats whose files may be moved into a table as they are.
+_MOVABLE = ("parquet", "orc")
+
+
 @dataclass
 class LakeLocation:
-    """Where lake tables live: Parquet folders under ``root`` or a catalog database."""
+    """Where lake tables live: Parquet folders under ``root`` or a catalog database.
+
+    ``watch`` is told of every step of a publication (table, step).
+    """
 
     spark: SparkSession
     root: str | None = None
     database: str | None = None
     row_level_merge: bool = False  # catalog tables that support MERGE (e.g. Iceberg)
+    watch: Watch | None = None
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}" if self.database else table
@@ -56,10 +73,17 @@ class LakeLocation:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    @property
+    def home(self) -> str:
+        """The folder that stages and publication records go to: beside the tables."""
+        if self.root:
+            return self.root.rstrip("/")
+        database = self.database or self.spark.catalog.currentDatabase()
+        return self.spark.catalog.getDatabase(database).locationUri.rstrip("/")
+
     def exists(self, table: str) -> bool:
         if self.root:
-            fs, p = _fs(self.spark, self.path(table))
-            return fs.exists(p)
+            return Files(self.spark).exists(self.path(table))
         return self.spark.catalog.tableExists(self.name(table))
 
     def read(self, table: str) -> DataFrame:
@@ -74,81 +98,128 @@ class LakeLocation:
         return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
 
     def described(self, table: str, key: str) -> str | None:
-        row = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").where(F.col("col_name") == key).first()
-        return row["data_type"] if row else None
-
-    def write(self, df: DataFrame, table: str, mode: str,
-              partition_by: list[str] | None = None) -> None:
-        """``overwrite`` on a partitioned table replaces only the partitions in ``df``."""
-        if not self.root and self.exists(table):
-            name = self.name(table)
-            df = df.select(*self.spark.table(name).columns)
-            parts = self.partitions(table)
-            if mode != "overwrite" or not parts:
-                df.write.mode(mode).insertInto(name, overwrite=(mode == "overwrite"))
-                return
-            # An insert follows the session's overwrite mode; a write to the table's folder
-            # follows its own, so other partitions are safe whatever the session says.
-            (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-             .format(self.described(table, "Provider") or "parquet").partitionBy(*parts)
-             .save(self.described(table, "Location")))
-            self.spark.catalog.recoverPartitions(name)
-            self.spark.catalog.refreshTable(name)
-            return
-        w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        if self.root:
-            w.parquet(self.path(table))
-        else:
-            w.format("parquet").saveAsTable(self.name(table))
-
-    def replace(self, df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
-        """The whole table becomes ``df``; a catalog table keeps its provider and properties."""
-        # Static mode: every partition is replaced, not only those in the extract.
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        if self.root:
-            w.parquet(self.path(table))
-            return
-        name, kept, provider = self.name(table), [], "parquet"
-        if self.exists(table):
-            provider = self.described(table, "Provider") or provider
-            kept = [(r["key"], r["value"]) for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-                    if not r["key"].startswith(("transient_", "spark.", "option."))]
-        w.format(provider).saveAsTable(name)
-        if kept:
-            told = ", ".join("'{}' = '{}'".format(*(x.replace("\\", "\\\\").replace("'", "\\'") for x in kv)) for kv in kept)
-            self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({told})")
+        return self.details(table).get(key)
+
+    def details(self, table: str) -> dict[str, str]:
+        """What the catalog says of a table beside its columns (``Provider``, ``Location``, ``Type`` ...)."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()
+        detail = next((i for i, r in enumerate(rows) if r["col_name"].startswith("# Detailed")), len(rows))
+        return {r["col_name"]: r["data_type"] for r in rows[detail + 1:]}
+
+    def finish(self, table: str, done: Done | None = None) -> Publication | None:
+        """Carry out what an interrupted load of this table left to do."""
+        return finish(self.spark, self.home, table, None if self.root else self.name(table), done, self.watch)
+
+    def stage(self, df: DataFrame, table: str, partition_by: list[str] | None) -> "Stage":
+        """Write ``df`` beside the table, in the layout it will have there."""
+        existing = not self.root and self.exists(table)
+        about = self.details(table) if existing else {}
+        provider = "parquet" if self.root else about.get("Provider", "parquet").lower()
+        columns = self.spark.table(self.name(table)).columns if existing else df.columns
+        # The same columns: files can be moved as they are; else Spark writes the table from the stage.
+        same = existing and sorted(columns) == sorted(df.columns) and dict(df.dtypes) == dict(self.read(table).dtypes)
+        movable = bool(self.root) or (same and provider in _MOVABLE and about.get("Num Buckets", "0") == "0")
+        if same:
+            df = df.select(*columns)
+        path = stage_path(self.home, table)
+        writer = df.write.format(provider if movable else "parquet")
+        if partition_by and movable:
+            writer = writer.partitionBy(*partition_by)
+        writer.save(path)
+        rewrite = None
+        if not movable:
+            rewrite = {"schema": df.schema.json(), "provider": provider, "insert": same, "comment": about.get("Comment"),
+                       "location": about.get("Location") if about.get("Type") == "EXTERNAL" else None,
+                       "properties": self._properties(table) if existing else {}}
+        target = self.path(table) if self.root else unquote(about.get("Location", ""))
+        return Stage(self, table, path, df.schema, list(partition_by or []), target, movable, rewrite,
+                     provider if movable else "parquet")
+
+    def _properties(self, table: str) -> dict[str, str]:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
+        return {r["key"]: r["value"] for r in rows if not r["key"].startswith(("transient_", "spark.", "option."))}
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+@dataclass
+class Stage:
+    """Rows written beside their table, ready to be published."""
+
+    lake: LakeLocation
+    table: str
+    path: str
+    schema: T.StructType
+    partition_by: list[str]
+    target: str
+    movable: bool
+    rewrite: dict | None
+    fmt: str
+
+    def read(self) -> DataFrame:
+        return self.lake.spark.read.schema(self.schema).format(self.fmt).load(self.path)
+
+    def check(self, expected: int) -> None:
+        """Refuse a stage from which not all rows can be read back (file footers only)."""
+        found = self.read().count()
+        if found < expected:
+            Files(self.lake.spark).delete(self.path)
+            raise RuntimeError(f"{self.table}: {expected} rows written, {found} can be read back")
+
+    def _publish(self, kind: str, gone: Sequence[str] = (), note: dict | None = None, done: Done | None = None) -> None:
+        files = Files(self.lake.spark)
+        parts = list(files.folders(self.path, len(self.partition_by))) if self.partition_by and self.movable else []
+        what = Publication(kind, self.table, self.target, self.path, self.partition_by, parts,
+                           sorted(set(gone) - set(parts)), self.rewrite, note)
+        publish(self.lake.spark, self.lake.home, what, None if self.lake.root else self.lake.name(self.table), done,
+                self.lake.watch)
+
+    def replace(self, note: dict | None = None, done: Done | None = None) -> None:
+        """The whole table becomes the staged rows."""
+        self._publish(REPLACE if self.movable else REWRITE, (), note, done)
+
+    def append(self, note: dict | None = None, done: Done | None = None) -> None:
+        """The staged rows join the table.
+
+        Where files cannot be moved, Spark's own append does it, which a lost driver may leave undecided.
+        """
+        lake = self.lake
+        if not self.target or not lake.exists(self.table):
+            self.replace(note, done)
+        elif self.movable:
+            self._publish(APPEND, (), note, done)
+        else:
+            name = lake.name(self.table)
+            self.read().select(*lake.spark.table(name).columns).write.insertInto(name)
+            if done and note is not None:
+                done(note)
+            Files(lake.spark).delete(self.path)
+
+    def swap(self, old: Sequence[str], note: dict | None = None, done: Done | None = None) -> None:
+        """The staged partitions take the place of those in the table; of the ``old`` ones, those not staged go."""
+        lake = self.lake
+        if self.movable:
+            self._publish(SWAP, old, note, done)
+            return
+        # Replacing partitions is repeatable by itself.
+        spark, name = lake.spark.newSession(), lake.name(self.table)
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        rows = spark.read.schema(self.schema).format(self.fmt).load(self.path)
+        rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        lake.spark.catalog.refreshTable(name)
+        if done and note is not None:
+            done(note)
+        Files(lake.spark).delete(self.path)
 
 
 def _folder_partitions(spark: SparkSession, path: str) -> list[str]:
     """Partition columns of a Parquet folder, from the names of its first sub-folders."""
     found: list[str] = []
-    fs, folder = _fs(spark, path)
+    files = Files(spark)
     while True:
-        below = [st.getPath() for st in fs.listStatus(folder) if st.isDirectory() and "=" in st.getPath().getName()
-                 and not st.getPath().getName().startswith(("_", "."))]
-        if not below:
+        below = next(files.folders(path, 1), None)
+        if below is None:
             return found
-        folder = below[0]
-        found.append(folder.getName().split("=", 1)[0])
-
-
-def delete_file(spark: SparkSession, url: str) -> None:
-    """Delete a file that ``_metadata.file_path`` names (URL-encoded); raise if it is still there."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(url))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.delete(path, False) and fs.exists(path):
-        raise OSError(f"could not delete {url}")
+        path = f"{path}/{below}"
+        found.append(below.split("=", 1)[0])
 
 
 def _staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -158,11 +229,6 @@ def _staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _read_back(lake: LakeLocation, table: str, found: int, expected: int) -> None:
-    if found < expected:
-        raise RuntimeError(f"{table}: {expected} rows written, {found} can be read back")
-
-
 @dataclass
 class LoadResult:
     rows: int
@@ -183,38 +249,48 @@ def _observed(df: DataFrame, mark_col: str | Sequence[str] | None = None) -> tup
 
 
 def load_full(df: DataFrame, lake: LakeLocation, table: str, partition_by: list[str] | None = None,
-              mark_col: str | Sequence[str] | None = None) -> LoadResult:
-    """Replace the target with the extract (ING-1); with ``mark_col``, also
-    report the largest value loaded."""
+              mark_col: str | Sequence[str] | None = None, note: dict | None = None,
+              done: Done | None = None) -> LoadResult:
+    """Replace the target with the extract (ING-1); with ``mark_col``, also report the largest value loaded.
+
+    The extract is staged and counted first, so one that fails half-way leaves the target as it was.
+    """
+    lake.finish(table, done)
     if partition_by is None and lake.exists(table):
         partition_by = lake.partitions(table)
     df, obs = _observed(df, mark_col)
-    lake.replace(df, table, partition_by)
+    staged = lake.stage(df, table, partition_by)
     m = obs.get
-    _read_back(lake, table, lake.read(table).count(), m["rows"])
+    staged.check(m["rows"])
+    staged.replace(_noted(note, m["rows"], m.get("mark")), done)
     return LoadResult(m["rows"], m.get("mark"))
 
 
+def _noted(note: dict | None, rows: int, mark) -> dict | None:
+    """What the ledger is told once the rows are in place."""
+    return None if note is None else {**note, "ROWS_LOADED": rows, "NEW_MARK": _mark_text(mark)}
+
+
 def load_incremental(source: DataFrame, lake: LakeLocation, table: str, mark_col: str | Sequence[str],
-                     mark, partition_by: list[str] | None = None) -> LoadResult:
+                     mark, partition_by: list[str] | None = None, note: dict | None = None,
+                     done: Done | None = None) -> LoadResult:
     """Append rows past the mark; the new mark is the largest value loaded (ING-2).
 
     Of several mark columns the first that is not null counts.  Without a mark
     (a table's first load) every row is loaded.
     """
+    lake.finish(table, done)
     rows = source if mark is None else source.where(pending(mark_col, mark))
-    before = 0
     if lake.exists(table):
         partition_by = partition_by or lake.partitions(table)
-        before = lake.read(table).count()
     df, obs = _observed(rows, mark_col)
-    lake.write(df, table, "append", partition_by)
+    staged = lake.stage(df, table, partition_by)
     m = obs.get
-    if m["rows"]:
-        _read_back(lake, table, lake.read(table).count(), before + m["rows"])
+    staged.check(m["rows"])
     new_mark = m.get("mark") if m.get("rows") else mark
     if mark is not None and (new_mark is None or new_mark < mark):
         new_mark = mark
+    staged.append(_noted(note, m["rows"], new_mark), done)
     return LoadResult(m["rows"], new_mark)
 
 
@@ -274,7 +350,7 @@ def merged_rows(current: DataFrame, updates: DataFrame, keys: list[str], partiti
 def load_merge(source: DataFrame, lake: LakeLocation, table: str, keys: list[str],
                mark_col: str | Sequence[str] | None = None, mark=None,
                order_by: str | Sequence[str] | None = None, partition_by: list[str] | None = None,
-               unique_keys: bool = False) -> LoadResult:
+               unique_keys: bool = False, note: dict | None = None, done: Done | None = None) -> LoadResult:
     """Upsert the rows past the mark into the target by key (ING-3).
 
     Updates are reduced to one row per key first: the newest by ``order_by``,
@@ -283,62 +359,75 @@ def load_merge(source: DataFrame, lake: LakeLocation, table: str, keys: list[str
     updates.  The new mark comes from the extract before that reduction.
     """
     spark = source.sparkSession
+    lake.finish(table, done)
     extract, obs = _observed(source.where(pending(mark_col, mark)) if _columns(mark_col) and mark is not None
                              else source, mark_col)
     updates = extract if unique_keys else latest_per_key(extract, keys, order_by or mark_col)
     updates, updates_path = _staged(updates, f"updates-{table}")
     m = obs.get
     result = LoadResult(updates.count(), m.get("mark") if m.get("rows") and m.get("mark") is not None else mark)
+    note = _noted(note, result.rows, result.new_mark)
     if not lake.exists(table):
-        load_full(updates, lake, table, partition_by)
+        staged = lake.stage(updates, table, partition_by)
+        staged.check(result.rows)
+        staged.replace(note, done)
     elif lake.row_level_merge:
         # The table format rewrites only the files holding matched keys.
         # (Not exercised here: no such catalog is available locally.)
         cond = " AND ".join(f"{table}.{k} <=> s.{k}" for k in keys)
         (updates.alias("s").mergeInto(lake.name(table), F.expr(cond))
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+        if done and note is not None:
+            done(note)
     elif result.rows:
-        _merge_partitions(lake, table, updates, keys, partition_by or lake.partitions(table))
+        _merge_partitions(lake, table, updates, keys, partition_by or lake.partitions(table), note, done)
+    elif done and note is not None:
+        done(note)
     drop_scratch(spark, updates_path)
     return result
 
 
 def _merge_partitions(lake: LakeLocation, table: str, updates: DataFrame, keys: list[str],
-                      partition_by: list[str]) -> None:
+                      partition_by: list[str], note: dict | None, done: Done | None) -> None:
+    """The merged rows of the touched partitions are staged in their layout, counted, and swapped in."""
     spark, current = lake.spark, lake.read(table)
-    paths, touched, old_files = [], None, None
+    touched, scratch = None, None
     if partition_by:
-        touched, path = _staged(touched_partitions(current, updates, keys, partition_by), f"touched-{table}")
-        paths.append(path)
-        old_files, path = _staged(_files_of(current, touched), f"files-{table}")
-        paths.append(path)
-    merged, path = _staged(merged_rows(current, updates, keys, partition_by, touched), f"merge-{table}")
-    paths.append(path)
-    lake.write(merged.select(*current.columns), table, "overwrite", partition_by)
-    after = lake.read(table)
+        touched, scratch = _staged(touched_partitions(current, updates, keys, partition_by), f"touched-{table}")
+    merged, obs = _observed(merged_rows(current, updates, keys, partition_by, touched).select(*current.columns))
+    staged = lake.stage(merged, table, partition_by)
+    staged.check(obs.get["rows"])
     if partition_by:
-        # A file of a touched partition that is still there belongs to one whose rows all moved
-        # elsewhere (it got no output), or whose folder is spelled otherwise than a write spells it.
-        for r in old_files.join(_files_of(after, touched), "file", "left_semi").toLocalIterator():
-            delete_file(spark, r["file"])
-        if not lake.root:
-            spark.catalog.refreshTable(lake.name(table))
-        after = lake.read(table)
-        after = in_partitions(after, touched)
-    _read_back(lake, table, after.count(), merged.count())
-    for path in paths:
-        drop_scratch(spark, path)
+        staged.swap(_folders_of(current, touched, staged.target), note, done)
+        drop_scratch(spark, scratch)
+    else:
+        staged.replace(note, done)
 
 
-def _files_of(df: DataFrame, touched: DataFrame) -> DataFrame:
-    rows = df.select(*touched.columns, F.col("_metadata.file_path").alias("file"))
-    return in_partitions(rows, touched).select("file").distinct()
+def _folders_of(df: DataFrame, touched: DataFrame, target: str) -> list[str]:
+    """The folders below ``target`` that hold rows of the touched partitions (one row per folder)."""
+    rows = df.select(*touched.columns, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder"))
+    folders = [unquote(r["folder"]) for r in in_partitions(rows, touched).select("folder").distinct().collect()]
+    depth = len(touched.columns)
+    below = lambda path: re.sub(r"^[a-z][a-z0-9+.-]*:/*", "/", path).rstrip("/")  # noqa: E731 - without the scheme
+    stray = [f for f in folders if not below(f).endswith("/".join(["", *below(target).split("/")[-1:], *f.split("/")[-depth:]]))]
+    if stray:
+        raise ValueError(f"partitions outside the table's folder: {stray[:3]}")
+    return ["/".join(f.split("/")[-depth:]) for f in folders]
 
 
 def overwrite_partitions(df: DataFrame, lake: LakeLocation, table: str,
                          partition_by: list[str]) -> None:
     """Replace only the partitions present in ``df`` (SNK-3)."""
-    lake.write(df, table, "overwrite", partition_by)
+    lake.finish(table)
+    df, obs = _observed(df)
+    staged = lake.stage(df, table, partition_by)
+    staged.check(obs.get["rows"])
+    if lake.exists(table):
+        present = staged.read().select(*partition_by).distinct()
+        staged.swap(_folders_of(lake.read(table), present, staged.target))
+    else:
+        staged.replace()
 
 
 # --------------------------------------------------------------------------- a run
@@ -369,36 +458,31 @@ class RunResult:
         return (self.succeeded, self.failed, self.audit)[i]
 
 
-def _mark_text(v) -> str | None:
-    if v is None:
-        return None
-    if isinstance(v, dt.datetime):
-        return v.isoformat(sep=" ", timespec="microseconds")
-    return str(v)
-
-
 def load_entry(spark: SparkSession, entry: ControlEntry, sources, lake: LakeLocation,
-               partition_by: list[str] | None = None) -> tuple[LoadResult, object]:
+               partition_by: list[str] | None = None, note: dict | None = None,
+               done: Done | None = None) -> tuple[LoadResult, object]:
     """Run the load a control row asks for; returns the result and the old mark."""
     _, df = sources.relation(entry, for_load=True)
     kind = (entry.loadtype or "").lower()
     mark = entry.offset_value if entry.offset_value is not None else entry.startdatetime
+    told = {"note": note, "done": done}
     if entry.loadtype == "Full Load":
-        return load_full(df, lake, entry.tablename, partition_by), None
+        return load_full(df, lake, entry.tablename, partition_by, **told), None
     if kind in ("incremental", "merge"):
         cols = split_columns(entry.data_validation_column)
         if kind == "incremental":
-            return load_incremental(df, lake, entry.tablename, cols, mark, partition_by), mark
+            return load_incremental(df, lake, entry.tablename, cols, mark, partition_by, **told), mark
         if not entry.merge_key:
             raise ValueError("merge load needs merge_key")
         return load_merge(df, lake, entry.tablename, split_columns(entry.merge_key),
-                          cols, mark, None, partition_by), mark
+                          cols, mark, None, partition_by, **told), mark
     raise ValueError(f"unknown load type {entry.loadtype!r}")
 
 
 def run_ingestion(spark: SparkSession, entries: list[ControlEntry], sources,
                   lake: LakeLocation, *, job_name: str, batch: str,
-                  max_parallel: int = 1) -> RunResult:
+                  max_parallel: int = 1, ledger: LoadLedger | None = None,
+                  on_row: Callable[[DataFrame], None] | None = None) -> RunResult:
     """Load every entry; one failure never stops the rest (ING-4).
 
     The loop runs over configuration rows; each iteration is Spark jobs over
@@ -406,31 +490,41 @@ def run_ingestion(spark: SparkSession, entries: list[ControlEntry], sources,
     schedules concurrent jobs from driver threads), which keeps a large
     cluster busy when many tables are small; rows stay in priority order.
     Entries must then target distinct tables.
+
+    With a ``ledger``, a load starts from the mark that the ledger has committed
+    past the control row's, and commits its own once its rows are in place.
+    ``on_row`` gets each table's audit row as soon as that table is done.
     """
     def one(e: ControlEntry):
         t0 = time.monotonic()
         try:
-            res, old = load_entry(spark, e, sources, lake)
-            return e, res, old, None, hms(time.monotonic() - t0)
+            note, done = None, None
+            if ledger is not None:
+                done = ledger.commit
+                lake.finish(e.tablename, done)
+                e = ledger.resumed(e, lake.exists(e.tablename))
+                note = ledger.intend(e, batch)
+            res, old = load_entry(spark, e, sources, lake, note=note, done=done)
+            row = (e.id, job_name, e.groupid, e.tablename, e.loadtype, "SUCCESS", res.rows,
+                   _mark_text(old), _mark_text(res.new_mark), None, hms(time.monotonic() - t0), batch)
+            mark = res.new_mark
         except Exception as exc:  # noqa: BLE001 - recorded in the run audit
-            return e, None, None, exc, hms(time.monotonic() - t0)
+            row = (e.id, job_name, e.groupid, e.tablename, e.loadtype, "FAILED", None,
+                   None, None, truncate_error(exc), hms(time.monotonic() - t0), batch)
+            mark = None
+        if on_row:
+            on_row(spark.createDataFrame([row], RUN_AUDIT_SCHEMA))
+        return e, row, mark
 
     if max_parallel > 1:
         with ThreadPoolExecutor(max_workers=max_parallel) as pool:
             outcomes = list(pool.map(one, entries))
     else:
         outcomes = [one(e) for e in entries]
-    rows, marks = [], {}
-    for e, res, old, exc, took in outcomes:
-        if exc is None:
-            marks[e.id] = res.new_mark
-            rows.append((e.id, job_name, e.groupid, e.tablename, e.loadtype, "SUCCESS", res.rows,
-                         _mark_text(old), _mark_text(res.new_mark), None, took, batch))
-        else:
-            rows.append((e.id, job_name, e.groupid, e.tablename, e.loadtype, "FAILED", None,
-                         None, None, truncate_error(exc), took, batch))
-    ok = sum(1 for o in outcomes if o[3] is None)
-    return RunResult(ok, len(outcomes) - ok, spark.createDataFrame(rows, RUN_AUDIT_SCHEMA), marks)
+    rows = [row for _, row, _ in outcomes]
+    good = [row[5] == "SUCCESS" for row in rows]
+    marks = {e.id: mark for (e, _, mark), ok in zip(outcomes, good) if ok}
+    return RunResult(sum(good), len(good) - sum(good), spark.createDataFrame(rows, RUN_AUDIT_SCHEMA), marks)
 
 
 def advance_marks(control: DataFrame, run: RunResult) -> DataFrame:

@@ -178,6 +178,7 @@ def _carry_out(files: Files, home: str, what: Publication, catalog_name: str | N
         told("catalog")
         if what.kind != REWRITE:
             _register(files.spark, catalog_name, what)
+        files.spark.catalog.refreshTable(catalog_name)
     else:
         files.spark.catalog.refreshByPath(what.target)
     told("note")
@@ -255,7 +256,6 @@ def _register(spark: SparkSession, name: str, what: Publication) -> None:
         for i in range(0, len(what.parts), _ADDED_AT_ONCE):
             added = " ".join(f"PARTITION ({_spec(p)})" for p in what.parts[i:i + _ADDED_AT_ONCE])
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
-    spark.catalog.refreshTable(name)
 
 
 def _rewrite(files: Files, name: str, what: Publication) -> None:

@@ -35,6 +35,12 @@ def ts_literal(value: dt.datetime | dt.date | str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def ts_array(values: Sequence[dt.datetime]) -> Column:
+    """An array of ``TIMESTAMP_NTZ`` literals, parsed as one expression however many there are."""
+    return F.expr("array(" + ", ".join(
+        f"TIMESTAMP_NTZ '{v.replace(tzinfo=None).isoformat(sep=' ', timespec='microseconds')}'" for v in values) + ")")
+
+
 def days_before(mark: Column, days: int = DEFAULT_WINDOW_DAYS) -> Column:
     """``mark - INTERVAL days DAY`` (SCL-5)."""
     return mark - F.make_dt_interval(F.lit(days))
@@ -93,10 +99,24 @@ def source_window(cols: Sequence[str], mark: Column, dialect: str,
     conversion to a millisecond timestamp, the first that converts wins, and
     the mark is rounded the same way.
     """
+    value = source_value(cols, dialect)
+    return bounded_window(value, mark if dialect == "oracle" else round_to_millis(mark), days)
+
+
+def source_value(cols: Sequence[str], dialect: str) -> Column:
+    """What a source window compares: the columns as stored, or as millisecond timestamps."""
+    if dialect == "oracle":
+        return first_of([F.col(c) for c in cols])
+    return first_of([try_timestamp_millis(F.col(c)) for c in cols])
+
+
+def source_mark(mark: dt.datetime, dialect: str) -> dt.datetime:
+    """The mark that a source window ends at: rounded half up to milliseconds, but for ``oracle``."""
+    mark = mark.replace(tzinfo=None)
     if dialect == "oracle":
-        return bounded_window(first_of([F.col(c) for c in cols]), mark, days)
-    value = first_of([try_timestamp_millis(F.col(c)) for c in cols])
-    return bounded_window(value, round_to_millis(mark), days)
+        return mark
+    below = mark.microsecond % 1000
+    return mark + dt.timedelta(microseconds=(1000 if below >= 500 else 0) - below)
 
 
 def lake_window(cols: Sequence[str], mark: Column, days: int = DEFAULT_WINDOW_DAYS,

@@ -16,7 +16,8 @@ missing rows.
 
 All counts of a batch of tables form **one** Spark plan: the specs are grouped
 by relation, each relation's predicates are counted in one scan (their
-disjunction is pushed into it for file and row-group pruning), whole-table
+disjunction is pushed into it for file and row-group pruning; where a value is
+compared with many marks, rows find theirs by binary search), whole-table
 counts, which need file footers only, are a branch of their own, and the
 per-relation rows are unioned.  A table whose plan cannot be built (missing
 table or column) becomes a FAILED row without touching the others; if a batch's
@@ -27,6 +28,7 @@ rows are handed on as soon as it is done, so a lost driver leaves a record.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from collections import OrderedDict
 from collections.abc import Callable
@@ -34,14 +36,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.formatting import hms, truncate_error
-from lakeops.functions.predicates import (DEFAULT_WINDOW_DAYS, any_of, lake_window,
-                                          loaded_up_to, source_window, split_columns,
-                                          ts_literal)
+from lakeops.functions.predicates import (DEFAULT_WINDOW_DAYS, any_of, first_of, lake_window,
+                                          loaded_up_to, source_mark, source_value, source_window,
+                                          split_columns, ts_array, ts_literal)
 from lakeops.operators.control import ControlEntry, LoadMode
 from lakeops.sources.jdbc import JdbcSource
 
@@ -68,13 +70,26 @@ AUDIT_SCHEMA = T.StructType(AUDIT_FIELDS)
 AUDIT_COLUMNS = [f.name for f in AUDIT_FIELDS]
 
 SOURCE, LAKE = "source", "lake"
-# Predicates beside each other in one aggregate; more are counted by the slots that rows match
-# (a wider aggregate leaves whole-stage code generation, ``spark.sql.codegen.maxFields``).
-MAX_WIDE_COUNTS = 64
+# Marks of one column on one relation from which rows are counted by searching the sorted marks,
+# instead of by one predicate for each mark.
+SEARCHED_MARKS = 16
 # Tables of one joint job.
 BATCH_TABLES = 32
 
 
+@dataclass
+class Bounds:
+    """``low < value <= high``: what every predicate of a reconciliation is; an end that is None is open."""
+
+    key: tuple                       # specs of one relation and key have the same value expression
+    value: Callable[[], Column]
+    low: object = None
+    high: object = None
+
+    def literal(self, mark) -> Column:
+        return ts_literal(mark) if isinstance(mark, dt.datetime) else F.lit(mark)
+
+
 @dataclass
 class CountSpec:
     """One count to take: ``count(*) where predicate`` on a relation."""
@@ -83,7 +98,8 @@ class CountSpec:
     side: str
     relation_key: str
     frame: DataFrame
-    predicate: Column | None = None
+    predicate: Callable[[], Column] | None = None
+    bounds: Bounds | None = None   # of the predicate
     precounted: bool = False  # frame already is one row with column CNT
 
 
@@ -102,45 +118,57 @@ def _source_spec(spark, slot: int, entry: ControlEntry, sources, days: int, reso
         return CountSpec(slot, SOURCE, f"jdbc:{slot}", frame, precounted=True)
     key, frame = resolve(("source", entry.base_query or entry.sql_query, entry.tablename),
                          lambda: sources.relation(entry))
-    pred = None
+    pred = bounds = None
     if mode is LoadMode.OFFSET:
         (col,) = split_columns(entry.data_validation_column)
-        pred = loaded_up_to(col, entry.offset_value)
+        pred = lambda: loaded_up_to(col, entry.offset_value)
+        bounds = Bounds(("offset", col), lambda: F.col(col), None, entry.offset_value)
     elif mode is LoadMode.WINDOW:
         if entry.startdatetime is None:
             raise ValueError("time-window reconciliation needs startdatetime")
-        pred = source_window(split_columns(entry.data_validation_column),
-                             ts_literal(entry.startdatetime), entry.dialect, days)
-    return CountSpec(slot, SOURCE, key, frame, pred)
+        cols, mark = split_columns(entry.data_validation_column), entry.startdatetime
+        pred = lambda: source_window(cols, ts_literal(mark), entry.dialect, days)
+        high = source_mark(mark, entry.dialect)
+        bounds = Bounds((entry.dialect, *cols), lambda: source_value(cols, entry.dialect),
+                        high - dt.timedelta(days=days), high)
+    return CountSpec(slot, SOURCE, key, frame, pred, bounds)
 
 
 def _lake_spec(slot: int, entry: ControlEntry, lake, days: int, upper_bound: bool,
                resolve) -> CountSpec:
     key, frame = resolve(("lake", entry.tablename), lambda: lake.relation(entry.tablename))
-    pred = None
+    pred = bounds = None
     if entry.mode is LoadMode.WINDOW:
         if entry.startdatetime is None:
             raise ValueError("time-window reconciliation needs startdatetime")
-        pred = lake_window(split_columns(entry.data_validation_column),
-                           ts_literal(entry.startdatetime), days, upper_bound)
-    return CountSpec(slot, LAKE, key, frame, pred)
+        cols, mark = split_columns(entry.data_validation_column), entry.startdatetime.replace(tzinfo=None)
+        pred = lambda: lake_window(cols, ts_literal(mark), days, upper_bound)
+        bounds = Bounds(("lake", *cols), lambda: first_of([F.col(c) for c in cols]),
+                        mark - dt.timedelta(days=days), mark if upper_bound else None)
+    return CountSpec(slot, LAKE, key, frame, pred, bounds)
 
 
 def _check_predicates(specs: list[CountSpec], failed: dict[int, str]) -> None:
-    """Resolve every predicate now, one ``select`` per relation, so a bad
-    column fails its own table at planning time; only when a relation's
-    combined check fails are its predicates checked one by one."""
+    """Resolve the predicates now, so a bad column fails its own tables at planning time.
+
+    Predicates on the same value differ in their marks only: one of each is enough, all of a
+    relation in one ``select``; only when that fails are they checked one by one.
+    """
     for group in _groups([s for s in specs if s.predicate is not None]).values():
+        by_value: dict[tuple, list[CountSpec]] = {}
+        for s in group:
+            by_value.setdefault(s.bounds.key, []).append(s)
         try:
-            group[0].frame.select(*[s.predicate for s in group])
+            group[0].frame.select(*[same[0].predicate() for same in by_value.values()])
             continue
         except Exception:  # noqa: BLE001 - narrowed below
             pass
-        for s in group:
+        for same in by_value.values():
             try:
-                s.frame.select(s.predicate)
+                same[0].frame.select(same[0].predicate())
             except Exception as exc:  # noqa: BLE001 - recorded in the audit row
-                failed.setdefault(s.slot, truncate_error(exc))
+                for s in same:
+                    failed.setdefault(s.slot, truncate_error(exc))
 
 
 def plan_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lake,
@@ -188,19 +216,65 @@ def _relation_counts(specs: list[CountSpec]) -> DataFrame:
     if whole:  # answered from file footers; a predicate beside it would make it read columns
         marks = F.array(*[F.struct(F.lit(s.slot).alias("SLOT"), F.lit(s.side).alias("SIDE")) for s in whole])
         parts.append(first.frame.agg(F.count(F.lit(1)).alias("CNT")).select(F.inline(marks), "CNT"))
-    frame = first.frame.where(any_of([s.predicate for s in some])) if some else None  # pushed to the scan
-    if some and len(some) <= MAX_WIDE_COUNTS:
-        aggs = [F.count_if(s.predicate).alias(f"c{i}") for i, s in enumerate(some)]
+    by_value: dict[tuple, list[CountSpec]] = {}
+    for s in some:
+        by_value.setdefault(s.bounds.key, []).append(s)
+    searched = [same for same in by_value.values() if len(same) >= SEARCHED_MARKS]
+    parts += [_searched_counts(same) for same in searched]
+    few = [s for same in by_value.values() if len(same) < SEARCHED_MARKS for s in same]
+    for i in range(0, len(few), _WIDE):
+        wide = few[i:i + _WIDE]
+        preds = [s.predicate() for s in wide]
+        aggs = [F.count_if(p).alias(f"c{i}") for i, p in enumerate(preds)]
         # One expression unpivots the counts (SLOT, SIDE, CNT); sides are fixed words.
-        cells = ", ".join(f"{s.slot}, '{s.side}', c{i}" for i, s in enumerate(some))
-        parts.append(frame.agg(*aggs).selectExpr(f"stack({len(some)}, {cells}) AS (SLOT, SIDE, CNT)"))
-    elif some:
-        matched = F.filter(F.array(*[F.when(s.predicate, F.struct(
-            F.lit(s.slot).alias("SLOT"), F.lit(s.side).alias("SIDE"))) for s in some]), lambda m: m.isNotNull())
-        parts.append(frame.select(F.inline(matched)).groupBy("SLOT", "SIDE").agg(F.count(F.lit(1)).alias("CNT")))
+        cells = ", ".join(f"{s.slot}, '{s.side}', c{i}" for i, s in enumerate(wide))
+        parts.append(first.frame.where(any_of(preds)).agg(*aggs)  # pushed to the scan
+                     .selectExpr(f"stack({len(wide)}, {cells}) AS (SLOT, SIDE, CNT)"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+# Counts of different columns beside each other in one aggregate: a wider one leaves whole-stage
+# code generation (``spark.sql.codegen.maxFields``).
+_WIDE = 64
+
+
+def _searched_counts(specs: list[CountSpec]) -> DataFrame:
+    """Counts of many marks on one value, in one scan and one binary search a row.
+
+    The marks are sorted; a row's bucket is the number of marks below its value.  Rows are
+    counted by bucket, and sums up to a bucket answer ``value <= mark`` for every mark, so each
+    count is a difference of two of them.  What grows with the marks is the search (by the
+    logarithm) and the frames of one row a mark.
+    """
+    bounds = [s.bounds for s in specs]
+    marks = sorted({m for b in bounds for m in (b.low, b.high) if m is not None})
+    place = {m: i for i, m in enumerate(marks)}
+    spark, value = specs[0].frame.sparkSession, bounds[0].value()
+    literals = ts_array(marks) if isinstance(marks[0], dt.datetime) else F.array(*[F.lit(m) for m in marks])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(marks).bit_length()))])
+    frame = specs[0].frame
+    if all(b.low is not None for b in bounds):
+        frame = frame.where(value > bounds[0].literal(min(b.low for b in bounds)))
+    if all(b.high is not None for b in bounds):
+        frame = frame.where(value <= bounds[0].literal(max(b.high for b in bounds)))
+    # The value is bound to a name, so that the search does not compute it anew at every step.
+    bucket = F.transform(F.array(value), lambda v: F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.try_element_at(literals, at + step) < v, at + step).otherwise(at)))[0]
+    histogram = frame.where(value.isNotNull()).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    every = spark.range(len(marks) + 1).select(F.col("id").cast("int").alias("bucket"))
+    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)  # one row a mark
+    sums = (every.join(histogram, "bucket", "left")
+            .select("bucket", F.sum(F.coalesce("n", F.lit(0))).over(upto).alias("upto")))
+    ends = []
+    for s in specs:
+        ends.append((s.slot, s.side, len(marks) if s.bounds.high is None else place[s.bounds.high], 1))
+        if s.bounds.low is not None:
+            ends.append((s.slot, s.side, place[s.bounds.low], -1))
+    ends = spark.createDataFrame(ends, "SLOT int, SIDE string, bucket int, sign int")
+    return (ends.join(sums, "bucket").groupBy("SLOT", "SIDE")
+            .agg(F.sum(F.col("sign") * F.col("upto")).alias("CNT")))
+
+
 def _groups(specs: list[CountSpec]) -> "OrderedDict[str, list[CountSpec]]":
     """Specs by relation."""
     groups: OrderedDict[str, list[CountSpec]] = OrderedDict()
@@ -214,24 +288,27 @@ def _batches(specs: list[CountSpec]) -> list[list[CountSpec]]:
     by_slot: dict[int, list[CountSpec]] = {}
     for s in specs:
         by_slot.setdefault(s.slot, []).append(s)
-    home: dict[str, set[int]] = {}  # the tables that are bound together through a relation
-    for slot, own in by_slot.items():
-        together = {slot}.union(*(home.get(s.relation_key, ()) for s in own))
-        for x in together:
-            for s in by_slot[x]:
-                home[s.relation_key] = together
+    head = {slot: slot for slot in by_slot}  # tables bound together through a relation have one head
+
+    def head_of(slot: int) -> int:
+        while head[slot] != slot:
+            head[slot] = slot = head[head[slot]]
+        return slot
+
+    first: dict[str, int] = {}
+    for s in specs:
+        a, b = head_of(s.slot), head_of(first.setdefault(s.relation_key, s.slot))
+        head[max(a, b)] = min(a, b)
+    bound: dict[int, list[int]] = {}
+    for slot in by_slot:
+        bound.setdefault(head_of(slot), []).append(slot)
     out: list[list[CountSpec]] = []
-    placed: set[int] = set()
     tables = BATCH_TABLES
-    for slot in by_slot:
-        if slot in placed:
-            continue
-        group = sorted(home[by_slot[slot][0].relation_key])
+    for group in bound.values():
         if tables + len(group) > BATCH_TABLES:
             out.append([])
             tables = 0
         tables += len(group)
-        placed.update(group)
         out[-1] += [s for x in group for s in by_slot[x]]
     return out
 

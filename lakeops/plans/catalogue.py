@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.functions.formatting import batch_number, hms_words
 from lakeops.functions.predicates import (lake_window, source_window, split_columns,
                                           ts_literal)
 from lakeops.operators.audit import append_audit, append_rows, read_audit
@@ -654,6 +655,57 @@ def reconcile_many_marks(spark, sf_dir):
         "ID", "STARTDATETIME", "SOURCE_COUNT", "DATALAKE_COUNT", "COUNT_DIFF")
 
 
+N_MARKS = 1200
+
+
+def thousand_marks_entries() -> list[ControlEntry]:
+    """A mark every two days; every third one is an offset of the events table instead."""
+    at = [dt.datetime(1992, 1, 1) + dt.timedelta(days=2 * i) for i in range(N_MARKS)]
+    return [ControlEntry(1000 + i, 1, "SELECT * FROM events", "mssql", "events_lake", "merge", None, "event_id", 7 * i, i)
+            if i % 3 == 0 else
+            ControlEntry(1000 + i, 1, "SELECT * FROM lineitem", "oracle", "lineitem_lake", "incremental", m, "l_shipdate",
+                         None, i)
+            for i, m in enumerate(at)]
+
+
+@query("reconcile_thousand_marks", f"""
+WITH marks AS (SELECT 1000 + i AS ID, i, TIMESTAMP '1992-01-01' + to_days(CAST(2 * i AS INTEGER)) AS m FROM range({N_MARKS}) r(i)),
+src AS (SELECT l_shipdate AS d, count(*) AS n FROM lineitem GROUP BY 1),
+lake AS (SELECT l_shipdate AS d, count(*) AS n FROM {S_LINEITEM_LAKE} t GROUP BY 1),
+counted AS (
+  SELECT ID, (SELECT coalesce(sum(n), 0) FROM src WHERE d > m - INTERVAL 30 DAY AND d <= m) AS s,
+         (SELECT coalesce(sum(n), 0) FROM lake WHERE d > m - INTERVAL 30 DAY) AS l
+  FROM marks WHERE i % 3 <> 0
+  UNION ALL
+  SELECT ID, (SELECT count(*) FROM events WHERE event_id <= 7 * i) AS s, (SELECT count(*) FROM {S_EVENTS_LAKE} e) AS l
+  FROM marks WHERE i % 3 = 0)
+SELECT CAST(ID AS BIGINT) AS ID, CAST(s AS BIGINT) AS SOURCE_COUNT, CAST(l AS BIGINT) AS DATALAKE_COUNT,
+       CAST(s - l AS BIGINT) AS COUNT_DIFF FROM counted""")
+def reconcile_thousand_marks(spark, sf_dir):
+    """REC-7 with FLT-2, FLT-4 and FLT-5 at 1,200 marks: one scan of each relation, in which a row finds
+    its place among the sorted marks by binary search."""
+    fx.register(spark, sf_dir)
+    plan = plan_reconcile(spark, thousand_marks_entries(), SparkSources(spark), LakeTables(spark))
+    return reconcile_frame(spark, plan, JOB_NAME, BATCH).select("ID", "SOURCE_COUNT", "DATALAKE_COUNT", "COUNT_DIFF")
+
+
+# --------------------------------------------------------------------------- control rows as text
+@query("control_order", "\nUNION ALL\n".join(
+    f"SELECT CAST({i} AS BIGINT) AS id, CAST({place} AS BIGINT) AS place, '1733011200_1' AS batch, "
+    f"lpad(CAST((n // 3600) AS VARCHAR), 2, '0') || ' Hour ' || lpad(CAST((n // 60 % 60) AS VARCHAR), 2, '0') || ' Minutes ' || "
+    f"lpad(CAST((n % 60) AS VARCHAR), 2, '0') || ' Seconds' AS elapsed FROM (SELECT count(*) AS n FROM orders) c"
+    for place, i in enumerate((2, 3, 1, 4, 5, 6, 7))))
+def q_control_order(spark, sf_dir):
+    """SRT-1, SCL-8, SCL-9: the place of every control row in its group's run (by priority, then id), the batch id
+    of a given instant, and a number of seconds (as many as there are orders) in words."""
+    control = spark.createDataFrame(fx.control_rows(spark, sf_dir), CONTROL_SCHEMA)
+    entries = to_entries(control_scan(control, 1))
+    batch = batch_number(1, dt.datetime(2024, 12, 1, tzinfo=dt.timezone.utc))
+    elapsed = hms_words(fx.read_table(spark, sf_dir, "orders").count())
+    return spark.createDataFrame([(e.id, place, batch, elapsed) for place, e in enumerate(entries)],
+                                 "id bigint, place bigint, batch string, elapsed string")
+
+
 # --------------------------------------------------------------------------- listing
 LISTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 

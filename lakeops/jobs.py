@@ -28,9 +28,9 @@ from lakeops.operators.ledger import LoadLedger
 from lakeops.operators.maintenance import IcebergProcedures, ParquetMaintenance, sweep
 from lakeops.operators.reconcile import ReconcileResult, run_reconcile
 from lakeops.session import build_session
-from lakeops.sources.files import FileDropSources
 from lakeops.sources.jdbc import JdbcRelations, JdbcSource
 from lakeops.sources.lake import LakeTables, SparkSources
+from lakeops.streaming.file_drop import DropLoads
 
 log = logging.getLogger("lakeops.jobs")
 
@@ -75,6 +75,11 @@ def save_control(control: DataFrame, target: str) -> None:
     load_full(control, lake, table)
 
 
+def load_ledger(spark: SparkSession, lake: LakeLocation, target: str | None = None) -> LoadLedger:
+    """The ledger of a lake: by default ``_load_ledger`` (folder) or ``load_ledger`` (table) beside its tables."""
+    return LoadLedger(spark, target or (lake.path("_load_ledger") if lake.root else lake.name("load_ledger")))
+
+
 def ingest(spark: SparkSession, control: DataFrame, group_id: int, lake: LakeLocation, *,
            job_name: str, audit_target: str | None = None, sources=None,
            batch: str | None = None, max_parallel: int = 1, ledger_target: str | None = None):
@@ -88,7 +93,7 @@ def ingest(spark: SparkSession, control: DataFrame, group_id: int, lake: LakeLoc
     """
     batch = batch or batch_number(group_id)
     entries = to_entries(ingestion_scan(control, group_id))
-    ledger = LoadLedger(spark, ledger_target or (lake.path("_load_ledger") if lake.root else lake.name("load_ledger")))
+    ledger = load_ledger(spark, lake, ledger_target)
     keys = ["BATCH_NUMBER", "ID", "TABLE_NAME", "STATUS"]
     run = run_ingestion(spark, entries, sources or SparkSources(spark), lake,
                         job_name=job_name, batch=batch, max_parallel=max_parallel, ledger=ledger,
@@ -145,7 +150,8 @@ def main(argv: list[str] | None = None) -> int:
     load.add_argument("--jdbc-partition-column", help="numeric or date column to read extracts in parallel by")
     load.add_argument("--jdbc-partitions", type=int, default=8)
     load.add_argument("--files", action="store_true",
-                      help="sources are folders of dropped files (sql_query = folder, source = format)")
+                      help="sources are folders of dropped files (sql_query = folder, source = format); each is read once")
+    load.add_argument("--checkpoints", help="where the files that were read are remembered (default: _drops beside the tables)")
     m = sub.add_parser("maintain")
     m.add_argument("--databases", nargs="+", required=True)
     m.add_argument("--iceberg-catalog")
@@ -167,7 +173,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "ingest":
         lake = LakeLocation(spark, root=args.lake_root, database=args.lake_db)
         src = _jdbc(args)
-        sources = FileDropSources(spark, lake) if args.files else JdbcRelations(
+        sources = DropLoads(spark, lake, load_ledger(spark, lake), args.checkpoints) if args.files else JdbcRelations(
             spark, src, args.jdbc_partition_column, args.jdbc_partitions) if src else None
         audit = args.audit or (lake.path("_ingestion_audit") if args.lake_root else lake.name("ingestion_audit"))
         run, advanced = ingest(spark, spark.table(args.control), args.group, lake,

@@ -502,9 +502,14 @@ def run_ingestion(spark: SparkSession, entries: list[ControlEntry], sources,
             if ledger is not None:
                 done = ledger.commit
                 lake.finish(e.tablename, done)
-                e = ledger.resumed(e, lake.exists(e.tablename))
-                note = ledger.intend(e, batch)
-            res, old = load_entry(spark, e, sources, lake, note=note, done=done)
+            # Sources that know themselves what is new (dropped files) keep their own account of it.
+            own = getattr(sources, "load", None)
+            res, old = (own(e, lake, batch) if own else None), None
+            if res is None:
+                if ledger is not None:
+                    e = ledger.resumed(e, lake.exists(e.tablename))
+                    note = ledger.intend(e, batch)
+                res, old = load_entry(spark, e, sources, lake, note=note, done=done)
             row = (e.id, job_name, e.groupid, e.tablename, e.loadtype, "SUCCESS", res.rows,
                    _mark_text(old), _mark_text(res.new_mark), None, hms(time.monotonic() - t0), batch)
             mark = res.new_mark

@@ -68,10 +68,13 @@ class LoadLedger:
         df = self.spark.createDataFrame([tuple(row.get(f.name) for f in LEDGER_SCHEMA)], LEDGER_SCHEMA)
         append_once(df, self.target, ["LOAD_ID", "STATE"], within="BATCH_NUMBER")
 
-    def intend(self, entry: ControlEntry, batch: str) -> dict:
-        """Note that a load is about to happen; returns what its publication has to remember."""
+    def intend(self, entry: ControlEntry, batch: str, load_id: str | None = None) -> dict:
+        """Note that a load is about to happen; returns what its publication has to remember.
+
+        A ``load_id`` of the caller's names a load that may be asked for again.
+        """
         mark = entry.offset_value if entry.offset_value is not None else entry.startdatetime
-        note = {"LOAD_ID": uuid.uuid4().hex, "BATCH_NUMBER": batch, "ID": entry.id, "TABLE_NAME": entry.tablename,
+        note = {"LOAD_ID": load_id or uuid.uuid4().hex, "BATCH_NUMBER": batch, "ID": entry.id, "TABLE_NAME": entry.tablename,
                 "LOAD_TYPE": entry.loadtype, "OLD_MARK": mark_text(mark)}
         self._told(STATE=INTENT, **note)
         return note
@@ -80,6 +83,9 @@ class LoadLedger:
         """Note that a load's rows are in place."""
         self._told(STATE=COMMIT, **note)
 
+    def has_committed(self, load_id: str) -> bool:
+        return bool(self.read().where((F.col("STATE") == COMMIT) & (F.col("LOAD_ID") == load_id)).limit(1).count())
+
     def committed(self, entry: ControlEntry) -> dict[str | None, str]:
         """Old mark to the furthest new mark of this entry's committed incremental loads (one row per load)."""
         rows = (self.read().where((F.col("STATE") == COMMIT) & (F.col("ID") == entry.id)

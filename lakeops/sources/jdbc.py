@@ -6,12 +6,14 @@ rendered in the source's dialect, and Spark reads the single row back.  The
 predicate text is generated from typed values (validated identifiers,
 formatted timestamps, integers), never spliced from free text.
 
-Bulk extracts are split into parallel range reads on a numeric or date column.
+Bulk extracts are split into parallel range reads of equally many rows on a numeric or
+date column.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 import re
 from dataclasses import dataclass, field
 
@@ -150,23 +152,61 @@ class JdbcSource:
                 num_partitions: int = 8, lower=None, upper=None) -> DataFrame:
         """Parallel range read (SRC-8).
 
-        With a partition column, ``num_partitions`` tasks each read one stride
-        of ``[lower, upper]`` (rows outside still land in the first/last
-        stride).  Missing bounds are fetched with one pushed-down MIN/MAX query.
+        With a partition column, about ``num_partitions`` tasks read strides of equally many
+        rows, from one equi-depth histogram that the database computes; rows whose column
+        is NULL are a stride of their own.  With ``lower`` and ``upper``, the strides are equally
+        wide instead and no histogram is asked for (rows outside land in the outer strides).
         """
         fetch = {"fetchsize": self.fetch_size or EXTRACT_FETCH_SIZE}
         if partition_column is None:
             return self.read(spark, dbtable, **fetch)
         col = _ident(partition_column)
-        if lower is None or upper is None:
-            sub = dbtable if dbtable.lstrip().startswith("(") else f"(SELECT * FROM {dbtable}) b"
-            row = self.read(spark, f"(SELECT MIN({col}) AS LO, MAX({col}) AS HI FROM {sub}) mm").first()
-            lower = row["LO"] if lower is None else lower
-            upper = row["HI"] if upper is None else upper
-        if lower is None:  # empty source
-            return self.read(spark, dbtable, **fetch)
-        return self.read(spark, dbtable, partitionColumn=col, lowerBound=lower,
-                         upperBound=upper, numPartitions=num_partitions, **fetch)
+        if lower is not None and upper is not None:
+            return self.read(spark, dbtable, partitionColumn=col, lowerBound=lower,
+                             upperBound=upper, numPartitions=num_partitions, **fetch)
+        found = self.read(spark, histogram_query(dbtable, col, num_partitions)).collect()  # a row a stride
+        starts = sorted({r["LO"] for r in found if r["LO"] is not None})
+        properties = {k: v for k, v in {**self.options(), **{k: str(v) for k, v in fetch.items()}}.items() if k != "url"}
+        return spark.read.jdbc(self.url, dbtable, predicates=stride_predicates(col, starts, self.dialect),
+                               properties=properties)
+
+
+def histogram_query(dbtable: str, column: str, strides: int) -> str:
+    """The smallest value of each of ``strides`` equally large parts of the column (NULL left out)."""
+    col = _ident(column)
+    sub = dbtable if dbtable.lstrip().startswith("(") else f"(SELECT * FROM {dbtable}) b"
+    return (f"(SELECT STRIDE, MIN({col}) AS LO FROM (SELECT {col}, NTILE({int(strides)}) OVER (ORDER BY {col}) AS STRIDE "
+            f"FROM {sub} WHERE {col} IS NOT NULL) parts GROUP BY STRIDE) histogram")
+
+
+def value_sql(value, dialect: str) -> str:
+    """A number, date or timestamp as a literal of the source's SQL dialect."""
+    if isinstance(value, bool) or not isinstance(value, (int, float, decimal.Decimal, dt.date)):
+        raise ValueError(f"cannot split extracts by a column of {type(value).__name__}")
+    if not isinstance(value, dt.date):
+        return str(value)
+    if not isinstance(value, dt.datetime):
+        return f"DATE '{value.isoformat()}'" if dialect == "oracle" else f"CAST('{value.isoformat()}' AS date)"
+    if dialect == "oracle":
+        return f"TO_TIMESTAMP('{_ts_text(value)}', 'YYYY-MM-DD HH24:MI:SS.FF')"
+    return f"CAST('{_ts_text(value)}' AS datetime2(6))"
+
+
+def stride_predicates(column: str, starts: list, dialect: str) -> list[str]:
+    """Predicates that every row meets exactly one of, from the sorted first values of the strides.
+
+    The first stride is open below and the last one above, so rows that came after the
+    histogram are read as well.  A value that fills several strides is one: no range splits it.
+    """
+    col = _ident(column)
+    if not starts:  # nothing but NULL, or nothing yet
+        return [f"{col} IS NULL", f"{col} IS NOT NULL"]
+    cuts = [value_sql(v, dialect) for v in starts[1:]]
+    ranges = [[] for _ in range(len(cuts) + 1)]
+    for i, cut in enumerate(cuts):
+        ranges[i].append(f"{col} < {cut}")
+        ranges[i + 1].insert(0, f"{col} >= {cut}")
+    return [f"{col} IS NULL"] + [" AND ".join(r) or f"{col} IS NOT NULL" for r in ranges]
 
 
 @dataclass

@@ -1,7 +1,10 @@
 """Batch reconciliation: goldens, failure isolation, modes, scan sharing."""
 
+import dataclasses
 import datetime as dt
 
+import pytest
+
 from lakeops.operators.control import ControlEntry
 from lakeops.operators.reconcile import (counts_frame, plan_reconcile, reconcile_frame,
                                          run_reconcile)
@@ -149,3 +152,43 @@ def test_more_control_rows_than_one_scan_takes(spark):
         want_src = li.where((li.l_shipdate > lo) & (li.l_shipdate <= hi)).count()
         want_lake = lake.where(lake.l_shipdate > lo).count()
         assert got[i] == (want_src, want_lake)
+
+
+@pytest.mark.parametrize("upper", [False, True])
+def test_searched_counts_equal_one_predicate_a_mark(spark, monkeypatch, upper):
+    """Text and rounded values, NULLs, marks that many rows hit exactly, offsets, columns in order."""
+    from lakeops.operators import reconcile as rec
+    d = dt.datetime
+    rows = [(i, None if i % 7 == 0 else str(d(2024, 1, 1) + dt.timedelta(hours=i, microseconds=499 + i % 3)),
+             "bad" if i % 5 == 0 else str(d(2024, 1, 2) + dt.timedelta(hours=i))) for i in range(900)]
+    spark.createDataFrame(rows, "k long, a string, b string").createOrReplaceTempView("searched_src")
+    spark.sql("SELECT k, try_cast(a AS timestamp_ntz) AS a, try_cast(b AS timestamp_ntz) AS b FROM searched_src "
+              "WHERE k % 11 <> 0").createOrReplaceTempView("searched_lake")
+    entries = [ControlEntry(i, 1, "SELECT * FROM searched_src", "mssql" if i % 2 else "oracle", "searched_lake", "merge",
+                            d(2024, 1, 1) + dt.timedelta(hours=13 * i, microseconds=(0, 500, 499, 1500)[i % 4]),
+                            ("a, b", "b")[i % 3 == 0]) for i in range(60)]
+    entries = [dataclasses.replace(e, source="mssql") for e in entries]
+    entries += [ControlEntry(100 + i, 1, "SELECT * FROM searched_src", "x", "searched_lake", "merge", None, "k", 40 * i - 5)
+                for i in range(30)]
+    found = {}
+    for least in (10 ** 9, 1):
+        monkeypatch.setattr(rec, "SEARCHED_MARKS", least)
+        run = rec.run_reconcile(spark, entries, SparkSources(spark), LakeTables(spark), job_name="J", batch="B", days=3,
+                                lake_upper_bound=upper)
+        found[least] = sorted((r.ID, r.STATUS, r.SOURCE_COUNT, r.DATALAKE_COUNT) for r in run.audit.collect())
+    assert found[1] == found[10 ** 9] and all(r[1] == "SUCCESS" for r in found[1]) and len(found[1]) == 90
+
+
+def test_batches_keep_tables_that_share_a_relation_together():
+    from lakeops.operators.reconcile import BATCH_TABLES, CountSpec, _batches
+    specs = [CountSpec(i, side, key, None) for i in range(200)
+             for side, key in (("source", f"s{i % 40}"), ("lake", f"l{i}"))]
+    batches = _batches(specs)
+    home = {}
+    for n, batch in enumerate(batches):
+        for s in batch:
+            assert home.setdefault(s.relation_key, n) == n
+    assert sum(len(b) for b in batches) == 400
+    assert all(len({s.slot for s in b}) <= BATCH_TABLES for b in batches)
+    alone = _batches([CountSpec(i, "source", "one", None) for i in range(100)])
+    assert len(alone) == 1

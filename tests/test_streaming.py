@@ -45,3 +45,66 @@ def test_control_driven_file_drop_loads(spark):
     for t in ("customer_a", "customer_b"):
         back = lake.read(t)
         assert back.exceptAll(c).count() == 0 and c.exceptAll(back).count() == 0
+
+
+def _drop_lake(spark):
+    from lakeops.operators.ingest import LakeLocation
+    from lakeops.operators.ledger import LoadLedger
+    from lakeops.streaming.file_drop import DropLoads
+    root = scratch_path(spark, "t-drops")
+    lake = LakeLocation(spark, root=f"{root}/lake")
+    ledger = LoadLedger(spark, lake.path("_load_ledger"))
+    return lake, ledger, DropLoads(spark, lake, ledger, schema="k long, v long"), f"{root}/in"
+
+
+def test_a_replayed_batch_is_recognised(spark):
+    from lakeops.operators.control import ControlEntry
+    from lakeops.operators.ingest import run_ingestion
+    from lakeops.operators.publish import Files
+    lake, ledger, sources, drops = _drop_lake(spark)
+    e = ControlEntry(7, 2, drops, "csv", "t", "incremental")
+
+    def run():
+        done = run_ingestion(spark, [e], sources, lake, job_name="J", batch="B", ledger=ledger)
+        assert done.failed == 0
+        return done.audit.first()["ROWS_LOADED"]
+
+    write_drop(spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("v")), drops, "csv")
+    assert run() == 10 and run() == 0
+    Files(spark).delete(f"{sources.checkpoints}/7-t/commits/0")
+    assert run() == 0 and lake.read("t").count() == 10
+    write_drop(spark.range(10, 15).select(F.col("id").alias("k"), F.col("id").alias("v")), drops, "csv")
+    assert run() == 5 and lake.read("t").count() == 15
+    assert ledger.read().where("STATE = 'COMMIT'").count() == 2
+
+
+def test_a_batch_that_breaks_is_loaded_once(spark):
+    import dataclasses
+
+    from lakeops.operators.control import ControlEntry
+    from lakeops.operators.ingest import run_ingestion
+    from lakeops.plans.recovery import dying_at
+    from lakeops.streaming.file_drop import DropLoads
+    lake, ledger, sources, drops = _drop_lake(spark)
+    e = ControlEntry(7, 2, drops, "csv", "t", "merge", None, "v", merge_key="k")
+    write_drop(spark.createDataFrame([(1, 1), (1, 5), (2, 2)], "k long, v long"), drops, "csv")
+    run_ingestion(spark, [e], sources, lake, job_name="J", batch="B", ledger=ledger)
+    write_drop(spark.createDataFrame([(2, 9), (3, 3)], "k long, v long"), drops, "csv")
+    dying = dataclasses.replace(lake, watch=dying_at("t", "note"))
+    broken = DropLoads(spark, dying, ledger, schema="k long, v long")
+    assert run_ingestion(spark, [e], broken, dying, job_name="J", batch="B", ledger=ledger).failed == 1
+    assert run_ingestion(spark, [e], sources, lake, job_name="J", batch="B", ledger=ledger).failed == 0
+    assert sorted((r.k, r.v) for r in lake.read("t").collect()) == [(1, 5), (2, 9), (3, 3)]
+    assert ledger.read().where("STATE = 'COMMIT'").count() == 2
+
+
+def test_unknown_load_types_of_drops_fail_and_full_loads_read_the_folder(spark):
+    from lakeops.operators.control import ControlEntry
+    from lakeops.operators.ingest import run_ingestion
+    lake, ledger, sources, drops = _drop_lake(spark)
+    write_drop(spark.createDataFrame([(1, 1)], "k long, v long"), drops, "csv")
+    entries = [ControlEntry(1, 2, drops, "csv", "a", "Full Load"), ControlEntry(2, 2, drops, "csv", "b", "Odd"),
+               ControlEntry(3, 2, drops, "csv", "c", "merge")]
+    run = run_ingestion(spark, entries, sources, lake, job_name="J", batch="B", ledger=ledger)
+    assert [r.STATUS for r in run.audit.orderBy("ID").collect()] == ["SUCCESS", "FAILED", "FAILED"]
+    assert lake.read("a").count() == 1

@@ -42,7 +42,7 @@ class ValidationRun:
 
 def validate(spark: SparkSession, control: DataFrame, group_id: int, *, job_name: str,
              audit_target: str | None, sources=None, lake=None, batch: str | None = None,
-             mode: str = "joint", days: int = 30, lake_upper_bound: bool = False) -> ValidationRun:
+             mode: str = "auto", days: int = 30, lake_upper_bound: bool = False) -> ValidationRun:
     """Reconcile every active, validation-required table of a group; append the audit rows."""
     batch = batch or batch_number(group_id)
     entries = to_entries(control_scan(control, group_id))
@@ -136,7 +136,7 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--jdbc-password")
         s.add_argument("--jdbc-driver")
         s.add_argument("--source-dialect", default="generic")
-    sub.choices["validate"].add_argument("--mode", default="joint", choices=["joint", "per_table"])
+    sub.choices["validate"].add_argument("--mode", default="auto", choices=["auto", "joint", "per_table"])
     sub.choices["validate"].add_argument("--days", type=int, default=30,
                                          help="trailing window length in days")
     sub.choices["validate"].add_argument("--lake-upper-bound", action="store_true",

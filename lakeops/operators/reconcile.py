@@ -391,8 +391,8 @@ def _run_group(specs: list[CountSpec]) -> tuple[dict, float]:
 
 def run_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lake, *,
                   job_name: str, batch: str, days: int = DEFAULT_WINDOW_DAYS,
-                  lake_upper_bound: bool = False, mode: str = "joint",
-                  max_parallel: int = 4,
+                  lake_upper_bound: bool = False, mode: str = "auto",
+                  max_parallel: int = 8,
                   on_rows: Callable[[DataFrame], None] | None = None) -> ReconcileResult:
     """Reconcile a batch and return its audit rows (REC-7).
 
@@ -400,6 +400,11 @@ def run_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lak
     share its elapsed time.  ``mode="per_table"``: one job per relation, up to
     ``max_parallel`` at a time, each with its own time.  A failed joint job falls
     back to per-table so a single bad table cannot hide the others' results.
+    ``mode="auto"`` takes the cheaper of the two for each batch: a joint job where relations
+    are shared by several counts (they are scanned once anyway, and one plan costs less than
+    many), else concurrent jobs, whose small plans neither wait for each other nor meet in a
+    shuffle.  Jobs of a batch run in scheduler pools of their own, so under FAIR scheduling a
+    large relation does not hold up the small ones.
     JDBC sources always run per table: their counts execute in the source
     database, and ``max_parallel`` bounds how many it receives at once.
 
@@ -410,7 +415,7 @@ def run_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lak
         mode = "per_table"
     plan = plan_reconcile(spark, entries, sources, lake, days, lake_upper_bound)
     rows: list[tuple] = []
-    ran = mode
+    ran = "per_table" if mode == "auto" else mode
 
     def told(slots, counts, times, errors) -> None:
         new = []
@@ -428,7 +433,8 @@ def run_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lak
     told(sorted(plan.failed), {}, {}, plan.failed)
     for specs in _batches([s for s in plan.specs if s.slot not in plan.failed]):
         counts, times, errors = None, {}, {}
-        if mode == "joint":
+        if (cheaper_mode(specs) if mode == "auto" else mode) == "joint":
+            ran = "joint"
             t0 = time.monotonic()
             try:
                 counts = {(r["SLOT"], r["SIDE"]): r["CNT"] for r in counts_frame(specs).collect()}
@@ -443,6 +449,11 @@ def run_reconcile(spark: SparkSession, entries: list[ControlEntry], sources, lak
     return ReconcileResult(spark.createDataFrame(rows, AUDIT_SCHEMA), plan.skipped, ran)
 
 
+def cheaper_mode(specs: list[CountSpec]) -> str:
+    """``joint`` if relations are shared by at least two counts on average, else ``per_table``."""
+    return "joint" if len(specs) >= 2 * len(_groups(specs)) else "per_table"
+
+
 def _one_by_one(specs: list[CountSpec], max_parallel: int) -> tuple[dict, dict, dict]:
     """One job per relation: counts, elapsed times and errors."""
     counts: dict = {}
@@ -451,6 +462,8 @@ def _one_by_one(specs: list[CountSpec], max_parallel: int) -> tuple[dict, dict,
 
     def one(g):
         try:
+            # Pinned threads: the pool holds for the jobs of this thread only.
+            g[0].frame.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", f"reconcile-{g[0].slot % max_parallel}")
             return g, _run_group(g), None
         except Exception as exc:  # noqa: BLE001 - recorded in the audit row
             return g, None, exc

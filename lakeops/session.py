@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     # control rows a batch builds thousands of column expressions, and the
     # capture (a stack inspection per call) dominated planning time.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Concurrent jobs (loads, counts of several tables) share the executors.
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

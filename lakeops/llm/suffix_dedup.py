@@ -197,7 +197,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc"),
+    rows = docs.select(F.col(id_col).isNull().alias("missing"),
                        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
@@ -318,13 +318,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             np.add.at(depth, spans[:, 1], -1)
         removed = np.cumsum(depth[:-1]) > 0
         made = []
-        for doc, a, b in zip(group["doc"], [0, *ends[:-1].tolist()], ends.tolist()):
+        for doc, missing, a, b in zip(group["id"].tolist(), group["missing"], [0, *ends[:-1].tolist()], ends.tolist()):
             out = removed[a:b]
             n = int(out.sum())
             runs = int(np.count_nonzero(out[1:] & ~out[:-1]) + out[0]) if n else 0
             kept = data[a:b][~out] if n else data[a:b]
-            made.append((None if pd.isna(doc) else int(doc), b - a, n, runs, hashlib.sha256(kept.tobytes()).hexdigest()))
-        return pd.DataFrame(made, columns=["id", "n_bytes", "n_removed", "n_spans", "kept"])
+            made.append((None if missing else doc, b - a, n, runs, hashlib.sha256(kept.tobytes()).hexdigest()))
+        out = pd.DataFrame(made, columns=["id", "n_bytes", "n_removed", "n_spans", "kept"], dtype=object)
+        # Beside a null, pandas would make floats of the ids.
+        return out.assign(id=pd.array(out["id"].tolist(), "Int64"))
 
     by_shard = rows.groupBy("shard")
     anchors = by_shard.applyInPandas(name_anchors, "part int, shard int, hashes binary, several binary")

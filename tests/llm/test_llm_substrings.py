@@ -78,3 +78,12 @@ def test_anchors_depend_on_the_window_alone():
             of.update({p - len(side): h for p in range(a, b + 1)})
         named.append({p: h for p, h in of.items() if p >= 0})
     assert named[0] == named[1] and len(named[0]) == 251
+
+
+def test_ids_beyond_the_range_of_floats_beside_a_null(spark):
+    rng = random.Random(6)
+    shared = "".join(rng.choice("abcdef") for _ in range(90))
+    rows = [(2 ** 60 + 1, "x" + shared), (2 ** 60 + 3, shared + "y"), (None, "z" + shared), (-(2 ** 62) - 1, "own text"),
+            (2 ** 63 - 1, shared)]
+    assert run(spark, rows) == plain(rows)
+    assert run(spark, rows, shard_bytes=100) == plain(rows)

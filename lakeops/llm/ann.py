@@ -10,7 +10,9 @@ are scored again on the original vectors in double precision.
 The index (rotation, centroids, number of probes) is fitted on a bounded sample
 of ``sample_rows`` rows; its size is bounded by that and ``max_lists``, so it
 may be broadcast.  The probes are the fewest that find ``aim`` of the true
-neighbours of sampled queries within the sample.  Every row is indexed.
+neighbours of sampled queries within the sample; a query whose lists hold too few
+rows goes on to further ones until k candidates are certain, so every query gets k
+rows, or all there are.  Every row is indexed.
 
 A list may hold any share of the rows: it is dealt to tasks in cells of at most
 about ``cell_rows`` rows, by a hash of the id, and a query is sent to each cell of
@@ -20,8 +22,9 @@ Nulls and edges: vectors that are null, zero, of another length than the most
 frequent one, or that hold null or non-finite components take no part; neither
 do rows with a null id.  Repeated rows (equal id and vector) count once; of
 different vectors under one id the nearest counts.  A query's own id is no
-candidate.  With fewer candidates than k all found are returned.  An empty table
-gives an empty result.
+candidate.  With fewer candidates than k all are returned.  Ties go to the smaller
+id.  An empty table gives an empty result.  Only the two named columns are read, so
+clashing names of others do not matter.
 """
 
 from __future__ import annotations
@@ -110,17 +113,18 @@ def scan_cell(rotated: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query_i
     dims, n = rotated.shape
     alive = np.flatnonzero(ids != query_id)
     partial = np.zeros(len(alive))
-    bound = np.inf
+    bound, sure = np.inf, np.zeros(n, bool)
     for at in range(0, dims, BLOCK):
         if at and np.isfinite(bound):
             # Partial distances scaled up to all dimensions estimate the whole ones.
-            stay = partial * (dims / at) <= bound * (1 + EPSILON / at ** 0.5) ** 2
+            stay = (partial * (dims / at) <= bound * (1 + EPSILON / at ** 0.5) ** 2) | sure[alive]
             alive, partial = alive[stay], partial[stay]
         block = rotated[at:at + BLOCK][:, alive] - turned[at:at + BLOCK, None]
         partial = partial + np.einsum("ij,ij->j", block, block)
         if at == 0 and len(alive) > k:
             # The whole distances of the k most promising rows give the first bound.
             first = alive[np.argpartition(partial, k - 1)[:k]]
+            sure[first] = True  # a cell with k candidates gives k, whatever is abandoned
             gap = rotated[:, first] - turned[:, None]
             bound = float(np.einsum("ij,ij->j", gap, gap).max())
     if len(alive) > 4 * k:
@@ -159,17 +163,26 @@ def search(table: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_i
             yield rows.assign(list=_nearest_lists(x, known.centroids, 1)[:, 0].astype(np.int32),
                               rotated=list(x.astype(np.float32)))[["id", "vector", "list", "rotated"]]
 
+    listed = rows.mapInPandas(assign, "id bigint, vector array<double>, list int, rotated array<float>")
+    # Cells: as many for each list as its rows ask for.
+    sizes = materialise(listed.groupBy("list").count(), "ann-lists")
+    cells = sizes.select("list", F.ceil(F.col("count") / cell_rows).cast("int").alias("cells"))
+    # Rows of each list, at most ``max_lists`` numbers; an id may have several rows, its own or another one's.
+    held_by = np.zeros(len(index.centroids), np.int64)
+    for r in sizes.collect():
+        held_by[r["list"]] = r["count"]
+    ids = rows.agg(F.count_distinct("id")).first()[0]
+    needed = min(k + 1 + int(held_by.sum()) - ids, int(held_by.sum()))
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for rows in batches:
             x = np.array(rows["vector"].tolist(), float).reshape(len(rows), dims) @ known.rotation
-            yield rows.assign(list=list(_nearest_lists(x, known.centroids, known.probes).astype(np.int32)),
+            order = _nearest_lists(x, known.centroids, len(known.centroids)).astype(np.int32)
+            # As many lists as the index says, and on until k others must be among them.
+            depth = np.maximum((np.cumsum(held_by[order], axis=1) < needed).sum(1) + 1, known.probes)
+            yield rows.assign(list=[o[:d] for o, d in zip(order, depth)],
                               rotated=list(x.astype(np.float32)))[["id", "vector", "list", "rotated"]]
 
-    listed = rows.mapInPandas(assign, "id bigint, vector array<double>, list int, rotated array<float>")
-    # Cells: as many for each list as its rows ask for.
-    cells = (listed.groupBy("list").count()
-             .select("list", F.ceil(F.col("count") / cell_rows).cast("int").alias("cells")))
     cell = F.pmod(F.xxhash64("id", F.lit("cell")), F.col("cells")).cast("int")
     base = listed.join(cells, "list").select("list", cell.alias("cell"), "id", "vector", "rotated")
     asked = (rows.where(is_query).mapInPandas(

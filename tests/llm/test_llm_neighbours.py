@@ -55,3 +55,29 @@ def test_early_abandoning_keeps_the_near_rows():
     near, score = ann.scan_cell(np.ascontiguousarray(x.T), ids, x, 0, x[0], x[0], 10)
     want = np.argsort(((x - x[0]) ** 2).sum(1), kind="stable")[1:11]
     assert near.tolist() == want.tolist() and (np.diff(score) >= 0).all()
+
+
+def test_every_query_gets_k_rows_on_tight_clusters_with_outliers(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((200, 16)) * 50
+    vectors = [(i, (centres[i % 200] + rng.standard_normal(16) * 0.01).tolist()) for i in range(8000)]
+    vectors += [(8000 + 20 * i, (rng.standard_normal(16) * 500).tolist()) for i in range(6)]
+    got = ann.search(frame(spark, vectors), F.col("id") % 100 == 0, k=10).toPandas()
+    asked = [i for i, _ in vectors if i % 100 == 0]
+    assert got.groupby("query_id").size().to_dict() == dict.fromkeys(asked, 10)
+    hit = sum(len({i for _, i in exact(vectors, q)} & set(rows.id)) for q, rows in got.groupby("query_id"))
+    assert hit >= 9 * len(asked)
+
+
+def test_fewer_candidates_than_k_are_all_returned(spark):
+    vectors = [(i, [float(i), 1.0]) for i in range(6)] + [(3, [9.0, 1.0]), (3, [9.0, 1.0])]
+    got = ann.search(frame(spark, vectors), F.col("id") == 0, k=10).orderBy("rank").collect()
+    assert [r.id for r in got] == [1, 2, 3, 4, 5]
+
+
+def test_abandoning_leaves_k_rows_of_a_cell():
+    """All of a row's distance in its first block: the estimate would abandon even the nearest ones."""
+    x = np.zeros((40, 64))
+    x[:, 0] = np.arange(40) * 10.0
+    near, _ = ann.scan_cell(np.ascontiguousarray(x.T), np.arange(40), x, 0, x[0], x[0], 10)
+    assert near.tolist() == list(range(1, 11))

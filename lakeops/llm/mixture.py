@@ -34,8 +34,8 @@ from lakeops.llm.common import SPACE_WORD, chunked_running, materialise
 # 2**32 divided by the golden ratio, to the nearest odd integer (fixed value).
 GOLDEN = 2654435769
 UNIT = 1 << 32
-# Share of a group's rows in one chunk of a running sum: one part of so many.
-_CHUNKS = 1 << 10
+# Slots, or sources, in one chunk of a running sum.
+_CHUNK = 1 << 16
 
 
 def sizes(text: Column) -> Column:
@@ -77,6 +77,15 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int =
                                .otherwise(share.cast("double")))
 
 
+def point(slot: Column) -> Column:
+    """``slot * GOLDEN + UNIT / 2`` modulo ``UNIT``, in halves that no product of which leaves a long.
+
+    Each run of ``UNIT`` slots visits every point once, so what follows it may start anew.
+    """
+    high, low = F.shiftright(slot, 16) % (1 << 16), slot % (1 << 16)
+    return (low * GOLDEN + (high * GOLDEN % (1 << 16)) * (1 << 16) + (UNIT >> 1)) % UNIT
+
+
 def schedule(spark: SparkSession, shares: DataFrame, n_slots: int) -> DataFrame:
     """``(slot, sid)`` for ``n_slots`` slots; ``shares(sid, low, high)`` cut ``[0, 2**32)``.
 
@@ -86,7 +95,7 @@ def schedule(spark: SparkSession, shares: DataFrame, n_slots: int) -> DataFrame:
     buckets = max(1, shares.count())
     width = max(1, UNIT // buckets)
     slots = (spark.range(n_slots).withColumnRenamed("id", "slot")
-             .withColumn("point", (F.col("slot") * GOLDEN + (UNIT >> 1)) % UNIT)
+             .withColumn("point", point(F.col("slot")))
              .withColumn("bucket", F.floor(F.col("point") / width)))
     listed = shares.where("high > low").withColumn("bucket", F.explode(F.sequence(
         F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))))
@@ -95,10 +104,10 @@ def schedule(spark: SparkSession, shares: DataFrame, n_slots: int) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, least_block: int = 32) -> DataFrame:
-    """``(id, key, size, source_size, target, taken)`` for each row of ``docs``.
+    """``(id, key, size, source_size, target, taken, sid)`` for each row of ``docs``.
 
     ``taken``: words that the mix takes from the row, repeats counted; ``key``: the
-    hash of its text, by which callers find the row again.
+    hash of its text, by which callers find the row again; ``sid``: its source's number.
     """
     spark = docs.sparkSession
     rows = materialise(docs.select(
@@ -110,13 +119,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     block, n_slots = least_block, -(-(total or 0) // least_block)
     # Shares of the schedule as parts of 2**32; what rounding leaves belongs to the last source.
     parts = sources.select("sid", "size", F.floor(F.col("target") / F.lit(float(total or 1)) * UNIT).alias("part"))
-    placed = chunked_running(parts.withColumn("all", F.lit(0)).withColumn("chunk", F.floor(F.col("sid") / _CHUNKS)),
+    placed = chunked_running(parts.withColumn("all", F.lit(0)).withColumn("chunk", F.floor(F.col("sid") / _CHUNK)),
                              ["all"], "chunk", ["sid"], "part", "low")
     shares = placed.select("sid", "low", F.when(F.col("sid") == last, F.lit(UNIT))
                            .otherwise(F.col("low") + F.col("part")).alias("high"))
     ranked = chunked_running(
         schedule(spark, shares, n_slots).withColumn("one", F.lit(1))
-        .withColumn("chunk", F.floor(F.col("slot") / max(1, n_slots // _CHUNKS))),
+        .withColumn("chunk", F.floor(F.col("slot") / _CHUNK)),
         ["sid"], "chunk", ["slot"], "one", "rank")
     # Documents end to end in the order of a hash of their id.
     numbered = rows.join(sources.select("none", "source", "sid", F.col("size").alias("source_size"), "target"),
@@ -142,4 +151,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return (laid.join(taken, ["sid", "begin"], "left")
             .select("id", "key", "size", "source_size", "target",
                     F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0))
-                    .cast("bigint").alias("taken")))
+                    .cast("bigint").alias("taken"), "sid"))
+
+
+def copies(mixed: DataFrame) -> DataFrame:
+    """``(id, key, copies)``: what the mix takes, in whole documents.
+
+    The documents of a source are gone through in an order of their own (a hash), and a running sum
+    of the shares taken is rounded up: each source's copies are what was taken, to less than one
+    document more, and a source from which anything is taken keeps at least one document.
+    """
+    unit = 1 << 20
+    shares = (mixed.where("size > 0").groupBy("sid", "id", "key")
+              .agg(F.ceil(F.sum("taken") * unit / F.sum("size")).cast("bigint").alias("share"))
+              .withColumn("order", F.md5(F.concat_ws(":", F.lit("copies"), F.col("id").cast("string"), "key"))))
+    run = chunked_running(shares.withColumn("chunk", F.substring("order", 1, 3)), ["sid"], "chunk", ["order", "id", "key"],
+                          "share", "before")
+    upto = lambda c: F.ceil(c / unit)
+    return run.select("id", "key", (upto(F.col("before") + F.col("share")) - upto(F.col("before"))).cast("int").alias("copies"))

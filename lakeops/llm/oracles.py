@@ -63,7 +63,7 @@ FROM w LEFT JOIN f USING (doc_id)
 """
 
 
-def mixture_ctes(docs: str = "documents", slots: int = 1 << 22, least_block: int = 32) -> str:
+def mixture_ctes(docs: str = "documents", block: int = 32) -> str:
     return f"""
 r AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM {docs}),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid
@@ -76,8 +76,7 @@ s3 AS (SELECT *, 3 * size * rest < (total - capped) * weight AS filled FROM s2),
 s4 AS (SELECT source, sid, size, total, CASE WHEN filled THEN CAST(3 * size AS DOUBLE) ELSE
               CAST(weight * (total - coalesce(sum(3 * size) FILTER (filled) OVER (), 0)) AS DOUBLE)
               / CAST(sum(weight) FILTER (NOT filled) OVER () AS DOUBLE) END AS target FROM s3),
-b AS (SELECT CAST(greatest({least_block}, (total + {slots - 1}) // {slots}) AS BIGINT) AS block, CAST(total AS BIGINT) AS total
-      FROM (SELECT max(total) AS total FROM s4)),
+b AS (SELECT CAST({block} AS BIGINT) AS block, CAST(max(total) AS BIGINT) AS total FROM s4),
 p AS (SELECT sid, CAST(floor(target / CAST(total AS DOUBLE) * 4294967296) AS BIGINT) AS part FROM s4),
 h AS (SELECT sid, sum(part) OVER (ORDER BY sid) - part AS low,
              CASE WHEN sid = max(sid) OVER () THEN 4294967296 ELSE sum(part) OVER (ORDER BY sid) END AS high FROM p),

@@ -99,3 +99,10 @@ def test_blocks_do_not_grow_with_the_corpus(spark, monkeypatch):
     with pytest.raises(Scheduled) as told:
         mixture.mix(docs)
     assert told.value.args[0] == 5_000_000_000 // 32
+
+
+def test_points_of_slots_beyond_the_range_of_products(spark):
+    """``slot * GOLDEN`` leaves a long from slot 3.47 billion on; from 2 ** 32 on the points start anew."""
+    slots = [0, 1, 65535, 65536, 3_474_700_000, 3_600_000_000, int(2 ** 31.7), (1 << 32) - 1, 1 << 32, (1 << 32) + 1, 10 ** 13 + 7]
+    df = spark.createDataFrame([(s,) for s in slots], "slot long").select("slot", mixture.point(F.col("slot")).alias("p"))
+    assert {r.slot: r.p for r in df.collect()} == {s: (s * mixture.GOLDEN + (1 << 31)) % (1 << 32) for s in slots}

@@ -1,10 +1,12 @@
+import hashlib
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_SMALL
-from lakeops.llm import langid, oracles, secrets, sentencepiece_codec
+from lakeops.llm import langid, mixture, oracles, secrets, sentencepiece_codec
 from lakeops.llm.common import materialise
 from lakeops.llm.queries import PIECES
 from llm_cases import components_of, edge_docs, edge_rows, no_docs
@@ -28,8 +30,15 @@ def plain_pipeline(spark, docs):
             at = max(at, end)
         masked.append((doc, out + text[at:], lang, source))
     kept = spark.createDataFrame(masked, "doc_id long, text string, lang string, source string").toPandas()  # noqa: F841
-    taken = duckdb.sql(f"WITH {oracles.mixture_ctes('kept')} SELECT doc_id, taken, size FROM mixed").fetchall()
-    copies = {doc: int(n / size + 0.5) if size else 0 for doc, n, size in taken}
+    taken = duckdb.sql(f"WITH {oracles.mixture_ctes('kept')} SELECT doc_id, taken, size, sid FROM mixed").fetchall()
+    keys = {r.doc_id: r.key for r in spark.createDataFrame(kept).select("doc_id", F.xxhash64("text").alias("key")).collect()}
+    copies, before = dict.fromkeys(keys, 0), {}
+    for sid, _, doc, n, size in sorted((sid, hashlib.md5(f"copies:{doc}:{keys[doc]}".encode()).hexdigest(), doc, n, size)
+                                       for doc, n, size, sid in taken if size):
+        share = -(-n * (1 << 20) // size)
+        done = before.get(sid, 0)
+        before[sid] = done + share
+        copies[doc] = -(-(done + share) // (1 << 20)) - -(-done // (1 << 20))
     codec = sentencepiece_codec.Codec(sentencepiece_codec.read_model(PIECES))
     return sorted((doc, lang, source, tuple(codec.encode(text).tolist()))
                   for doc, text, lang, source in masked for _ in range(copies[doc]))
@@ -68,3 +77,16 @@ def test_decisions_of_the_stages(spark):
     assert masked[7].text == "[assign] and token: short" and masked[7].n_chars == len(masked[7].text)
     texts = {r[0]: r[1] for r in edge_rows()}
     assert masked[2].text is None and masked[8].text == texts[8]
+
+
+def test_no_source_with_a_target_leaves_the_mix(spark):
+    """One long document of which less than half is taken, beside a source of many."""
+    rows = [(0, " ".join(["w"] * 1000), "long")] + [(i, " ".join(["v"] * (5 + i % 5)), "many") for i in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = {r.id: r for r in mixture.mix(docs).collect()}
+    assert 0 < mixed[0].taken < 500
+    out = corpus_pipeline.mix_sources(spark, docs, "")
+    assert out.where("source = 'long'").count() == 1 and out.columns == docs.columns
+    assert mixture.mix(docs).count() == 60
+    taken = sum(r.taken / r.size for r in mixed.values() if r.id)
+    assert taken <= out.where("source = 'many'").count() < taken + 1.01

@@ -53,12 +53,12 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat each document as often as the mix takes it (to the nearest whole number), or leave it out."""
+    """Repeat each document as often as the mix takes it, in whole copies by source, or leave it out."""
     key = ["__id", "__key"]
-    taken = (mixture.mix(docs, weights=(1, 2, 3), cap=3).where("size > 0")
+    # One text under one id in several sources: each of its rows is repeated as in the source that takes it most.
+    taken = (mixture.copies(mixture.mix(docs, weights=(1, 2, 3), cap=3))
              .groupBy(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("__id"), F.col("key").alias("__key"))
-             .agg(F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("__copies"))
-             .where("__copies > 0"))
+             .agg(F.max("copies").alias("__copies")).where("__copies > 0"))
     keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) \
         .withColumn("__key", F.xxhash64("text"))
     return (keyed.join(taken, key)

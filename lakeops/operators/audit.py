@@ -7,10 +7,14 @@ A target is either a catalog table name or a storage path (Parquet).
 
 from __future__ import annotations
 
+import threading
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.joins import null_safe_join
+from lakeops.operators.publish import Files
 
 
 def with_insert_timestamp(rows: DataFrame, after: str = "START_OFFSET",
@@ -30,11 +34,26 @@ def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
+# Writers that append to one table at a time share its folder for temporary files.
+_one_append = threading.RLock()
+
+
 def append_rows(rows: DataFrame, target: str) -> None:
-    """Append by name to a table or a Parquet path."""
+    """Append by name to a table or a Parquet path; tables loaded side by side may do so at once."""
+    spark = rows.sparkSession
     if _is_path(target):
-        rows.write.mode("append").parquet(target)
+        # Files written beside the folder and moved in: writers do not meet in its temporary folder.
+        files, stage = Files(spark), f"{target.rstrip('/').rpartition('/')[0]}/_append-{uuid.uuid4().hex[:12]}"
+        rows.write.parquet(stage)
+        for name, _ in list(files.data_files(stage)):
+            files.rename(f"{stage}/{name}", f"{target.rstrip('/')}/{name}")
+        files.delete(stage)
         return
+    with _one_append:
+        _append_to_table(rows, target)
+
+
+def _append_to_table(rows: DataFrame, target: str) -> None:
     spark = rows.sparkSession
     if spark.catalog.tableExists(target):
         existing = spark.table(target).columns
@@ -47,10 +66,7 @@ def append_rows(rows: DataFrame, target: str) -> None:
 
 
 def exists(spark: SparkSession, target: str) -> bool:
-    if not _is_path(target):
-        return spark.catalog.tableExists(target)
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return Files(spark).exists(target) if _is_path(target) else spark.catalog.tableExists(target)
 
 
 def append_once(rows: DataFrame, target: str, keys: list[str], within: str = "BATCH_NUMBER") -> None:

@@ -235,7 +235,7 @@ ORACLE_BATCH = "\nUNION ALL\n".join([
 ])
 
 
-def batch_result(spark: SparkSession, sf_dir: str, mode: str = "auto", on_rows=None):
+def batch_result(spark: SparkSession, sf_dir: str, mode: str = "joint", on_rows=None):
     fx.register(spark, sf_dir)
     control = spark.createDataFrame(fx.control_rows(spark, sf_dir), CONTROL_SCHEMA)
     entries = to_entries(control_scan(control, 1))
@@ -256,7 +256,7 @@ def reconcile_batch(spark, sf_dir):
 
     Its tables share no relations, so their counts are concurrent jobs (``mode="auto"``).
     """
-    return batch_result(spark, sf_dir).audit.select(*BATCH_COLS)
+    return batch_result(spark, sf_dir, mode="auto").audit.select(*BATCH_COLS)
 
 
 @query("reconcile_batch_joint", ORACLE_BATCH)

@@ -210,3 +210,16 @@ def test_rows_of_a_run_are_told_as_tables_finish(spark, lake):
     run_ingestion(spark, entries, SparkSources(spark), lake, job_name="J", batch="B",
                   on_row=lambda df: seen.append((df.first()["ID"], df.first()["STATUS"], lake.exists("t3"))))
     assert seen == [(1, "SUCCESS", False), (2, "FAILED", False), (3, "SUCCESS", True)]
+
+
+def test_appends_at_once_do_not_disturb_each_other(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    root = scratch_path(spark, "t-at-once")
+    name = "t_at_once_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{root}/db'")
+    for target in (f"{root}/audit", f"{name}.audit"):
+        rows = [spark.createDataFrame([("b", i, "t")], "BATCH_NUMBER string, ID long, TABLE_NAME string") for i in range(12)]
+        with ThreadPoolExecutor(6) as pool:
+            list(pool.map(lambda df: append_once(df, target, ["BATCH_NUMBER", "ID"]), rows))
+        assert read_audit(spark, target).count() == 12
+    spark.sql(f"DROP DATABASE {name} CASCADE")

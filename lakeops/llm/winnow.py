@@ -12,7 +12,11 @@ of ``m``, and a minimum over ``2 m`` hashes of two over ``m``, so a text takes
 
 Nulls and edges: a null text counts as empty; an empty text has no hashes, and
 a text shorter than ``k`` code points is hashed as one run; two fingerprints
-without hashes are alike by 1, one without by 0.
+without hashes are alike by 1, one without by 0.  Very long texts are taken whole.
+The next text of rows with one id goes by a digest of their texts, a null id comes
+before any other; repeated rows follow each other and are told as often as they
+come; an empty table gives an empty result.  Only the two named columns are read,
+so clashing names of others do not matter.
 """
 
 from __future__ import annotations
@@ -103,44 +107,96 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str, parts: int | None = None) -> DataFrame:
-    """Rows dealt so that each task holds runs of consecutive ids and the row after each run.
-
-    ``(part, extra, id, text)``, sorted so within each partition; ``extra`` marks
-    the row that only follows a run.  Rows are ordered by id (null first), then by
-    text.  The driver sees one cut and one id per part, whatever the table's size;
-    the text is shuffled once.
+    """Distinct rows dealt so that each task holds runs of consecutive rows and the row after each run.
+
+    ``(part, extra, key, digest, slim, id, text, copies)``, sorted so within each
+    partition; ``extra`` marks the row that only follows a run.  Rows are ordered by
+    id (null first), then by their text's digest.  An id with more rows than a part
+    takes is cut by digests, and of equal rows each task sends one, and the number of
+    the others in a row without text (``slim``), so neither crowds a part.  The
+    driver sees one cut and one row's key per part, whatever the table's size; the
+    text is shuffled once.
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = parts or 4 * n  # several runs a task, so that tasks even out
-    # A null id sorts first; in the search for its part the smallest integer stands for it.
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    key = F.coalesce("id", F.lit(-(1 << 63)))
-    found = rows.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 10 * parts)).first()[0]
-    cuts = np.array(sorted(set(found or [])), np.int64)
+    # A null id sorts first: the smallest integer stands for it.
+    rows = rows.select(F.coalesce("id", F.lit(-(1 << 63))).alias("key"),
+                       F.substring(F.unhex(F.sha2("text", 256)), 1, _DIGEST).alias("digest"), "id", "text")
+    found = rows.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)] or [0.5], 10 * parts)).first()[0]
+    cuts = Cuts(found or [])
 
     @F.pandas_udf("int")
-    def part_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(_parts(ids, cuts))
-
-    firsts = sorted(map(tuple, rows.groupBy(part_of(key).alias("part")).agg(F.min(key)).collect()))
-    lead = dict(firsts)
-    before = {part: firsts[i - 1][0] for i, (part, _) in enumerate(firsts)}  # cyclic
-
-    @F.pandas_udf("array<struct<part:int,extra:boolean>>")
-    def targets(ids: pd.Series) -> pd.Series:
-        """A row's own part, and the part before it if it has that part's first id."""
-        return pd.Series([[{"part": p, "extra": False}] + [{"part": before[p], "extra": True}] * (i == lead[p])
-                          for p, i in zip(_parts(ids, cuts).tolist(), ids.tolist())], dtype=object)
-
-    dealt = rows.select("id", "text", F.inline(targets(key)))
-    return (dealt.select("part", "extra", "id", "text").repartition(n, "part")
-            .sortWithinPartitions("part", "extra", "id", "text"))
+    def part_of(keys: pd.Series, digests: pd.Series) -> pd.Series:
+        return pd.Series(cuts.part(keys.to_numpy(np.int64), digests.tolist()))
 
+    firsts = sorted((r.part, r.lead.key, bytes(r.lead.digest)) for r in rows.groupBy(
+        part_of("key", "digest").alias("part")).agg(F.min(F.struct("key", "digest")).alias("lead")).collect())
+    # The row that begins a part follows the part before it (cyclic).
+    follows = {first[1:]: firsts[i - 1][0] for i, first in enumerate(firsts)}
 
-def _parts(ids: pd.Series, cuts: np.ndarray) -> np.ndarray:
-    """How many cuts are at most the id."""
-    return np.searchsorted(cuts, ids.to_numpy(np.int64), "right").astype(np.int32)
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        again: dict[tuple, int] = {}  # of the rows of this task, which are bounded by its input
+        for batch in batches:
+            keys, digests, ids = (batch.column(c).to_pylist() for c in range(3))
+            at, part, extra = [], [], []
+            for i, (p, row) in enumerate(zip(cuts.part(np.array(keys, np.int64), digests).tolist(), zip(keys, digests, ids))):
+                if row in again:
+                    again[row] += 1
+                    continue
+                again[row] = 0
+                at.append(i)
+                part.append(p)
+                extra.append(False)
+                if row[:2] in follows:
+                    at.append(i)
+                    part.append(follows[row[:2]])
+                    extra.append(True)
+            key, digest, own, text = (batch.column(c).take(pa.array(at, pa.int32())) for c in range(4))
+            yield _dealt(part, extra, key, digest, [False] * len(at), own, text, [1] * len(at))
+        more = [(row, count) for row, count in again.items() if count]
+        keys, digests, ids = ([row[c] for row, _ in more] for c in range(3))
+        yield _dealt(cuts.part(np.array(keys, np.int64), digests), [False] * len(more), keys, digests, [True] * len(more),
+                     ids, [None] * len(more), [count for _, count in more])
+
+    return (rows.mapInArrow(deal, ", ".join(f"{c} {t}" for c, (t, _) in _DEALT.items())).repartition(n, "part")
+            .sortWithinPartitions("part", "extra", "key", "digest", "id", "slim"))
+
+
+# Bytes of a text's SHA-256 that stand for it.
+_DIGEST = 16
+_DEALT = {"part": ("int", pa.int32()), "extra": ("boolean", pa.bool_()), "key": ("bigint", pa.int64()),
+          "digest": ("binary", pa.binary()), "slim": ("boolean", pa.bool_()), "id": ("bigint", pa.int64()),
+          "text": ("string", pa.string()), "copies": ("bigint", pa.int64())}
+
+
+def _dealt(*columns) -> pa.RecordBatch:
+    return pa.record_batch([c.cast(t) if isinstance(c, pa.Array) else pa.array(c, t)
+                            for c, (_, t) in zip(columns, _DEALT.values())], list(_DEALT))
+
+
+class Cuts:
+    """Where parts begin: quantiles of the ids; one that is several quantiles is cut by as many even ranges of digests."""
+
+    def __init__(self, quantiles: list[int]):
+        self.ids, self.times = np.unique(np.array(quantiles, np.int64), return_counts=True)
+        self.before = np.concatenate(([0], np.cumsum(self.times)))
+
+    def part(self, ids: np.ndarray, digests: list[bytes]) -> np.ndarray:
+        """How many cuts are at most the row's id and digest."""
+        at = np.searchsorted(self.ids, ids, "right")
+        parts = self.before[at]
+        if not len(ids) or not len(self.ids):
+            return parts.astype(np.int32)
+        last = np.maximum(at - 1, 0)
+        times = self.times[last]
+        split = np.flatnonzero((at > 0) & (self.ids[last] == ids) & (times > 1))
+        if len(split):
+            # Range j of m begins at j / m of all digests; the first range's cut is at most any digest.
+            high = np.array([int.from_bytes(digests[i][:4], "big") for i in split.tolist()], np.int64)
+            parts[split] += 1 + (high * times[split] >> 32) - times[split]
+        return parts.astype(np.int32)
 
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, w: int = W) -> DataFrame:
@@ -153,38 +209,53 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        part, held = None, None  # held: the row whose next one is awaited
+        part, held, copies = None, None, 0  # held: the row whose next one is awaited
 
-        def close(row, after):
-            text, own, following = row[1], row[2], after[1]
+        def told(row, after, times):
+            text, own, following = row[2], row[3], after[2]
             half = len(text) // 2
             edited = text[:len(text) - half] + following[:half]
             other = winnow(edited, k, w)
-            return (row[0], len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
-                    digest(*own), digest(*other), likeness(own[1], other[1]), likeness(own[1], after[2][1]))
+            out.append((row[0], len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
+                        digest(*own), digest(*other), likeness(own[1], other[1]), likeness(own[1], after[3][1]), times))
+
+        def close(after):
+            if copies > 1:  # equal rows follow each other, the last one is followed by another
+                told(held, held, copies - 1)
+            told(held, after, 1)
 
         for batch in batches:
-            for p, extra, i, text in zip(*(c.to_pylist() for c in batch.columns)):
-                row = (i, text, winnow(text, k, w))
-                if held is not None and p == part:
-                    out.append(close(held, row))
-                    held = None
+            for p, extra, _, key, _, i, text, times in zip(*(c.to_pylist() for c in batch.columns)):
+                if held is not None and p == part and not extra and held[:2] == (i, key):
+                    copies += times
+                    continue
                 # Of the rows that follow a run, only the first one counts.
-                if not extra:
-                    held = row
-                part = p
+                if extra and (held is None or p != part):
+                    continue
+                row = (i, key, text, winnow(text, k, w))
+                if held is not None and p == part:
+                    close(row)
+                part, held, copies = p, None if extra else row, times
             if out:
                 yield _table(out)
-                out = []
+                out.clear()
 
-    return with_next(docs, id_col, text_col).mapInArrow(run, _SCHEMA)
+    made = with_next(docs, id_col, text_col).mapInArrow(run, _SCHEMA)
+    # Equal rows are told once with their number; many of them are dealt in chunks before they are spelled out.
+    chunked = made.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(times - 1) div {_CHUNK}").cast("bigint"))))
+    rows = F.least(F.lit(_CHUNK).cast("bigint"), F.col("times") - F.col("chunk") * _CHUNK)
+    return (chunked.repartition("id", "fingerprint", "edited_sha256", "chunk")
+            .withColumn("one", F.explode(F.sequence(F.lit(1).cast("bigint"), rows)))
+            .drop("times", "chunk", "one"))
 
 
+# Equal rows that one task spells out.
+_CHUNK = 10_000
 _SCHEMA = ("id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-           "near_edited double, near_next double")
+           "near_edited double, near_next double, times bigint")
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
                            [x.split()[0] for x in _SCHEMA.split(", ")])

@@ -82,3 +82,43 @@ def test_few_rows(spark):
 def test_fingerprints_column_form(spark):
     got = {r.id: r for r in winnow.fingerprints(edge_docs(spark)).collect()}
     assert got[2].hashes == [] and len(got[6].hashes) == 1
+
+
+def by_brute_force(rows):
+    """Rows in order of id (null first) and digest, each with the next one; after the last comes the first."""
+    rows = sorted(((i, t or "") for i, t in rows),
+                  key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256(r[1].encode()).digest()[:16]))
+    want = []
+    for i, (doc, text) in enumerate(rows):
+        after = rows[(i + 1) % len(rows)][1]
+        half = len(text) // 2
+        edited = text[:len(text) - half] + after[:half]
+        own, other, following = (winnow.winnow(t) for t in (text, edited, after))
+        want.append((doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), winnow.digest(*own), winnow.digest(*other),
+                     winnow.likeness(own[1], other[1]), winnow.likeness(own[1], following[1])))
+    return sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("hot", ["texts", "copies", "null", "alone"])
+def test_hot_ids(spark, hot, monkeypatch):
+    monkeypatch.setattr(winnow, "_CHUNK", 7)
+    rng = random.Random(hot)
+
+    def text():
+        return "".join(rng.choice("abcdef ") for _ in range(rng.randrange(120)))
+
+    rows = [] if hot == "alone" else [(rng.randrange(60), text()) for _ in range(200)]
+    rows += {"texts": [(30, text()) for _ in range(100)], "copies": [(30, "the same text")] * 100,
+             "null": [(None, text()) for _ in range(60)] + [(None, "")] * 40, "alone": [(5, "the same text")] * 20}[hot]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, winnow.edited_pairs(docs).collect()), key=repr) == by_brute_force(rows)
+
+
+def test_a_hot_id_is_cut(spark):
+    """A third of all rows under one id and another third one row repeated: no part holds more than a few shares."""
+    docs = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN id WHEN id % 3 = 1 THEN 500 ELSE 2000 END AS doc_id",
+                                        "CASE WHEN id % 3 = 2 THEN 'copy' ELSE concat('text ', id) END AS text")
+    dealt = winnow.with_next(docs, "doc_id", "text", parts=30)
+    sizes = [r["count"] for r in dealt.where("not extra").groupBy("part").count().collect()]
+    assert sum(r.copies for r in dealt.where("not extra").collect()) == 3000
+    assert max(sizes) <= 3 * 3000 / 30

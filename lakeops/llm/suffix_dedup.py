@@ -12,7 +12,10 @@ judged on the input.
    document holds proves its windows unique, and these go no further.
 3. The windows that are left travel as segments (the bytes that the consecutive
    windows of one anchor cover) to the shard of their anchor's range.  Copies of a
-   segment within a shard travel once.
+   segment within a shard travel once.  Of an anchor with more than ``HOT`` places the
+   windows that hold the bytes before it and those that hold the bytes behind it
+   travel apart, each to the range of a hash of the anchor with those bytes: all
+   windows that are equal hold equal ones, so no task gets all places of an anchor.
 4. There a suffix array is built by Larsson-Sadakane refinement: ranks by 8
    bytes, then only the unsorted groups are refined by the ranks further on, up
    to ``length`` bytes.  Common prefixes of neighbours (Kasai's array, here cut off
@@ -21,11 +24,14 @@ judged on the input.
 5. What was found goes back to the shards of documents, which cut it out.
 
 The text is shuffled once: all three steps over documents read the same
-exchange.  Shards and ranges grow in number, not in size, with the corpus.
+exchange.  Shards and ranges grow in number, not in size, with the corpus; the
+rows between them are at most one per shard and range.
 
 Nulls and edges: a null text counts as empty; texts shorter than ``length`` lose
-nothing; a null id is larger than any other; rows with equal ids do not remove
-each other's strings.  An empty table gives an empty result.
+nothing, texts of any length are whole in one shard; a null id is larger than any
+other; rows with equal ids do not remove each other's strings, so repeated rows have
+equal results.  An empty table gives an empty result.  Only the two named columns
+are read, so clashing names of others do not matter.
 """
 
 from __future__ import annotations
@@ -40,10 +46,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 16
+# Places of an anchor, in the whole corpus, above which its windows are dealt by the bytes beside it.
+HOT = 4096
 _CHUNK = 1 << 17  # bytes whose hashes are made at once, to stay in a core's cache
 _BASE = 0x9E3779B97F4A7C15  # odd
 _LAST = (1 << 63) - 1  # stands for a null id
 _SUBS = 16
+_SEVERAL = 128  # the bit of an anchor's byte that says that several ids hold it
 
 
 def rolling_hashes(data: np.ndarray) -> np.ndarray:
@@ -59,8 +68,8 @@ def rolling_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def anchor_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(first, last, hash)`` of runs of windows with one anchor, by position.
+def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """``(first, last, hash, anchor)`` of runs of windows with one anchor, by position; ``anchor``: its place.
 
     ``data``: documents end to end; ``ends``: where each ends.  Windows that cross
     an end are left out.
@@ -88,12 +97,42 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.nda
         good = ok[first]
         first, last = first[good], last[good]
         anchor = len(hashes) - (keys[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        found.append((first + at, last + at, hashes[anchor]))
+        found.append((first + at, last + at, hashes[anchor], anchor + at))
     if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def anchor_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return anchored_runs(data, ends, length)[:3]
+
+
+def beside_anchors(data: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.ndarray, anchor: np.ndarray,
+                   hot: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """``(first, last, key)``: the runs of windows, those of hot anchors in two with keys by the bytes beside them.
+
+    A window holds ``length - GRAM`` bytes besides its anchor: at least half of them, rounded up, before it or
+    that many of the rest behind it.  Which of the two goes by the anchor's place in the window alone.
+    """
+    before = (length - GRAM + 1) // 2
+    behind = length - GRAM - before + 1
+    rest, runs = np.flatnonzero(~hot), np.flatnonzero(hot)
+    turn = anchor[runs] - before  # the last window with enough bytes before the anchor
+    front, back = runs[first[runs] <= turn], runs[last[runs] > turn]
+
+    def key(of: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
+        h = hashes[of].copy()
+        for i in range(size):
+            h = (h ^ (data[begin + i].astype(np.uint64) + np.uint64(1))) * np.uint64(_BASE)
+            h ^= h >> np.uint64(29)
+        return h
+
+    return (np.concatenate((first[rest], first[front], np.maximum(first[back], anchor[back] - before + 1))),
+            np.concatenate((last[rest], np.minimum(last[front], anchor[front] - before), last[back])),
+            np.concatenate((hashes[rest], key(front, anchor[front] - before, before),
+                            key(back, anchor[back] + GRAM, behind))))
+
+
 def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions sorted by their first ``depth`` bytes, and the first 8 bytes at each position.
 
@@ -188,12 +227,13 @@ def _joined(group: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
-                   shard_bytes: int = 2 << 20, part_bytes: int = 2 << 20) -> DataFrame:
+                   shard_bytes: int = 2 << 20, part_bytes: int = 2 << 20, hot_places: int = HOT) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept)`` for each row; ``kept``: the remaining bytes' SHA-256.
 
     ``shard_bytes`` of text make a shard of documents; the range of anchors of
     ``part_bytes`` of text makes a part, whose suffix arrays are built one after the
-    other for ``_SUBS`` residues of the anchor, which bounds a task's memory.
+    other for ``_SUBS`` residues of the anchor, which bounds a task's memory.  Anchors with
+    about ``hot_places`` places or more are dealt by the bytes beside them.
     """
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
@@ -217,38 +257,49 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         hashes, ids = hashes[order], ids[order]
         begins = np.flatnonzero(np.concatenate((np.ones(min(1, len(hashes)), bool), hashes[1:] != hashes[:-1])))
         stops = np.concatenate((begins[1:], [len(hashes)]))[:len(begins)] - 1
-        several = ids[begins] != ids[stops]
+        # A byte of each anchor: if several ids hold it, and how often it stands here, as a power of two.
+        places = np.frexp(stops - begins + 1)[1] - 1
+        several = np.where(ids[begins] != ids[stops], _SEVERAL, 0) | places
         hashes = hashes[begins]
         made = []
         for part, a, b in _slices(range_of(hashes)):
-            made.append((part, int(group["shard"][0]), hashes[a:b].tobytes(), np.packbits(several[a:b]).tobytes()))
+            made.append((part, int(group["shard"][0]), hashes[a:b].tobytes(), several[a:b].astype(np.uint8).tobytes()))
         return pd.DataFrame(made, columns=["part", "shard", "hashes", "several"])
 
     def merge_anchors(group: pd.DataFrame) -> pd.DataFrame:
         runs = [np.frombuffer(x, np.uint64) for x in group["hashes"]]
-        several = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(r)).astype(bool)
-                   for x, r in zip(group["several"], runs)]
-        merged = np.sort(np.concatenate(runs))
-        shared = np.unique(np.concatenate([merged[1:][merged[1:] == merged[:-1]]]
-                                          + [r[s] for r, s in zip(runs, several)]))
+        notes = np.frombuffer(b"".join(group["several"]), np.uint8)
+        merged = np.concatenate(runs)
+        order = np.argsort(merged)
+        merged, notes = merged[order], notes[order]
+        begins = np.flatnonzero(np.concatenate((np.ones(min(1, len(merged)), bool), merged[1:] != merged[:-1])))
+        if not len(begins):
+            return pd.DataFrame([], columns=["shard", "hashes", "hot"])
+        holders = np.diff(np.concatenate((begins, [len(merged)])))
+        is_shared = (holders > 1) | np.logical_or.reduceat(notes >= _SEVERAL, begins)
+        places = np.add.reduceat(np.left_shift(np.int64(1), (notes & (_SEVERAL - 1)).astype(np.int64)), begins)
+        shared, hot = merged[begins][is_shared], places[is_shared] > hot_places
         made = []
         for shard, run in zip(group["shard"], runs):
-            at = np.searchsorted(shared, run)
-            mine = run[shared[np.minimum(at, len(shared) - 1)] == run] if len(shared) else run[:0]
-            if len(mine):
-                made.append((shard, mine.tobytes()))
-        return pd.DataFrame(made, columns=["shard", "hashes"])
+            if len(shared):
+                at = np.minimum(np.searchsorted(shared, run), len(shared) - 1)
+                at = at[shared[at] == run]
+                if len(at):
+                    made.append((shard, shared[at].tobytes(), shared[at[hot[at]]].tobytes()))
+        return pd.DataFrame(made, columns=["shard", "hashes", "hot"])
 
     def cut_segments(group: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         columns = ["part", "shard", "counts", "ids", "starts", "sizes", "data", "gone"]
         if not len(group) or not len(found):
             return pd.DataFrame([], columns=columns)
         group, data, ends = _joined(group)
-        first, last, hashes = anchor_runs(data, ends, length)
+        first, last, hashes, anchor = anchored_runs(data, ends, length)
         shared = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in found["hashes"]]))
         at = np.minimum(np.searchsorted(shared, hashes), len(shared) - 1)
         keep = np.flatnonzero(shared[at] == hashes)
-        first, last, hashes = first[keep], last[keep], hashes[keep]
+        first, last, hashes, anchor = first[keep], last[keep], hashes[keep], anchor[keep]
+        hot = np.isin(hashes, np.concatenate([np.frombuffer(x, np.uint64) for x in found["hot"]]))
+        first, last, hashes = beside_anchors(data, first, last, hashes, anchor, hot, length)
         ids = group["id"].to_numpy(np.int64)[np.searchsorted(ends, first, "right")]
         part, sub = range_of(hashes), (hashes % np.uint64(_SUBS)).astype(np.int32)
         order = np.lexsort((first, sub, part))  # by position, and so by id, within a part and residue
@@ -330,7 +381,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     by_shard = rows.groupBy("shard")
     anchors = by_shard.applyInPandas(name_anchors, "part int, shard int, hashes binary, several binary")
-    shared = anchors.groupBy("part").applyInPandas(merge_anchors, "shard int, hashes binary")
+    shared = anchors.groupBy("part").applyInPandas(merge_anchors, "shard int, hashes binary, hot binary")
     segments = by_shard.cogroup(shared.groupBy("shard")).applyInPandas(
         cut_segments, "part int, shard int, counts binary, ids binary, starts binary, sizes binary, data binary, "
                       "gone binary")

@@ -87,3 +87,32 @@ def test_ids_beyond_the_range_of_floats_beside_a_null(spark):
             (2 ** 63 - 1, shared)]
     assert run(spark, rows) == plain(rows)
     assert run(spark, rows, shard_bytes=100) == plain(rows)
+
+
+@pytest.mark.parametrize("length", [16, 17, 23, 50])
+def test_hot_anchors(spark, length):
+    """Anchors of all documents, dealt by the bytes beside them, against every string."""
+    rng = random.Random(length)
+    line = "a line that stands in very many documents, word by word"
+    pool = ["".join(rng.choice("ab ") for _ in range(30)) for _ in range(6)]
+    rows = [(i % 150, rng.choice(pool)[rng.randrange(20):] + line[rng.randrange(9):len(line) - rng.randrange(9)] + rng.choice(pool))
+            for i in range(160)] + [(None, line), (7, "b" * 90)]
+    assert run(spark, rows, length=length, shard_bytes=1500, part_bytes=1500, hot_places=2) == plain(rows, length)
+
+
+def test_equal_windows_of_hot_anchors_meet():
+    """Windows that are equal get equal keys, whatever stands around them; a hot anchor's windows get many."""
+    rng = random.Random(8)
+    line = b"sixteen bytes here and more of the same hot line"
+    docs = [bytes(rng.choice(b"xyz") for _ in range(60)) + line + bytes(rng.choice(b"xyz") for _ in range(60)) for _ in range(40)]
+    key_of = {}
+    for doc in docs + [d[:100] for d in docs]:
+        data = np.frombuffer(doc, np.uint8)
+        first, last, hashes, anchor = sd.anchored_runs(data, np.array([len(data)]), 50)
+        first, last, keys = sd.beside_anchors(data, first, last, hashes, anchor, np.ones(len(first), bool), 50)
+        seen = sorted(p for a, b in zip(first.tolist(), last.tolist()) for p in range(a, b + 1))
+        assert seen == list(range(len(doc) - 49))  # every window once
+        for a, b, key in zip(first.tolist(), last.tolist(), keys.tolist()):
+            for p in range(a, b + 1):
+                assert key_of.setdefault(doc[p:p + 50], key) == key
+    assert len(set(key_of.values())) > 40

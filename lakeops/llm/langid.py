@@ -7,15 +7,17 @@ characters is known it adds nothing.
 
 The model is fitted on a bounded sample of the labelled rows: about
 ``rows_per_language`` of each language, chosen by a hash of their id, with their
-whole texts, and at most ``max_words`` words and ``max_grams`` n-grams of each
-length (the most frequent ones; ties by code point).  Its size is bounded by
-these parameters, whatever the table's; that is why it may be broadcast.
-Prediction reads every row and its whole text, and the text alone.
+whole texts, and knows every word and n-gram of these.  Its size is bounded by the
+sample's, whatever the table's; that is why it may be broadcast.  ``max_words`` and
+``max_grams`` (of each length; the most frequent, ties by code point) make a smaller
+one where asked for.  Prediction reads every row and its whole text, and the text alone.
 
 Nulls and edges: a null text, or one without a letter, is ``und`` with score 0;
 rows without language are not learned from; repeated rows get equal
-predictions; ties go to the smaller language name.  If nothing can be learned
-every text is ``und``.  An empty table gives an empty result.
+predictions; ties go to the smaller language name; texts of any length are read
+whole.  If nothing can be learned every text is ``und``.  An empty table gives an
+empty result.  Only ``doc_id``, ``text`` and ``lang`` are read, so clashing names of
+others do not matter.
 """
 
 from __future__ import annotations
@@ -49,7 +51,7 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 class Table:
-    """Log frequencies by language of a bounded number of items."""
+    """Log frequencies of items by language."""
 
     def __init__(self, items: list[str], logs: np.ndarray):
         self.row = {item: i for i, item in enumerate(items)}
@@ -99,18 +101,20 @@ class Model:
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def _table(counts: DataFrame, languages: list[str], most: int) -> Table:
-    """Of ``counts(item, lang, n)``, the ``most`` frequent items; no more leave Spark."""
+def _table(counts: DataFrame, languages: list[str], most: int | None) -> Table:
+    """Of ``counts(item, lang, n)``, the ``most`` frequent items (None: all)."""
     top = counts.groupBy("item").agg(F.sum("n").alias("total"), F.map_from_entries(
-        F.collect_list(F.struct("lang", "n"))).alias("by")).orderBy(F.desc("total"), "item").limit(most)
+        F.collect_list(F.struct("lang", "n"))).alias("by"))
+    if most is not None:
+        top = top.orderBy(F.desc("total"), "item").limit(most)
     rows = top.select("item", *[F.coalesce(F.col("by")[lang], F.lit(0)).cast("double").alias(f"n{i}")
                                 for i, lang in enumerate(languages)]).toArrow()
     n = np.column_stack([rows[f"n{i}"].to_numpy() for i in range(len(languages))])
     return Table(rows["item"].to_pylist(), np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * max(1, len(rows)))))
 
 
-def fit(labelled: DataFrame, rows_per_language: int = 1000, max_words: int = 200_000,
-        max_grams: int = 50_000) -> Model:
+def fit(labelled: DataFrame, rows_per_language: int = 1000, max_words: int | None = None,
+        max_grams: int | None = None) -> Model:
     """Learn from ``labelled(id, text, lang)``; ``lang`` is not null."""
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)

@@ -1,3 +1,8 @@
+import math
+import zlib
+from collections import Counter, defaultdict
+from itertools import groupby
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -67,3 +72,70 @@ def test_sample_is_bounded(spark):
     model = langid.fit(rows.withColumn("text", F.translate("text", "0123456789", "abcdefghij")),
                        rows_per_language=500, max_words=100)
     assert len(model.words.row) == 100 and "kept" in model.words.row
+
+
+def plain_words(text):
+    return ["".join(run) for is_letter, run in groupby(text.lower(), lambda c: c.isalnum() and not c.isdecimal()) if is_letter]
+
+
+def plain_grams(word, n):
+    return ["".join(x) for x in zip(*[f"^{word}$"[i:] for i in range(n)])]
+
+
+class Plain:
+    """Counts of every learned word and n-gram, looked up one by one."""
+
+    def __init__(self, rows):
+        self.languages = sorted({lang for _, lang in rows})
+        self.counts = [defaultdict(Counter) for _ in range(6)]  # 0: words, else n-grams
+        for text, lang in rows:
+            for word in plain_words(text or ""):
+                self.counts[0][word][lang] += 1
+                for n in range(1, 6):
+                    for gram in plain_grams(word, n):
+                        self.counts[n][gram][lang] += 1
+        self.totals = [Counter() for _ in range(6)]
+        for level, total in zip(self.counts, self.totals):
+            for by in level.values():
+                total.update(by)
+
+    def log(self, n, item, lang):
+        return math.log((self.counts[n][item][lang] + 0.5) / (self.totals[n][lang] + 0.5 * len(self.counts[n])))
+
+    def added(self, word, lang):
+        if word in self.counts[0]:
+            return self.log(0, word, lang)
+        for n in range(5, 0, -1):
+            known = [g for g in plain_grams(word, n) if g in self.counts[n]]
+            if known:
+                return sum(self.log(n, g, lang) for g in known) / len(known)
+        return 0.0
+
+    def predict(self, text):
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0
+        scores = [math.fsum(self.added(w, lang) for w in plain_words(text)) for lang in self.languages]
+        best = max(scores)
+        return self.languages[scores.index(best)], 1 / math.fsum(math.exp(s - best) for s in scores)
+
+
+def test_against_brute_force(spark):
+    """Whole documents, half of them with words that no text taught, against plain counts of all labelled rows."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").withColumn(
+        "text", F.when(F.col("doc_id") % 2 == 0, F.translate("text", "eo", "o")).otherwise(F.col("text")))
+    rows = docs.select("doc_id", "text", "lang").collect()
+    plain = Plain([(r.text, r.lang) for r in rows if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 5])
+    model = langid.learn_from_documents(docs)
+    got = {r.doc_id: r.p for r in docs.select(
+        "doc_id", langid.predict_column(spark, model, F.col("text")).alias("p")).collect()}
+    texts = {r.doc_id: r.text for r in rows if len(r.text or "") < 3000}
+    assert len(texts) > 60
+    for doc, text in texts.items():
+        lang, score = plain.predict(text)
+        assert (got[doc].lang_pred, got[doc].score) == (lang, pytest.approx(score, abs=1e-9)), doc
+
+
+def test_every_item_of_the_sample_is_known(spark):
+    rows = [(i, " ".join(f"{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + j)}word" for j in range(26)), "en") for i in range(600)]
+    model = langid.fit(spark.createDataFrame(rows, "id long, text string, lang string"))
+    assert set(model.words.row) == {w for _, t, _ in rows for w in t.split()}

@@ -50,6 +50,7 @@ GRAM = 16
 HOT = 4096
 _CHUNK = 1 << 17  # bytes whose hashes are made at once, to stay in a core's cache
 _BASE = 0x9E3779B97F4A7C15  # odd
+_SPREAD = np.uint64(0xD1B54A32D192ED03)  # odd
 _LAST = (1 << 63) - 1  # stands for a null id
 _SUBS = 16
 _SEVERAL = 128  # the bit of an anchor's byte that says that several ids hold it
@@ -97,7 +98,8 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.n
         good = ok[first]
         first, last = first[good], last[good]
         anchor = len(hashes) - (keys[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        found.append((first + at, last + at, hashes[anchor], anchor + at))
+        # Anchors are smallest hashes; the product (one to one) spreads them over the whole range again.
+        found.append((first + at, last + at, hashes[anchor] * _SPREAD, anchor + at))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found))

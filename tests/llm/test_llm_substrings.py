@@ -116,3 +116,11 @@ def test_equal_windows_of_hot_anchors_meet():
             for p in range(a, b + 1):
                 assert key_of.setdefault(doc[p:p + 50], key) == key
     assert len(set(key_of.values())) > 40
+
+
+def test_anchors_fall_evenly_to_ranges():
+    """The smallest hash of each window is dealt as evenly as any hash."""
+    data = np.random.default_rng(9).integers(97, 123, 200_000).astype(np.uint8)
+    _, _, hashes = sd.anchor_runs(data, np.array([len(data)]), 50)
+    sizes = np.bincount((np.unique(hashes) >> np.uint64(59)).astype(int), minlength=32)
+    assert sizes.max() < 1.3 * sizes.mean()

@@ -52,6 +52,9 @@ DEFAULT_RETAIN_LAST = 1
 DEFAULT_ORPHAN_AGE = dt.timedelta(days=3)
 # Folder of a swap in progress, beside a table's files; readers skip names with this beginning.
 SWAP_PREFIX = "_compaction-"
+# What a task reads at once of a file to be split; the files that a task of a partitioned write keeps open.
+SPLIT_BYTES = 128 * 1024 * 1024
+OPEN_FILES = 4
 # Fixed value: table names containing this token are left out of a sweep.
 EXCLUDE_TOKEN = "d1_"
 # The maintenance steps, in the order they run.
@@ -152,6 +155,18 @@ def compaction_schema(spark: SparkSession, table_path: str, partition_cols: Sequ
                          for f in schema])
 
 
+def unsorted_writes(spark: SparkSession, conf: dict[str, object] | None = None) -> SparkSession:
+    """A session whose partitioned writes keep a file open for each partition value of a task (few, else it sorts).
+
+    By default Spark sorts a task's rows by partition value first, which holds the whole task.
+    """
+    session = spark.newSession()
+    for k, v in {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES,
+                 "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone"), **(conf or {})}.items():
+        session.conf.set(k, str(v))
+    return session
+
+
 def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
                  partition_cols: Sequence[str], dry_run: bool = True,
                  max_files_per_job: int = 10_000, max_bins_per_job: int = 256,
@@ -164,8 +179,9 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
     ``max_files_per_job`` files; that is all the driver ever lists.  In a job, the
     small files of a folder are one scan that Spark's own splitter packs into
     tasks of ``target_bytes`` (default: the largest bin), one new file each,
-    without a shuffle; a file over the maximum is dealt out to as many files as it
-    needs.  Files are rewritten only if there will be fewer of them or one is
+    without a shuffle or a sort (a task has files of one folder); a file over the
+    maximum is read in splits and dealt out to as many files as it needs.  So what a
+    task holds does not grow with the target.  Files are rewritten only if there will be fewer of them or one is
     split, so a sweep that finds nothing to gain changes nothing.
 
     ``schema``: the table's, by the catalog (default: merged from all files), so
@@ -196,16 +212,15 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
     n_jobs = max(-(-files_in // max_files_per_job), -(-bins_in // max_bins_per_job))
     run = F.floor(F.col("bin") / max_bins_per_job)
     keyed = listed.withColumn("_run", run).withColumn("_job", F.pmod(F.xxhash64("_folder", "_run"), F.lit(n_jobs)))
-    # A session of its own packs scans by the target, whatever the caller's settings are.
-    packer = spark.newSession()
-    for k, v in (("spark.sql.files.maxPartitionBytes", target), ("spark.sql.files.openCostInBytes", 0),
-                 ("spark.sql.files.minPartitionNum", 1), ("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"),
-                 ("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))):
-        packer.conf.set(k, str(v))
+    # Sessions of their own pack scans by the target, or split them, whatever the caller's settings are.
+    packer, splitter = (unsorted_writes(spark, {
+        "spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": 0,
+        "spark.sql.files.minPartitionNum": 1, "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"})
+        for size in (target, min(target, SPLIT_BYTES)))
     read_as = compaction_schema(spark, table_path, partition_cols, schema)
 
-    def scan(paths):
-        return packer.read.schema(read_as).option("basePath", table_path).parquet(*paths)
+    def scan(paths, session=packer):
+        return session.read.schema(read_as).option("basePath", table_path).parquet(*paths)
 
     removed = made = 0
     for job in range(n_jobs):
@@ -216,7 +231,7 @@ def rewrite_bins(spark: SparkSession, table_path: str, plan: DataFrame,
         for files in groups.values():
             for path, size in files:
                 if size > target * max_ratio:
-                    parts.append(scan([path]).repartition(-(-size // target)))
+                    parts.append(scan([path], splitter).repartition(-(-size // target)))
                     old.append(path)
             small = [path for path, size in files if size <= target * max_ratio]
             packed = scan(small) if len(small) > 1 else None

@@ -24,7 +24,7 @@ from lakeops.operators.ingest import (LakeLocation, load_full, load_incremental,
                                       overwrite_partitions, run_ingestion)
 from lakeops.operators.maintenance import (ParquetMaintenance, compaction_plan,
                                            compaction_schema, expired_snapshots, file_inventory, list_tables,
-                                           orphan_files, rewrite_bins, sweep, without_excluded)
+                                           orphan_files, rewrite_bins, sweep, unsorted_writes, without_excluded)
 from lakeops.operators.reconcile import plan_reconcile, reconcile_frame, run_reconcile
 from lakeops.plans import fixtures as fx
 from lakeops.session import scratch_path
@@ -499,7 +499,7 @@ def q_compaction_rewrite(spark, sf_dir):
     ``a b`` and NULL, a column added after half of the files were written.  The rows stay
     as they are, and sweeps converge: after a few (tiny files shrink when their footers are
     merged) one rewrites no file (``files_again``)."""
-    li = fx.read_table(spark, sf_dir, "lineitem").withColumn("m", F.expr(
+    li = fx.read_table(unsorted_writes(spark), sf_dir, "lineitem").withColumn("m", F.expr(
         "CASE l_linenumber % 4 WHEN 0 THEN NULL WHEN 1 THEN '01' WHEN 2 THEN '1' ELSE 'a b' END"))
     path = scratch_path(spark, "small-lineitem")
     li.where("l_linenumber <= 3").repartition(8).write.partitionBy("m").parquet(path)
@@ -562,7 +562,7 @@ def q_maintenance_sweep(spark, sf_dir):
     exclusion token are skipped; row counts after compaction are unchanged."""
     db = "lakeops_maintenance_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
     spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'warehouse')}'")
-    li = fx.read_table(spark, sf_dir, "lineitem")
+    li = fx.read_table(unsorted_writes(spark), sf_dir, "lineitem")
     orders = fx.read_table(spark, sf_dir, "orders")
     li.repartition(16).write.partitionBy("l_returnflag").saveAsTable(f"{db}.lineitem")
     orders.repartition(16).write.saveAsTable(f"{db}.orders")

@@ -183,3 +183,31 @@ def test_stale_write_leftovers_are_found_and_removed(spark):
     assert backend.run("remove_orphan_files", db, "t") == "SUCCESS"
     assert not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{loc}/_temporary"))
     assert fs.exists(new_dir) and spark.table(f"{db}.t").count() == 100
+
+
+def test_compaction_holds_no_task_whole(spark, monkeypatch):
+    """Rewrites are written without a sort by partition value, and a file over the maximum is read in splits."""
+    path = scratch_path(spark, "t-unsorted")
+    for m, n in (("a", 3000), ("b", 3000), ("big", 60_000)):
+        spark.range(n).select(F.col("id"), F.lit(m).alias("m")).repartition(1 if m == "big" else 6) \
+            .write.mode("append").option("parquet.block.size", 32 * 1024).partitionBy("m").parquet(path)
+    written, swap = [], mnt._swap
+    monkeypatch.setattr(mnt, "SPLIT_BYTES", 64 * 1024, raising=False)
+    monkeypatch.setattr(mnt, "_swap", lambda spark, table, out, *rest: written.append(out) or swap(spark, table, out, *rest))
+    inv = mnt.file_inventory(spark, path)
+    plan = mnt.compaction_plan(inv, partition_cols=["folder"], order_col="modified", tie_cols=["path"],
+                               target_bytes=100_000)
+    mnt.rewrite_bins(spark, path, plan, ["m"], dry_run=False, target_bytes=100_000)
+    assert {(r.m, r["count"]) for r in spark.read.parquet(path).groupBy("m").count().collect()} == {
+        ("a", 3000), ("b", 3000), ("big", 60_000)}
+    spark.sql("DROP TABLE IF EXISTS t_unsorted")
+    spark.sql(f"CREATE TABLE t_unsorted (id BIGINT, m STRING) USING parquet PARTITIONED BY (m) "
+              f"LOCATION '{scratch_path(spark, 't-unsorted-table')}'")
+    try:
+        for out in written:
+            out.createOrReplaceGlobalTempView("t_unsorted_rows")
+            insert = "EXPLAIN INSERT INTO t_unsorted SELECT id, m FROM global_temp.t_unsorted_rows"
+            assert "Sort [m" in spark.sql(insert).first()[0] and "Sort [m" not in out.sparkSession.sql(insert).first()[0]
+    finally:
+        spark.sql("DROP TABLE t_unsorted")
+    assert written
